@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from marketloom.llm import exact_dedup, line_dedup
+from marketloom.llm import exact_dedup, jpeg, line_dedup, packing, token_files
 
 
 def queries() -> dict:
     return {
+        "op2_token_files": token_files.op2_token_files,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op7_media_jpeg": jpeg.op7_media_jpeg,
+        "op10_packing": packing.op10_packing,
     }
 
 
