@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from marketloom.llm import exact_dedup, jpeg, line_dedup, packing, token_files
+from marketloom.llm import exact_dedup, jpeg, line_dedup, packing, suffix_dedup, token_files
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_token_files": token_files.op2_token_files,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op5_line_dedup": line_dedup.op5_line_dedup,
