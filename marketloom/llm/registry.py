@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketloom.llm import exact_dedup, jpeg, line_dedup, packing, suffix_dedup, token_files
+from marketloom.llm import exact_dedup, jpeg, language_id, line_dedup, near_dedup, packing, quality, suffix_dedup, token_files
 
 
 def queries() -> dict:
@@ -10,8 +10,11 @@ def queries() -> dict:
         "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
         "op2_token_files": token_files.op2_token_files,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+        "op4_near_dedup": near_dedup.op4_near_dedup,
         "op5_line_dedup": line_dedup.op5_line_dedup,
+        "op6_quality": quality.op6_quality,
         "op7_media_jpeg": jpeg.op7_media_jpeg,
+        "op9_language_id": language_id.op9_language_id,
         "op10_packing": packing.op10_packing,
     }
 
