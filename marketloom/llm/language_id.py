@@ -200,6 +200,13 @@ class Scorer:
         return names, np.where(some, score, 0.0), np.where(some, low, 0.0), ~some | (low > limit)
 
 
+def scorer_of(model: Model) -> Scorer:
+    """A scorer that the tasks of one Python worker share; the model is there once per worker."""
+    if not hasattr(model, "scorer"):
+        model.scorer = Scorer(model)
+    return model.scorer
+
+
 def train(
     labelled: DataFrame, order: int = 4, per_language: int = 700, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> Model:
@@ -267,7 +274,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 ids, texts = (c.to_pylist() for c in batch.slice(at, 500).columns)
@@ -277,6 +284,22 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(predict, PREDICTED)
 
 
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose language is not rejected, with all their columns; no row moves."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = scorer_of(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rejected = scorer.predict(part.column(place).to_pylist())[-1]
+                yield part.filter(pa.array(~rejected))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def fold(id_col: str, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % n
 

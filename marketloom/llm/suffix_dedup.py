@@ -292,6 +292,36 @@ def remove_repeats(
     return joined.mapInArrow(apply, REMOVED)
 
 
+def without_repeats(docs: DataFrame, span: int = 200, q: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows and columns of ``docs``, with the repeats gone from the text.
+
+    Bytes of a character that a removed run cuts in two go as well.
+    """
+    runs = repeated_runs(docs, span, q, id_col, text_col)
+    by_doc = runs.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
+        F.collect_list(F.struct("begin", "end")).alias("_runs")
+    )
+    keys = {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "_row": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).cast("long")}
+    joined = docs.withColumns(keys).join(by_doc, ["_id", "_row"], "left").select(*docs.columns, "_runs")
+
+    def cut(data: bytes, runs: list[dict]) -> str:
+        a, b = merged(np.array([r["begin"] for r in runs]), np.array([r["end"] for r in runs]))
+        left = [data[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(data)])]
+        return "".join(x.decode("utf-8", "ignore") for x in left)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.schema.get_field_index(text_col)
+            texts = batch.column(place).to_pylist()
+            runs = batch.column("_runs").to_pylist()
+            new = [cut(t.encode(), r) if r else t for t, r in zip(texts, runs)]
+            columns = list(batch.columns[:-1])
+            columns[place] = pa.array(new, batch.schema.field(place).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    return joined.mapInArrow(apply, docs.schema)
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(common.table(spark, sf_dir, "documents"), with_kept=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
