@@ -161,7 +161,7 @@ def build(counts: dict[str, Counter], order: int) -> Model:
 class Scorer:
     """Scores texts with a model; keeps the sums of words in a bounded store."""
 
-    def __init__(self, model: Model, limit: int = 300_000, z: float = 6.0, margin: float = 0.6) -> None:
+    def __init__(self, model: Model, limit: int = 300_000, z: float = 6.0, margin: float = 1.2) -> None:
         self.model, self.limit, self.z, self.margin = model, limit, z, margin
         self.places: dict[str, int] = {}
         self.sums = np.zeros((0, len(model.languages)), np.float32)
