@@ -19,17 +19,22 @@ def stream_feedback_ingest(spark: SparkSession, path: str, schema: T.StructType,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def _timed(events: DataFrame, column: str, delay: str) -> DataFrame:
+    """Watermark a time column, which must be an instant."""
+    return events.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
+
+
 def stream_dedup(events: DataFrame, delay: str = "2 hours") -> DataFrame:
     """One row per event and fingerprint; state is dropped behind the watermark.
 
     An id with another fingerprint passes, to be found as a conflict by the merge.
     """
-    return events.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["event_id", "event_fingerprint"])
+    return _timed(events, "received_at", delay).dropDuplicatesWithinWatermark(["event_id", "event_fingerprint"])
 
 
 def stream_conflicts(events: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Fingerprints per event id within its arrival window."""
-    marked = events.withWatermark("received_at", delay)
+    marked = _timed(events, "received_at", delay)
     return marked.groupBy(F.window("received_at", "1 day"), "event_id").agg(
         F.approx_count_distinct("event_fingerprint").alias("n_versions"), F.count(F.lit(1)).alias("n_rows")
     )
@@ -50,7 +55,7 @@ def verify(events: DataFrame, predictions: DataFrame) -> DataFrame:
 def stream_late_audit(events: DataFrame, cutoff: datetime, days: int, delay: str = "12 hours") -> DataFrame:
     """Events created in the window, by whether they arrived before the cutoff."""
     start = cutoff - timedelta(days=days)
-    rows = events.withWatermark("created_at", delay).where((F.col("created_at") >= F.lit(start)) & (F.col("created_at") < F.lit(cutoff)))
+    rows = _timed(events, "created_at", delay).where((F.col("created_at") >= F.lit(start)) & (F.col("created_at") < F.lit(cutoff)))
     return rows.groupBy((F.col("received_at") >= F.lit(cutoff)).alias("is_late")).agg(F.count(F.lit(1)).alias("n_events"))
 
 
