@@ -76,7 +76,7 @@ class Inputs:
         known = self.known
         if len(known) > self.limit:
             known.clear()
-        for w in distinct - known.keys():
+        for w in [w for w in distinct if w not in known]:
             known[w] = zlib.crc32(w.encode("utf-8", "replace")) % self.buckets
         # Sorted, so that sums do not depend on the order of a set.
         hashed = np.sort(np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct)))
