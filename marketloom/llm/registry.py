@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketloom.llm import exact_dedup, jpeg, language_id, line_dedup, near_dedup, packing, quality, suffix_dedup, token_files
+from marketloom.llm import exact_dedup, jpeg, language_id, line_dedup, near_dedup, packing, piece_sampling, quality, suffix_dedup, token_files
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op5_line_dedup": line_dedup.op5_line_dedup,
         "op6_quality": quality.op6_quality,
         "op7_media_jpeg": jpeg.op7_media_jpeg,
+        "op8_piece_sampling": piece_sampling.op8_piece_sampling,
         "op9_language_id": language_id.op9_language_id,
         "op10_packing": packing.op10_packing,
     }
