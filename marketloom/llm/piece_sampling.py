@@ -165,7 +165,7 @@ class Lattices:
 
     def starts(self, words: list[str]) -> np.ndarray:
         """The first node of each word; new words are added."""
-        new = set(words) - self.first.keys()
+        new = {w for w in words if w not in self.first}
         if new:
             if len(self.first) + len(new) > self.limit and self.first:
                 self.clear()
