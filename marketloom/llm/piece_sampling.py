@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import common, tokens
 
 _WORD = re.compile("▁*[^▁]+|▁+")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -78,7 +80,18 @@ class Vocabulary:
                 self.bytes[int(_BYTE.fullmatch(piece)[1], 16)] = i
             elif not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)):
                 self.weight[piece] = (i, (1.0 + i) ** -alpha)
+        self.raw = [bytes([int(x[3:5], 16)]) if self.model.is_byte(i) else x.encode() for i, x in enumerate(self.pieces)]
         self.longest = max(map(len, self.weight))
+        found = {}
+        for piece, (i, _) in self.weight.items():
+            h = 0
+            for c in piece:
+                h = (h * int(_BASE) + ord(c) + 1) % (1 << 64)
+            found[h] = i
+        #: Hashes of pieces, sorted, with their ids; log weights by id.
+        self.keys = np.array(sorted(found), np.uint64)
+        self.ids = np.array([found[k] for k in sorted(found)], np.int64)
+        self.log_weight = -alpha * np.log1p(np.arange(n))
         self.byte_weight = float(n) ** -alpha
 
     def normalise(self, text: str | None) -> str:
@@ -86,14 +99,7 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, with bytes joined to characters."""
-        text = "".join(map(self.pieces.__getitem__, ids))
-        if "<0x" in text:
-            out = bytearray()
-            for i in ids:
-                piece = self.pieces[i]
-                out += bytes([int(piece[3:5], 16)]) if self.model.is_byte(int(i)) else piece.encode()
-            text = out.decode("utf-8", "replace")
-        text = text.replace("▁", " ")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace("▁", " ")
         return text[1:] if text[:1] == " " else text
 
 
@@ -104,7 +110,7 @@ class Lattices:
     edges, so one search finds the edge that a number in (0, 1) draws.
     """
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 150_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, limit: int = 200_000) -> None:
         self.vocabulary, self.limit = vocabulary, limit
         self.clear()
 
@@ -117,51 +123,74 @@ class Lattices:
         self.first_edge = np.zeros(1, np.int64)
 
     def add(self, words: list[str]) -> None:
-        cum: list[float] = []
-        p: list[float] = []
-        target: list[int] = []
-        token_ids: list[int] = []
-        edges = [int(self.first_edge[-1])]
-        weight, longest, n_nodes = self.vocabulary.weight.get, self.vocabulary.longest, self.n_nodes
-        for word in words:
-            self.first[word] = n_nodes
-            n = len(word)
-            back = [0.0] * n + [1.0]
-            out: list[list] = [[] for _ in range(n)]
-            for i in range(n - 1, -1, -1):
-                total, own = 0.0, out[i]
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    found = weight(word[i:j])
-                    if found and back[j]:
-                        x = found[1] * back[j]
-                        own.append((x, j, found[0]))
-                        total += x
-                if not own:
-                    raw = self.vocabulary.bytes[list(word[i].encode("utf-8", "replace"))].tolist()
-                    total = self.vocabulary.byte_weight ** len(raw) * back[i + 1]
-                    self.raw.append(raw)
-                    own.append((total, i + 1, -len(self.raw)))
-                back[i] = total
-                if total < 1e-150:
-                    # Only ratios count: lift all sums that can still be used.
-                    for j in range(i, min(n, i + longest) + 1):
-                        back[j] *= 1e150
-            for i, own in enumerate(out):
-                total, run, node = sum(x for x, _, _ in own), 0.0, n_nodes + i
-                for x, j, token in own:
-                    share = x / total
-                    cum.append(node + run)
-                    run += share
-                    p.append(share)
-                    target.append(node + j - i if j < n else -1)
-                    token_ids.append(token)
-                edges.append(edges[-1] + len(own))
-            n_nodes += n
-        self.n_nodes = n_nodes
-        self.cum, self.p = np.concatenate([self.cum, cum]), np.concatenate([self.p, p])
-        self.target = np.concatenate([self.target, np.array(target, np.int32)])
-        self.tokens = np.concatenate([self.tokens, np.array(token_ids, np.int32)])
-        self.first_edge = np.concatenate([self.first_edge, np.array(edges[1:], np.int64)])
+        """Build the lattices of new words side by side.
+
+        Pieces are found by hashes of all substrings, one length at a time; masses of
+        suffixes are summed from the words' ends on, all words in lock step, in logs.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        self.first.update(zip(words, (self.n_nodes + ends - sizes).tolist()))
+        text = "".join(words)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        n = len(codes)
+        room = np.repeat(ends, sizes) - np.arange(n)
+        v = self.vocabulary
+        node, width, token = [], [], []
+        h = np.zeros(n, np.uint64)
+        alone = np.zeros(n, bool)
+        for length in range(1, min(v.longest, int(sizes.max())) + 1):
+            h = h[: n - length + 1] * _BASE + codes[length - 1 :] + np.uint64(1)
+            at = np.flatnonzero(room[: len(h)] >= length)
+            place = np.minimum(np.searchsorted(v.keys, h[at]), len(v.keys) - 1)
+            hit = v.keys[place] == h[at]
+            if length == 1:
+                alone[at[hit]] = True
+            node.append(at[hit])
+            token.append(v.ids[place[hit]])
+            width.append(np.full(int(hit.sum()), length))
+        lost = np.flatnonzero(~alone)
+        logs = [v.log_weight[t] for t in token]
+        if len(lost):
+            raw = [v.bytes[list(text[i].encode("utf-8", "replace"))].tolist() for i in lost.tolist()]
+            # One byte is a piece like any other; several stand in a list of their own.
+            several = [r for r in raw if len(r) > 1]
+            numbers = iter(range(-1 - len(self.raw), -1 - len(self.raw) - len(several), -1))
+            token.append(np.array([r[0] if len(r) == 1 else next(numbers) for r in raw], np.int64))
+            self.raw += several
+            node.append(lost)
+            width.append(np.ones(len(lost), np.int64))
+            logs.append(np.array([len(r) for r in raw]) * np.log(v.byte_weight))
+        node, width, token, logs = (np.concatenate(x) for x in (node, width, token, logs))
+        # By distance to the word's end, then by node and length.
+        order = np.lexsort((width, node, room[node]))
+        node, width, token, logs = (x[order] for x in (node, width, token, logs))
+        mass = np.zeros(n + 1)
+        distance = room[node]
+        cuts = np.flatnonzero(np.concatenate([[True], distance[1:] != distance[:-1], [True]]))
+        total = np.empty(len(node))
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own = node[x:y]
+            behind = np.where(width[x:y] == distance[x], 0.0, mass[np.minimum(own + width[x:y], n - 1)])
+            value = logs[x:y] + behind
+            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            most = np.maximum.reduceat(value, heads)
+            each = np.diff(np.append(heads, y - x))
+            mass[own[heads]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, each)), heads))
+            total[x:y] = value
+        share = np.exp(total - mass[node])
+        order = np.lexsort((width, node))
+        node, width, token, share = (x[order] for x in (node, width, token, share))
+        counts = np.bincount(node, minlength=n)
+        begin = np.cumsum(counts) - counts
+        run = np.cumsum(share) - share
+        cum = self.n_nodes + node + np.clip(run - run[begin[node]], 0, 1 - 1e-9)
+        target = np.where(width == room[node], -1, self.n_nodes + node + width)
+        self.cum, self.p = np.concatenate([self.cum, cum]), np.concatenate([self.p, share])
+        self.target = np.concatenate([self.target, target.astype(np.int32)])
+        self.tokens = np.concatenate([self.tokens, token.astype(np.int32)])
+        self.first_edge = np.concatenate([self.first_edge, self.first_edge[-1] + np.cumsum(counts)])
+        self.n_nodes += n
 
     def starts(self, words: list[str]) -> np.ndarray:
         """The first node of each word; new words are added."""
@@ -174,10 +203,16 @@ class Lattices:
         return np.fromiter(map(self.first.__getitem__, words), np.int64, len(words))
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """The edge of each node that u draws."""
-        edge = np.searchsorted(self.cum, nodes + u, side="right") - 1
-        return np.clip(edge, self.first_edge[nodes], self.first_edge[nodes + 1] - 1)
-
+        """The edge of each node that u draws: from its first edge on while the next begins below u."""
+        edge, last, level = self.first_edge[nodes], self.first_edge[nodes + 1] - 1, nodes + u
+        live = np.flatnonzero(edge < last)
+        while len(live):
+            then = edge[live] + 1
+            go = self.cum[then] <= level[live]
+            live, then = live[go], then[go]
+            edge[live] = then
+            live = live[then < last[live]]
+        return edge
 
     def draw_others(self, nodes: np.ndarray, u: np.ndarray, known: list[list[int]]) -> np.ndarray:
         """An edge of each node that is none of the known ones, by their remaining mass."""
@@ -203,6 +238,12 @@ class Lattices:
         return out.astype(np.int64)
 
 
+@lru_cache(maxsize=1)
+def lattices_of(model: str, alpha: float) -> Lattices:
+    """Lattices that the tasks of one Python worker share."""
+    return Lattices(Vocabulary(model, alpha))
+
+
 class Batch:
     """Texts of one batch: their words' start nodes, laid end to end."""
 
@@ -342,8 +383,8 @@ def sample_segmentations(
     schema = pa.schema(fields + [("ids", pa.list_(pa.int64()))] * with_ids)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model, alpha)
-        lattices = Lattices(vocabulary)
+        lattices = lattices_of(model, alpha)
+        vocabulary = lattices.vocabulary
         for whole in batches:
             for part in tokens.slices(whole, "text", 600_000):
                 ids, texts = (c.to_pylist() for c in part.columns)
