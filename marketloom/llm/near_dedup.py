@@ -10,9 +10,9 @@ How it works.
    sketch (the samples folded into a bitmap of parities) and a digest of its set.
    Documents with equal sets form a class, and only its smallest id, the class
    representative, goes on; copies are never expanded into pairs.
-2. Hubs. In each band bucket every member is a candidate with a few hubs of its
-   bucket only, chosen by the smallest id and by two hashes. This is a join of the
-   members with one row per bucket, linear in the members.
+2. Hubs. In each band bucket every member is a candidate with the hub of its bucket
+   only, the smallest id in it. This is a join of the members with one row per bucket,
+   linear in the members.
 3. Confirming. The number of set bits in the XOR of two odd sketches estimates how many
    samples differ. Pairs beyond what the threshold can explain by six standard
    deviations are left out; the others are confirmed on their full sets.
@@ -101,10 +101,11 @@ def most_odd(percent: int) -> int:
     """The most XOR bits that a pair at the threshold shows within six standard deviations."""
     n, cells = BANDS * ROWS, 64 * SKETCH
     miss = 1 - percent / 100
-    differing = n * miss + 6 * np.sqrt(n * miss * (1 - miss))
-    thrown = 2 * differing
+    # Each differing sample throws two values into the cells.
+    thrown = 2 * n * miss
     mean = cells / 2 * (1 - (1 - 2 / cells) ** thrown)
-    return int(np.ceil(mean + 6 * np.sqrt(thrown / 4)))
+    spread = 4 * n * miss * (1 - miss) + thrown
+    return int(np.ceil(mean + 6 * np.sqrt(spread)))
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,7 +164,7 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int,
     fit = fit.where(_enough(F.least("_na", "_nb"), F.greatest("_na", "_nb"), percent))
     odd = sum((F.bit_count(F.col("_sa")[k].bitwiseXOR(F.col("_sb")[k])) for k in range(SKETCH)), F.lit(0))
     fit = common.materialise(fit.where(odd <= most_odd(percent)).select("a", "b"), "near-pairs")
-    wanted = fit.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps.select("rep", "set_digest"), "rep")
+    wanted = fit.select(F.col("a").alias("rep")).union(fit.select("b")).distinct().join(reps.select("rep", "set_digest"), "rep")
     sets = common.materialise(full_sets(docs, wanted, id_col, text_col), "near-sets")
     left, right = sets.withColumnsRenamed({"rep": "a", "hashes": "_ha"}), sets.withColumnsRenamed({"rep": "b", "hashes": "_hb"})
     both = fit.join(left, "a").join(right, "b")
@@ -199,6 +200,21 @@ def _with_component(frame: DataFrame, labels: DataFrame) -> DataFrame:
     return frame.join(known, "rep", "left").withColumn("component", F.coalesce("_c", "rep")).drop("_c")
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (rep, band, component) of buckets that hold several components."""
+    several = rows.groupBy("band").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
+    return rows.join(several.select("band"), "band", "left_semi")
+
+
+def hub_pairs(buckets: DataFrame) -> DataFrame:
+    """Each member with the smallest member of its bucket.
+
+    A representative has at most one candidate per band, whatever the buckets' sizes.
+    """
+    hubs = buckets.groupBy("band").agg(F.min("rep").alias("hub"))
+    return buckets.join(hubs, "band").where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+
+
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     signed = common.materialise(signatures(docs, id_col, text_col), "near-signatures")
@@ -208,24 +224,11 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
         .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min_by(F.struct("sketch", "bands"), "doc_id").alias("_m"))
     )
     reps = common.materialise(classes.select("rep", "set_digest", "n", "_m.sketch", "_m.bands"), "near-classes")
-    members = reps.select("rep", F.explode("bands").alias("band"))
-    hubs = (
-        members.groupBy("band")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("rep").alias("_h0"),
-            F.min_by("rep", F.xxhash64("rep")).alias("_h1"),
-            F.max_by("rep", F.xxhash64("rep")).alias("_h2"),
-        )
-        .where("_n > 1")
-        .select("band", "_h0", "_h1", "_h2")
-    )
-    shared = common.materialise(members.join(hubs, "band"), "near-buckets")
-    to_hub = shared.select("rep", F.explode(F.array("_h0", "_h1", "_h2")).alias("hub")).where("rep <> hub")
-    pairs = to_hub.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    links = common.materialise(confirmed(pairs, reps, docs, percent, id_col, text_col), "near-confirmed")
+    buckets = reps.select("rep", F.explode("bands").alias("band"))
+    buckets = common.materialise(_mixed(buckets.withColumn("component", F.col("rep"))).select("rep", "band"), "near-buckets")
+    links = common.materialise(confirmed(hub_pairs(buckets), reps, docs, percent, id_col, text_col), "near-confirmed")
     labels = components(links)
-    rest = leftover_pairs(shared.select("rep", "band"), labels, reps, docs, percent, id_col, text_col)
+    rest = leftover_pairs(buckets, labels, reps, docs, percent, id_col, text_col)
     more = common.materialise(confirmed(rest, reps, docs, percent, id_col, text_col), "near-confirmed")
     # Rows with one id and different texts are one node.
     same_id = reps.groupBy("rep").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b"))
@@ -243,11 +246,7 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
 def leftover_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Pairs of different components in one bucket that private shingles do not rule out."""
 
-    def mixed(rows: DataFrame) -> DataFrame:
-        several = rows.groupBy("band").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
-        return rows.join(several.select("band"), "band", "left_semi")
-
-    rows = common.materialise(mixed(_with_component(buckets, labels)), "near-mixed")
+    rows = common.materialise(_mixed(_with_component(buckets, labels)), "near-mixed")
     members = rows.select("rep", "component").distinct()
     sets = full_sets(docs, members.join(reps.select("rep", "set_digest"), "rep"), id_col, text_col)
     spread = members.join(sets, "rep").select("rep", "component", F.explode("hashes").alias("h"))
@@ -255,18 +254,20 @@ def leftover_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, docs:
     public = spread.groupBy("h").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("h")
     can_share = spread.join(public, "h").groupBy("rep").agg(F.count(F.lit(1)).alias("open"))
     # At most ``open`` shingles are shared, so the similarity is at most open / n.
-    able = can_share.join(reps.select("rep", "n"), "rep").where(_enough(F.col("open"), F.col("n"), percent))
-    rows = common.materialise(mixed(rows.join(able, "rep")), "near-mixed")
-    x = rows.select("band", *(F.col(c).alias(f"_x{c}") for c in ("rep", "component", "open", "n")))
-    y = rows.select("band", *(F.col(c).alias(f"_y{c}") for c in ("rep", "component", "open", "n")))
+    able = can_share.join(reps.select("rep", "n", "bands"), "rep").where(_enough(F.col("open"), F.col("n"), percent))
+    rows = common.materialise(_mixed(rows.join(able, "rep")), "near-mixed")
+    columns = ("rep", "component", "open", "n", "bands")
+    x, y = (rows.select("band", *(F.col(c).alias(f"_{side}{c}") for c in columns)) for side in "xy")
     most = F.least("_xopen", "_yopen")
     allowed = (
         (F.col("_xrep") < F.col("_yrep"))
         & (F.col("_xcomponent") != F.col("_ycomponent"))
         & _enough(most, F.col("_xn") + F.col("_yn") - most, percent)
+        # A pair comes from the first band that it shares, and so once.
+        & (F.get(F.array_intersect("_xbands", "_ybands"), F.lit(0)) == F.col("band"))
     )
     pairs = x.join(y, "band").where(allowed)
-    return pairs.select(F.col("_xrep").alias("a"), F.col("_yrep").alias("b")).distinct()
+    return pairs.select(F.col("_xrep").alias("a"), F.col("_yrep").alias("b"))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
