@@ -44,14 +44,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import common
 
-#: Widths of the ranges of window offsets at the levels of refinement.
-LEVELS = (24, 1)
-_KEY = ("doc_id", "row", "pos")
+#: Widths of the ranges of window offsets at the levels of refinement; each is a multiple of the next.
+LEVELS = (28, 7, 1)
 #: Stands for a null id inside the joins.
 _NO_ID = -(1 << 63)
 #: Low bits of a packed hash that hold the place in a chunk.
@@ -119,8 +118,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def sampled_suffixes(texts: DataFrame, span: int, q: int, chunk: int = 128 << 10) -> DataFrame:
-    """One row per anchor: doc_id, row, pos, low, high, bucket, extent."""
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("pos", pa.int64()), ("low", pa.int16()), ("high", pa.int16()), ("bucket", pa.int64()), ("extent", pa.int64())])
+    """One row per anchor: doc_id, row, place, bucket, extent.
+
+    ``place`` packs the anchor's position with the first and last offset of its windows.
+    """
+    if span - q > 255:
+        raise ValueError("span - q must be under 256")
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("bucket", pa.int64()), ("extent", pa.int64())])
 
     def emit(held: list[tuple[int, int, int, memoryview]]) -> pa.RecordBatch:
         sizes = np.array([len(x[3]) for x in held], np.int64)
@@ -131,7 +135,8 @@ def sampled_suffixes(texts: DataFrame, span: int, q: int, chunk: int = 128 << 10
         digest, view = xxhash.xxh3_64_intdigest, memoryview(joined)
         extent = np.fromiter((digest(view[a:b]) for a, b in zip(first.tolist(), (last + span).tolist())), np.uint64, len(pos))
         ids, rows, shift = (np.array([x[k] for x in held], np.int64) for k in range(3))
-        columns = [ids[doc], rows[doc], pos - (ends - sizes)[doc] + shift[doc], (pos - last).astype(np.int16), (pos - first).astype(np.int16), bucket, extent.view(np.int64)]
+        place = (pos - (ends - sizes)[doc] + shift[doc]) << 16 | (pos - first) << 8 | (pos - last)
+        columns = [ids[doc], rows[doc], place, bucket, extent.view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,22 +155,27 @@ def sampled_suffixes(texts: DataFrame, span: int, q: int, chunk: int = 128 << 10
         if held:
             yield emit(held)
 
-    return texts.mapInArrow(sample, "doc_id long, row long, pos long, low short, high short, bucket long, extent long")
+    return texts.mapInArrow(sample, "doc_id long, row long, place long, bucket long, extent long")
+
 
+def unpacked(place: int) -> tuple[int, int, int]:
+    """Position, first and last window offset."""
+    return place >> 16, place & 255, place >> 8 & 255
 
-def judged(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+
+def judged(rows: DataFrame, weight: Column, label: str) -> tuple[DataFrame, DataFrame]:
     """Refine by bucket: rows that are repeats in whole, and rows of mixed buckets.
 
-    ``rows`` has bucket, extent and weight; a weight of 2 stands for several equal
-    extents. Buckets of one row are dropped.
+    A weight of 2 stands for several equal extents. Buckets of one row are dropped.
+    ``rows`` must be stored; what is left is stored once for both results.
     """
     buckets = (
         rows.groupBy("bucket")
-        .agg(F.sum("weight").alias("_n"), F.min("extent").alias("_a"), F.max("extent").alias("_b"))
+        .agg(F.sum(weight).alias("_n"), F.min("extent").alias("_a"), F.max("extent").alias("_b"))
         .where("_n > 1")
         .select("bucket", (F.col("_a") == F.col("_b")).alias("_same"))
     )
-    shared = rows.join(buckets, "bucket")
+    shared = common.materialise(rows.join(buckets, "bucket"), label)
     return shared.where("_same").drop("_same"), shared.where("NOT _same").drop("_same")
 
 
@@ -175,79 +185,74 @@ def _digest(*parts: bytes) -> int:
 
 def contexts(texts: DataFrame, mixed: DataFrame, span: int) -> DataFrame:
     """The bytes of all windows of mixed anchors, cut from the joined texts."""
-    wanted = mixed.groupBy("doc_id", "row").agg(
-        F.collect_list(F.struct("pos", "low", "high", "bucket", "weight")).alias("anchors")
-    )
+    wanted = mixed.groupBy("doc_id", "row").agg(F.collect_list(F.struct("place", "bucket", "weight")).alias("anchors"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for doc_id, row, data, found in zip(frame["doc_id"], frame["row"], frame["data"], frame["anchors"]):
                 for a in found:
-                    pos, low, high = a["pos"], a["low"], a["high"]
-                    out.append((doc_id, row, pos, low, high, a["bucket"], a["weight"], bytes(data[pos - high : pos - low + span])))
-            yield pd.DataFrame(out, columns=["doc_id", "row", "pos", "low", "high", "bucket", "weight", "data"])
+                    pos, low, high = unpacked(a["place"])
+                    out.append((doc_id, row, a["place"], a["bucket"], a["weight"], bytes(data[pos - high : pos - low + span])))
+            yield pd.DataFrame(out, columns=["doc_id", "row", "place", "bucket", "weight", "data"])
 
-    return (
-        texts.join(wanted, ["doc_id", "row"])
-        .mapInPandas(cut, "doc_id long, row long, pos long, low short, high short, bucket long, weight int, data binary")
-    )
+    joined = texts.join(wanted, ["doc_id", "row"])
+    return joined.mapInPandas(cut, "doc_id long, row long, place long, bucket long, weight int, data binary")
 
 
 def divided(parts: DataFrame, span: int, width: int, within: int | None = None) -> DataFrame:
     """Ranges of ``width`` window offsets of each context, with their buckets and extents.
 
     ``parts`` has a column ``nodes`` if only ranges of width ``within`` are to be divided.
+    In the result ``place`` has the offsets of the range, ``anchor`` those of the context.
     """
-    schema = "doc_id long, row long, pos long, node int, low short, high short, weight int, bucket long, extent long"
+    names = ["doc_id", "row", "anchor", "node", "place", "weight", "bucket", "extent"]
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in schema.split(", ")]
         for frame in frames:
             out = []
             nodes = frame["nodes"] if within else [None] * len(frame)
-            for doc_id, row, pos, low, high, bucket, weight, data, chosen in zip(*(frame[c] for c in ("doc_id", "row", "pos", "low", "high", "bucket", "weight", "data")), nodes):
+            for doc_id, row, place, bucket, weight, data, chosen in zip(*(frame[c] for c in ("doc_id", "row", "place", "bucket", "weight", "data")), nodes):
                 data, base = bytes(data), bucket.to_bytes(8, "little", signed=True)
-                spans = [(low, high)] if chosen is None else [(max(low, k * within), min(high, k * within + within - 1)) for k in chosen]
+                pos, low, high = unpacked(place)
+                spans = [(low, high)] if chosen is None else [(max(low, k * within), min(high, k * within + within - 1)) for k in map(int, chosen)]
                 for begin, end in spans:
                     for k in range(begin // width, end // width + 1):
                         a, b = max(begin, k * width), min(end, k * width + width - 1)
                         # Offset x before the anchor is byte high - x of the context.
                         common_part = data[high - k * width : high - (k * width + width - 1) + span]
-                        whole = data[high - b : high - a + span]
-                        mark = k.to_bytes(4, "little")
-                        out.append((doc_id, row, pos, k, a, b, weight, _digest(base, mark, common_part), _digest(bytes([b - a]), whole)))
+                        own = _digest(base, k.to_bytes(4, "little"), common_part)
+                        whole = own if width == 1 else _digest(bytes([b - a]), data[high - b : high - a + span])
+                        out.append((doc_id, row, place, k, pos << 16 | b << 8 | a, weight, own, whole))
             yield pd.DataFrame(out, columns=names)
 
-    return parts.mapInPandas(split, schema)
+    return parts.mapInPandas(split, "doc_id long, row long, anchor long, node int, place long, weight int, bucket long, extent long")
 
 
 def repeated_runs(docs: DataFrame, span: int = 200, q: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Byte runs to remove: doc_id, row, begin, end; they may touch and overlap."""
     texts = _texts(docs, id_col, text_col)
-    run = lambda rows: rows.select(
-        "doc_id", "row", (F.col("pos") - F.col("high")).alias("begin"), (F.col("pos") - F.col("low") + span).alias("end")
-    )
-    suffixes = common.materialise(sampled_suffixes(texts, span, q), "suffixes").withColumn("weight", F.lit(1))
-    same, mixed = judged(suffixes)
-    found = [run(same)]
-    mixed = common.materialise(mixed.drop("weight"), "mixed")
+
+    def run(rows: DataFrame) -> DataFrame:
+        pos, high, low = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255), F.col("place").bitwiseAND(255)
+        return rows.select("doc_id", "row", (pos - high).alias("begin"), (pos - low + span).alias("end"))
+
+    suffixes = common.materialise(sampled_suffixes(texts, span, q), "suffixes")
+    same, mixed = judged(suffixes, F.lit(1), "suffix-buckets")
+    runs = run(same)
     # One row of each extent goes on; the others are decided.
-    first = F.min(F.struct(*_KEY, "low", "high"))
-    kinds = mixed.groupBy("bucket", "extent").agg(F.count(F.lit(1)).alias("_n"), first.alias("_r"))
-    found.append(run(mixed.join(kinds.where("_n > 1").select("bucket", "extent"), ["bucket", "extent"])))
+    kinds = mixed.groupBy("bucket", "extent").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("doc_id", "row", "place")).alias("_r"))
+    kinds = common.materialise(kinds, "suffix-kinds")
+    runs = runs.unionByName(run(mixed.join(kinds.where("_n > 1").select("bucket", "extent"), ["bucket", "extent"])))
     one_each = kinds.select("_r.*", "bucket", F.least("_n", F.lit(2)).cast("int").alias("weight"))
     parts = common.materialise(contexts(texts, one_each, span), "contexts")
     for level, width in enumerate(LEVELS):
-        nodes = divided(parts, span, width, LEVELS[level - 1] if level else None)
-        same, mixed = judged(nodes)
-        found.append(run(same.where("weight = 1")))
+        nodes = common.materialise(divided(parts, span, width, LEVELS[level - 1] if level else None), "nodes")
+        same, mixed = judged(nodes, F.col("weight"), "node-buckets")
+        runs = runs.unionByName(run(same.where("weight = 1")))
         if width > 1:
-            left = mixed.groupBy(*_KEY).agg(F.collect_list("node").alias("nodes"))
-            parts = common.materialise(parts.join(left, list(_KEY)), "contexts")
-    runs = found[0]
-    for more in found[1:]:
-        runs = runs.unionByName(more)
+            left = mixed.groupBy("doc_id", "row", F.col("anchor").alias("place")).agg(F.collect_list("node").alias("nodes"))
+            parts = common.materialise(parts.drop("nodes").join(left, ["doc_id", "row", "place"]), "contexts")
     return runs
 
 
