@@ -143,18 +143,18 @@ def tokenised_parts(docs: DataFrame, tokenizer: str, end_id: int, top: int, id_c
     """Whole windows (without ids) and what is left of each document (with ids)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.UnitEncoder(tokenizer, keeps_space=False)
+        encoder = tokens.encoder(tokenizer, False)
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
-            for a, b in tokens.chunks(texts):
+            for part in tokens.slices(batch, "text"):
+                ids, texts = (c.to_pylist() for c in part.columns)
                 rows = []
-                for doc_id, raw in zip(ids[a:b], encoder.encode(texts[a:b])):
+                for doc_id, raw in zip(ids, encoder.encode(texts)):
                     wide = np.frombuffer(raw + end, encoder.dtype).astype("<u4")
                     for at in range(0, len(wide), top):
-                        part = wide[at : at + top].tobytes()
-                        left = None if len(part) == 4 * top else (raw + end)[at * encoder.dtype.itemsize :]
-                        rows.append((doc_id, at, len(part) // 4, zlib.crc32(part), len(wide), left))
+                        piece = wide[at : at + top].tobytes()
+                        left = None if len(piece) == 4 * top else (raw + end)[at * encoder.dtype.itemsize :]
+                        rows.append((doc_id, at, len(piece) // 4, zlib.crc32(piece), len(wide), left))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PART)], schema=_PART)
 
     rows = docs.select(

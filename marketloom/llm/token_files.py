@@ -144,15 +144,14 @@ def write_token_files(
     """Write all documents in ascending id order; returns (shard, n_docs, n_tokens, path) per file."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = tokens.UnitEncoder(tokenizer, keeps_space), None
+        encoder, writer = tokens.encoder(tokenizer, keeps_space), None
         shard = TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
             writer = writer or ShardWriter(base, shard, length, encoder.dtype)
-            for a, b in tokens.chunks(texts):
-                coded = [np.frombuffer(x + end, encoder.dtype) for x in encoder.encode(texts[a:b])]
-                writer.add(ids[a:b], coded)
+            for part in tokens.slices(batch, "text"):
+                ids, texts = (c.to_pylist() for c in part.columns)
+                writer.add(ids, [np.frombuffer(x + end, encoder.dtype) for x in encoder.encode(texts)])
         if writer:
             row = {"shard": [shard], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens], "path": [writer.close()]}
             yield pa.RecordBatch.from_pydict(row, pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("path", pa.string())]))

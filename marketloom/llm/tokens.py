@@ -1,102 +1,220 @@
-"""Encoding of whole texts with a public tokenizer file, one library call per batch of new words.
+"""Encoding of whole texts with a public tokenizer file, with few and large library calls.
 
 Both vocabularies split text before their merges in such a way that a space after
-a visible character always starts a new unit. So a text is cut at those spaces, each
-distinct unit is encoded by the library once, and its ids are kept; the ids of a
-text are those of its units in order. Texts in which white space stands before a
-space, where the cut would not be exact, are encoded whole.
+a visible character always starts a new unit, that a run of sentence marks behind
+letters is a unit of its own, and that a single line end between visible characters
+is one too. So a text is cut at those places, the library encodes each distinct run of
+letters once, many in one call, and the ids of a text are those of its units in
+order. Units of any other kind are encoded by the library as they are, and texts in
+which white space stands before a space, where the cut would not be exact, whole.
 """
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: White space before a space: the split before the merges looks across it.
 _RUN = re.compile(r"\s ")
+#: White space other than spaces and line ends.
+_ODD = re.compile(r"[^\S \n]")
+_TAIL = ".,;:!?"
 
 
 class UnitEncoder:
     """Encodes texts to little-endian unsigned ids; ``dtype`` is the id type.
 
     keeps_space: the vocabulary has white space in its units (byte-level BPE);
-    otherwise white space only separates units.
+    otherwise white space only separates units, and case does not count.
     limit: units kept from batch to batch; more are encoded anew in each batch.
     """
 
-    def __init__(self, path: str, keeps_space: bool, limit: int = 400_000) -> None:
+    def __init__(self, path: str, keeps_space: bool, limit: int = 1_200_000) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.keeps_space = keeps_space
-        self.limit = limit
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.keeps_space, self.limit = keeps_space, limit
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        size = max(vocabulary.values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.units: dict[str, bytes] = {"": self._alone(" " if keeps_space else "")}
+        #: Ids that begin a unit with a space, or end a unit.
+        self.edge = np.zeros(size, bool)
+        for token, i in vocabulary.items():
+            self.edge[i] = token.startswith("Ġ") if keeps_space else token.endswith("</w>")
+        self.words: dict[str, bytes] = {"": self._alone(" " if keeps_space else "")}
+        self.heads: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.line_end = self._alone("\n")
 
     def _alone(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode units that are not kept yet, many at once."""
+    def _mark(self, tail: str) -> bytes:
+        found = self.marks.get(tail)
+        if found is None:
+            found = self._alone(tail)
+            if len(self.marks) < 10_000:
+                self.marks[tail] = found
+        return found
+
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of runs of letters, each with a space before it where spaces are kept."""
+        out: dict[str, bytes] = {}
         lead = " " if self.keeps_space else ""
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            got = self.tokenizer.encode(
-                [lead + w for w in part], is_pretokenized=True, add_special_tokens=False
-            )
-            ids = np.array(got.ids, self.dtype)
-            words = np.array(got.word_ids, np.int64)
-            cuts = np.searchsorted(words, np.arange(len(part) + 1)) * self.dtype.itemsize
+        groups = [words[i : i + 400] for i in range(0, len(words), 400)]
+        for at in range(0, len(groups), 25):
+            part = groups[at : at + 25]
+            coded = self.tokenizer.encode_batch_fast([lead + " ".join(g) for g in part], add_special_tokens=False)
+            for group, one in zip(part, coded):
+                ids = np.array(one.ids, self.dtype)
+                cuts = np.flatnonzero(self.edge[ids])
+                if len(cuts) != len(group):
+                    out.update((w, self._alone(lead + w)) for w in group)
+                    continue
+                cuts = np.append(cuts, len(ids)) if self.keeps_space else np.concatenate([[0], cuts + 1])
+                raw, cuts = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
+                out.update((w, raw[a:b]) for w, a, b in zip(group, cuts, cuts[1:]))
+        return out
+
+    def _units(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of units that are not kept."""
+        plan: list[tuple[str, str, str]] = []
+        odd: list[str] = []
+        for unit in units:
+            core = unit.rstrip(_TAIL)
+            if core.isalpha():
+                plan.append((unit, core, unit[len(core) :]))
+            else:
+                odd.append(unit)
+        new = self._letters(list({c for _, c, _ in plan if c not in self.words}))
+        kept, room = self.words, len(self.words) < self.limit
+        out = {u: (new[c] if c in new else kept[c]) + self._mark(t) for u, c, t in plan}
+        if room:
+            kept.update(new)
+            # Words with a mark behind them are quick to put together: part of the room is theirs.
+            if len(kept) < self.limit * 2 // 3:
+                kept.update(out)
+        lead = " " if self.keeps_space else ""
+        for at in range(0, len(odd), 20_000):
+            part = odd[at : at + 20_000]
+            got = self.tokenizer.encode([lead + w for w in part], is_pretokenized=True, add_special_tokens=False)
+            ids, words = np.array(got.ids, self.dtype), np.array(got.word_ids, np.int64)
+            cuts = (np.searchsorted(words, np.arange(len(part) + 1)) * self.dtype.itemsize).tolist()
             raw = ids.tobytes()
-            self.units.update(
-                (w, raw[a:b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist())
-            )
+            out.update((w, raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+        return out
+
+    def _cut(self, text: str) -> list[str]:
+        """The units of a text without the spaces before them."""
+        if self.keeps_space:
+            return text.split(" ")
+        if "<|" not in text and (text.isascii() or is_normalized("NFC", text) and "Σ" not in text and "İ" not in text):
+            text = text.lower()
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
+        lines: list[int] = []
+        whole: set[int] = set()
         if self.keeps_space:
-            parts = [None if _RUN.search(t) else t.split(" ") for t in texts]
-            seen = set().union(*(p[1:] for p in parts if p))
+            # A line end between visible characters is a unit, and what follows it has no
+            # space: lines are encoded apart, their first words without a space.
+            pieces: list[str] = []
+            for text in texts:
+                if _ODD.search(text):
+                    own = [text]
+                    if _RUN.search(text):
+                        whole.add(len(pieces))
+                elif "  " in text or "\n " in text:
+                    whole.add(len(pieces))
+                    own = [text]
+                elif " \n" in text or "\n\n" in text or text[:1] == "\n" or text[-1:] == "\n":
+                    own = [text]
+                else:
+                    own = text.split("\n")
+                pieces += own
+                lines.append(len(own))
         else:
-            parts = [t.replace("\n", " ").split(" ") for t in texts]
-            seen = set().union(*parts)
-        new = [w for w in seen if w not in self.units]
-        full = len(self.units) > self.limit
-        self._learn(new)
-        get = self.units.__getitem__
+            pieces = texts
+        get = self.words.get
+        parts = [None if i in whole else self._cut(p) for i, p in enumerate(pieces)] if whole else list(map(self._cut, pieces))
+        found: list[list[bytes | None] | None] = []
+        new: set[str] = set()
+        for part in parts:
+            got = None if part is None else list(map(get, part[1:] if self.keeps_space else part))
+            if got and not all(got):
+                new.update([w for w, v in zip(part[1:] if self.keeps_space else part, got) if v is None])
+            found.append(got)
+        more = self._units(new) if new else {}
+        heads = self._heads({p[0] for p in parts if p}) if self.keeps_space else {}
         out = []
-        for text, part in zip(texts, parts):
-            if part is None:
-                out.append(self._alone(text))
-            elif self.keeps_space:
-                head = self._alone(part[0]) if part[0] else b""
-                out.append(head + b"".join(map(get, part[1:])))
+        for piece, part, got in zip(pieces, parts, found):
+            if got is None:
+                out.append(self._alone(piece))
+                continue
+            if not all(got):
+                rest = part[1:] if self.keeps_space else part
+                got = [more[w] if v is None else v for w, v in zip(rest, got)]
+            out.append((heads[part[0]] if self.keeps_space else b"") + b"".join(got))
+        if not self.keeps_space:
+            return out
+        joined, at = [], 0
+        for n in lines:
+            joined.append(self.line_end.join(out[at : at + n]))
+            at += n
+        return joined
+
+    def _heads(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of units without a space before them, many in one call with line ends between."""
+        out = {u: self.heads[u] for u in units if u in self.heads}
+        cores: set[str] = set()
+        plan: list[tuple[str, str, str]] = []
+        for unit in [u for u in units if u not in out]:
+            core = unit.rstrip(_TAIL)
+            if core.isalpha():
+                plan.append((unit, core, unit[len(core) :]))
+                cores.add(core)
             else:
-                out.append(b"".join(map(get, part)))
-        if full:
-            for w in new:
-                del self.units[w]
+                out[unit] = self._alone(unit)
+        end, new = np.frombuffer(self.line_end, self.dtype), {}
+        words = [c for c in cores if c not in self.heads]
+        groups = [words[i : i + 400] for i in range(0, len(words), 400)]
+        for group, one in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(one.ids, self.dtype)
+            cuts = np.flatnonzero(ids == end[0]) if len(end) == 1 else []
+            if len(cuts) != len(group) - 1:
+                new.update((w, self._alone(w)) for w in group)
+                continue
+            raw, width = ids.tobytes(), self.dtype.itemsize
+            stops = [*(cuts * width).tolist(), len(raw)]
+            new.update((w, raw[x:y]) for w, x, y in zip(group, [0, *((cuts + 1) * width).tolist()], stops))
+        if len(self.heads) < self.limit // 5:
+            self.heads.update(new)
+        out.update((u, (new[c] if c in new else self.heads[c]) + self._mark(t)) for u, c, t in plan)
         return out
 
 
-def chunks(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Consecutive ranges of texts of about ``most`` characters each."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+@lru_cache(maxsize=2)
+def encoder(path: str, keeps_space: bool) -> UnitEncoder:
+    """An encoder that the tasks of one Python worker share, with the units it has kept."""
+    return UnitEncoder(path, keeps_space)
 
 
-def encode_stream(encoder: UnitEncoder, texts: Iterable[str]) -> Iterator[bytes]:
-    """Ids of texts in their order, encoded in bounded chunks."""
-    texts = list(texts)
-    for a, b in chunks(texts):
-        yield from encoder.encode(texts[a:b])
+def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``most`` bytes of a text column each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start, n = 0, batch.num_rows
+    while start < n:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most)))
+        yield batch.slice(start, stop - start)
+        start = stop
