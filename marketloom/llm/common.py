@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +60,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_STORE: dict = {}
+
+
+def worker_store(key: Hashable, make: Callable[[], Any]) -> Any:
+    """An object that the tasks of one Python worker share, made when it is first asked for.
+
+    A worker keeps one at a time, so stages that follow each other in it do not add up.
+    """
+    if key not in _STORE:
+        _STORE.clear()
+        _STORE[key] = make()
+    return _STORE[key]

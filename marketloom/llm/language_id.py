@@ -201,10 +201,9 @@ class Scorer:
 
 
 def scorer_of(model: Model) -> Scorer:
-    """A scorer that the tasks of one Python worker share; the model is there once per worker."""
-    if not hasattr(model, "scorer"):
-        model.scorer = Scorer(model)
-    return model.scorer
+    """A scorer that the tasks of one Python worker share; a broadcast model is there once per worker."""
+    scorer = common.worker_store(("scorer", id(model)), lambda: Scorer(model))
+    return scorer if scorer.model is model else Scorer(model)
 
 
 def train(

@@ -31,7 +31,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -238,10 +237,9 @@ class Lattices:
         return out.astype(np.int64)
 
 
-@lru_cache(maxsize=1)
 def lattices_of(model: str, alpha: float) -> Lattices:
     """Lattices that the tasks of one Python worker share."""
-    return Lattices(Vocabulary(model, alpha))
+    return common.worker_store(("lattices", model, alpha), lambda: Lattices(Vocabulary(model, alpha)))
 
 
 class Batch:

@@ -14,13 +14,14 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from marketloom.llm import common
+
 #: White space before a space: the split before the merges looks across it.
 _RUN = re.compile(r"\s ")
 #: White space other than spaces and line ends.
@@ -203,10 +204,9 @@ class UnitEncoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, keeps_space: bool) -> UnitEncoder:
     """An encoder that the tasks of one Python worker share, with the units it has kept."""
-    return UnitEncoder(path, keeps_space)
+    return common.worker_store(("encoder", path, keeps_space), lambda: UnitEncoder(path, keeps_space))
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
