@@ -40,7 +40,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -157,13 +156,23 @@ def _enough(shared: Column, union: Column, percent: int) -> Column:
     return 100 * shared >= percent * union
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """The candidate pairs (a, b) that are links: sizes, odd sketches, then full sets."""
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether two odd sketches allow the threshold."""
+    odd = sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH)), F.lit(0))
+    return odd <= most_odd(percent)
+
+
+def sketched(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and odd sketches allow."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"_n{x}"), F.col("sketch").alias(f"_s{x}"))
     fit = pairs.join(side("a"), "a").join(side("b"), "b")
     fit = fit.where(_enough(F.least("_na", "_nb"), F.greatest("_na", "_nb"), percent))
-    odd = sum((F.bit_count(F.col("_sa")[k].bitwiseXOR(F.col("_sb")[k])) for k in range(SKETCH)), F.lit(0))
-    fit = common.materialise(fit.where(odd <= most_odd(percent)).select("a", "b"), "near-pairs")
+    return fit.where(_near("_sa", "_sb", percent)).select("a", "b")
+
+
+def confirmed(fit: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The candidate pairs (a, b) that are links by their full sets."""
+    fit = common.materialise(fit, "near-pairs")
     wanted = fit.select(F.col("a").alias("rep")).union(fit.select("b")).distinct().join(reps.select("rep", "set_digest"), "rep")
     sets = common.materialise(full_sets(docs, wanted, id_col, text_col), "near-sets")
     left, right = sets.withColumnsRenamed({"rep": "a", "hashes": "_ha"}), sets.withColumnsRenamed({"rep": "b", "hashes": "_hb"})
@@ -226,7 +235,7 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     reps = common.materialise(classes.select("rep", "set_digest", "n", "_m.sketch", "_m.bands"), "near-classes")
     buckets = reps.select("rep", F.explode("bands").alias("band"))
     buckets = common.materialise(_mixed(buckets.withColumn("component", F.col("rep"))).select("rep", "band"), "near-buckets")
-    links = common.materialise(confirmed(hub_pairs(buckets), reps, docs, percent, id_col, text_col), "near-confirmed")
+    links = common.materialise(confirmed(sketched(hub_pairs(buckets), reps, percent), reps, docs, percent, id_col, text_col), "near-confirmed")
     labels = components(links)
     rest = leftover_pairs(buckets, labels, reps, docs, percent, id_col, text_col)
     more = common.materialise(confirmed(rest, reps, docs, percent, id_col, text_col), "near-confirmed")
@@ -254,15 +263,16 @@ def leftover_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, docs:
     public = spread.groupBy("h").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("h")
     can_share = spread.join(public, "h").groupBy("rep").agg(F.count(F.lit(1)).alias("open"))
     # At most ``open`` shingles are shared, so the similarity is at most open / n.
-    able = can_share.join(reps.select("rep", "n", "bands"), "rep").where(_enough(F.col("open"), F.col("n"), percent))
+    able = can_share.join(reps.select("rep", "n", "bands", "sketch"), "rep").where(_enough(F.col("open"), F.col("n"), percent))
     rows = common.materialise(_mixed(rows.join(able, "rep")), "near-mixed")
-    columns = ("rep", "component", "open", "n", "bands")
+    columns = ("rep", "component", "open", "n", "bands", "sketch")
     x, y = (rows.select("band", *(F.col(c).alias(f"_{side}{c}") for c in columns)) for side in "xy")
     most = F.least("_xopen", "_yopen")
     allowed = (
         (F.col("_xrep") < F.col("_yrep"))
         & (F.col("_xcomponent") != F.col("_ycomponent"))
         & _enough(most, F.col("_xn") + F.col("_yn") - most, percent)
+        & _near("_xsketch", "_ysketch", percent)
         # A pair comes from the first band that it shares, and so once.
         & (F.get(F.array_intersect("_xbands", "_ybands"), F.lit(0)) == F.col("band"))
     )
