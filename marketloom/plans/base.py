@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +29,16 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return add
 
 
-def eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+def eligible(spark: SparkSession, sf_dir: str, cutoff: datetime = tables.CUTOFF) -> DataFrame:
     """Purchase lines of the 180 days before the cutoff."""
-    return scans.interval_scan(tables.purchases(spark, sf_dir), "transaction_datetime", tables.CUTOFF, 180)
+    return scans.interval_scan(tables.purchases(spark, sf_dir), "transaction_datetime", cutoff, 180)
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str, cutoff: datetime = tables.CUTOFF) -> DataFrame:
     """Eligible lines with their category and the flag of usable prices."""
     priced = (F.col("trn_sum_from_iss") > 0) & (F.col("product_quantity") > 0)
     items = tables.products(spark, sf_dir).select("product_id", "level_2")
-    return eligible(spark, sf_dir).withColumn("is_valid_for_price", priced).join(items, "product_id")
+    return eligible(spark, sf_dir, cutoff).withColumn("is_valid_for_price", priced).join(items, "product_id")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:

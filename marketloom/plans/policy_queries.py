@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions import expressions as X
+from marketloom.operators import candidates as C
 from marketloom.operators import datasets as G
 from marketloom.operators import distributed as R
 from marketloom.operators import evaluation as E
+from marketloom.operators import features as f
 from marketloom.operators import models as M
 from marketloom.operators import pricing as P
 from marketloom.operators import ranking as K
-from marketloom.plans.base import LINES_SQL, USERS_SQL, eligible, lines, query, users
+from marketloom.plans.base import LINES_SQL, MARGINS, USERS_SQL, eligible, lines, query, users
 from marketloom.sources import scans
 from marketloom.sources import tables as t
-from marketloom.sources.shared import shared_dir
+from marketloom.sources.shared import materialise, shared_dir
 from marketloom.streaming import feedback as st
 
 S, D = SparkSession, DataFrame
@@ -334,10 +336,12 @@ observations AS (
   FROM w0 w LEFT JOIN l0 l ON l.client_id = w.client_id AND l.product_id = w.product_id)"""
 
 
+CUTOFFS = [datetime(2000, 10, 1), t.CUTOFF]
+
+
 def observations(s: S, d: str) -> D:
     p = t.purchases(s, d)
-    cutoffs = [datetime(2000, 10, 1), t.CUTOFF]
-    by = {c: scans.interval_scan(p, "transaction_datetime", c, 180).select("client_id", "product_id").distinct() for c in cutoffs}
+    by = {c: scans.interval_scan(p, "transaction_datetime", c, 180).select("client_id", "product_id").distinct() for c in CUTOFFS}
     return G.temporal_observations(by, p, 90)
 
 
@@ -450,9 +454,24 @@ def score_summary(s: S, d: str) -> D:
 KEYS = {"client_id", "product_id", "cutoff", "split", "label", "treatment", "target"}
 
 
+def pair_rows(s: S, d: str, cutoff: datetime) -> D:
+    """The candidates of a cutoff with the pair, client and item features of the lines before it.
+
+    Each table is written once, as one plan of all of them takes too much of the driver.
+    """
+    keys, everyone = ["client_id", "product_id"], t.clients(s, d)
+    before = materialise(lines(s, d, cutoff))
+    clients = materialise(f.user_features(everyone, before, cutoff))
+    products = materialise(f.item_features(t.products(s, d), before.drop("level_2"), MARGINS, 0.25))
+    found = materialise(C.candidates_top50(everyone, products, before, cutoff))
+    pairs = materialise(f.user_item_features(found, clients, products, before, cutoff))
+    sources = found.select(*keys, F.concat_ws("|", "candidate_sources").alias("candidate_sources"), "candidate_rank", "recsys_score")
+    return pairs.join(sources, keys).join(clients, "client_id").join(products, "product_id")
+
+
 def _training(s: S, d: str) -> D:
-    rows = observations(s, d).join(users(s, d), "client_id")
-    return rows.select("client_id", "product_id", "label", "split", "gender", "age", "total_transactions", "avg_check", "category_diversity")
+    """Labelled candidates of both cutoffs, each with the features of its own window."""
+    return materialise(G.temporal_observations({c: pair_rows(s, d, c) for c in CUTOFFS}, t.purchases(s, d), 90))
 
 
 @query()
