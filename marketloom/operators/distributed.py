@@ -86,9 +86,10 @@ def first_n_by_hash(frame: DataFrame, mark: Column, quotas: DataFrame, strata: l
 ORDER = ("roi", "incremental_profit", "cost", "client_id", "product_id")
 
 
-def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int = 60) -> DataFrame:
+def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int = 60, lead: str = "roi") -> DataFrame:
     """Greedy acceptance in the order ROI down, profit down, cost up, ids.
 
+    Another numeric column as ``lead`` goes before that order, descending.
     ``rows`` has client_id, product_id, roi, incremental_profit, cost. Cost is taken as a
     decimal of six places, so running sums are exact. A row whose client has ``cap``
     accepted rows before it is refused for that; a row that does not fit what is left
@@ -105,7 +106,11 @@ def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int
     rows = rows.withColumn("cost", F.col("cost").cast("decimal(20,6)"))
     if rows.where("cost < 0 OR cost IS NULL").limit(1).count():
         raise ValueError("cost must be finite and not negative")
-    ranked = materialise(global_row_number(rows, "roi", order, "allocation_rank", descending=True))
+    if lead == "roi":
+        placed = global_row_number(rows, "roi", order, "allocation_rank", descending=True)
+    else:
+        placed = global_row_number(rows.withColumn("_next", -F.col("roi")), lead, [F.desc(lead), *order], "allocation_rank", descending=True, second="_next")
+    ranked = materialise(placed)
     left = ranked.select("allocation_rank", "client_id", "cost")
     spark, spent = rows.sparkSession, 0
     accepted = spark.createDataFrame([], "allocation_rank long, client_id long, cost decimal(20,6)").select(

@@ -17,7 +17,7 @@ from marketloom.operators import features as f
 from marketloom.operators import models as M
 from marketloom.operators import pricing as P
 from marketloom.operators import ranking as K
-from marketloom.plans.base import LINES_SQL, MARGINS, USERS_SQL, eligible, lines, query, users
+from marketloom.plans.base import LINES_SQL, MARGINS, SQL, USERS_SQL, eligible, lines, query, users
 from marketloom.sources import scans
 from marketloom.sources import tables as t
 from marketloom.sources.shared import materialise, shared_dir
@@ -130,8 +130,8 @@ def _chosen(s: S, d: str) -> D:
     return P.eligible_discounts(P.discount_scenarios(pairs(s, d), SIM), OPT)
 
 
-def _rows(chosen: D) -> D:
-    return chosen.select("client_id", "product_id", F.round("roi", 6).alias("roi"), F.round("incremental_profit", 6).alias("incremental_profit"), F.round("expected_discount_cost", 6).alias("cost"))
+def _rows(chosen: D, *more: str) -> D:
+    return chosen.select("client_id", "product_id", *more, F.round("roi", 6).alias("roi"), F.round("incremental_profit", 6).alias("incremental_profit"), F.round("expected_discount_cost", 6).alias("cost"))
 
 
 ORDER_SQL = "ORDER BY round(roi, 6) DESC, round(incremental_profit, 6) DESC, CAST(round(expected_discount_cost, 6) AS DECIMAL(20,6)), client_id, product_id"
@@ -249,6 +249,65 @@ def policy_comparison(s: S, d: str) -> D:
     return one("profit_aware", P.eligible_discounts(scenarios, OPT)).union(one("flat_10", scenarios.where("discount = 0.1"))).union(one("no_discount", scenarios.where("discount = 0")))
 
 
+# The same on the offers that the budget leaves. The three queries above keep their rows, which their SQL fixes.
+
+
+def _final_sql(name: str) -> str:
+    """The SQL of a query on plain offers, read from the final offers instead."""
+    return SQL[name].replace(f"WITH {PLAIN_SQL}", f"WITH RECURSIVE {OFFERS_SQL}").replace("FROM plain", "FROM offers")
+
+
+@query(_final_sql("rank_offers"))
+def rank_final_offers(s: S, d: str) -> D:
+    return K.rank_offers(_offers(s, d), users(s, d), RANK).select("client_id", "product_id", "final_score", "reason_code", "final_rank")
+
+
+@query(_final_sql("offline_kpis"))
+def final_kpis(s: S, d: str) -> D:
+    offers = _offers(s, d)
+    return E.offline_kpis(K.rank_offers(offers, users(s, d), RANK), offers, t.clients(s, d))
+
+
+#: Per policy the column that leads the order, and which eligible rows it takes.
+POLICIES = {"profit_aware": ("roi", "chosen"), "flat_10": ("roi", "flat"), "top_propensity": ("p_base_purchase", "chosen"), "top_uplift": ("uplift_score", "chosen")}
+
+
+def _walk_sql(name: str, lead: str, rows: str) -> str:
+    first = "" if lead == "roi" else f"{lead} DESC, "
+    fits = f"coalesce(held[p.client_id], 0) < {OPT.user_cap} AND spent + p.cost <= {OPT.global_budget}"
+    return f"""prio_{name} AS (SELECT client_id, CAST(round(expected_discount_cost, 6) AS DECIMAL(20,6)) AS cost, round(incremental_profit, 6) AS profit, row_number() OVER ({ORDER_SQL.replace("ORDER BY ", f"ORDER BY {first}")}) AS r FROM {rows}),
+walk_{name} AS (
+  SELECT 0::BIGINT AS r, 0::DECIMAL(20,6) AS spent, map([]::BIGINT[], []::INTEGER[]) AS held, false AS ok, 0.0::DOUBLE AS profit
+  UNION ALL
+  SELECT p.r, CASE WHEN {fits} THEN CAST(spent + p.cost AS DECIMAL(20,6)) ELSE spent END,
+    CASE WHEN {fits} THEN map_concat(held, map([p.client_id], [coalesce(held[p.client_id], 0) + 1])) ELSE held END, {fits}, p.profit
+  FROM walk_{name} w JOIN prio_{name} p ON p.r = w.r + 1)"""
+
+
+def _policy_sql(name: str, rows: str) -> str:
+    return f"SELECT '{name}' AS policy, count(*) AS n, round(coalesce(CAST(sum(CAST(incremental_profit AS DECIMAL(28,9))) AS DOUBLE), 0), 4) AS profit FROM {rows}"
+
+
+@query(
+    f"""WITH RECURSIVE {CHOSEN_SQL}, flat AS (SELECT * FROM eligible_rows WHERE discount = 0.1::DOUBLE),
+{", ".join(_walk_sql(n, *p) for n, p in POLICIES.items())}
+{" UNION ALL ".join(_policy_sql(n, f"(SELECT profit AS incremental_profit FROM walk_{n} WHERE ok) x") for n in POLICIES)}
+UNION ALL {_policy_sql("no_discount", "scenarios WHERE discount = 0")}"""
+)
+def budgeted_policies(s: S, d: str) -> D:
+    """Offers that each policy makes within the budget and the client cap, and their profit."""
+    scenarios = materialise(P.discount_scenarios(pairs(s, d), SIM))
+    offers = {"chosen": materialise(P.eligible_discounts(scenarios, OPT)), "flat": scenarios.where(P.is_eligible(OPT) & (F.col("discount") == 0.1))}
+    total = F.round(F.coalesce(F.sum(F.col("incremental_profit").cast("decimal(28,9)")).cast("double"), F.lit(0.0)), 4).alias("profit")
+    one = lambda name, rows: rows.agg(F.count(F.lit(1)).alias("n"), total).select(F.lit(name).alias("policy"), "n", "profit")
+    out = one("no_discount", scenarios.where("discount = 0"))
+    for name, (lead, rows) in POLICIES.items():
+        priced = _rows(offers[rows], *([] if lead == "roi" else [lead]))
+        decided = R.budget_allocation(priced, OPT.global_budget, OPT.user_cap, lead=lead)
+        out = out.union(one(name, decided.where("optimizer_decision = 'DISCOUNT_ACCEPTED'")))
+    return out
+
+
 # Data sets.
 
 LABELS_SQL = f"""{USERS_SQL},
