@@ -149,7 +149,7 @@ def merge_events(existing: DataFrame, incoming: DataFrame, id_col: str = "event_
 def merge_partitions(existing: DataFrame, incoming: DataFrame, path: str, id_col: str = "event_id") -> None:
     """Merge a batch into date partitions; only the dates it touches are rewritten."""
     dates = incoming.select("event_date").distinct()
-    touched = existing.join(F.broadcast(dates.limit(10_000)), "event_date", "left_semi")
+    touched = existing.join(dates, "event_date", "left_semi")
     merged = merge_events(touched.select(*incoming.columns), incoming, id_col)
     if not merged.where("conflicts").isEmpty():
         raise ValueError("one event id has several fingerprints")
