@@ -6,33 +6,45 @@ similarity of their sets is at least ``percent`` / 100.
 
 How it works.
 
-1. Signatures. Each text gives ``bands * rows`` MinHash samples, a key per band, an odd
-   sketch (the samples folded into a bitmap of parities) and a digest of its set.
-   Documents with equal sets form a class, and only its smallest id, the class
-   representative, goes on; copies are never expanded into pairs.
+1. Signatures. Each text gives 192 MinHash samples, a key per band, an odd sketch (the
+   samples folded into a bitmap of parities) and a digest of its set. Rows with equal
+   sets form a class, and only the class, a node, goes on; copies are never expanded
+   into pairs.
 2. Hubs. In each band bucket every member is a candidate with the hub of its bucket
-   only, the smallest id in it. This is a join of the members with one row per bucket,
-   linear in the members.
+   only: the member that shares most buckets with others, as the middle of a group of
+   near copies does. This is a join of the members with one row per bucket.
 3. Confirming. The number of set bits in the XOR of two odd sketches estimates how many
    samples differ. Pairs beyond what the threshold can explain by six standard
    deviations are left out; the others are confirmed on their full sets.
-4. Components by propagation of the smallest id with pointer jumping.
-5. The rest. Buckets that still hold several components may hide links. A shingle
-   found in one component alone cannot be shared with another; with p such
-   shingles in a set of n, at most n - p can be. Pairs of representatives of different
-   components in one bucket that this bound allows are confirmed like the others,
-   and the components are joined. So no pair of a bucket is left out unless it is in
-   one component already or provably below the threshold, and groups whose
-   members are all alike never emit their pairs.
-
-A pair at the threshold shares no band with a probability of about 3e-7
-(``(1 - 0.85 ** 6) ** 32``). Nothing that grows with the corpus is collected or
+4. Components by propagation of the smallest node with pointer jumping.
+5. The rest. Buckets that still hold several components may hide links. A shingle found
+   in one component alone cannot be shared with another, so with p of them in a set of
+   n the similarity is at most (n - p) / n; members below the threshold leave.
+   The others are compared by their differences d(A) = A xor H to the hub H of a
+   bucket, as |A xor B| = |d(A)| + |d(B)| - 2 |d(A) and d(B)|. With
+   g(A) = (100 + p) |d(A)| - (100 - p) |A|, A and B are linked exactly when
+   2 (100 + p) |d(A) and d(B)| >= g(A) + g(B). Where g(A) + g(B) <= 0 both are linked
+   with H. Else they share elements of their differences, at least
+   (g(A) + g(B)) / (2 (100 + p)) of them, and so one among the rarest elements of each
+   (prefix filter); members meet in keys of (hub, such an element, the classes of g of
+   both). What a group has in common is in no key, and differences that only one
+   member has are in none either.
+6. Keys are treated as buckets were: every member is tested with the hub of its key,
+   components are joined, and where a key still holds several, the members outside its
+   largest component are tested with those of other components.
+
+So each pair of a bucket is in one component, provably below the threshold, or tested,
+and groups whose members are alike never emit their pairs. A pair at the threshold
+shares no band with a probability under 1e-6: 2.6e-7 for 85 (32 bands of 6 samples),
+2.8e-7 for 80 (38 bands of 5). Nothing that grows with the corpus is collected or
 broadcast; intermediate tables are written to the shared folder.
 
 Defined results: null text counts as empty; documents without words have an empty set,
-are linked with nothing and stay; rows with equal ids count as one document whose
-sets may differ, linked through the id; an empty table gives no rows; other columns
-are not read.
+are linked with nothing and stay; very long texts are read whole, in one array of
+hashes; rows with equal ids are judged each by its own text, and rows that repeat id and
+text share one decision; a row without an id takes the component of rows with its
+shingles that have one, and else has none and stays; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -48,10 +60,11 @@ from pyspark.sql import functions as F
 from marketloom.llm import common
 
 WORDS = 5
-BANDS, ROWS = 32, 6
+#: MinHash samples of a document.
+SAMPLES = 192
 #: 64-bit words of an odd sketch.
 SKETCH = 8
-_SEEDS = np.random.default_rng(20240229).integers(1, 1 << 32, (2, BANDS * ROWS), dtype=np.uint64).astype(np.uint32)
+_SEEDS = np.random.default_rng(20240229).integers(1, 1 << 32, (2, SAMPLES), dtype=np.uint64).astype(np.uint32)
 _STEP, _SHIFT = _SEEDS[0] | np.uint32(1), _SEEDS[1]
 
 
@@ -61,6 +74,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def rows_per_band(percent: int) -> int:
+    """The most samples a band may have, so that a pair at the threshold is missed with less than 1e-6."""
+    fits = (r for r in range(16, 1, -1) if (1 - (percent / 100) ** r) ** (SAMPLES // r) < 1e-6)
+    return next(fits, 1)
+
+
 def shingles(text: str | None) -> np.ndarray:
     """The sorted set of a text's shingle hashes, as unsigned 64-bit integers."""
     # Bytes are split at the six ASCII blanks and lower-cased in A-Z only.
@@ -78,7 +97,7 @@ def shingles(text: str | None) -> np.ndarray:
 def min_hashes(hashes: np.ndarray) -> np.ndarray:
     """The smallest value under each of the linear permutations of 32-bit hashes."""
     low = (hashes >> np.uint64(32)).astype(np.uint32)
-    out = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    out = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(low), 1024):
         part = low[at : at + 1024]
         values = part[None, :] * _STEP[:, None]
@@ -98,7 +117,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 
 def most_odd(percent: int) -> int:
     """The most XOR bits that a pair at the threshold shows within six standard deviations."""
-    n, cells = BANDS * ROWS, 64 * SKETCH
+    n, cells = SAMPLES, 64 * SKETCH
     miss = 1 - percent / 100
     # Each differing sample throws two values into the cells.
     thrown = 2 * n * miss
@@ -107,38 +126,49 @@ def most_odd(percent: int) -> int:
     return int(np.ceil(mean + 6 * np.sqrt(spread)))
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set_digest (null for empty sets), sketch, bands."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_digest", pa.binary()), ("sketch", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
+def signatures(docs: DataFrame, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, row, n_shingles, set_digest (null for empty sets), sketch, bands; ``row`` tells texts of one id apart."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("set_digest", pa.binary())]
+        + [("sketch", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))]
+    )
+    n_rows = rows_per_band(percent)
+    n_bands = SAMPLES // n_rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                ids, texts = (c.to_pylist() for c in batch.slice(at, 1000).columns)
+                part = batch.slice(at, 1000)
                 rows = []
-                for doc_id, text in zip(ids, texts):
+                for text in part.column("text").to_pylist():
                     hashes = shingles(text)
                     if not len(hashes):
-                        rows.append((doc_id, 0, None, None, None))
+                        rows.append((0, None, None, None))
                         continue
                     samples = min_hashes(hashes)
-                    banded = samples.reshape(BANDS, ROWS)
-                    key = np.arange(BANDS, dtype=np.uint64)
-                    for r in range(ROWS):
+                    banded = samples[: n_bands * n_rows].reshape(n_bands, n_rows)
+                    key = np.arange(n_bands, dtype=np.uint64)
+                    for r in range(n_rows):
                         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + banded[:, r].astype(np.uint64))
                     digest = xxhash.xxh3_128_digest(hashes.tobytes())
-                    rows.append((doc_id, len(hashes), digest, odd_sketch(samples), key.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    rows.append((len(hashes), digest, odd_sketch(samples), key.view(np.int64)))
+                new = [pa.array(c, schema.field(k + 2).type) for k, c in enumerate(zip(*rows))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), *new], schema=schema)
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("row"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(sign, "doc_id long, row long, n_shingles long, set_digest binary, sketch array<long>, bands array<long>")
+
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, n_shingles long, set_digest binary, sketch array<long>, bands array<long>")
+def text_key(text_col: str) -> Column:
+    """Tells the texts of rows with one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The shingle sets of the representatives in ``wanted`` (rep, set_digest)."""
+    """The shingle sets of the nodes in ``wanted`` (node, rep, set_digest): node, hashes."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64())), ("digest", pa.binary())])
+        schema = pa.schema([("rep", pa.int64()), ("hashes", pa.list_(pa.int64())), ("set_digest", pa.binary())])
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 ids, texts = (c.to_pylist() for c in batch.slice(at, 1000).columns)
@@ -147,9 +177,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(digests, pa.binary())], schema=schema)
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    found = texts.join(wanted.select("rep").distinct(), "rep", "left_semi").mapInArrow(make, "rep long, hashes array<long>, digest binary")
-    right = wanted.select("rep", F.col("set_digest").alias("digest")).distinct()
-    return found.join(right, ["rep", "digest"]).dropDuplicates(["rep"]).select("rep", "hashes")
+    found = texts.join(wanted.select("rep").distinct(), "rep", "left_semi").mapInArrow(make, "rep long, hashes array<long>, set_digest binary")
+    return found.join(wanted, ["rep", "set_digest"]).dropDuplicates(["node"]).select("node", "hashes")
 
 
 def _enough(shared: Column, union: Column, percent: int) -> Column:
@@ -162,20 +191,21 @@ def _near(a: str, b: str, percent: int) -> Column:
     return odd <= most_odd(percent)
 
 
-def sketched(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and odd sketches allow."""
-    side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"_n{x}"), F.col("sketch").alias(f"_s{x}"))
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"_n{x}"), F.col("sketch").alias(f"_s{x}"))
     fit = pairs.join(side("a"), "a").join(side("b"), "b")
     fit = fit.where(_enough(F.least("_na", "_nb"), F.greatest("_na", "_nb"), percent))
     return fit.where(_near("_sa", "_sb", percent)).select("a", "b")
 
 
-def confirmed(fit: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+def confirmed(fit: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """The candidate pairs (a, b) that are links by their full sets."""
     fit = common.materialise(fit, "near-pairs")
-    wanted = fit.select(F.col("a").alias("rep")).union(fit.select("b")).distinct().join(reps.select("rep", "set_digest"), "rep")
+    some = fit.select(F.col("a").alias("node")).union(fit.select("b")).distinct()
+    wanted = nodes.select("node", "rep", "set_digest").join(some, "node", "left_semi")
     sets = common.materialise(full_sets(docs, wanted, id_col, text_col), "near-sets")
-    left, right = sets.withColumnsRenamed({"rep": "a", "hashes": "_ha"}), sets.withColumnsRenamed({"rep": "b", "hashes": "_hb"})
+    left, right = sets.withColumnsRenamed({"node": "a", "hashes": "_ha"}), sets.withColumnsRenamed({"node": "b", "hashes": "_hb"})
     both = fit.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_ha", "_hb"))
     return both.where(_enough(shared, F.size("_ha") + F.size("_hb") - shared, percent)).select("a", "b")
@@ -203,82 +233,187 @@ def components(links: DataFrame, label: str = "near-labels") -> DataFrame:
         now = new
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links (a, b), found on the graph of the components."""
+    ends = links
+    for x in "ab":
+        known = labels.select(F.col("node").alias(x), F.col("component").alias(f"_{x}"))
+        ends = ends.join(known, x, "left").withColumn(x, F.coalesce(f"_{x}", x)).drop(f"_{x}")
+    ends = common.materialise(ends.where("a <> b").distinct(), "near-links")
+    if ends.isEmpty():
+        return labels
+    small = components(ends)
+    up = small.select(F.col("node").alias("component"), F.col("component").alias("_up"))
+    old = labels.join(up, "component", "left").select("node", F.coalesce("_up", "component").alias("component"))
+    return common.materialise(old.union(small.join(labels, "node", "left_anti")), "near-labels")
+
+
 def _with_component(frame: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows with column ``rep`` and the component of it, itself where it has no link."""
-    known = labels.select(F.col("node").alias("rep"), F.col("component").alias("_c"))
-    return frame.join(known, "rep", "left").withColumn("component", F.coalesce("_c", "rep")).drop("_c")
+    """Rows with column ``node`` and the component of it, itself where it has no link."""
+    known = labels.select("node", F.col("component").alias("_c"))
+    return frame.join(known, "node", "left").withColumn("component", F.coalesce("_c", "node")).drop("_c")
 
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Rows (rep, band, component) of buckets that hold several components."""
-    several = rows.groupBy("band").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
-    return rows.join(several.select("band"), "band", "left_semi")
+def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with column ``component`` whose keys hold several components."""
+    several = rows.groupBy(*keys).agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b")
+    return rows.join(several.select(*keys), list(keys), "left_semi")
 
 
 def hub_pairs(buckets: DataFrame) -> DataFrame:
-    """Each member with the smallest member of its bucket.
+    """Each member of a bucket (node, band, central) with its hub: hub, node.
 
-    A representative has at most one candidate per band, whatever the buckets' sizes.
+    A node has at most one hub per band, whatever the buckets' sizes, and is its own hub where it is one.
     """
-    hubs = buckets.groupBy("band").agg(F.min("rep").alias("hub"))
-    return buckets.join(hubs, "band").where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    hubs = buckets.groupBy("band").agg(F.max(F.struct("central", "node")).alias("_h")).select("band", F.col("_h.node").alias("hub"))
+    return buckets.join(hubs, "band").select("hub", "node").distinct()
+
+
+def band_buckets(nodes: DataFrame) -> DataFrame:
+    """Members of buckets of two and more: node, band, central (how often a node meets others)."""
+    every = nodes.select("node", F.explode("bands").alias("band"))
+    sizes = every.groupBy("band").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    members = common.materialise(every.join(sizes, "band"), "near-buckets")
+    return members.join(members.groupBy("node").agg(F.sum("_size").alias("central")), "node").drop("_size")
 
 
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    signed = common.materialise(signatures(docs, id_col, text_col), "near-signatures")
+    """One row per row of docs: doc_id, row (see ``text_key``), n_shingles, component_id, kept."""
+    signed = common.materialise(signatures(docs, percent, id_col, text_col), "near-signatures")
     classes = (
         signed.where(F.col("set_digest").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("set_digest")
-        .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.min_by(F.struct("sketch", "bands"), "doc_id").alias("_m"))
+        .agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
     )
-    reps = common.materialise(classes.select("rep", "set_digest", "n", "_m.sketch", "_m.bands"), "near-classes")
-    buckets = reps.select("rep", F.explode("bands").alias("band"))
-    buckets = common.materialise(_mixed(buckets.withColumn("component", F.col("rep"))).select("rep", "band"), "near-buckets")
-    links = common.materialise(confirmed(sketched(hub_pairs(buckets), reps, percent), reps, docs, percent, id_col, text_col), "near-confirmed")
-    labels = components(links)
-    rest = leftover_pairs(buckets, labels, reps, docs, percent, id_col, text_col)
-    more = common.materialise(confirmed(rest, reps, docs, percent, id_col, text_col), "near-confirmed")
-    # Rows with one id and different texts are one node.
-    same_id = reps.groupBy("rep").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("rep").alias("a"), F.col("rep").alias("b"))
-    labels = components(links.union(more).union(same_id))
-    own = _with_component(reps.select("rep", "set_digest"), labels)
-    found = signed.select("doc_id", "n_shingles", "set_digest").join(own, "set_digest", "left")
-    return found.select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
-        (F.coalesce("component", "doc_id").eqNullSafe(F.col("doc_id"))).alias("kept"),
+    # Stored at once, so the numbers of the nodes stay as they are.
+    nodes = common.materialise(classes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
+    buckets = common.materialise(band_buckets(nodes), "near-buckets")
+    pairs = hub_pairs(buckets).where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = common.materialise(confirmed(sketched(pairs, nodes, percent), nodes, docs, percent, id_col, text_col), "near-confirmed")
+    labels = leftover_components(buckets, components(links), nodes, docs, percent, id_col, text_col)
+    # The smallest id of each component.
+    linked = labels.join(nodes.select("node", "rep"), "node")
+    least = linked.groupBy("component").agg(F.min("rep").alias("first"))
+    own = nodes.select("node", "set_digest", "rep").join(linked.join(least, "component").select("node", "first"), "node", "left")
+    own = own.select("set_digest", F.coalesce("first", "rep").alias("_c"))
+    component = F.coalesce("_c", "doc_id")
+    return signed.select("doc_id", "row", "n_shingles", "set_digest").join(own, "set_digest", "left").select(
+        "doc_id", "row", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
     )
 
 
-def leftover_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs of different components in one bucket that private shingles do not rule out."""
+#: Width of the classes of g / (2 (100 + p)): 1 up to this value, beyond it growing by a tenth.
+_EVEN, _GROWTH = 64, 1.1
+
 
-    rows = common.materialise(_mixed(_with_component(buckets, labels)), "near-mixed")
-    members = rows.select("rep", "component").distinct()
-    sets = full_sets(docs, members.join(reps.select("rep", "set_digest"), "rep"), id_col, text_col)
-    spread = members.join(sets, "rep").select("rep", "component", F.explode("hashes").alias("h"))
-    spread = common.materialise(spread, "near-shingles")
+def gain_class(gain: Column) -> Column:
+    """The class of a value of g / (2 (100 + p)); classes are numbered in order."""
+    step = F.floor(F.log(F.abs(gain) / _EVEN) / F.log(F.lit(_GROWTH))).cast("int")
+    return F.when(F.abs(gain) < _EVEN, F.floor(gain).cast("int")).when(gain > 0, _EVEN + step).otherwise(-_EVEN - 1 - step)
+
+
+def least_gain(number: Column) -> Column:
+    """A value that no member of a class is below."""
+    wide = lambda k: _EVEN * F.pow(F.lit(_GROWTH), k)
+    return F.when(number >= _EVEN, wide(number - _EVEN)).when(number < -_EVEN, -wide(-number - _EVEN)).otherwise(number.cast("double"))
+
+
+def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Per hub and member, what tells the member from the hub: hub, node, component, g, base (g of the hub), d."""
+    hubs = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("_hub"))
+    both = members.join(sets, "node").join(hubs, "hub")
+    d = F.concat(F.array_except("hashes", "_hub"), F.array_except("_hub", "hashes"))
+    g = ((100 + percent) * F.size(d) - (100 - percent) * F.size("hashes")).cast("long")
+    return both.select("hub", "node", "component", g.alias("g"), ((percent - 100) * F.size("_hub")).cast("long").alias("base"), d.alias("d"))
+
+
+def shared_differences(found: DataFrame) -> DataFrame:
+    """Differences that several members of a family have, the rarest first: hub, node, component, g, d."""
+    each = found.select("hub", "node", F.explode("d").alias("e"))
+    counts = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    kept = each.join(counts, ["hub", "e"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("_d"))
+    return found.drop("d", "base").join(kept, ["hub", "node"]).withColumn("d", F.col("_d.e")).drop("_d")
+
+
+def difference_keys(shared: DataFrame, percent: int) -> DataFrame:
+    """Keys in which members meet that can be linked: hub, key, node, component, g.
+
+    Members of the hub's component (``_home``) look for members of others only.
+    """
+    gain = F.col("g") / (2.0 * (100 + percent))
+    rows = shared.withColumn("class", gain_class(gain))
+    kinds = rows.groupBy("hub").agg(F.collect_set("class").alias("_all"), F.collect_set(F.when(~F.col("_home"), F.col("class"))).alias("_far"))
+    rows = rows.join(kinds, "hub").withColumn("_other", F.explode(F.when(F.col("_home"), F.col("_far")).otherwise(F.col("_all"))))
+    need = F.greatest(F.ceil(gain + least_gain(F.col("_other")) - 1e-6), F.lit(1)).cast("int")
+    rows = rows.withColumn("_most", F.size("d") - need + 1).where("_most > 0")
+    rows = rows.withColumn("_e", F.explode(F.slice("d", F.lit(1), F.col("_most"))))
+    key = F.xxhash64("_e", F.least("class", "_other"), F.greatest("class", "_other"))
+    return rows.select("hub", key.alias("key"), "node", "component", "g").distinct()
+
+
+def overlapping(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs (hub, a, b) whose shared differences make them links: a, b."""
+    side = lambda x: shared.select("hub", F.col("node").alias(x), F.col("g").alias(f"_g{x}"), F.col("d").alias(f"_d{x}"))
+    both = pairs.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"])
+    enough = 2 * (100 + percent) * F.size(F.array_intersect("_da", "_db")) >= F.col("_ga") + F.col("_gb")
+    return both.where(enough).select("a", "b").distinct()
+
+
+def key_stars(keys: DataFrame) -> DataFrame:
+    """Each member of a key with the member that is nearest to the hub of the family: hub, a, b."""
+    middle = keys.groupBy("hub", "key").agg(F.min(F.struct("g", "node")).alias("_m")).select("hub", "key", F.col("_m.node").alias("a"))
+    pairs = keys.join(middle, ["hub", "key"]).where("a <> node")
+    return pairs.select("hub", F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def key_pairs(keys: DataFrame) -> DataFrame:
+    """Members outside the largest component of their key with those of other components: hub, a, b."""
+    sizes = keys.groupBy("hub", "key", "component").agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.groupBy("hub", "key").agg(F.max(F.struct("_n", "component")).alias("_l")).select("hub", "key", F.col("_l.component").alias("_largest"))
+    few = keys.join(largest, ["hub", "key"]).where(F.col("component") != F.col("_largest"))
+    few = few.select("hub", "key", "_largest", F.col("node").alias("a"), F.col("component").alias("_own"))
+    pairs = few.join(keys, ["hub", "key"]).where((F.col("component") != F.col("_own")) & ((F.col("component") == F.col("_largest")) | (F.col("a") < F.col("node"))))
+    return pairs.select("hub", F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def leftover_components(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The labels after all links of buckets that hold several components, see 5. and 6. above."""
+    rows = common.materialise(_mixed(_with_component(buckets, labels), "band"), "near-mixed")
+    members = rows.select("node", "component").distinct()
+    wanted = nodes.select("node", "rep", "set_digest", "n").join(members, "node")
+    sets = common.materialise(full_sets(docs, wanted.select("node", "rep", "set_digest"), id_col, text_col), "near-sets")
+    spread = members.join(sets, "node").select("node", "component", F.explode("hashes").alias("h"))
     public = spread.groupBy("h").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a <> _b").select("h")
-    can_share = spread.join(public, "h").groupBy("rep").agg(F.count(F.lit(1)).alias("open"))
-    # At most ``open`` shingles are shared, so the similarity is at most open / n.
-    able = can_share.join(reps.select("rep", "n", "bands", "sketch"), "rep").where(_enough(F.col("open"), F.col("n"), percent))
-    rows = common.materialise(_mixed(rows.join(able, "rep")), "near-mixed")
-    columns = ("rep", "component", "open", "n", "bands", "sketch")
-    x, y = (rows.select("band", *(F.col(c).alias(f"_{side}{c}") for c in columns)) for side in "xy")
-    most = F.least("_xopen", "_yopen")
-    allowed = (
-        (F.col("_xrep") < F.col("_yrep"))
-        & (F.col("_xcomponent") != F.col("_ycomponent"))
-        & _enough(most, F.col("_xn") + F.col("_yn") - most, percent)
-        & _near("_xsketch", "_ysketch", percent)
-        # A pair comes from the first band that it shares, and so once.
-        & (F.get(F.array_intersect("_xbands", "_ybands"), F.lit(0)) == F.col("band"))
-    )
-    pairs = x.join(y, "band").where(allowed)
-    return pairs.select(F.col("_xrep").alias("a"), F.col("_yrep").alias("b"))
+    able = spread.join(public, "h").groupBy("node").agg(F.count(F.lit(1)).alias("_open")).join(wanted, "node")
+    able = able.where(_enough(F.col("_open"), F.col("n"), percent)).select("node")
+    rows = common.materialise(_mixed(rows.join(able, "node", "left_semi"), "band"), "near-mixed")
+    if rows.isEmpty():
+        return labels
+    families = _mixed(_with_component(hub_pairs(rows), labels), "hub")
+    found = common.materialise(differences(families, sets, percent), "near-differences")
+    # g(A) + g(H) <= 0: linked with the hub.
+    links = found.where((F.col("node") != F.col("hub")) & (F.col("g") + F.col("base") <= 0)).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    labels = joined(labels, links)
+    home = labels.select(F.col("node").alias("hub"), F.col("component").alias("_hub"))
+    found = _with_component(found.drop("component"), labels).join(home, "hub", "left")
+    found = found.withColumn("_home", F.col("component") == F.coalesce("_hub", "hub")).drop("_hub")
+    shared = common.materialise(shared_differences(_mixed(found, "hub")), "near-differences")
+    keys = common.materialise(_mixed(difference_keys(shared, percent), "hub", "key"), "near-keys")
+    if keys.isEmpty():
+        return labels
+    labels = joined(labels, overlapping(key_stars(keys), shared, percent))
+    keys = common.materialise(_mixed(_with_component(keys.drop("component"), labels), "hub", "key"), "near-keys")
+    if keys.isEmpty():
+        return labels
+    return joined(labels, overlapping(key_pairs(keys), shared, percent))
+
+
+def drop_near_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component the rows of its smallest id."""
+    gone = near_groups(docs, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")) & (text_key(text_col) == F.col("_gone_row"))
+    return docs.join(gone, same, "left_anti")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(common.table(spark, sf_dir, "documents"))
+    return near_groups(common.table(spark, sf_dir, "documents")).drop("row")
