@@ -29,17 +29,23 @@ def ascii_lower(text: Column) -> Column:
     return F.when(is_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def text_key(text_col: str) -> Column:
+    """Tells the texts of rows with one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
+    """The folder that the driver and all executors share, as ``spark.checkpoint.dir`` names it.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where it is unset, as in
-    local tests, is a temporary folder made and set.
+    Only where it is unset and Spark runs in one process, as in tests, is a temporary folder made and set.
     """
     set_by_user = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_by_user:
         return set_by_user.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         current = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(current)
         current = spark.sparkContext.getCheckpointDir() or current
@@ -59,7 +65,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote, once nothing reads them any more."""
+    for df in stored:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _STORE: dict = {}

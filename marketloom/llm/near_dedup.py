@@ -155,15 +155,10 @@ def signatures(docs: DataFrame, percent: int, id_col: str = "doc_id", text_col:
                 new = [pa.array(c, schema.field(k + 2).type) for k, c in enumerate(zip(*rows))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), *new], schema=schema)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("row"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_key(text_col).alias("row"), F.col(text_col).alias("text"))
     return rows.mapInArrow(sign, "doc_id long, row long, n_shingles long, set_digest binary, sketch array<long>, bands array<long>")
 
 
-def text_key(text_col: str) -> Column:
-    """Tells the texts of rows with one id apart."""
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-
-
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The shingle sets of the nodes in ``wanted`` (node, rep, set_digest): node, hashes."""
 
@@ -200,7 +195,7 @@ def sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def confirmed(fit: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """The candidate pairs (a, b) that are links by their full sets."""
+    """The candidate pairs (a, b) that are links by their full sets, stored."""
     fit = common.materialise(fit, "near-pairs")
     some = fit.select(F.col("a").alias("node")).union(fit.select("b")).distinct()
     wanted = nodes.select("node", "rep", "set_digest").join(some, "node", "left_semi")
@@ -208,7 +203,10 @@ def confirmed(fit: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, i
     left, right = sets.withColumnsRenamed({"node": "a", "hashes": "_ha"}), sets.withColumnsRenamed({"node": "b", "hashes": "_hb"})
     both = fit.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("_ha", "_hb"))
-    return both.where(_enough(shared, F.size("_ha") + F.size("_hb") - shared, percent)).select("a", "b")
+    near = both.where(_enough(shared, F.size("_ha") + F.size("_hb") - shared, percent)).select("a", "b")
+    links = common.materialise(near, "near-confirmed")
+    common.discard(fit, sets)
+    return links
 
 
 def components(links: DataFrame, label: str = "near-labels") -> DataFrame:
@@ -228,13 +226,16 @@ def components(links: DataFrame, label: str = "near-labels") -> DataFrame:
         jumped = least.join(up, "component", "left").select("node", F.coalesce("_up", "component").alias("component"))
         new = common.materialise(jumped, label)
         old = now.select("node", F.col("component").alias("_old"))
-        if new.join(old, "node").where(F.col("component") != F.col("_old")).isEmpty():
+        same = new.join(old, "node").where(F.col("component") != F.col("_old")).isEmpty()
+        common.discard(now)
+        if same:
+            common.discard(both)
             return new
         now = new
 
 
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """The labels after further links (a, b), found on the graph of the components."""
+    """The labels after further links (a, b), found on the graph of the components; the old labels are discarded."""
     ends = links
     for x in "ab":
         known = labels.select(F.col("node").alias(x), F.col("component").alias(f"_{x}"))
@@ -245,7 +246,9 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     small = components(ends)
     up = small.select(F.col("node").alias("component"), F.col("component").alias("_up"))
     old = labels.join(up, "component", "left").select("node", F.coalesce("_up", "component").alias("component"))
-    return common.materialise(old.union(small.join(labels, "node", "left_anti")), "near-labels")
+    both = common.materialise(old.union(small.join(labels, "node", "left_anti")), "near-labels")
+    common.discard(ends, small, labels)
+    return both
 
 
 def _with_component(frame: DataFrame, labels: DataFrame) -> DataFrame:
@@ -278,7 +281,7 @@ def band_buckets(nodes: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, row (see ``text_key``), n_shingles, component_id, kept."""
+    """One row per row of docs: doc_id, row (see ``common.text_key``), n_shingles, component_id, kept."""
     signed = common.materialise(signatures(docs, percent, id_col, text_col), "near-signatures")
     classes = (
         signed.where(F.col("set_digest").isNotNull() & F.col("doc_id").isNotNull())
@@ -289,8 +292,11 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     nodes = common.materialise(classes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     buckets = common.materialise(band_buckets(nodes), "near-buckets")
     pairs = hub_pairs(buckets).where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    links = common.materialise(confirmed(sketched(pairs, nodes, percent), nodes, docs, percent, id_col, text_col), "near-confirmed")
-    labels = leftover_components(buckets, components(links), nodes, docs, percent, id_col, text_col)
+    links = confirmed(sketched(pairs, nodes, percent), nodes, docs, percent, id_col, text_col)
+    labels = components(links)
+    common.discard(links)
+    labels = leftover_components(buckets, labels, nodes, docs, percent, id_col, text_col)
+    common.discard(buckets)
     # The smallest id of each component.
     linked = labels.join(nodes.select("node", "rep"), "node")
     least = linked.groupBy("component").agg(F.min("rep").alias("first"))
@@ -411,7 +417,7 @@ def leftover_components(buckets: DataFrame, labels: DataFrame, nodes: DataFrame,
 def drop_near_copies(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the rows of its smallest id."""
     gone = near_groups(docs, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row")).distinct()
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")) & (text_key(text_col) == F.col("_gone_row"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")) & (common.text_key(text_col) == F.col("_gone_row"))
     return docs.join(gone, same, "left_anti")
 
 
