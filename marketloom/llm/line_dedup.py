@@ -13,8 +13,10 @@ execution can split, and are merged per document.
 
 Defined results: null text counts as empty; a text of fewer than three lines has
 no window and stays as it is; windows that overlap inside one document (three
-equal lines in a row and a fourth) are later occurrences too; two rows with one
-id and the same text count as one document; an empty table gives an empty
+equal lines in a row and a fourth) are later occurrences too; rows with equal ids are told
+apart by a key of their text, and lines go from the row they stand in only; rows that repeat id
+and text count as one document; rows without an id come first in the order; very long texts are one
+array of lines, looked up by position; an empty table gives an empty
 result; columns other than the id and the text are not read.
 """
 
@@ -29,30 +31,29 @@ from marketloom.llm import common
 def covered_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 3
 ) -> DataFrame:
-    """Per document with repeats: doc_id and the sorted line numbers to remove."""
+    """Per document with repeats: doc_id, row (see ``common.text_key``) and the sorted line numbers to remove."""
     lines = docs.select(
         F.col(id_col).alias("doc_id"),
+        common.text_key(text_col).alias("row"),
         F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1).alias("_lines"),
     ).where(F.size("_lines") >= window)
     hashes = F.transform(
         F.sequence(F.lit(1), F.size("_lines") - (window - 1)),
         lambda i: F.unhex(F.md5(F.array_join(F.slice("_lines", i, window), "\n"))),
     )
-    windows = lines.select("doc_id", F.posexplode(hashes).alias("_pos", "_h"))
+    windows = lines.select("doc_id", "row", F.posexplode(hashes).alias("_pos", "_h"))
+    place = F.struct("doc_id", "row", "_pos")
     first = (
         windows.groupBy("_h")
-        .agg(
-            F.min(F.struct("doc_id", "_pos")).alias("_first"),
-            F.max(F.struct("doc_id", "_pos")).alias("_last"),
-        )
+        .agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
         .where(F.col("_first") != F.col("_last"))
         .select("_h", "_first")
     )
-    later = windows.join(first, "_h").where(F.struct("doc_id", "_pos") != F.col("_first"))
+    later = windows.join(first, "_h").where(~place.eqNullSafe(F.col("_first")))
     spread = later.select(
-        "doc_id", F.explode(F.sequence(F.col("_pos"), F.col("_pos") + (window - 1))).alias("_line")
+        "doc_id", "row", F.explode(F.sequence(F.col("_pos"), F.col("_pos") + (window - 1))).alias("_line")
     )
-    return spread.groupBy("doc_id").agg(F.sort_array(F.collect_set("_line")).alias("covered"))
+    return spread.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("_line")).alias("covered"))
 
 
 def dedup_lines(
@@ -60,19 +61,23 @@ def dedup_lines(
 ) -> DataFrame:
     """One row per document: doc_id, kept_text, n_lines, n_removed, removed_lines."""
     covered = covered_lines(docs, id_col, text_col, window)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    covered = covered.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "covered")
+    base = docs.select(
+        F.col(id_col).alias("doc_id"),
+        common.text_key(text_col).alias("row"),
+        F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1).alias("_lines"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
     none = F.array().cast("array<int>")
-    joined = base.join(covered, "doc_id", "left").withColumn("covered", F.coalesce("covered", none))
-    lines = F.split("_text", "\n", -1)
-    kept = F.when(F.size("covered") == 0, F.col("_text")).otherwise(
-        F.array_join(
-            F.filter(lines, lambda line, i: ~F.array_contains(F.col("covered"), i)), "\n"
-        )
+    joined = base.join(covered, same, "left").withColumn("covered", F.coalesce("covered", none))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("covered"))
+    kept = F.when(F.size("covered") == 0, F.array_join("_lines", "\n")).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
     )
     return joined.select(
         "doc_id",
         kept.alias("kept_text"),
-        F.size(lines).cast("bigint").alias("n_lines"),
+        F.size("_lines").cast("bigint").alias("n_lines"),
         F.size("covered").cast("bigint").alias("n_removed"),
         F.col("covered").alias("removed_lines"),
     )
