@@ -16,15 +16,21 @@ begin ``low`` to ``high`` bytes before it.
    extent, all bytes of its windows. Rows of one bucket with the same extent are
    repeats in all their windows. A bucket of one row is no repeat. Only buckets with
    several extents are refined.
-2. Refinement: the windows of such an anchor are divided into ranges of nearby
-   offsets. The new bucket of a range is that of the bytes at the later and earlier
-   offsets which all its windows share, and its extent is what any of them covers.
-   The same three cases decide. What is still mixed is divided again, down to single
-   windows, where bucket and extent are one.
+2. Refinement by bucket identifiers of later offsets: the windows of such an anchor are
+   divided into ranges of nearby offsets. The new bucket of a range is named by its old
+   bucket and the identifiers of the q-gram buckets at the later and earlier offsets that
+   all its windows share. Identifiers are doubled: that of the bucket of 2 q bytes comes from
+   those of q bytes at an offset and q bytes later, that of 4 q bytes from these, so each
+   pass reuses the names of the pass before, and so do the ranges of the next level. A
+   range's extent is what any of its windows covers. The same three cases decide. What
+   is still mixed is divided again, down to single windows, where bucket and extent are one.
+   Names are 64-bit hashes of the names they come from and not ranks in a sorted table, so
+   a name can be made wherever the bytes are and no table of pointers is looked up; sorting
+   on them is left to the shuffle of the grouping.
 
 Each level is a grouping by short hashes with a map-side combine, so a passage that
-a third of all documents share costs one row per task and level, and no bucket is
-ever gathered in one place. Text is read twice: to find anchors, and, joined with
+a third of all documents share costs one row per task and level; rows then meet the few
+decided buckets in a plain join, whose hot partitions adaptive execution splits. Text is read twice: to find anchors, and, joined with
 the mixed anchors, to cut their contexts; a last join of removed runs with the
 documents makes the remaining text. Between levels the contexts are written to the
 shared folder.
@@ -32,7 +38,9 @@ shared folder.
 Defined results: null text counts as empty; texts under ``span`` bytes are never
 touched; exact copies of at least ``span`` bytes vanish whole, each of them; rows
 with equal ids count as one document each and are told apart by a checksum of
-their text, so equal rows are copies of each other; an empty table gives no rows; other columns are not read.
+their text, so equal rows are copies of each other; very long texts are read in parts that
+overlap, so each window is in one; an empty table gives no rows; other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,8 +130,8 @@ def sampled_suffixes(texts: DataFrame, span: int, q: int, chunk: int = 128 << 10
 
     ``place`` packs the anchor's position with the first and last offset of its windows.
     """
-    if span - q > 255:
-        raise ValueError("span - q must be under 256")
+    if not q + LEVELS[0] <= span <= q + 255:
+        raise ValueError(f"span must be from q + {LEVELS[0]} to q + 255")
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("bucket", pa.int64()), ("extent", pa.int64())])
 
     def emit(held: list[tuple[int, int, int, memoryview]]) -> pa.RecordBatch:
@@ -175,14 +183,13 @@ def judged(rows: DataFrame, weight: Column, label: str) -> tuple[DataFrame, Data
         .where("_n > 1")
         .select("bucket", (F.col("_a") == F.col("_b")).alias("_same"))
     )
+    # Stored, so that the join has a shuffle of its own, which can be split where a bucket is hot.
+    buckets = common.materialise(buckets, "bucket-kinds")
     shared = common.materialise(rows.join(buckets, "bucket"), label)
+    common.discard(buckets)
     return shared.where("_same").drop("_same"), shared.where("NOT _same").drop("_same")
 
 
-def _digest(*parts: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(b"|".join(parts), digest_size=8).digest(), "little", signed=True)
-
-
 def contexts(texts: DataFrame, mixed: DataFrame, span: int) -> DataFrame:
     """The bytes of all windows of mixed anchors, cut from the joined texts."""
     wanted = mixed.groupBy("doc_id", "row").agg(F.collect_list(F.struct("place", "bucket", "weight")).alias("anchors"))
@@ -200,31 +207,70 @@ def contexts(texts: DataFrame, mixed: DataFrame, span: int) -> DataFrame:
     return joined.mapInPandas(cut, "doc_id long, row long, place long, bucket long, weight int, data binary")
 
 
-def divided(parts: DataFrame, span: int, width: int, within: int | None = None) -> DataFrame:
+class Names:
+    """Identifiers of the buckets of all substrings of contexts laid end to end, by doubling those of q-grams."""
+
+    def __init__(self, data: np.ndarray, q: int, longest: int) -> None:
+        self.q, self.levels = q, [qgram_hashes(data, q)]
+        width = q
+        while 2 * width <= longest:
+            last = self.levels[-1]
+            self.levels.append(_mix(last[:-width] * np.uint64(0x9E3779B97F4A7C15) + last[width:]))
+            width *= 2
+
+    def of(self, begin: np.ndarray, size: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """The bucket of ``size`` bytes at ``begin``, within bucket ``base``: two identifiers cover them."""
+        level = np.floor(np.log2(size / self.q)).astype(np.int64)
+        h = _mix(base * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64))
+        first, last = np.empty(len(h), np.uint64), np.empty(len(h), np.uint64)
+        for k in np.unique(level).tolist():
+            at = level == k
+            first[at] = self.levels[k][begin[at]]
+            last[at] = self.levels[k][begin[at] + size[at] - (self.q << k)]
+        return _mix(_mix(h + first) * np.uint64(0xC2B2AE3D27D4EB4F) + last)
+
+
+def divided(parts: DataFrame, span: int, q: int, width: int, within: int | None = None) -> DataFrame:
     """Ranges of ``width`` window offsets of each context, with their buckets and extents.
 
-    ``parts`` has a column ``nodes`` if only ranges of width ``within`` are to be divided.
-    In the result ``place`` has the offsets of the range, ``anchor`` those of the context.
+    ``parts`` has a column ``nodes`` of ranges and their buckets if only those, of width
+    ``within``, are to be divided. In the result ``place`` has the offsets of the range,
+    ``anchor`` those of the context.
     """
     names = ["doc_id", "row", "anchor", "node", "place", "weight", "bucket", "extent"]
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            nodes = frame["nodes"] if within else [None] * len(frame)
-            for doc_id, row, place, bucket, weight, data, chosen in zip(*(frame[c] for c in ("doc_id", "row", "place", "bucket", "weight", "data")), nodes):
-                data, base = bytes(data), bucket.to_bytes(8, "little", signed=True)
-                pos, low, high = unpacked(place)
-                spans = [(low, high)] if chosen is None else [(max(low, k * within), min(high, k * within + within - 1)) for k in map(int, chosen)]
-                for begin, end in spans:
-                    for k in range(begin // width, end // width + 1):
-                        a, b = max(begin, k * width), min(end, k * width + width - 1)
-                        # Offset x before the anchor is byte high - x of the context.
-                        common_part = data[high - k * width : high - (k * width + width - 1) + span]
-                        own = _digest(base, k.to_bytes(4, "little"), common_part)
-                        whole = own if width == 1 else _digest(bytes([b - a]), data[high - b : high - a + span])
-                        out.append((doc_id, row, place, k, pos << 16 | b << 8 | a, weight, own, whole))
-            yield pd.DataFrame(out, columns=names)
+        for whole in frames:
+            for at in range(0, len(whole), 5000):
+                frame = whole.iloc[at : at + 5000]
+                place = frame["place"].to_numpy(np.int64)
+                low, high = place & 255, place >> 8 & 255
+                sizes = frame["data"].map(len).to_numpy(np.int64)
+                base = np.cumsum(sizes) - sizes
+                found = Names(np.frombuffer(b"".join(frame["data"]), np.uint8), q, span + width)
+                if within:
+                    counts = frame["nodes"].map(len).to_numpy(np.int64)
+                    nodes = np.array([n["node"] for x in frame["nodes"] for n in x], np.int64)
+                    bucket = np.array([n["bucket"] for x in frame["nodes"] for n in x], np.int64)
+                    i = np.repeat(np.arange(len(frame)), counts)
+                    begin, end = np.maximum(low[i], nodes * within), np.minimum(high[i], nodes * within + within - 1)
+                else:
+                    i, begin, end, bucket = np.arange(len(frame)), low, high, frame["bucket"].to_numpy(np.int64)
+                # Numbers of the ranges of each.
+                counts = end // width - begin // width + 1
+                last = np.cumsum(counts)
+                k = np.repeat(begin // width - (last - counts), counts) + np.arange(int(last[-1]))
+                i, begin, end, bucket = (np.repeat(x, counts) for x in (i, begin, end, bucket))
+                a, b = np.maximum(begin, k * width), np.minimum(end, k * width + width - 1)
+                # Offset x before the anchor is byte high - x of the context.
+                start = base[i] + high[i]
+                own = found.of(start - k * width, np.full(len(k), span - width + 1), bucket.view(np.uint64) + k.astype(np.uint64))
+                extent = own if width == 1 else found.of(start - b, span + b - a, np.zeros(len(k), np.uint64))
+                columns = (
+                    frame["doc_id"].to_numpy()[i], frame["row"].to_numpy()[i], place[i], k, (place[i] >> 16) << 16 | b << 8 | a,
+                    frame["weight"].to_numpy()[i], own.view(np.int64), extent.view(np.int64),
+                )
+                yield pd.DataFrame(dict(zip(names, columns)))
 
     return parts.mapInPandas(split, "doc_id long, row long, anchor long, node int, place long, weight int, bucket long, extent long")
 
@@ -239,6 +285,7 @@ def repeated_runs(docs: DataFrame, span: int = 200, q: int = 32, id_col: str = "
 
     suffixes = common.materialise(sampled_suffixes(texts, span, q), "suffixes")
     same, mixed = judged(suffixes, F.lit(1), "suffix-buckets")
+    common.discard(suffixes)
     runs = run(same)
     # One row of each extent goes on; the others are decided.
     kinds = mixed.groupBy("bucket", "extent").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("doc_id", "row", "place")).alias("_r"))
@@ -247,12 +294,16 @@ def repeated_runs(docs: DataFrame, span: int = 200, q: int = 32, id_col: str = "
     one_each = kinds.select("_r.*", "bucket", F.least("_n", F.lit(2)).cast("int").alias("weight"))
     parts = common.materialise(contexts(texts, one_each, span), "contexts")
     for level, width in enumerate(LEVELS):
-        nodes = common.materialise(divided(parts, span, width, LEVELS[level - 1] if level else None), "nodes")
+        nodes = common.materialise(divided(parts, span, q, width, LEVELS[level - 1] if level else None), "nodes")
         same, mixed = judged(nodes, F.col("weight"), "node-buckets")
+        common.discard(nodes)
         runs = runs.unionByName(run(same.where("weight = 1")))
         if width > 1:
-            left = mixed.groupBy("doc_id", "row", F.col("anchor").alias("place")).agg(F.collect_list("node").alias("nodes"))
-            parts = common.materialise(parts.drop("nodes").join(left, ["doc_id", "row", "place"]), "contexts")
+            left = mixed.groupBy("doc_id", "row", F.col("anchor").alias("place")).agg(F.collect_list(F.struct("node", "bucket")).alias("nodes"))
+            fewer = common.materialise(parts.drop("nodes").join(left, ["doc_id", "row", "place"]), "contexts")
+            common.discard(parts)
+            parts = fewer
+    common.discard(parts)
     return runs
 
 
@@ -303,11 +354,14 @@ def without_repeats(docs: DataFrame, span: int = 200, q: int = 32, id_col: str =
     Bytes of a character that a removed run cuts in two go as well.
     """
     runs = repeated_runs(docs, span, q, id_col, text_col)
-    by_doc = runs.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
-        F.collect_list(F.struct("begin", "end")).alias("_runs")
-    )
-    keys = {"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "_row": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).cast("long")}
-    joined = docs.withColumns(keys).join(by_doc, ["_id", "_row"], "left").select(*docs.columns, "_runs")
+    by_doc = runs.groupBy("doc_id", "row").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    # All columns travel in one, so none can clash with those of the join.
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id")
+    row = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).cast("long").alias("row")
+    whole = docs.select(key, row, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+    joined = whole.join(by_doc, ["doc_id", "row"], "left").select("whole", "runs")
+
+    docs_columns = docs.columns
 
     def cut(data: bytes, runs: list[dict]) -> str:
         a, b = merged(np.array([r["begin"] for r in runs]), np.array([r["end"] for r in runs]))
@@ -316,13 +370,12 @@ def without_repeats(docs: DataFrame, span: int = 200, q: int = 32, id_col: str =
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = batch.schema.get_field_index(text_col)
-            texts = batch.column(place).to_pylist()
-            runs = batch.column("_runs").to_pylist()
-            new = [cut(t.encode(), r) if r else t for t, r in zip(texts, runs)]
-            columns = list(batch.columns[:-1])
-            columns[place] = pa.array(new, batch.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            whole = batch.column("whole")
+            place = docs_columns.index(text_col)
+            columns = whole.flatten()
+            texts, runs = columns[place].to_pylist(), batch.column("runs").to_pylist()
+            columns[place] = pa.array([cut(t.encode(), r) if r else t for t, r in zip(texts, runs)], columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
 
     return joined.mapInArrow(apply, docs.schema)
 
