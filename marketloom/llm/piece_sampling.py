@@ -2,28 +2,33 @@
 
 A text is normalised by the model and cut before each word mark; no piece crosses such
 a cut. Every way to write the words in pieces of the vocabulary is a path in a
-lattice. A piece weighs (1 + rank) ** -alpha, characters outside the vocabulary are
-their bytes, and a segmentation's probability is its product of weights over the sum
-for all segmentations of the text.
+lattice. A piece's log weight is ``alpha`` times the model's score of it; characters
+outside the vocabulary are their bytes. A segmentation's probability is its product of
+weights over the sum for all segmentations of the text.
 
 The ``k`` segmentations with the largest Gumbel-perturbed log probabilities are
-found by a best-first search in which the bound of a subtree is exact: backward sums
-over the lattice give the mass of every subtree, so its largest perturbed value can
-be drawn at once, truncated at that of its parent. Following the best child from
-the root yields a path; beside it, at each node, stand the subtrees of all other
-edges, one drawn bound for each. The next segmentation leaves the known paths where
-the largest bound stands. So k distinct segmentations cost k paths.
-
-All draws are a hash of (seed, row key, sample, place), so a row's samples depend on
-nothing but the row, whatever task or batch it is in. The paths of all texts of a
-batch are drawn in lock step with numpy. For a sample of log probability p and the
+found by a best-first search with exact bounds: backward sums over the lattice give the
+mass of every subtree, so the largest perturbed value in a set of subtrees can be drawn
+at once, truncated at the last value found, and the subtree that holds it is drawn by
+mass. The first path is drawn from the root. Beside each of its words stand the
+subtrees in which this word is cut otherwise; they are the frontier. The next
+segmentation leaves the known paths at a frontier word, takes there a cut that is not
+known yet, and brings the words behind it to the frontier. So k distinct segmentations
+cost k paths, and none is drawn twice.
+
+All draws are hashes of (seed, row key, sample, place), so a row's samples depend on
+nothing but the row, whatever task or batch it is in. Words of all texts of a batch
+are drawn in lock step with numpy; ids and decoded bytes are built for a whole batch,
+and the decoded bytes are compared with the text. For a sample of log probability p and the
 (k+1)-th largest value t, its inclusion score is log(1 - exp(-exp(p - t))), the log
 of the probability to be included given the threshold.
 
 Defined results: null and empty texts have one segmentation, the empty one, with log
 probability 0; a text with fewer than k segmentations has fewer samples, and as all
-of them are included, inclusion score 0; repeated rows get equal samples; an
-empty table gives no rows.
+of them are included, inclusion score 0; segmentations under 1e-300 of the mass of a
+word count as impossible; rows without an id are drawn as those with id 0; repeated rows
+get equal samples; very long texts are sampled whole; an empty table gives no rows; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -59,66 +64,84 @@ def uniforms(keys: np.ndarray, *salts: np.ndarray | int) -> np.ndarray:
 
 def truncated_gumbel(location: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
     """The largest perturbed value of a subtree of log mass ``location``, at most ``bound``."""
-    with np.errstate(divide="ignore"):
+    with np.errstate(divide="ignore", invalid="ignore"):
         return location - np.log(np.exp(np.minimum(location - bound, 700)) - np.log(u))
 
 
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places starts[i], starts[i] + 1, ... of all ranges, end to end."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Vocabulary:
     """Pieces of a model with their weights, and decoding."""
 
-    def __init__(self, path: str, alpha: float = 1.0) -> None:
+    def __init__(self, path: str, alpha: float = 0.001) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = self.model.get_piece_size()
         self.pieces = [self.model.id_to_piece(i) for i in range(n)]
-        self.weight: dict[str, tuple[int, float]] = {}
+        self.log_weight = alpha * np.array([self.model.get_score(i) for i in range(n)])
+        known: dict[str, int] = {}
         self.bytes = np.zeros(256, np.int64)
         for i, piece in enumerate(self.pieces):
             if self.model.is_byte(i):
                 self.bytes[int(_BYTE.fullmatch(piece)[1], 16)] = i
             elif not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i)):
-                self.weight[piece] = (i, (1.0 + i) ** -alpha)
+                known[piece] = i
         self.raw = [bytes([int(x[3:5], 16)]) if self.model.is_byte(i) else x.encode() for i, x in enumerate(self.pieces)]
-        self.longest = max(map(len, self.weight))
+        #: Bytes of all pieces, end to end.
+        self.flat = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.size = np.array([len(x) for x in self.raw], np.int64)
+        self.place = np.cumsum(self.size) - self.size
+        self.longest = max(map(len, known))
         found = {}
-        for piece, (i, _) in self.weight.items():
+        for piece, i in known.items():
             h = 0
             for c in piece:
                 h = (h * int(_BASE) + ord(c) + 1) % (1 << 64)
             found[h] = i
-        #: Hashes of pieces, sorted, with their ids; log weights by id.
+        #: Hashes of pieces, sorted, with their ids.
         self.keys = np.array(sorted(found), np.uint64)
         self.ids = np.array([found[k] for k in sorted(found)], np.int64)
-        self.log_weight = -alpha * np.log1p(np.arange(n))
-        self.byte_weight = float(n) ** -alpha
+        #: Whether any key has these upper 20 bits.
+        self.likely = np.zeros(1 << 20, bool)
+        self.likely[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
     def normalise(self, text: str | None) -> str:
         return self.model.Normalize(text) if text else ""
 
+    def decoded(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids, end to end."""
+        return self.flat[ragged(self.place[ids], self.size[ids])]
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids, with bytes joined to characters."""
-        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace("▁", " ")
+        text = self.decoded(np.array(ids, np.int64)).tobytes().decode("utf-8", "replace").replace("▁", " ")
         return text[1:] if text[:1] == " " else text
 
 
 class Lattices:
     """Lattices of words, flat: nodes have ranges of edges, edges lead to nodes.
 
-    ``cum`` counts up by one per node, and within a node by the probability of its
-    edges, so one search finds the edge that a number in (0, 1) draws.
+    The edges of a node stand with the likeliest first. ``run`` is the probability of
+    those before an edge, ``others`` that of all others of its node.
     """
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 200_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, limit: int = 300_000) -> None:
         self.vocabulary, self.limit = vocabulary, limit
         self.clear()
 
     def clear(self) -> None:
         self.first: dict[str, int] = {}
+        self.room: dict[str, np.ndarray] = {}
         self.n_nodes = 0
-        self.cum, self.p, self.target, self.tokens = (np.zeros(0, t) for t in (np.float64, np.float64, np.int32, np.int32))
-        #: Ids of characters outside the vocabulary; token -1 - i stands for entry i.
-        self.raw: list[list[int]] = []
+        self.run, self.p, self.log_p, self.others = (np.zeros(0) for _ in range(4))
+        self.target, self.tokens = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        #: Ids of characters outside the vocabulary, end to end; token -1 - i stands for range i.
+        self.raw, self.raw_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.first_edge = np.zeros(1, np.int64)
 
     def add(self, words: list[str]) -> None:
@@ -131,7 +154,7 @@ class Lattices:
         ends = np.cumsum(sizes)
         self.first.update(zip(words, (self.n_nodes + ends - sizes).tolist()))
         text = "".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
         n = len(codes)
         room = np.repeat(ends, sizes) - np.arange(n)
         v = self.vocabulary
@@ -140,7 +163,7 @@ class Lattices:
         alone = np.zeros(n, bool)
         for length in range(1, min(v.longest, int(sizes.max())) + 1):
             h = h[: n - length + 1] * _BASE + codes[length - 1 :] + np.uint64(1)
-            at = np.flatnonzero(room[: len(h)] >= length)
+            at = np.flatnonzero((room[: len(h)] >= length) & v.likely[(h >> np.uint64(44)).view(np.int64)])
             place = np.minimum(np.searchsorted(v.keys, h[at]), len(v.keys) - 1)
             hit = v.keys[place] == h[at]
             if length == 1:
@@ -152,17 +175,18 @@ class Lattices:
         logs = [v.log_weight[t] for t in token]
         if len(lost):
             raw = [v.bytes[list(text[i].encode("utf-8", "replace"))].tolist() for i in lost.tolist()]
-            # One byte is a piece like any other; several stand in a list of their own.
+            # One byte is a piece like any other; several stand in a range of their own.
             several = [r for r in raw if len(r) > 1]
-            numbers = iter(range(-1 - len(self.raw), -1 - len(self.raw) - len(several), -1))
+            numbers = iter(range(-1 - len(self.raw_size), -1 - len(self.raw_size) - len(several), -1))
             token.append(np.array([r[0] if len(r) == 1 else next(numbers) for r in raw], np.int64))
-            self.raw += several
+            self.raw = np.concatenate([self.raw, np.array([i for r in several for i in r], np.int64)])
+            self.raw_size = np.concatenate([self.raw_size, np.array([len(r) for r in several], np.int64)])
             node.append(lost)
             width.append(np.ones(len(lost), np.int64))
-            logs.append(np.array([len(r) for r in raw]) * np.log(v.byte_weight))
+            logs.append(np.array([v.log_weight[r].sum() for r in raw]))
         node, width, token, logs = (np.concatenate(x) for x in (node, width, token, logs))
-        # By distance to the word's end, then by node and length.
-        order = np.lexsort((width, node, room[node]))
+        # By distance to the word's end, then by node. The width makes keys distinct, so any sort gives one order.
+        order = np.argsort((room[node] * n + node) * (v.longest + 1) + width)
         node, width, token, logs = (x[order] for x in (node, width, token, logs))
         mass = np.zeros(n + 1)
         distance = room[node]
@@ -177,20 +201,39 @@ class Lattices:
             each = np.diff(np.append(heads, y - x))
             mass[own[heads]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, each)), heads))
             total[x:y] = value
-        share = np.exp(total - mass[node])
-        order = np.lexsort((width, node))
-        node, width, token, share = (x[order] for x in (node, width, token, share))
+        log_p = total - mass[node]
+        if n < 1 << 20 and v.longest < 32:
+            # The upper bits of a float that is not negative sort as the float does.
+            order = np.argsort(node << 43 | (np.maximum(-log_p, 0.0).view(np.int64) >> 25 << 5) | width)
+        else:
+            order = np.lexsort((width, np.maximum(-log_p, 0.0).view(np.int64) >> 25, node))
+        node, width, token, log_p = (x[order] for x in (node, width, token, log_p))
+        p = np.exp(log_p)
         counts = np.bincount(node, minlength=n)
         begin = np.cumsum(counts) - counts
-        run = np.cumsum(share) - share
-        cum = self.n_nodes + node + np.clip(run - run[begin[node]], 0, 1 - 1e-9)
+        run = np.cumsum(p) - p
+        run = np.maximum(run - run[begin[node]], 0)
+        # All but the likeliest edge have at most a half, so nothing is lost in 1 - p.
+        rest = p.copy()
+        rest[begin] = 0
+        others = 1 - p
+        others[begin] = np.add.reduceat(rest, begin)
         target = np.where(width == room[node], -1, self.n_nodes + node + width)
-        self.cum, self.p = np.concatenate([self.cum, cum]), np.concatenate([self.p, share])
-        self.target = np.concatenate([self.target, target.astype(np.int32)])
-        self.tokens = np.concatenate([self.tokens, token.astype(np.int32)])
-        self.first_edge = np.concatenate([self.first_edge, self.first_edge[-1] + np.cumsum(counts)])
+        for name, new in (("run", run), ("p", p), ("log_p", log_p), ("others", others), ("target", target), ("tokens", token)):
+            self._append(name, new)
+        self._append("first_edge", self.first_edge[-1] + np.cumsum(counts))
         self.n_nodes += n
 
+    def _append(self, name: str, new: np.ndarray) -> None:
+        """Put entries behind an array, whose room grows by doubling."""
+        old, room = getattr(self, name), self.room.get(name)
+        size = len(old) + len(new)
+        if room is None or len(room) < size:
+            self.room[name] = room = np.empty(2 * size, old.dtype)
+            room[: len(old)] = old
+        room[len(old) : size] = new
+        setattr(self, name, room[:size])
+
     def starts(self, words: list[str]) -> np.ndarray:
         """The first node of each word; new words are added."""
         new = {w for w in words if w not in self.first}
@@ -202,39 +245,52 @@ class Lattices:
         return np.fromiter(map(self.first.__getitem__, words), np.int64, len(words))
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """The edge of each node that u draws: from its first edge on while the next begins below u."""
-        edge, last, level = self.first_edge[nodes], self.first_edge[nodes + 1] - 1, nodes + u
+        """The edge of each node that u draws: from its first edge on while the next begins at most at u."""
+        edge, last = self.first_edge[nodes], self.first_edge[nodes + 1] - 1
         live = np.flatnonzero(edge < last)
+        level, at, last = u[live], edge[live], last[live]
         while len(live):
-            then = edge[live] + 1
-            go = self.cum[then] <= level[live]
-            live, then = live[go], then[go]
-            edge[live] = then
-            live = live[then < last[live]]
+            go = self.run[at + 1] <= level
+            live, level, at, last = live[go], level[go], at[go] + 1, last[go]
+            edge[live] = at
+            on = at < last
+            if not on.all():
+                live, level, at, last = live[on], level[on], at[on], last[on]
         return edge
 
-    def draw_others(self, nodes: np.ndarray, u: np.ndarray, known: list[list[int]]) -> np.ndarray:
-        """An edge of each node that is none of the known ones, by their remaining mass."""
-        most = max(map(len, known))
-        p, at = np.zeros((len(nodes), most)), np.full((len(nodes), most), np.inf)
-        for i, edges in enumerate(known):
-            own = sorted(edges)
-            p[i, : len(own)], at[i, : len(own)] = self.p[own], self.cum[own] - nodes[i]
-        v = u * np.maximum(1 - p.sum(axis=1), 0)
-        for k in range(most):
-            v = np.where(v >= at[:, k], v + p[:, k], v)
-        edge = self.draw(nodes, v)
-        for i, edges in enumerate(known):  # rounding at the border of two edges
-            if edge[i] in edges:
-                free = [e for e in range(self.first_edge[nodes[i]], self.first_edge[nodes[i] + 1]) if e not in edges]
-                edge[i] = max(free, key=lambda e: self.p[e])
-        return edge
-
-    def ids(self, edges: np.ndarray) -> np.ndarray:
-        out = self.tokens[edges]
-        if len(out) and out.min() < 0:
-            return np.array([i for t in out.tolist() for i in ((t,) if t >= 0 else self.raw[-1 - t])], np.int64)
-        return out.astype(np.int64)
+    def beside(self, start: int, known: list[tuple[int, ...]]) -> tuple[list[tuple[int, ...]], np.ndarray]:
+        """The subtrees of a word that no known path enters, as the edges down to them, and their masses."""
+        heads: list[tuple[int, ...]] = []
+        masses: list[float] = []
+        groups = [((), 1.0, start, known)]
+        while groups:
+            head, before, node, paths = groups.pop()
+            depth = len(head)
+            taken = {path[depth] for path in paths}
+            for edge in range(int(self.first_edge[node]), int(self.first_edge[node + 1])):
+                mass = before * float(self.p[edge])
+                if edge not in taken:
+                    if mass > 1e-300:
+                        heads.append((*head, edge))
+                        masses.append(mass)
+                elif self.target[edge] >= 0:
+                    groups.append(((*head, edge), mass, int(self.target[edge]), [x for x in paths if x[depth] == edge]))
+        return heads, np.array(masses)
+
+    def ids(self, edges: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ranges of edges of the given sizes, and the sizes in ids."""
+        tokens_ = self.tokens[edges].astype(np.int64)
+        if not len(tokens_) or tokens_.min() >= 0:
+            return tokens_, sizes
+        several = tokens_ < 0
+        which = -1 - tokens_[several]
+        each = np.ones(len(tokens_), np.int64)
+        each[several] = self.raw_size[which]
+        out = np.repeat(tokens_, each)
+        out[out < 0] = self.raw[ragged((np.cumsum(self.raw_size) - self.raw_size)[which], self.raw_size[which])]
+        done = np.concatenate([[0], np.cumsum(each)])
+        ends = np.cumsum(sizes)
+        return out, done[ends] - done[ends - sizes]
 
 
 def lattices_of(model: str, alpha: float) -> Lattices:
@@ -243,127 +299,135 @@ def lattices_of(model: str, alpha: float) -> Lattices:
 
 
 class Batch:
-    """Texts of one batch: their words' start nodes, laid end to end."""
+    """Texts of one batch, none of them empty: their words' start nodes, laid end to end, and the edges drawn."""
 
     def __init__(self, lattices: Lattices, texts: list[str], keys: list[int]) -> None:
-        self.lattices = lattices
+        self.lattices, self.n = lattices, len(texts)
         lists = [_WORD.findall(t) for t in texts]
         self.start = lattices.starts([w for x in lists for w in x])
         sizes = np.array([len(x) for x in lists], np.int64)
         self.end = np.cumsum(sizes)
+        self.begin = self.end - sizes
         self.doc = np.repeat(np.arange(len(texts)), sizes)
-        self.place = np.arange(len(self.start)) - np.repeat(self.end - sizes, sizes)
         self.key = _mix(np.array(keys, np.int64).view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+        place = (np.arange(len(self.start)) - self.begin[self.doc]).astype(np.uint64)
+        self.word_key = _mix(self.key[self.doc] * np.uint64(0x9E3779B97F4A7C15) + place)
+        #: Edges of all words of all paths.
+        self.edges, self.n_edges = [], 0
+
+    def keep(self, edges: np.ndarray) -> int:
+        """Store edges; returns the place of the first."""
+        self.edges.append(edges)
+        self.n_edges += len(edges)
+        return self.n_edges - len(edges)
+
+    def walk(self, words: np.ndarray, nodes: np.ndarray, sample: int) -> tuple[np.ndarray, ...]:
+        """Draw from each node to the end of its word: where the edges are, how many, log probability, mass beside them."""
+        lat, n = self.lattices, len(words)
+        size, log_p, rest = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        key, live, before, steps = self.word_key[words], np.arange(n), np.ones(n), []
+        u = uniforms(key, sample)
+        while len(live):
+            if steps and len(steps) % 4 == 0:  # what is left of u has few bits
+                u = uniforms(key[live], sample, len(steps))
+            edge = lat.draw(nodes, u)
+            p = lat.p[edge]
+            steps.append((live, edge))
+            size[live] += 1
+            log_p[live] += lat.log_p[edge]
+            rest[live] += before * lat.others[edge]
+            then = lat.target[edge]
+            on = np.flatnonzero(then >= 0)
+            u = np.clip((u[on] - lat.run[edge[on]]) / p[on], 0.0, 1 - 1e-16)
+            live, nodes, before = live[on], then[on].astype(np.int64), before[on] * p[on]
+        begin = np.cumsum(size) - size
+        edges = np.empty(int(size.sum()), np.int64)
+        for depth, (who, edge) in enumerate(steps):
+            edges[begin[who] + depth] = edge
+        return begin + self.keep(edges), size, log_p, rest
+
 
-    def u(self, words: np.ndarray, nodes: np.ndarray, *salts: int) -> np.ndarray:
-        return uniforms(self.key[self.doc[words]], *salts, self.place[words], nodes - self.start[words])
+class Path:
+    """One segmentation per text: per word where its edges are, how many, its log probability, and the frontier mass beside it."""
 
-    def walk(self, words: np.ndarray, nodes: np.ndarray, sample: int) -> list[np.ndarray]:
-        """Draw from each node to the end of its word: word, node and edge of all steps."""
-        found = []
-        while len(words):
-            edge = self.lattices.draw(nodes, self.u(words, nodes, 1, sample))
-            found.append((words, nodes, edge))
-            then = self.lattices.target[edge].astype(np.int64)
-            on = then >= 0
-            words, nodes = words[on], then[on]
-        return [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
+    def __init__(self, batch: Batch, at: np.ndarray, size: np.ndarray, log_p: np.ndarray, rest: np.ndarray, value: np.ndarray) -> None:
+        self.at, self.size, self.word_log_p, self.value = at, size, log_p, value
+        run = np.cumsum(log_p)
+        self.before = run - log_p
+        self.before -= self.before[batch.begin][batch.doc]
+        self.log_p = np.add.reduceat(log_p, batch.begin)
+        self.mass = np.exp(self.before) * rest
 
 
-class Path:
-    """One segmentation per text, as steps in order, with the bound of what lies beside each step."""
-
-    def __init__(self, batch: Batch, steps: list[np.ndarray], value: np.ndarray, owned: np.ndarray, sample: int) -> None:
-        order = np.argsort(steps[0], kind="stable")
-        self.word, self.node, self.edge = (x[order] for x in steps)
-        self.value, self.doc = value, batch.doc[self.word]
-        lattices = batch.lattices
-        logs = np.log(np.maximum(lattices.p[self.edge], 1e-300))
-        run = np.cumsum(logs)
-        self.docs, self.begin = np.unique(self.doc, return_index=True)
-        self.stop = np.append(self.begin[1:], len(self.doc))
-        base = np.zeros(len(value))
-        base[self.docs] = run[self.begin] - logs[self.begin]
-        self.before = run - logs - base[self.doc]
-        self.log_p = np.zeros(len(value))
-        self.log_p[self.docs] = run[self.stop - 1] - base[self.docs]
-        many = lattices.first_edge[self.node + 1] - lattices.first_edge[self.node] > 1
-        beside = many & owned[order]
-        self.bound = np.full(len(self.doc), -np.inf)
-        rest = np.log(np.maximum(1 - lattices.p[self.edge[beside]], 1e-300)) + self.before[beside]
-        u = batch.u(self.word[beside], self.node[beside], 2, sample)
-        self.bound[beside] = truncated_gumbel(rest, value[self.doc[beside]], u)
-        #: Edges taken at a step, where more than its own are.
-        self.taken: dict[int, list[int]] = {}
-
-    def edges_of(self, doc: int) -> np.ndarray:
-        a, b = np.searchsorted(self.doc, [doc, doc + 1])
-        return self.edge[a:b]
-
-
-def top_k(batch: Batch, n: int, k: int) -> tuple[list[Path], np.ndarray]:
+def top_k(batch: Batch, k: int) -> tuple[list[Path], np.ndarray]:
     """Paths of the k largest perturbed values, best first, and the next value per text.
 
     A path has value -inf for texts that have no segmentation left.
     """
-    lattices = batch.lattices
+    lat, n = batch.lattices, batch.n
     value = -np.log(-np.log(uniforms(batch.key, 3)))
-    words = np.arange(len(batch.start))
-    steps = batch.walk(words, batch.start, 1)
-    paths = [Path(batch, steps, value, np.ones(len(steps[0]), bool), 1)]
+    every = np.arange(len(batch.start))
+    paths = [Path(batch, *batch.walk(every, batch.start, 1), value)]
+    #: Cuts of a word that are known, by path and word.
+    known: dict[tuple[int, int], list[tuple[int, ...]]] = {}
     for sample in range(2, k + 2):
-        best, which, where = np.full(n, -np.inf), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for q, path in enumerate(paths):
-            if not len(path.docs):
-                continue
-            top = np.maximum.reduceat(path.bound, path.begin)
-            hits = np.flatnonzero(path.bound == np.repeat(top, path.stop - path.begin))
-            first = hits[np.unique(path.doc[hits], return_index=True)[1]]
-            better = top > best[path.docs]
-            docs = path.docs[better]
-            best[docs], which[docs], where[docs] = top[better], q, first[better]
-        if sample > k:
-            return paths, best
-        live = np.flatnonzero(best > -np.inf)
-        parts: list[list[np.ndarray]] = []
-        owned: list[np.ndarray] = []
-        for q, path in enumerate(paths):
-            docs = live[which[live] == q]
-            if not len(docs):
-                continue
-            at = where[docs]
-            limit = np.zeros(n, np.int64)
-            limit[docs] = at
-            head = np.flatnonzero(np.arange(len(path.doc)) < limit[path.doc])
-            parts.append([path.word[head], path.node[head], path.edge[head]])
-            owned.append(np.zeros(len(head), bool))
-            taken = [path.taken.setdefault(j, [int(path.edge[j])]) for j in at.tolist()]
-            node, word = path.node[at], path.word[at]
-            edge = lattices.draw_others(node, batch.u(word, node, 4, sample), taken)
-            parts.append([word, node, edge])
-            owned.append(np.zeros(len(at), bool))
-            # What is left beside the step after this edge too.
-            mass = np.empty(len(at))
-            for i, edges in enumerate(taken):
-                edges.append(int(edge[i]))
-                full = len(edges) >= lattices.first_edge[node[i] + 1] - lattices.first_edge[node[i]]
-                mass[i] = 0.0 if full else max(1 - lattices.p[edges].sum(), 1e-300)
-            with np.errstate(divide="ignore"):
-                location = path.before[at] + np.log(mass)
-            path.bound[at] = np.where(mass > 0, truncated_gumbel(location, best[docs], batch.u(word, node, 5, sample)), -np.inf)
-            # The rest of the word, and all words behind it, are drawn anew.
-            then = lattices.target[edge].astype(np.int64)
-            on = then >= 0
-            behind = batch.end[docs] - word - 1
-            later = np.repeat(word + 1, behind) + np.arange(behind.sum()) - np.repeat(np.cumsum(behind) - behind, behind)
-            new = batch.walk(np.concatenate([word[on], later]), np.concatenate([then[on], batch.start[later]]), sample)
-            parts.append(new)
-            owned.append(np.ones(len(new[0]), bool))
-        if not parts:
-            return paths, best
-        steps = [np.concatenate(x) for x in zip(*parts)]
-        paths.append(Path(batch, steps, best, np.concatenate(owned), sample))
-    return paths, best
+        by_path = np.stack([np.add.reduceat(path.mass, batch.begin) for path in paths])
+        total = by_path.sum(axis=0)
+        some = total > 1e-300
+        with np.errstate(divide="ignore"):
+            value = np.where(some, truncated_gumbel(np.log(total), value, uniforms(batch.key, 5, sample)), -np.inf)
+        if sample > k or not some.any():
+            return paths, value
+        docs = np.flatnonzero(some)
+        pool = np.concatenate(batch.edges)
+        draws, inside = uniforms(batch.key, 4, sample) * total, uniforms(batch.key, 6, sample)
+        parent, leave = np.zeros(n, np.int64), batch.end.copy()
+        chosen: list[tuple[int, int, tuple[int, ...]]] = []
+        for d in docs.tolist():
+            q, left = 0, draws[d]
+            while q + 1 < len(paths) and (left >= by_path[q, d] or by_path[q, d] == 0) and by_path[q + 1 :, d].any():
+                left -= by_path[q, d]
+                q += 1
+            mass = paths[q].mass[batch.begin[d] : batch.end[d]]
+            run = np.cumsum(mass)
+            # Never a word without mass, whatever the rounding.
+            place = min(int(np.searchsorted(run, min(max(left, 0.0), run[-1]), side="right")), int(np.flatnonzero(mass)[-1]))
+            w = int(batch.begin[d]) + place
+            path = paths[q]
+            cuts = known.setdefault((q, w), [tuple(pool[path.at[w] : path.at[w] + path.size[w]].tolist())])
+            heads, masses = lat.beside(int(batch.start[w]), cuts)
+            run = np.cumsum(masses)
+            head = heads[min(int(np.searchsorted(run, inside[d] * run[-1], side="right")), len(heads) - 1)]
+            chosen.append((d, w, head))
+            parent[d], leave[d] = q, w
+        # The rest of the word, and all words behind it, are drawn anew.
+        words = np.array([w for _, w, _ in chosen], np.int64)
+        then = lat.target[[head[-1] for _, _, head in chosen]].astype(np.int64)
+        on = np.flatnonzero(then >= 0)
+        at, size, log_p, _ = batch.walk(words[on], then[on], sample)
+        tails = dict(zip(on.tolist(), zip(at.tolist(), size.tolist())))
+        pool = np.concatenate(batch.edges)
+        own = np.empty(len(words)), np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        cut_edges: list[int] = []
+        for i, (d, w, head) in enumerate(chosen):
+            a, m = tails.get(i, (0, 0))
+            cut = (*head, *pool[a : a + m].tolist())
+            cuts = known[parent[d], w]
+            cuts.append(cut)
+            left = lat.beside(int(batch.start[w]), cuts)[1].sum()
+            path = paths[parent[d]]
+            path.mass[w] = np.exp(path.before[w]) * left
+            own[0][i], own[1][i], own[2][i] = lat.log_p[list(cut)].sum(), len(cut_edges), len(cut)
+            cut_edges += cut
+        base = batch.keep(np.array(cut_edges, np.int64))
+        source = parent[batch.doc]
+        new = [np.choose(source, [getattr(path, name) for path in paths]) for name in ("at", "size", "word_log_p")]
+        new[0][words], new[1][words], new[2][words] = own[1] + base, own[2], own[0]
+        later = np.flatnonzero(every > leave[batch.doc])
+        rest = np.zeros(len(every))
+        new[0][later], new[1][later], new[2][later], rest[later] = batch.walk(later, batch.start[later], sample)
+        paths.append(Path(batch, *new, rest, value))
+    return paths, value
 
 
 SAMPLES = (
@@ -372,8 +436,47 @@ SAMPLES = (
 )
 
 
+def log_inclusion(log_p: np.ndarray, threshold: np.ndarray) -> np.ndarray:
+    """Log of the probability that a perturbed value exceeds the threshold."""
+    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+        excess = np.exp(np.minimum(log_p - threshold, 700))
+        return np.where(np.isneginf(threshold), 0.0, np.where(excess > 1e-12, np.log(-np.expm1(-excess)), log_p - threshold))
+
+
+def sampled(lattices: Lattices, texts: list[str], keys: list[int], k: int, with_ids: bool) -> list[tuple]:
+    """Rows (text's number, sample, n_pieces, log_p, perturbed, log_inclusion, crc, round_trip[, ids]) of normalised texts."""
+    full = [i for i, t in enumerate(texts) if t]
+    rows: list[tuple] = []
+    for i, text in enumerate(texts):
+        if not text:
+            value = float(-np.log(-np.log(uniforms(_mix(np.array([keys[i]], np.int64).view(np.uint64)), 3)))[0])
+            rows.append((i, 1, 0, 0.0, value, 0.0, zlib.crc32(b""), True) + (([],) if with_ids else ()))
+    if not full:
+        return rows
+    batch = Batch(lattices, [texts[i] for i in full], [keys[i] for i in full])
+    paths, following = top_k(batch, k)
+    pool = np.concatenate(batch.edges)
+    plain = [texts[i].encode("utf-8", "replace") for i in full]
+    want = np.frombuffer(b"".join(plain), np.uint8)
+    for number, path in enumerate(paths, 1):
+        ids, sizes = lattices.ids(pool[ragged(path.at, path.size)], np.add.reduceat(path.size, batch.begin))
+        got = lattices.vocabulary.decoded(ids)
+        ends = np.cumsum(sizes)
+        same = [True] * len(full)
+        if not np.array_equal(got, want):
+            stops = np.cumsum(np.add.reduceat(lattices.vocabulary.size[ids], ends - sizes))
+            same = [got[b - len(x) : b].tobytes() == x and b - a == len(x) for x, a, b in zip(plain, [0, *stops[:-1]], stops)]
+        raw = memoryview(ids.astype("<u4").tobytes())
+        inclusion = log_inclusion(path.log_p, following)
+        for d, (a, b) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
+            if path.value[d] > -np.inf:
+                row = (full[d], number, b - a, float(path.log_p[d]), float(path.value[d]), float(inclusion[d]), zlib.crc32(raw[4 * a : 4 * b]), same[d])
+                rows.append(row + ((ids[a:b],) if with_ids else ()))
+    return rows
+
+
 def sample_segmentations(
-    docs: DataFrame, model: str, k: int = 3, alpha: float = 1.0, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    docs: DataFrame, model: str, k: int = 3, alpha: float = 0.001, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
     """One row per document and sample, see ``SAMPLES``; with the ids if asked for."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
@@ -382,27 +485,14 @@ def sample_segmentations(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = lattices_of(model, alpha)
-        vocabulary = lattices.vocabulary
         for whole in batches:
             for part in tokens.slices(whole, "text", 600_000):
                 ids, texts = (c.to_pylist() for c in part.columns)
-                texts = [vocabulary.normalise(t) for t in texts]
-                batch = Batch(lattices, texts, [(i or 0) ^ seed for i in ids])
-                paths, following = top_k(batch, len(texts), k)
-                rows = []
-                for d, (doc_id, text) in enumerate(zip(ids, texts)):
-                    plain = vocabulary.decode([]) if not text else text.replace("▁", " ").removeprefix(" ")
-                    for number, path in enumerate(paths if text else paths[:1]):
-                        if path.value[d] == -np.inf:
-                            break
-                        got = lattices.ids(path.edges_of(d))
-                        with np.errstate(over="ignore"):
-                            excess = np.exp(path.log_p[d] - following[d]) if following[d] > -np.inf else np.inf
-                        inclusion = float(np.log(-np.expm1(-excess))) if excess > 1e-12 else float(path.log_p[d] - following[d])
-                        crc = zlib.crc32(got.astype("<u4").tobytes())
-                        same = vocabulary.decode(got.tolist()) == plain
-                        rows.append((doc_id, number + 1, len(got), float(path.log_p[d]), float(path.value[d]), inclusion, crc, same) + ((got,) if with_ids else ()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                texts = [lattices.vocabulary.normalise(t) for t in texts]
+                rows = sampled(lattices, texts, [(i or 0) ^ seed for i in ids], k, with_ids)
+                columns = list(zip(*rows))
+                columns[0] = [ids[i] for i in columns[0]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(encode, SAMPLES + ", ids array<long>" * with_ids)
