@@ -14,13 +14,19 @@ marks divided by their number; the language with the lowest one is chosen. A wor
 sums do not depend on its neighbours, so each distinct word is scored once per batch
 and kept in a bounded store.
 
-Rejection: on another part of the sample, each language's mean cross-entropy and its
-spread per character are measured. A text is rejected if it lies further above the
-mean than ``z`` standard errors of a text of its length, plus a margin.
-
-Defined results: a text that is null or has no letter is ``und`` with score 0 and is
-rejected; without any labelled rows every text is ``und``; equal texts get equal
-values; ties go to the language that sorts first; an empty table gives no rows.
+Rejection: a text's least cross-entropy takes each word under the language that fits it
+best, so a text in two learned languages lies where a text in one does. On the held
+fifth of the sample it is measured twice: with all models, as known text shows it, and without
+the model of the row's own language, as an unknown language would. From both the limit
+is calibrated (see ``calibrate``): a text of n characters is rejected if its least cross-entropy
+is above level + z * spread / sqrt(n). Nothing in it is a fixed margin.
+
+Defined results: a text that is null or has no letter (Unicode category L) is ``und``
+with score 0 and is rejected; without any labelled rows every text is ``und``; with one
+language nothing shows how unknown text looks, and the limit is the known rows' own; equal
+texts, repeated rows included, get equal values; ties go to the language that sorts first; very long texts
+are scored whole; an empty table gives no rows; columns other than the id, text and
+language are not read.
 """
 
 from __future__ import annotations
@@ -48,7 +54,11 @@ def words_of(text: str | None) -> list[str]:
     """Runs of letters, composed and in lower case."""
     if not text:
         return []
-    return _WORD.findall((text if text.isascii() else normalize("NFC", text)).lower())
+    if text.isascii():
+        return _WORD.findall(text.lower())
+    words = _WORD.findall(normalize("NFC", text).lower())
+    # Fractions, superscripts and numeral signs count as word characters there, but are no letters.
+    return words if all(map(str.isalpha, words)) else [x for w in words for x in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 def grams_of(word: str, order: int) -> list[str]:
@@ -79,8 +89,10 @@ class Model:
     floor: float
     grams: list[tuple[np.ndarray, np.ndarray]]
     contexts: list[tuple[np.ndarray, np.ndarray]]
-    mean: np.ndarray | None = None
-    spread: np.ndarray | None = None
+    #: Limit of the least cross-entropy: level + z * spread / sqrt(characters).
+    level: float = np.inf
+    spread: float = 0.0
+    z: float = 0.0
 
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         """Summed natural logs of each word's characters and end mark, a column per language."""
@@ -158,16 +170,39 @@ def build(counts: dict[str, Counter], order: int) -> Model:
     )
 
 
+def calibrate(known: pd.DataFrame, foreign: pd.DataFrame) -> tuple[float, float, float]:
+    """Level, spread and z of the limit, from least cross-entropies h of texts of n characters.
+
+    Known texts scatter around their mean like a mean of n characters, each with the
+    measured spread. z and the level are set where known text ends: the level is
+    half-way from the highest known text, lifted by its length, to the 5 % quantile of
+    foreign text where this lies above it, and the highest known text itself elsewhere.
+    """
+    mean = float(np.average(known["h"], weights=known["n"]))
+    spread = float(np.sqrt((known["n"] * (known["h"] - mean) ** 2).mean()))
+    # A normal quantile that one known text in a thousand exceeds.
+    z = 3.1
+    reach = known["h"] - z * spread / np.sqrt(known["n"])
+    highest = max(float(reach.max()), mean)
+    if len(foreign):
+        low = float((foreign["h"] - z * spread / np.sqrt(foreign["n"])).quantile(0.05))
+        highest = max(highest, (highest + low) / 2)
+    return highest, spread, z
+
+
 class Scorer:
     """Scores texts with a model; keeps the sums of words in a bounded store."""
 
-    def __init__(self, model: Model, limit: int = 300_000, z: float = 6.0, margin: float = 1.2) -> None:
-        self.model, self.limit, self.z, self.margin = model, limit, z, margin
+    def __init__(self, model: Model, limit: int = 300_000) -> None:
+        self.model, self.limit = model, limit
         self.places: dict[str, int] = {}
         self.sums = np.zeros((0, len(model.languages)), np.float32)
 
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per language and number of characters and marks, for each text."""
+    def entropies(self, texts: list[str | None], without: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cross-entropy per language, the least one by words, and the number of characters and marks of each text.
+
+        ``without`` names a language per text that the least one does not use.
+        """
         lists = [words_of(t) for t in texts]
         seen = set().union(*lists)
         new = [w for w in seen if w not in self.places]
@@ -178,26 +213,31 @@ class Scorer:
             self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
             self.sums = np.concatenate([self.sums, *got])
         sizes = np.array([sum(map(len, x)) + len(x) for x in lists], np.float64)
-        out = np.zeros((len(texts), len(self.model.languages)))
+        out, least = np.zeros((len(texts), len(self.model.languages))), np.zeros(len(texts))
         get = self.places.__getitem__
         for i, x in enumerate(lists):
             if x:
-                out[i] = -self.sums[np.fromiter(map(get, x), np.int64, len(x))].sum(axis=0, dtype=np.float64) / sizes[i]
-        return out, sizes
+                rows = self.sums[np.fromiter(map(get, x), np.int64, len(x))]
+                out[i] = -rows.sum(axis=0, dtype=np.float64) / sizes[i]
+                if without is not None and without[i] >= 0:
+                    rows = np.delete(rows, without[i], axis=1)
+                if rows.shape[1]:
+                    least[i] = -rows.max(axis=1).sum(dtype=np.float64) / sizes[i]
+        return out, least, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score, cross-entropy and whether the text is rejected."""
         if not self.model.languages:
             n = len(texts)
             return ["und"] * n, np.zeros(n), np.zeros(n), np.ones(n, bool)
-        entropy, sizes = self.entropies(texts)
+        entropy, least, sizes = self.entropies(texts)
         best = entropy.argmin(axis=1)
         low = entropy[np.arange(len(texts)), best]
         score = 1.0 / np.exp(-10.0 * (entropy - low[:, None])).sum(axis=1)
         some = sizes > 0
-        limit = self.model.mean[best] + self.z * self.model.spread[best] / np.sqrt(np.maximum(sizes, 1)) + self.margin
+        limit = self.model.level + self.model.z * self.model.spread / np.sqrt(np.maximum(sizes, 1))
         names = [self.model.languages[b] if ok else "und" for b, ok in zip(best, some)]
-        return names, np.where(some, score, 0.0), np.where(some, low, 0.0), ~some | (low > limit)
+        return names, np.where(some, score, 0.0), np.where(some, low, 0.0), ~some | (least > limit)
 
 
 def scorer_of(model: Model) -> Scorer:
@@ -212,17 +252,16 @@ def train(
     """Learn from at most ``per_language`` rows of each language; a fifth of them calibrate."""
     spark = labelled.sparkSession
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    mark = F.xxhash64(F.col(id_col).cast("string"))
+    rows = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = rows.withColumn("mark", F.xxhash64(F.col("doc_id").cast("string")))
+    # A bound of the hash leaves about twice the rows wanted of each language, however many it has.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("_rows"))
+    few = rows.select("lang", "mark", "doc_id").join(counts, "lang").where(F.col("mark") / F.lit(float(1 << 64)) + 0.5 <= share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))
-    chosen = (
-        rows.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), mark.alias("mark"))
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= per_language)
-        .select("doc_id", (F.col("rank") % 5 == 0).alias("held"))
-    )
-    # Bounded by per_language rows of two short columns for each language.
-    chosen = F.broadcast(chosen)
-    sample = rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(chosen, "doc_id")
+    chosen = few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang", (F.col("rank") % 5 == 0).alias("held"))
+    # Bounded by per_language rows of three short columns for each language.
+    sample = rows.select("doc_id", "text", "lang").join(F.broadcast(chosen.distinct()), ["doc_id", "lang"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -240,27 +279,23 @@ def train(
     for lang, gram, n in zip(*grams.toPandas().to_dict("list").values()):
         counts[lang][gram] = n
     model = build(counts, order)
-    width = len(model.languages)
-    model.mean, model.spread = np.zeros(width), np.zeros(width)
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
+        numbers = {language: k for k, language in enumerate(shared.value.languages)}
         for batch in batches:
-            entropy, sizes = scorer.entropies(batch["text"].tolist())
-            where = np.array([shared.value.languages.index(x) if x in shared.value.languages else -1 for x in batch["lang"]])
-            ok = (where >= 0) & (sizes > 0)
-            yield pd.DataFrame({"k": where[ok], "h": entropy[np.arange(len(where)), where][ok], "n": sizes[ok]})
-
-    if width:
-        held = sample.where("held").mapInPandas(measure, "k int, h double, n double").toPandas()
-        for k in range(width):
-            own = held[held["k"] == k]
-            if len(own):
-                model.mean[k] = np.average(own["h"], weights=own["n"])
-                model.spread[k] = np.sqrt((own["n"] * (own["h"] - model.mean[k]) ** 2).mean())
-            else:
-                model.mean[k] = np.inf
+            texts, own = batch["text"].tolist(), [numbers.get(x, -1) for x in batch["lang"]]
+            _, known, sizes = scorer.entropies(texts)
+            _, foreign, _ = scorer.entropies(texts, own)
+            yield pd.DataFrame({"known": known, "foreign": foreign, "n": sizes})[sizes > 0]
+
+    if model.languages:
+        # Two numbers for each row of the held fifth of the sample.
+        held = sample.where("held").mapInPandas(measure, "known double, foreign double, n double").toPandas()
+        if len(held):
+            foreign = held[["foreign", "n"]].set_axis(["h", "n"], axis=1) if len(model.languages) > 1 else held[:0]
+            model.level, model.spread, model.z = calibrate(held[["known", "n"]].set_axis(["h", "n"], axis=1), foreign)
     return model
 
 
