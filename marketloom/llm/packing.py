@@ -179,7 +179,7 @@ def pack(
     """One row per piece, see ``PIECES``."""
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     groups = max(1, size // group_bytes)
-    id_bytes = 2
+    dtype = tokens.id_type(tokenizer)
 
     def lay_out(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
@@ -189,7 +189,7 @@ def pack(
         pieces, sizes = plan(parts["length"].to_numpy(np.int64), top, least)
         raw = parts["ids"].tolist()
         crc = [
-            zlib.crc32(np.frombuffer(raw[p], "<u2", n, s * id_bytes).astype("<u4").tobytes())
+            zlib.crc32(np.frombuffer(raw[p], dtype, n, s * dtype.itemsize).astype("<u4").tobytes())
             for p, s, n in pieces[:, :3].tolist()
         ]
         who, n_short = pieces[:, 0], len(sizes)

@@ -29,6 +29,14 @@ _ODD = re.compile(r"[^\S \n]")
 _TAIL = ".,;:!?"
 
 
+def id_type(path: str) -> np.dtype:
+    """The narrowest unsigned type for the ids of a tokenizer file."""
+    from tokenizers import Tokenizer
+
+    size = max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+
 class UnitEncoder:
     """Encodes texts to little-endian unsigned ids; ``dtype`` is the id type.
 
