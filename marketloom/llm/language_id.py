@@ -257,7 +257,8 @@ def train(
     # A bound of the hash leaves about twice the rows wanted of each language, however many it has.
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
     share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("_rows"))
-    few = rows.select("lang", "mark", "doc_id").join(counts, "lang").where(F.col("mark") / F.lit(float(1 << 64)) + 0.5 <= share)
+    # One row per language; broadcast, so that no row is shuffled by its language before the bound.
+    few = rows.select("lang", "mark", "doc_id").join(F.broadcast(counts), "lang").where(F.col("mark") / F.lit(float(1 << 64)) + 0.5 <= share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))
     chosen = few.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang", (F.col("rank") % 5 == 0).alias("held"))
     # Bounded by per_language rows of three short columns for each language.
