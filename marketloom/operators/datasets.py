@@ -66,12 +66,22 @@ def negative_sampling(frame: DataFrame, keys: list[str], per_positive: float, se
 
 
 def label_quotas(frame: DataFrame, most: int) -> DataFrame:
-    """Rows per label when at most ``most`` are kept: in proportion, at least one of each."""
-    counts = frame.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    shares = counts.join(F.broadcast(total), how="cross")
-    quota = F.when(F.col("total") <= most, F.col("n")).otherwise(F.least(F.col("n"), F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(most) / F.col("total") + F.lit(0.5)))))
-    return shares.select("label", "n", quota.cast("long").alias("quota"))
+    """Rows of labels 0 and 1 when at most ``most`` are kept: label, n, quota.
+
+    Label 1 gets its share, rounded half to even, and label 0 the rest, at least one row each; so the
+    quotas add up to ``most``, or to all rows if there are fewer.
+    """
+    if most < 2:
+        raise ValueError("both labels need a row")
+    n = frame.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
+    share = F.bround(F.lit(most) * F.col("n1") / (F.col("n0") + F.col("n1")))
+    n = n.withColumn("q1", F.least(F.greatest(share, F.lit(1)), "n1", F.greatest(F.lit(most) - F.least(F.lit(1), "n0"), F.lit(0))))
+    n = n.withColumn("q0", F.least(F.lit(most) - F.col("q1"), "n0"))
+    # Rows that the other label cannot fill.
+    n = n.withColumn("q1", F.least("n1", F.lit(most) - F.col("q0")))
+    both = F.array(*(F.struct(F.lit(k).alias("label"), F.col(f"n{k}").alias("n"), F.col(f"q{k}").cast("long").alias("quota")) for k in (0, 1)))
+    rows = n.select(F.explode(both).alias("r")).select("r.*").where("n > 0")
+    return rows.withColumn("label", F.col("label").cast(frame.schema["label"].dataType))
 
 
 def stratified_cap(frame: DataFrame, keys: list[str], most: int, seed: int) -> DataFrame:
@@ -92,7 +102,7 @@ def stratified_split(frame: DataFrame, key: str, strata: list[str], share: float
 def stratum_sizes(frame: DataFrame, strata: list[str]) -> DataFrame:
     """Rows with the size of their stratum, counted with a map-side combine."""
     sizes = frame.groupBy(*strata).agg(F.count(F.lit(1)).alias("stratum_size"))
-    return frame.join(F.broadcast(sizes), strata)
+    return frame.join(sizes, strata)
 
 
 def uplift_dataset(labels: DataFrame, users: DataFrame, share: float, seed: int) -> DataFrame:

@@ -1,53 +1,87 @@
 """Order over whole tables without a window in one partition: ranks, running sums, greedy budgets.
 
 Rows are dealt to range buckets of the sort key; a window orders each bucket; the
-totals of the buckets before it, from a tiny aggregate, are added. Bounds are literals
-from an approximate quantile, so a task that runs again deals its rows alike. Rows
-that share the leading key are dealt further by a hash-free second key where one
-is given, so one common value does not fill a bucket.
+totals of the buckets before it, from a tiny aggregate, are added. The number of buckets
+follows the number of rows. Bounds are literals from an approximate quantile, so a task
+that runs again deals its rows alike. A value of the leading key that fills whole buckets gets
+one of its own, and where a second key is given, its rows are dealt further by that, so one
+common value does not fill a task. Input is stored first, as it is read for the
+bounds, the totals and the windows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from math import inf, nextafter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.sources.shared import materialise
 
+#: Rows that a bucket should hold, and the bounds of the number of buckets.
+BUCKET_ROWS, LEAST, MOST = 500_000, 8, 4096
+
+
+def _cuts(frame: DataFrame, key: Column, buckets: int) -> list[float]:
+    found = frame.select(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], max(10_000, 50 * buckets))).first()[0]
+    return sorted(map(float, found or []))
+
 
-def _bounds(frame: DataFrame, key: Column, buckets: int) -> list[float]:
-    cuts = frame.select(F.percentile_approx(key, [i / buckets for i in range(1, buckets)], 10_000)).first()[0]
-    return sorted(set(cuts or []))
+def _place(bounds: list[float], key: Column, chunk: int = 64) -> Column:
+    """How many of the sorted bounds are below the key, looked up in two steps."""
+    if not bounds:
+        return F.lit(0)
+    below = lambda values: F.array_size(F.filter(values, lambda b: b < key))
+    parts = [bounds[i : i + chunk] for i in range(0, len(bounds), chunk)]
+    if len(parts) == 1:
+        return below(F.array(*map(F.lit, bounds)))
+    part = below(F.array(*(F.lit(x[-1]) for x in parts[:-1])))
+    return part * chunk + below(F.get(F.array(*(F.array(*map(F.lit, x)) for x in parts)), part))
 
 
-def with_bucket(frame: DataFrame, lead: str, descending: bool, buckets: int, second: str | None = None) -> DataFrame:
-    """Add ``_bucket``, growing in the order of the numeric key ``lead`` (then ``second``)."""
+def with_bucket(frame: DataFrame, lead: str, descending: bool, buckets: int, second: Column | None = None) -> DataFrame:
+    """Add ``_bucket``, growing in the order of the numeric key ``lead``, then of ``second`` (ascending).
+
+    Nulls of the leading key come first in a growing order and last in a falling one.
+    """
     key = (-F.col(lead) if descending else F.col(lead)).cast("double")
-    bounds = _bounds(frame, key, buckets)
-    number = F.array_size(F.filter(F.array(*(F.lit(float(b)) for b in bounds)), lambda b: b < key)) if bounds else F.lit(0)
-    out = frame.withColumn("_bucket", number.cast("long") * 1024)
-    if second is not None:
-        tie = F.col(second).cast("double")
-        inner = _bounds(frame, tie, min(buckets, 64))
-        step = F.array_size(F.filter(F.array(*(F.lit(float(b)) for b in inner)), lambda b: b < tie)) if inner else F.lit(0)
-        # Only a bucket that holds a single value of the key may be dealt by the next one.
-        ends = [float(b) for b in bounds]
-        single = F.array_contains(F.array(*(F.lit(b) for b in ends)), key) if ends else F.lit(False)
-        lone = out.groupBy("_bucket").agg((F.min(key) == F.max(key)).alias("_one"))
-        out = out.join(F.broadcast(lone), "_bucket").withColumn("_bucket", F.when(F.col("_one") & single, F.col("_bucket") + step).otherwise(F.col("_bucket"))).drop("_one")
-    return out
-
-
-def global_row_number(frame: DataFrame, lead: str, order: list[Column], name: str, descending: bool = False, buckets: int = 64, second: str | None = None) -> DataFrame:
+    cuts = _cuts(frame, key, buckets)
+    # A value that several quantiles hit gets a bucket that holds nothing else.
+    common = [v for v, n in Counter(cuts).items() if n > 1]
+    bounds = sorted({*cuts, *(nextafter(v, -inf) for v in common)})
+    place = F.when(key.isNull(), len(bounds) + 1 if descending else 0).otherwise(_place(bounds, key))
+    out = frame.withColumn("_bucket", place.cast("long") * MOST)
+    if second is None or not common:
+        return out
+    alone = F.col("_bucket").isin([bounds.index(v) * MOST for v in common])
+    tie = second.cast("double")
+    inner = sorted(set(_cuts(out.where(alone), tie, min(buckets, MOST // 2))))
+    return out.withColumn("_bucket", F.when(alone & tie.isNotNull(), F.col("_bucket") + _place(inner, tie)).otherwise(F.col("_bucket")))
+
+
+def global_row_number(
+    frame: DataFrame, lead: str, order: list[Column], name: str, descending: bool = False, buckets: int | None = None, second: Column | None = None
+) -> DataFrame:
     """Number all rows from 1 in the order ``order``, whose first key is the number ``lead``."""
     return running(frame, lead, order, {name: F.lit(1)}, descending, buckets, second)
 
 
-def running(frame: DataFrame, lead: str, order: list[Column], sums: dict[str, Column], descending: bool = False, buckets: int = 64, second: str | None = None) -> DataFrame:
-    """Running sums over all rows in an order whose first key is the number ``lead``."""
+def running(
+    frame: DataFrame, lead: str, order: list[Column], sums: dict[str, Column], descending: bool = False, buckets: int | None = None,
+    second: Column | None = None, stored: bool = False,
+) -> DataFrame:
+    """Running sums over all rows in an order whose first key is the number ``lead``.
+
+    ``second`` is a number that grows along the order among rows of one leading value.
+    """
+    if not stored:
+        frame = materialise(frame)
+    if buckets is None:
+        buckets = max(LEAST, min(MOST, -(-frame.count() // BUCKET_ROWS)))
     dealt = with_bucket(frame, lead, descending, buckets, second)
     totals = dealt.groupBy("_bucket").agg(*(F.sum(c).alias(f"_t_{n}") for n, c in sums.items()))
-    # One row per bucket, at most buckets * 64.
+    # One row per bucket: at most 2 * MOST by the leading key, and MOST / 2 for each of its common values.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.coalesce(1).select("_bucket", *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums))
     inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -56,10 +90,10 @@ def running(frame: DataFrame, lead: str, order: list[Column], sums: dict[str, Co
     return out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in sums}).drop("_bucket", *(f"_o_{n}" for n in sums))
 
 
-def global_percent_rank(frame: DataFrame, value: str, name: str, buckets: int = 64) -> DataFrame:
+def global_percent_rank(frame: DataFrame, value: str, name: str, buckets: int | None = None) -> DataFrame:
     """percent_rank over all rows: equal values first collapse to one row with a count."""
-    counts = frame.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running(counts, "_v", [F.col("_v")], {"_upto": F.col("_n")}, buckets=buckets)
+    counts = materialise(frame.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    placed = running(counts, "_v", [F.col("_v")], {"_upto": F.col("_n")}, buckets=buckets, stored=True)
     total = counts.agg(F.sum("_n").alias("_all"))
     ranked = placed.join(F.broadcast(total), how="cross").select(
         "_v", F.when(F.col("_all") <= 1, F.lit(0.0)).otherwise((F.col("_upto") - F.col("_n")) / (F.col("_all") - 1)).alias(name)
@@ -70,17 +104,19 @@ def global_percent_rank(frame: DataFrame, value: str, name: str, buckets: int =
 def first_n_by_hash(frame: DataFrame, mark: Column, quotas: DataFrame, strata: list[str], quota: str = "quota") -> DataFrame:
     """The first ``quota`` rows of each stratum in the order of a hash column.
 
-    The rank within a stratum is counted by prefixes of the hash, so a stratum with
-    most of the rows is spread over its prefixes.
+    The rows of a stratum are counted by prefixes of the hash. Only prefixes that begin
+    within the quota are ranked, so what is shuffled follows the quotas and not the table,
+    and a stratum with most of the rows is spread over its prefixes.
     """
     marked = frame.withColumns({"_h": mark, "_p": F.substring(mark, 1, 3)})
     sizes = marked.groupBy(*strata, "_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     # At most 4096 prefixes per stratum.
     offsets = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    wanted = offsets.join(quotas, strata).where(F.col("_o") < F.col(quota))
     rank = F.row_number().over(Window.partitionBy(*strata, "_p").orderBy("_h"))
-    ranked = marked.withColumn("_r", rank).join(offsets, [*strata, "_p"]).withColumn("sample_rank", F.col("_r") + F.col("_o"))
-    return ranked.join(F.broadcast(quotas), strata).where(F.col("sample_rank") <= F.col(quota)).drop("_h", "_p", "_r", "_o", quota)
+    ranked = marked.join(wanted, [*strata, "_p"]).withColumn("_r", rank).withColumn("sample_rank", F.col("_r") + F.col("_o"))
+    return ranked.where(F.col("sample_rank") <= F.col(quota)).drop("_h", "_p", "_r", "_o", quota)
 
 
 ORDER = ("roi", "incremental_profit", "cost", "client_id", "product_id")
@@ -98,7 +134,8 @@ def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int
     Each round accepts all rows up to the first that overflows, with the cap applied by
     a row number within the client; then only rows behind it that can still fit are
     kept. What is left of the budget only shrinks, so no dropped row could have been
-    accepted. Decisions are labelled at the end.
+    accepted. Decisions are labelled at the end. Every round accepts a row at least;
+    if ``max_rounds`` do not settle all rows, an error says so and nothing is returned.
     """
     if budget <= 0 or cap <= 0:
         raise ValueError("budget and cap must be positive")
@@ -107,9 +144,9 @@ def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int
     if rows.where("cost < 0 OR cost IS NULL").limit(1).count():
         raise ValueError("cost must be finite and not negative")
     if lead == "roi":
-        placed = global_row_number(rows, "roi", order, "allocation_rank", descending=True)
+        placed = global_row_number(rows, "roi", order, "allocation_rank", descending=True, second=-F.col("incremental_profit"))
     else:
-        placed = global_row_number(rows.withColumn("_next", -F.col("roi")), lead, [F.desc(lead), *order], "allocation_rank", descending=True, second="_next")
+        placed = global_row_number(rows, lead, [F.desc(lead), *order], "allocation_rank", descending=True, second=-F.col("roi"))
     ranked = materialise(placed)
     left = ranked.select("allocation_rank", "client_id", "cost")
     spark, spent = rows.sparkSession, 0
@@ -138,7 +175,6 @@ def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int
         if left.isEmpty():
             break
     else:
-        # What is left is settled in order, one row of the remaining ones after the other.
         raise ValueError(f"not settled after {max_rounds} rounds; raise max_rounds")
     mark = accepted.select("allocation_rank", F.lit(1).alias("_ok"))
     out = ranked.join(mark, "allocation_rank", "left").withColumn("_ok", F.coalesce("_ok", F.lit(0)))

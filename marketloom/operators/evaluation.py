@@ -44,7 +44,7 @@ def uplift_curve(rows: DataFrame, points: int = 100) -> DataFrame:
     """Gain T - C * n_T / n_C at up to ``points`` prefixes in score order, from (0, 0)."""
     order = [F.desc("score"), F.asc("id")]
     sums = {"_k": F.lit(1), "_nt": F.col("treatment"), "_t": F.col("label") * F.col("treatment"), "_c": F.col("label") * (1 - F.col("treatment"))}
-    placed = running(rows, "score", order, sums, descending=True)
+    placed = running(rows, "score", order, sums, descending=True, second=F.col("id"))
     total = rows.agg(F.count(F.lit(1)).alias("_n"))
     cuts = total.select("_n", F.explode(F.sequence(F.lit(1), F.lit(points))).alias("_i"))
     cuts = cuts.select("_n", F.least(F.col("_n"), F.greatest(F.lit(1), F.ceil(F.col("_n") * F.col("_i") / F.lit(points)))).alias("_k")).distinct()
@@ -67,7 +67,7 @@ def auuc_qini(curve: DataFrame) -> DataFrame:
 
 def uplift_at_k(rows: DataFrame, fractions: tuple[float, ...] = (0.1, 0.2, 0.3)) -> DataFrame:
     """The response gap between the arms in the first part of the rows by score."""
-    ranked = global_row_number(rows, "score", [F.desc("score"), F.asc("id")], "_k", descending=True)
+    ranked = global_row_number(rows, "score", [F.desc("score"), F.asc("id")], "_k", descending=True, second=F.col("id"))
     total = rows.agg(F.count(F.lit(1)).alias("_n"))
     cuts = total.select("_n", F.explode(F.array(*map(F.lit, fractions))).alias("fraction"))
     cuts = cuts.withColumn("_cut", F.greatest(F.lit(1), F.ceil(F.col("_n") * F.col("fraction"))))

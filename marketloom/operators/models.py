@@ -7,7 +7,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -51,20 +51,28 @@ def train_propensity(frame: DataFrame, manifest: list[dict[str, Any]], label: st
 
 
 def class_weights(frame: DataFrame, label: str, threshold: float = 0.1) -> DataFrame:
-    """Add ``_w``: balanced weights when the rarer label is below the threshold, else 1."""
-    rate = frame.agg(F.avg(label).alias("_r"))
+    """Add ``_w``: balanced within each arm if label 1 is rarer than the threshold in either arm, else 1.
+
+    One decision holds for both arms, so their probabilities can be compared.
+    """
+    rates = frame.groupBy("treatment").agg(F.avg(label).alias("_r"))
+    # At most two rows.
+    rates = rates.join(F.broadcast(rates.agg(F.min("_r").alias("_least"))), how="cross")
+    usable = (F.col("_least") < threshold) & (F.col("_r") > 0) & (F.col("_r") < 1)
     balanced = F.when(F.col(label) == 1, 0.5 / F.col("_r")).otherwise(0.5 / (1 - F.col("_r")))
-    rare = F.least(F.col("_r"), 1 - F.col("_r"))
-    return frame.join(F.broadcast(rate), how="cross").withColumn("_w", F.when((rare < threshold) & (rare > 0), balanced).otherwise(1.0)).drop("_r")
+    return frame.join(F.broadcast(rates), "treatment").withColumn("_w", F.when(usable, balanced).otherwise(1.0)).drop("_r", "_least")
 
 
-def train_t_learner(frame: DataFrame, manifest: list[dict[str, Any]], label: str = "target") -> tuple[PipelineModel, PipelineModel]:
-    """One model per arm, control first."""
+def train_t_learner(frame: DataFrame, manifest: list[dict[str, Any]], label: str = "target", trees: int = 10, depth: int = 3) -> tuple[PipelineModel, PipelineModel]:
+    """One model of boosted trees per arm, control first, that stops early on the arm's validation rows."""
+    train = class_weights(frame.where("split = 'train'"), label)
+    rows = _as_double(train.unionByName(frame.where("split = 'validation'").withColumn("_w", F.lit(1.0))), manifest)
+    rows = rows.withColumn("_held", F.col("split") == "validation")
     out = []
     for arm in (0, 1):
         stages, features = _stages(manifest)
-        rows = class_weights(_as_double(frame.where((F.col("treatment") == arm) & (F.col("split") == "train")), manifest), label)
-        out.append(Pipeline(stages=[*stages, LogisticRegression(featuresCol=features, labelCol=label, weightCol="_w", maxIter=20)]).fit(rows))
+        trainer = GBTClassifier(featuresCol=features, labelCol=label, weightCol="_w", maxIter=trees, maxDepth=depth, maxBins=64, seed=7, validationIndicatorCol="_held")
+        out.append(Pipeline(stages=[*stages, trainer]).fit(rows.where(F.col("treatment") == arm)))
     return out[0], out[1]
 
 

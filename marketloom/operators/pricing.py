@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.expressions import clip, lookup
 from marketloom.operators.distributed import global_percent_rank
+from marketloom.sources.shared import materialise
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,7 @@ def client_risk(users: DataFrame, scores: DataFrame, policy: SimulationPolicy) -
         zero("promo_sensitivity_proxy").alias("promo_sensitivity_proxy"),
         zero("redeemed_points_share").alias("redeemed_points_share"),
     )
+    rows = materialise(rows)
     rows = global_percent_rank(rows, "purchase_burst_raw", "purchase_burst_score")
     rows = global_percent_rank(rows, "uplift_outlier_raw", "uplift_outlier_score")
     score = (

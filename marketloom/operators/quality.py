@@ -49,13 +49,12 @@ def validation_report(typed: DataFrame, keys: list[str], time_col: str | None, c
     if time_col and cutoff:
         late = typed.where(F.col(time_col) >= F.lit(cutoff))
         found = found.union(late.select(F.lit("feature_leakage"), F.lit(time_col), shown))
-    return (
-        found.groupBy("code", "field", "example")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("r", F.row_number().over(Window.partitionBy("code", "field").orderBy("example")))
-        .groupBy("code", "field")
-        .agg(F.sum("n").alias("n_issues"), F.concat_ws(",", F.sort_array(F.collect_list(F.when(F.col("r") <= n_examples, F.col("example"))))).alias("examples"))
-    )
+    counts = found.groupBy("code", "field").agg(F.count(F.lit(1)).alias("n_issues"))
+    rank = F.row_number().over(Window.partitionBy("code", "field").orderBy(F.asc_nulls_last("example")))
+    # Cut to the first examples before the shuffle of the window.
+    few = found.distinct().withColumn("r", rank).where(F.col("r") <= n_examples)
+    shown = few.groupBy("code", "field").agg(F.concat_ws(",", F.sort_array(F.collect_list("example"))).alias("examples"))
+    return counts.join(shown, ["code", "field"], "left").select("code", "field", "n_issues", F.coalesce("examples", F.lit("")).alias("examples"))
 
 
 def pk_conflict_split(frame: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

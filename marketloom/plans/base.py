@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import features
 from marketloom.sources import scans, tables
+from marketloom.sources.shared import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +50,12 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.user_features(tables.clients(spark, sf_dir), lines(spark, sf_dir), tables.CUTOFF)
 
 
+def stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines and items, each written once, for queries that read them many times."""
+    found = materialise(lines(spark, sf_dir))
+    return found, materialise(features.item_features(tables.products(spark, sf_dir), found.drop("level_2"), MARGINS, 0.25))
+
+
 MARGINS = {"ECONOMY": 0.18, "PROMO": 0.12}
 
 LINES_SQL = f"""{tables.ELIGIBLE_SQL},

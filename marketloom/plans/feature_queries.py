@@ -10,7 +10,7 @@ from marketloom.operators import candidates as C
 from marketloom.operators import features as f
 from marketloom.operators.distributed import global_percent_rank
 from marketloom.plans.base import (
-    AGE_SQL, CATEGORY_SQL, ITEMS_SQL, LINE_FEATURES_SQL, LINES_SQL, PRICES_SQL, RECEIPT_FEATURES_SQL, RECEIPTS_SQL, USERS_SQL, eligible, items, lines, query, users,
+    AGE_SQL, CATEGORY_SQL, ITEMS_SQL, LINE_FEATURES_SQL, LINES_SQL, PRICES_SQL, RECEIPT_FEATURES_SQL, RECEIPTS_SQL, USERS_SQL, eligible, items, lines, query, stored, users,
 )
 from marketloom.sources import tables as t
 
@@ -186,13 +186,14 @@ def topk_global(s: S, d: str) -> D:
 
 @query(f"WITH {CANDIDATES_SQL} SELECT client_id, product_id, array_to_string(candidate_sources, ',') AS candidate_sources, best_source_score, recsys_score, candidate_rank FROM candidates")
 def candidates_top50(s: S, d: str) -> D:
-    out = C.candidates_top50(t.clients(s, d), items(s, d), lines(s, d), t.CUTOFF)
+    found, i = stored(s, d)
+    out = C.candidates_top50(t.clients(s, d), i, found, t.CUTOFF)
     return out.select("client_id", "product_id", F.concat_ws(",", "candidate_sources").alias("candidate_sources"), "best_source_score", "recsys_score", "candidate_rank")
 
 
 @query(f"WITH {CANDIDATES_SQL} SELECT client_id, product_id, array_to_string(candidate_sources, ',') AS candidate_sources, recsys_score FROM merged")
 def source_merge(s: S, d: str) -> D:
-    e, i = lines(s, d), items(s, d)
+    e, i = stored(s, d)
     parts = {
         "repeat_purchase": C.cand_repeat(e, t.CUTOFF), "category_popular": C.cand_category(e, i),
         "item_to_item": C.cand_item_to_item(e, t.CUTOFF), "global_popular": C.cand_global(t.clients(s, d), i),
@@ -225,8 +226,9 @@ pair_features AS (
 
 @query(f"WITH {PAIR_SQL} SELECT * FROM pair_features")
 def user_item_features(s: S, d: str) -> D:
-    pairs = C.candidates_top50(t.clients(s, d), items(s, d), lines(s, d), t.CUTOFF)
-    return f.user_item_features(pairs, users(s, d), items(s, d), lines(s, d), t.CUTOFF)
+    found, i = stored(s, d)
+    pairs = C.candidates_top50(t.clients(s, d), i, found, t.CUTOFF)
+    return f.user_item_features(pairs, f.user_features(t.clients(s, d), found, t.CUTOFF), i, found, t.CUTOFF)
 
 
 @query(f"WITH {LINES_SQL}, {CATEGORY_SQL} SELECT * FROM favourite")
@@ -360,7 +362,8 @@ def scalar_functions(s: S, d: str) -> D:
 
 @query(f"WITH {CANDIDATES_SQL} SELECT client_id, len(candidate_sources) AS n_sources, list_contains(candidate_sources, 'item_to_item') AS has_i2i, candidate_sources[1] AS first_source, count(*) AS n FROM candidates GROUP BY ALL")
 def array_functions(s: S, d: str) -> D:
-    c = C.candidates_top50(t.clients(s, d), items(s, d), lines(s, d), t.CUTOFF)
+    found, i = stored(s, d)
+    c = C.candidates_top50(t.clients(s, d), i, found, t.CUTOFF)
     return c.groupBy(
         "client_id", F.size("candidate_sources").alias("n_sources"), F.array_contains("candidate_sources", "item_to_item").alias("has_i2i"), F.get("candidate_sources", F.lit(0)).alias("first_source")
     ).agg(F.count(F.lit(1)).alias("n"))

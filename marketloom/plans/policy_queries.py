@@ -420,7 +420,9 @@ def hash_ordered_sample(s: S, d: str) -> D:
 
 
 CAP_SQL = f"""{LABELS_SQL}, n AS (SELECT target AS label, count(*) AS n FROM labels GROUP BY 1),
-quotas AS (SELECT label, n, CASE WHEN sum(n) OVER () <= 500 THEN n ELSE least(n, greatest(1, floor(n * 500 / sum(n) OVER () + 0.5))) END::BIGINT AS quota FROM n)"""
+sides AS (SELECT coalesce(max(n) FILTER (label = 0), 0) AS a, coalesce(max(n) FILTER (label = 1), 0) AS b FROM n),
+ones AS (SELECT a, b, CASE WHEN a + b <= 500 THEN b ELSE greatest(500 - a, least(b, 500 - least(a, 1), greatest(1, round_even(500 * b / (a + b), 0)))) END AS q FROM sides),
+quotas AS (SELECT label, n, CASE WHEN label = 1 THEN q ELSE least(n, 500 - q) END::BIGINT AS quota FROM n, ones)"""
 
 
 @query(f"WITH {CAP_SQL} SELECT client_id, target AS label FROM labels JOIN quotas ON target = label QUALIFY row_number() OVER (PARTITION BY target ORDER BY {_seeded(4, 'client_id')}) <= quota")
@@ -441,12 +443,12 @@ def column_subset_dynamic(s: S, d: str) -> D:
 @query("SELECT c_custkey AS client_id, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS place FROM customer")
 def stable_order_export(s: S, d: str) -> D:
     rows = t.clients(s, d)
-    return R.global_row_number(rows, "age", [F.desc("age"), F.asc("client_id")], "place", descending=True).select("client_id", "place")
+    return R.global_row_number(rows, "age", [F.desc("age"), F.asc("client_id")], "place", descending=True, second=F.col("client_id")).select("client_id", "place")
 
 
 @query("SELECT c_custkey AS client_id, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) OVER (ORDER BY c_acctbal DESC, c_custkey ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM customer")
 def win_running_sum(s: S, d: str) -> D:
-    out = R.running(t.clients(s, d), "age", [F.desc("age"), F.asc("client_id")], {"running": F.col("age").cast("decimal(18,2)")}, descending=True)
+    out = R.running(t.clients(s, d), "age", [F.desc("age"), F.asc("client_id")], {"running": F.col("age").cast("decimal(18,2)")}, descending=True, second=F.col("client_id"))
     return out.select("client_id", F.col("running").cast("double").alias("running"))
 
 
@@ -569,11 +571,32 @@ def score_with_pandas_model(s: S, d: str) -> D:
     return M.score_with_pandas_model(users(s, d), lambda x: (x["purchases_90d"] / 10.0).clip(upper=1.0), ["client_id"], ["purchases_90d"]).withColumn("score", F.round("score", 9))
 
 
-@query(f"WITH {USERS_SQL} SELECT count(*) AS n FROM users")
+MANIFEST = (
+    ("gender", "string"), ("age", "double"), ("total_transactions", "bigint"), ("total_spent", "double"), ("purchases_7d", "bigint"),
+    ("purchases_30d", "bigint"), ("purchases_90d", "bigint"), ("promo_sensitivity_proxy", "double"), ("avg_check", "double"),
+    ("days_since_last_purchase", "int"), ("purchase_frequency_30d", "double"), ("redeemed_points_share", "double"), ("total_items", "double"),
+    ("category_diversity", "bigint"), ("avg_item_price", "double"), ("favorite_category_l2", "string"),
+)
+
+
+@query(
+    f"WITH {USERS_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT {k} AS position, '{c}' AS name, '{kind}' AS type, {kind == 'string'} AS categorical, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct FROM users"
+        for k, (c, kind) in enumerate(MANIFEST)
+    )
+)
 def feature_manifest(s: S, d: str) -> D:
+    """The ordered features of clients with their types, and how many values each has."""
     rows = users(s, d)
-    M.require_manifest(rows, M.feature_manifest(rows, KEYS))
-    return rows.agg(F.count(F.lit(1)).alias("n"))
+    manifest = M.feature_manifest(rows, KEYS)
+    M.require_manifest(rows, manifest)
+    wide = rows.agg(*(x for k, m in enumerate(manifest) for x in (F.count(m["name"]).alias(f"n{k}"), F.countDistinct(m["name"]).alias(f"d{k}"))))
+    found = F.array(*(
+        F.struct(F.lit(k).alias("position"), F.lit(m["name"]).alias("name"), F.lit(m["type"]).alias("type"), F.lit(m["categorical"]).alias("categorical"), F.col(f"n{k}").alias("n_values"), F.col(f"d{k}").alias("n_distinct"))
+        for k, m in enumerate(manifest)
+    ))
+    return wide.select(F.explode(found).alias("m")).select("m.*")
 
 
 # Streams over the events, run to the end of what is there.
@@ -605,15 +628,15 @@ def stream_dedup(s: S, d: str) -> D:
 
 
 PREDICTIONS_SQL = f"""{t.FEEDBACK_SQL},
-shown AS (SELECT event_id, client_id, k % 100 AS product_id, shown_discount, CASE WHEN k % 10 = 0 THEN -event_id ELSE event_id END AS request_id FROM feedback)"""
+shown AS (SELECT event_id, client_id, k % 100 AS product_id, shown_discount, CASE WHEN k % 10 <> 0 THEN event_id END AS request_id FROM feedback)"""
 
 
-@query(f"WITH {PREDICTIONS_SQL} SELECT event_id, CASE WHEN request_id < 0 THEN 'UNVERIFIED_MISSING_REQUEST' WHEN product_id % 7 = 0 THEN 'REJECTED_MISMATCH' ELSE 'VERIFIED' END AS status FROM shown WHERE event_id > 0")
+@query(f"WITH {PREDICTIONS_SQL} SELECT event_id, CASE WHEN request_id IS NULL THEN 'UNVERIFIED_MISSING_REQUEST' WHEN product_id % 7 = 0 THEN 'REJECTED_MISMATCH' ELSE 'VERIFIED' END AS status FROM shown")
 def stream_verify(s: S, d: str) -> D:
     """Events against the lists shown; each seventh product was shown at another discount."""
     base, source = _staged(s, d)
     k = F.col("k")
-    shape = lambda f: f.where("event_id > 0").withColumns({"product_id": k.cast("long"), "request_id": F.when(k % 10 == 0, -F.col("event_id")).otherwise(F.col("event_id")), "shown_discount": F.col("shown_discount").cast("double")})
+    shape = lambda f: f.withColumns({"product_id": k.cast("long"), "request_id": F.when(k % 10 != 0, F.col("event_id")), "shown_discount": F.col("shown_discount").cast("double")})
     seen = shape(s.read.parquet(source)).select(F.col("event_id").alias("request_id"), "client_id", F.to_json(F.array(F.struct("product_id", F.when(F.col("product_id") % 7 == 0, 0.5).otherwise(F.col("shown_discount")).alias("discount")))).alias("payload"))
     stream = shape(st.stream_feedback_ingest(s, source, s.read.parquet(source).schema))
     st.run_to_table(st.verify(stream, seen).select("event_id", "status"), f"{base}/out", f"{base}/ck")
@@ -628,6 +651,17 @@ def stream_late_audit(s: S, d: str) -> D:
     return s.read.parquet(f"{base}/out")
 
 
+@query(f"WITH {t.FEEDBACK_SQL}, twice AS (SELECT event_id, event_fingerprint, received_at FROM feedback UNION ALL SELECT event_id, event_fingerprint || 'x', received_at FROM feedback WHERE event_id % 50 = 0) SELECT event_id, count(DISTINCT event_fingerprint) AS n_versions, count(*) AS n_rows FROM twice GROUP BY 1 HAVING count(DISTINCT event_fingerprint) > 1")
+def stream_conflicts(s: S, d: str) -> D:
+    """Events of which every fiftieth comes again with another fingerprint."""
+    base, source = _staged(s, d)
+    again = s.read.parquet(source).where("event_id % 50 = 0").withColumn("event_fingerprint", F.concat("event_fingerprint", F.lit("x")))
+    again.write.mode("append").parquet(source)
+    stream = st.stream_feedback_ingest(s, source, s.read.parquet(source).schema, 1000)
+    st.run_to_table(st.stream_conflicts(stream, "60 days"), f"{base}/out", f"{base}/ck", "complete")
+    return s.read.parquet(f"{base}/out").where("n_versions > 1").select("event_id", "n_versions", "n_rows")
+
+
 @query(f"WITH {t.FEEDBACK_SQL} SELECT event_date, count(*) AS n FROM feedback GROUP BY 1")
 def stream_partition_merge(s: S, d: str) -> D:
     base, source = _staged(s, d)

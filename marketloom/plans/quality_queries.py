@@ -66,17 +66,30 @@ def contract_profile(s: S, d: str) -> D:
     return Q.contract_profile(scans.typed_columns(raw_customers(s, d), CUSTOMERS))
 
 
-@query(f"WITH {t.PURCHASES_SQL} SELECT count(*) AS n_rows, count(client_id) AS n_clients, count(product_id) AS n_products FROM purchases")
+#: Columns of the purchases contract that the tables have, with what the contract says of them.
+PURCHASE_FIELDS = (
+    (0, "client_id", "string", False), (1, "transaction_id", "string", False), (2, "transaction_datetime", "timestamp", False),
+    (9, "product_id", "string", False), (10, "product_quantity", "double", False), (11, "trn_sum_from_iss", "double", True),
+)
+
+
+@query(
+    f"WITH {t.PURCHASES_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT {k} AS position, '{c}' AS field, '{kind}' AS kind, {null} AS nullable, count({c}) AS n_values, count(*) FILTER ({c} IS NULL AND NOT {null}) AS n_bad FROM purchases"
+        for k, c, kind, null in PURCHASE_FIELDS
+    )
+)
 def contract_registry(s: S, d: str) -> D:
-    """Purchases cast to the declared types of their contract; keys are text there."""
+    """The declared fields of purchases, with the values and the bad ones after a cast from text."""
     contract = REGISTRY["purchases"]
     p = t.purchases(s, d)
-    raw = p.select(*((F.col(c) if c in p.columns else F.lit("0")).cast("string").alias(c) for c in contract.columns))
+    raw = p.select(*((F.col(c) if c in p.columns else F.lit(None)).cast("string").alias(c) for c in contract.columns))
     typed = scans.typed_columns(raw, contract)
-    bad = F.lit(False)
-    for c in contract.columns:
-        bad = bad | F.col(scans.BAD + c)
-    return typed.where(~bad).agg(F.count(F.lit(1)).alias("n_rows"), F.count("client_id").alias("n_clients"), F.count("product_id").alias("n_products"))
+    here = [(k, f) for k, f in enumerate(contract.fields) if f.name in p.columns and f.name in {x[1] for x in PURCHASE_FIELDS}]
+    wide = typed.agg(*(x for k, f in here for x in (F.count(f.name).alias(f"n{k}"), F.count_if(F.col(scans.BAD + f.name)).alias(f"b{k}"))))
+    found = F.array(*(F.struct(F.lit(k).alias("position"), F.lit(f.name).alias("field"), F.lit(f.kind).alias("kind"), F.lit(f.nullable).alias("nullable"), F.col(f"n{k}").alias("n_values"), F.col(f"b{k}").alias("n_bad")) for k, f in here))
+    return wide.select(F.explode(found).alias("r")).select("r.*")
 
 
 @query("SELECT 'customer' AS name, DATE '2001-01-01' AS ingest_date, count(*) AS n FROM customer UNION ALL SELECT 'part', DATE '2001-01-01', count(*) FROM part")

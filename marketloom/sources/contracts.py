@@ -51,9 +51,8 @@ class Contract:
 
 
 _FLAG = (0, 1)
-_MEASURES = (
-    "regular_points_received express_points_received regular_points_spent express_points_spent purchase_sum"
-).split()
+# The measure columns of a purchase line.
+_MEASURES = ("regular_points_received", "express_points_received", "regular_points_spent", "express_points_spent", "purchase_sum")
 
 REGISTRY: dict[str, Contract] = {
     c.name: c

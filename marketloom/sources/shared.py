@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where it is unset, as in local tests."""
+    """``spark.checkpoint.dir``; a temporary folder only where it is unset and Spark is one process, as in tests."""
     given = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if given:
         return given.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

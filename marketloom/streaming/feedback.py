@@ -59,10 +59,15 @@ def stream_late_audit(events: DataFrame, cutoff: datetime, days: int, delay: str
     return rows.groupBy((F.col("received_at") >= F.lit(cutoff)).alias("is_late")).agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def stream_partition_merge(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Merge every batch into date partitions; a batch that runs again changes nothing."""
+def stream_partition_merge(events: DataFrame, path: str, checkpoint: str, rejects: str | None = None) -> StreamingQuery:
+    """Merge every batch into date partitions; a batch that runs again changes nothing.
 
-    def merge(batch: DataFrame, _: int) -> None:
+    Where one event id has several fingerprints, in a batch or against what is stored, nothing of
+    the batch is published and an error is raised. With a ``rejects`` path, the batch's rows
+    of such ids go there instead, under the number of the batch, and the others are merged.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         held = batch.drop("event_date").withColumn("event_date", F.to_date("created_at"))
         try:
@@ -71,7 +76,14 @@ def stream_partition_merge(events: DataFrame, path: str, checkpoint: str) -> Str
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             existing = held.limit(0)
-        merge_partitions(existing.select(*held.columns), held, path)
+        existing = existing.select(*held.columns)
+        if rejects is not None:
+            ids = held.select("event_id").distinct()
+            known = existing.join(ids, "event_id", "left_semi").select("event_id", "event_fingerprint").union(held.select("event_id", "event_fingerprint"))
+            bad = known.groupBy("event_id").agg(F.min("event_fingerprint").alias("_a"), F.max("event_fingerprint").alias("_b")).where("_a <> _b").select("event_id")
+            held.join(bad, "event_id", "left_semi").write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+            held = held.join(bad, "event_id", "left_anti")
+        merge_partitions(existing, held, path)
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -12,7 +12,6 @@ from conftest import SF
 from marketloom.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-FAST = [n for n in registry.SQL if n not in ("user_item_features", "array_functions", "source_merge")]
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +33,7 @@ def plain(v):
     return str(v)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", list(registry.SQL))
 def test_query_equals_sql(spark, duck, name):
     df = registry.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
