@@ -49,18 +49,35 @@ def cand_category(lines: DataFrame, items: DataFrame, k: int = 25, categories: i
     return _best(first.join(popular, "level_2").select("client_id", "product_id", score.alias("raw_score")), k)
 
 
-def basket_cosine(lines: DataFrame, max_basket: int | None = None) -> DataFrame:
+def basket_blocks(baskets: DataFrame, block: int) -> DataFrame:
+    """Items of receipts with the join keys in which they meet: a receipt, and two blocks of its items (_lo, _hi).
+
+    A receipt of up to ``block`` items is one block. A larger one is cut by a hash of the item
+    (_own is an item's block), and each two blocks are a key, so no key holds a whole large receipt.
+    """
+    receipt = ["client_id", "transaction_id"]
+    large = baskets.groupBy(*receipt).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block)
+    blocks = F.coalesce(F.ceil(F.col("_n") / block), F.lit(1))
+    cut = baskets.join(large, receipt, "left").withColumn("_m", blocks).withColumn("_own", F.pmod(F.xxhash64("product_id"), "_m"))
+    met = cut.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1)))
+    return met.select(*receipt, "product_id", "_own", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"))
+
+
+def basket_cosine(lines: DataFrame, max_basket: int | None = None, block: int = 1000) -> DataFrame:
     """Items in one receipt: co / sqrt(n_a * n_b), in both directions.
 
     Only pairs a < b are joined, counted and then mirrored, which halves the shuffle.
+    Items of large receipts meet block by block, see ``basket_blocks``.
     """
     baskets = lines.select("client_id", "transaction_id", "product_id").distinct()
     if max_basket is not None:
         size = F.count(F.lit(1)).over(Window.partitionBy("client_id", "transaction_id"))
         baskets = baskets.withColumn("_n", size).where(F.col("_n") <= max_basket).drop("_n")
+    met = basket_blocks(baskets, block)
     receipts = baskets.groupBy("product_id").agg(F.count(F.lit(1)).alias("_receipts"))
-    a, b = baskets.withColumnRenamed("product_id", "a"), baskets.withColumnRenamed("product_id", "b")
-    pairs = a.join(b, ["client_id", "transaction_id"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("co_receipts"))
+    a, b = met.withColumnsRenamed({"product_id": "a", "_own": "_ka"}), met.withColumnsRenamed({"product_id": "b", "_own": "_kb"})
+    # Items of one block meet in the key of this block alone.
+    pairs = a.join(b, ["client_id", "transaction_id", "_lo", "_hi"]).where("a < b AND (_lo = _hi OR _ka <> _kb)").groupBy("a", "b").agg(F.count(F.lit(1)).alias("co_receipts"))
     named = lambda x: receipts.select(F.col("product_id").alias(x), F.col("_receipts").alias(f"_n{x}"))
     scored = pairs.join(named("a"), "a").join(named("b"), "b").withColumn("similarity", F.col("co_receipts") / F.sqrt(F.col("_na") * F.col("_nb")))
     both = F.explode(F.array(F.struct(F.col("a").alias("s"), F.col("b").alias("p")), F.struct(F.col("b").alias("s"), F.col("a").alias("p"))))

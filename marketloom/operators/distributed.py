@@ -12,6 +12,7 @@ bounds, the totals and the windows.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 from math import inf, nextafter
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,18 +44,19 @@ def _place(bounds: list[float], key: Column, chunk: int = 64) -> Column:
 def with_bucket(frame: DataFrame, lead: str, descending: bool, buckets: int, second: Column | None = None) -> DataFrame:
     """Add ``_bucket``, growing in the order of the numeric key ``lead``, then of ``second`` (ascending).
 
-    Nulls of the leading key come first in a growing order and last in a falling one.
+    Nulls of the leading key come first in a growing order and last in a falling one, in buckets of their own.
     """
     key = (-F.col(lead) if descending else F.col(lead)).cast("double")
     cuts = _cuts(frame, key, buckets)
     # A value that several quantiles hit gets a bucket that holds nothing else.
     common = [v for v, n in Counter(cuts).items() if n > 1]
     bounds = sorted({*cuts, *(nextafter(v, -inf) for v in common)})
-    place = F.when(key.isNull(), len(bounds) + 1 if descending else 0).otherwise(_place(bounds, key))
+    nulls = len(bounds) + 1 if descending else -1
+    place = F.when(key.isNull(), nulls).otherwise(_place(bounds, key))
     out = frame.withColumn("_bucket", place.cast("long") * MOST)
-    if second is None or not common:
+    if second is None:
         return out
-    alone = F.col("_bucket").isin([bounds.index(v) * MOST for v in common])
+    alone = F.col("_bucket").isin([nulls * MOST, *(bounds.index(v) * MOST for v in common)])
     tie = second.cast("double")
     inner = sorted(set(_cuts(out.where(alone), tie, min(buckets, MOST // 2))))
     return out.withColumn("_bucket", F.when(alone & tie.isNotNull(), F.col("_bucket") + _place(inner, tie)).otherwise(F.col("_bucket")))
@@ -69,24 +71,33 @@ def global_row_number(
 
 def running(
     frame: DataFrame, lead: str, order: list[Column], sums: dict[str, Column], descending: bool = False, buckets: int | None = None,
-    second: Column | None = None, stored: bool = False,
+    second: Column | None = None, stored: bool = False, within: Sequence[str] = (),
 ) -> DataFrame:
     """Running sums over all rows in an order whose first key is the number ``lead``.
 
     ``second`` is a number that grows along the order among rows of one leading value.
+    With ``within`` sums begin anew for each group of these columns (null is a group too); a
+    group with most of the rows is spread over the buckets as a whole table is.
     """
     if not stored:
         frame = materialise(frame)
     if buckets is None:
         buckets = max(LEAST, min(MOST, -(-frame.count() // BUCKET_ROWS)))
     dealt = with_bucket(frame, lead, descending, buckets, second)
-    totals = dealt.groupBy("_bucket").agg(*(F.sum(c).alias(f"_t_{n}") for n, c in sums.items()))
-    # One row per bucket: at most 2 * MOST by the leading key, and MOST / 2 for each of its common values.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.coalesce(1).select("_bucket", *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums))
-    inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = dealt.groupBy(*within, "_bucket").agg(*(F.sum(c).alias(f"_t_{n}") for n, c in sums.items()))
+    # One row per group and bucket: at most 2 * MOST by the leading key, and MOST / 2 for each of its common values.
+    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offset = [F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums]
+    inside = Window.partitionBy(*within, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = dealt.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()})
-    out = local.join(F.broadcast(offsets), "_bucket")
+    if within:
+        offsets = totals.select(F.col("_bucket").alias("_b"), *(F.col(g).alias(f"_g_{g}") for g in within), *offset)
+        same = F.col("_bucket") == F.col("_b")
+        for g in within:
+            same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+        out = local.join(offsets, same).drop("_b", *(f"_g_{g}" for g in within))
+    else:
+        out = local.join(F.broadcast(totals.coalesce(1).select("_bucket", *offset)), "_bucket")
     return out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in sums}).drop("_bucket", *(f"_o_{n}" for n in sums))
 
 

@@ -7,8 +7,10 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from marketloom.functions.expressions import clip, lookup, ratio
+from marketloom.operators.distributed import running
 
 FEEDBACK_COUNTS = [f"feedback_{kind}s_{days}d" for kind in ("click", "cart", "purchase") for days in (30, 90)]
 FEEDBACK_VALUES = [
@@ -144,7 +146,10 @@ def hierarchical_median_price(prices: DataFrame, accuracy: int = 10_000) -> Data
 
 
 def item_features(products: DataFrame, lines: DataFrame, margins: Mapping[str, float], default_margin: float) -> DataFrame:
-    """All items: sales, buyers, repeat rate, rank in the category, price with fallbacks, margin."""
+    """All items: sales, buyers, repeat rate, rank in the category, price with fallbacks, margin.
+
+    A category may hold most of the items, so ranks come from range buckets inside it.
+    """
     sales = lines.groupBy("product_id").agg(
         F.sum("product_quantity").alias("_qty"), F.countDistinct("client_id").alias("unique_buyers"), F.countDistinct("transaction_id").alias("transaction_count")
     )
@@ -152,9 +157,12 @@ def item_features(products: DataFrame, lines: DataFrame, margins: Mapping[str, f
     own = medians.where("_set = 3").select("product_id", F.col("median_price").alias("median_unit_price"))
     third = medians.where("_set = 4 AND level_3 IS NOT NULL").select("level_2", "level_3", F.col("median_price").alias("_m3"))
     second = medians.where("_set = 5 AND level_2 IS NOT NULL").select("level_2", F.col("median_price").alias("_m2"))
-    rank = Window.partitionBy("level_2").orderBy(F.desc("total_sales_qty"), F.desc("unique_buyers"), "product_id")
+    order = [F.desc("total_sales_qty"), F.desc("unique_buyers"), F.asc("product_id")]
+    # Items that nobody bought tie in all but their id.
+    unsold = F.greatest(F.col("product_id"), F.lit(0)) if isinstance(products.schema["product_id"].dataType, NumericType) else F.lit(0)
+    tie = F.when(F.col("unique_buyers") > 0, -F.col("unique_buyers")).otherwise(unsold)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return (
+    sold = (
         products.join(sales, "product_id", "left")
         .join(repeat_rate(lines), "product_id", "left")
         .join(own, "product_id", "left")
@@ -168,9 +176,11 @@ def item_features(products: DataFrame, lines: DataFrame, margins: Mapping[str, f
                 "repeat_rate": F.coalesce("repeat_rate", F.lit(0.0)),
             }
         )
-        .withColumns(
+    )
+    ranked = running(sold, "total_sales_qty", order, {"popularity_rank_l2": F.lit(1)}, descending=True, second=tie, within=["level_2"])
+    return (
+        ranked.withColumns(
             {
-                "popularity_rank_l2": F.row_number().over(rank),
                 "unit_price": F.coalesce("median_unit_price", "_m3", "_m2"),
                 "price_source": F.when(F.col("median_unit_price").isNotNull(), "item")
                 .when(F.col("_m3").isNotNull(), "level_3").when(F.col("_m2").isNotNull(), "level_2").otherwise("missing"),
@@ -184,9 +194,10 @@ def item_features(products: DataFrame, lines: DataFrame, margins: Mapping[str, f
 
 def popularity_norm(items: DataFrame) -> DataFrame:
     """1 for the most popular item of a category, 0 for the least; null without a category."""
-    n = F.max("popularity_rank_l2").over(Window.partitionBy("level_2"))
-    norm = F.when(n <= 1, 1.0).otherwise(1.0 - (F.col("popularity_rank_l2") - 1) / (n - 1))
-    return items.select("product_id", "level_2", "median_unit_price", F.when(F.col("level_2").isNotNull(), norm).alias("item_popularity_norm"))
+    sizes = items.groupBy("level_2").agg(F.max("popularity_rank_l2").alias("_n"))
+    norm = F.when(F.col("_n") <= 1, 1.0).otherwise(1.0 - (F.col("popularity_rank_l2") - 1) / (F.col("_n") - 1))
+    # A null category matches no size.
+    return items.join(sizes, "level_2", "left").select("product_id", "level_2", "median_unit_price", F.when(F.col("_n").isNotNull(), norm).alias("item_popularity_norm"))
 
 
 def user_item_features(candidates: DataFrame, users: DataFrame, items: DataFrame, lines: DataFrame, cutoff: datetime) -> DataFrame:

@@ -57,6 +57,26 @@ def validation_report(typed: DataFrame, keys: list[str], time_col: str | None, c
     return counts.join(shown, ["code", "field"], "left").select("code", "field", "n_issues", F.coalesce("examples", F.lit("")).alias("examples"))
 
 
+def validation_profile(typed: DataFrame, time_col: str | None = None, cutoff: datetime | None = None) -> DataFrame:
+    """A row per field, from one pass: rows, nulls, invalid values; for the time, also its range and rows on both sides of the cutoff."""
+    fields = [c for c in typed.columns if not c.startswith(BAD)]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c in fields:
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"_null_{c}"), (F.count_if(F.col(BAD + c)) if BAD + c in typed.columns else F.lit(0).cast("long")).alias(f"_bad_{c}")]
+    if time_col:
+        at = F.col(time_col)
+        aggs += [F.min(at).alias("_low"), F.max(at).alias("_high"), F.count_if(at < F.lit(cutoff)).alias("_before"), F.count_if(at >= F.lit(cutoff)).alias("_after")]
+    timed = {"low": "timestamp", "high": "timestamp", "before": "bigint", "after": "bigint"}
+    rows = [
+        F.struct(
+            F.lit(c).alias("field"), F.col("_rows").alias("n_rows"), F.col(f"_null_{c}").alias("n_null"), F.col(f"_bad_{c}").alias("n_invalid"),
+            *((F.col(f"_{n}") if c == time_col else F.lit(None)).cast(kind).alias(n) for n, kind in timed.items()),
+        )
+        for c in fields
+    ]
+    return typed.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*").withColumnsRenamed({"before": "rows_before", "after": "rows_after"})
+
+
 def pk_conflict_split(frame: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """One row per key with one version of its values, and all rows of keys with several.
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions import expressions as X
 from marketloom.operators import candidates as C
 from marketloom.operators import features as f
-from marketloom.operators.distributed import global_percent_rank
+from marketloom.operators.distributed import global_percent_rank, running
 from marketloom.plans.base import (
     AGE_SQL, CATEGORY_SQL, ITEMS_SQL, LINE_FEATURES_SQL, LINES_SQL, PRICES_SQL, RECEIPT_FEATURES_SQL, RECEIPTS_SQL, USERS_SQL, eligible, items, lines, query, stored, users,
 )
@@ -239,8 +239,10 @@ def win_row_number(s: S, d: str) -> D:
 @query(f"WITH {ITEMS_SQL} SELECT p_partkey AS product_id, row_number() OVER (PARTITION BY p_type ORDER BY qty DESC NULLS LAST, p_partkey) AS popularity_rank FROM part LEFT JOIN sales ON product_id = p_partkey")
 def win_row_number_nulls_last(s: S, d: str) -> D:
     sales = eligible(s, d).groupBy("product_id").agg(F.sum("product_quantity").alias("qty"))
-    rank = F.row_number().over(Window.partitionBy("level_2").orderBy(F.desc_nulls_last("qty"), "product_id"))
-    return t.products(s, d).join(sales, "product_id", "left").select("product_id", rank.alias("popularity_rank"))
+    sold = t.products(s, d).join(sales, "product_id", "left").select("product_id", "level_2", "qty")
+    order = [F.desc_nulls_last("qty"), F.asc("product_id")]
+    ranked = running(sold, "qty", order, {"popularity_rank": F.lit(1)}, descending=True, second=F.col("product_id"), within=["level_2"])
+    return ranked.select("product_id", "popularity_rank")
 
 
 @query(f"WITH {LINES_SQL}, {AGE_SQL} SELECT client_id, age FROM ages")

@@ -322,3 +322,15 @@ def validation_report(s: S, d: str) -> D:
     typed = scans.typed_columns(raw_customers(s, d), CUSTOMERS)
     parents = {"client_id": t.read(s, d, "orders").select(F.col("o_custkey").cast("int").alias("client_id"))}
     return Q.validation_report(typed, ["client_id"], "since", t.CUTOFF, parents, "client_id")
+
+
+@query(
+    f"""WITH {FLAGS_SQL}
+SELECT 'client_id' AS field, count(*) AS n_rows, count(*) FILTER (client_id IS NULL) AS n_null, count(*) FILTER (bad_id) AS n_invalid, NULL::TIMESTAMP AS low, NULL::TIMESTAMP AS high, NULL::BIGINT AS rows_before, NULL::BIGINT AS rows_after FROM raw
+UNION ALL SELECT 'age', count(*), count(*) FILTER (age IS NULL), count(*) FILTER (bad_age), NULL, NULL, NULL, NULL FROM raw
+UNION ALL SELECT 'flag', count(*), count(*) FILTER (flag IS NULL), count(*) FILTER (bad_flag), NULL, NULL, NULL, NULL FROM raw
+UNION ALL SELECT 'since', count(*), count(*) FILTER (since IS NULL), count(*) FILTER (bad_since), min(since), max(since),
+  count(*) FILTER (since < TIMESTAMP '2001-01-01'), count(*) FILTER (since >= TIMESTAMP '2001-01-01') FROM raw"""
+)
+def validation_profile(s: S, d: str) -> D:
+    return Q.validation_profile(scans.typed_columns(raw_customers(s, d), CUSTOMERS), "since", t.CUTOFF)
