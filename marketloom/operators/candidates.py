@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.features import category_affinity
 
 DIGITS = 9
+SOURCES = ("category_popular", "global_popular", "item_to_item", "repeat_purchase")
 
 
 def topk_per_group(frame: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
@@ -88,9 +91,10 @@ def cand_item_to_item(lines: DataFrame, cutoff: datetime, k: int = 25, neighbour
     """Neighbours of the items a client bought, summed with decay."""
     near = topk_per_group(basket_cosine(lines), ["seed_product_id"], [F.desc("similarity"), F.asc("product_id")], neighbours)
     seeds = interactions(lines, cutoff).select("client_id", F.col("product_id").alias("seed_product_id"), "days_since_last")
-    # Terms become decimals, so their sum does not depend on the order.
-    term = F.round(F.col("similarity") * decay("days_since_last"), DIGITS).cast("decimal(20,9)")
-    return _best(seeds.join(near, "seed_product_id").groupBy("client_id", "product_id").agg(F.sum(term).cast("double").alias("raw_score")), k)
+    # Terms become whole billionths, so their sum does not depend on the order.
+    unit = 10.0**DIGITS
+    term = F.round(F.round(F.col("similarity") * decay("days_since_last"), DIGITS) * unit).cast("long")
+    return _best(seeds.join(near, "seed_product_id").groupBy("client_id", "product_id").agg((F.sum(term) / unit).alias("raw_score")), k)
 
 
 def topk_global(items: DataFrame, k: int = 20) -> DataFrame:
@@ -104,33 +108,51 @@ def cand_global(clients: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
     return clients.select("client_id").join(F.broadcast(top), how="cross")
 
 
-def normalise_source(frame: DataFrame, source: str) -> DataFrame:
-    """percent_rank of the score within the client; 1 for a single row."""
-    mine = Window.partitionBy("client_id")
+def normalise_source(frame: DataFrame, source: str | None = None) -> DataFrame:
+    """percent_rank of the score within the client; 1 for a single row.
+
+    Without ``source`` the frame names its sources in ``candidate_source``, and each is ranked for itself.
+    """
+    named = frame if source is None else frame.withColumn("candidate_source", F.lit(source))
+    mine = Window.partitionBy("client_id", *(["candidate_source"] if source is None else []))
     norm = F.when(F.count(F.lit(1)).over(mine) == 1, 1.0).otherwise(F.percent_rank().over(mine.orderBy("raw_score")))
-    return frame.select("client_id", "product_id", norm.alias("normalized_score"), F.lit(source).alias("candidate_source"))
+    return named.select("client_id", "product_id", norm.alias("normalized_score"), "candidate_source")
+
 
+def source_merge(sources: DataFrame, names: Sequence[str] = SOURCES) -> DataFrame:
+    """Per pair: its sources in order of name, the best score, and a bonus for each further source.
 
-def source_merge(sources: DataFrame) -> DataFrame:
-    """Per pair: its sources, the best score, and a bonus for each further source."""
+    A flag per name is kept while rows are grouped; a source that is not among the names is an error.
+    """
+    source = F.col("candidate_source")
+    known = F.when(source.isin(*names), F.col("normalized_score")).otherwise(F.raise_error(F.concat(F.lit("unknown source: "), source)))
+    flags = {n: F.max(source == n).alias(f"_is_{n}") for n in sorted(names)}
+    named = F.array_compact(F.array(*(F.when(F.col(f"_is_{n}"), n) for n in flags)))
     return (
         sources.groupBy("client_id", "product_id")
-        .agg(F.sort_array(F.collect_set("candidate_source")).alias("candidate_sources"), F.max("normalized_score").alias("best_source_score"))
+        .agg(F.max(known).alias("best_source_score"), *flags.values())
+        .select("client_id", "product_id", named.alias("candidate_sources"), "best_source_score")
         .withColumn("recsys_score", F.round(F.col("best_source_score") + 0.05 * (F.size("candidate_sources") - 1), DIGITS))
     )
 
 
-def candidates_top50(clients: DataFrame, items: DataFrame, lines: DataFrame, cutoff: datetime, k: int = 50) -> DataFrame:
-    """The first k candidates of every client."""
+def normalised_sources(clients: DataFrame, items: DataFrame, lines: DataFrame, cutoff: datetime) -> DataFrame:
+    """All candidates of the four sources with their scores within the client.
+
+    Cut to their first rows, the sources are dealt by client once; ranks, the merge and the
+    order of a client's candidates then need no further shuffle.
+    """
     found = {
         "repeat_purchase": cand_repeat(lines, cutoff),
         "category_popular": cand_category(lines, items),
         "item_to_item": cand_item_to_item(lines, cutoff),
         "global_popular": cand_global(clients, items),
     }
-    union = None
-    for name, frame in found.items():
-        one = normalise_source(frame, name)
-        union = one if union is None else union.unionByName(one)
+    named = [frame.select("client_id", "product_id", "raw_score", F.lit(name).alias("candidate_source")) for name, frame in found.items()]
+    return normalise_source(reduce(DataFrame.unionByName, named).repartition("client_id"))
+
+
+def candidates_top50(clients: DataFrame, items: DataFrame, lines: DataFrame, cutoff: datetime, k: int = 50) -> DataFrame:
+    """The first k candidates of every client."""
     rank = F.row_number().over(Window.partitionBy("client_id").orderBy(F.desc("recsys_score"), "product_id"))
-    return source_merge(union).withColumn("candidate_rank", rank).where(F.col("candidate_rank") <= k)
+    return source_merge(normalised_sources(clients, items, lines, cutoff)).withColumn("candidate_rank", rank).where(F.col("candidate_rank") <= k)

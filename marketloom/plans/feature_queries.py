@@ -194,15 +194,7 @@ def candidates_top50(s: S, d: str) -> D:
 @query(f"WITH {CANDIDATES_SQL} SELECT client_id, product_id, array_to_string(candidate_sources, ',') AS candidate_sources, recsys_score FROM merged")
 def source_merge(s: S, d: str) -> D:
     e, i = stored(s, d)
-    parts = {
-        "repeat_purchase": C.cand_repeat(e, t.CUTOFF), "category_popular": C.cand_category(e, i),
-        "item_to_item": C.cand_item_to_item(e, t.CUTOFF), "global_popular": C.cand_global(t.clients(s, d), i),
-    }
-    union = None
-    for name, frame in parts.items():
-        one = C.normalise_source(frame, name)
-        union = one if union is None else union.unionByName(one)
-    return C.source_merge(union).select("client_id", "product_id", F.concat_ws(",", "candidate_sources").alias("candidate_sources"), "recsys_score")
+    return C.source_merge(C.normalised_sources(t.clients(s, d), i, e, t.CUTOFF)).select("client_id", "product_id", F.concat_ws(",", "candidate_sources").alias("candidate_sources"), "recsys_score")
 
 
 @query(f"WITH {CANDIDATES_SQL} SELECT client_id, product_id, normalized_score FROM sources WHERE candidate_source = 'repeat_purchase'")

@@ -40,3 +40,20 @@ def test_pairs_of_large_receipts(spark, block):
     assert sorted((r.seed_product_id, r.product_id, r.co_receipts, round(r.similarity, 9)) for r in got) == want
     keys = candidates.basket_blocks(df.distinct(), block).groupBy("transaction_id", "_lo", "_hi").count().agg(F.max("count")).first()[0]
     assert keys <= (40 if block == 1000 else 12 * block)
+
+
+def test_sources_merge_by_flags_and_refuse_unknown_names(spark):
+    rows = [(1, 7, 0.5, "repeat_purchase"), (1, 7, 1.0, "global_popular"), (1, 7, 1.0, "global_popular"), (1, 8, 0.0, "item_to_item"), (None, 8, None, "item_to_item")]
+    schema = "client_id long, product_id long, normalized_score double, candidate_source string"
+    found = {(r.client_id, r.product_id): (r.candidate_sources, r.best_source_score, r.recsys_score) for r in candidates.source_merge(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {(1, 7): (["global_popular", "repeat_purchase"], 1.0, 1.05), (1, 8): (["item_to_item"], 0.0, 0.0), (None, 8): (["item_to_item"], None, None)}
+    assert candidates.source_merge(spark.createDataFrame([], schema)).count() == 0
+    with pytest.raises(Exception, match="unknown source"):
+        candidates.source_merge(spark.createDataFrame([(1, 7, 0.5, "other")], schema)).collect()
+
+
+def test_one_window_ranks_sources_as_single_ones_do(spark):
+    rows = [(1, 7, 0.5, "a"), (1, 8, 0.5, "a"), (1, 9, 0.7, "a"), (1, 7, 3.0, "b"), (2, 7, 1.0, "b"), (2, 8, 2.0, "b")]
+    raw = spark.createDataFrame(rows, "client_id long, product_id long, raw_score double, candidate_source string")
+    want = [tuple(r) for n in "ab" for r in candidates.normalise_source(raw.where(F.col("candidate_source") == n).drop("candidate_source"), n).collect()]
+    assert sorted(want) == sorted(tuple(r) for r in candidates.normalise_source(raw).collect())
