@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,14 @@ _ODD = re.compile(r"[^\S \n]")
 _TAIL = ".,;:!?"
 
 
+def _is_word(core: str) -> bool:
+    """Whether a unit's core is letters and still ends in one when normalised and lower-cased.
+
+    Some letters end in a mark then (capital I with dot, letters that NFC takes apart), and a mark forms one unit with the signs behind it.
+    """
+    return core.isalpha() and (core[-1] < "\u0100" or normalize("NFC", core[-1]).lower()[-1].isalpha())
+
+
 def id_type(path: str) -> np.dtype:
     """The narrowest unsigned type for the ids of a tokenizer file."""
     from tokenizers import Tokenizer
@@ -100,7 +108,7 @@ class UnitEncoder:
         odd: list[str] = []
         for unit in units:
             core = unit.rstrip(_TAIL)
-            if core.isalpha():
+            if _is_word(core):
                 plan.append((unit, core, unit[len(core) :]))
             else:
                 odd.append(unit)
@@ -189,7 +197,7 @@ class UnitEncoder:
         plan: list[tuple[str, str, str]] = []
         for unit in [u for u in units if u not in out]:
             core = unit.rstrip(_TAIL)
-            if core.isalpha():
+            if _is_word(core):
                 plan.append((unit, core, unit[len(core) :]))
                 cores.add(core)
             else:

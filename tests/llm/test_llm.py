@@ -121,8 +121,9 @@ def test_near(spark):
 @pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_encoder(name, keeps):
     own, plain = tokens.UnitEncoder(public_tokenizers.path(name), keeps), Tokenizer.from_file(public_tokenizers.path(name))
-    texts = [t or "" for _, t, *_ in ROWS] + ["  a  b", "a\n\nb", "\na\n", "ΑΣ ΣΑΣ", "x\x1cy \x1c", "a,\nb. \nc", "It'S <|startoftext|>"]
-    for limit in (10**6, 0):
+    texts = [t or "" for _, t, *_ in ROWS] + ["  a  b", "a\n\nb", "\na\n", "ΑΣ ΣΑΣ", "x\x1cy \x1c", "a,\nb. \nc", "It'S <|startoftext|>", "ab\u0130. \u0130!? x", "\u0915\u0958. \ufb2a! a\u0130b,"]
+    # New units, then kept ones, then none kept.
+    for limit in (10**6, 10**6, 0):
         own.limit = limit
         assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
