@@ -99,22 +99,28 @@ class UnitEncoder:
                     continue
                 cuts = np.append(cuts, len(ids)) if self.keeps_space else np.concatenate([[0], cuts + 1])
                 raw, cuts = ids.tobytes(), (cuts * self.dtype.itemsize).tolist()
-                out.update((w, raw[a:b]) for w, a, b in zip(group, cuts, cuts[1:]))
+                out.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
         return out
 
     def _units(self, units: set[str]) -> dict[str, bytes]:
         """Ids of units that are not kept."""
-        plan: list[tuple[str, str, str]] = []
+        plain: list[str] = []
+        tailed: list[tuple[str, str]] = []
         odd: list[str] = []
         for unit in units:
+            if unit.isalpha():
+                plain.append(unit)
+                continue
             core = unit.rstrip(_TAIL)
             if _is_word(core):
-                plan.append((unit, core, unit[len(core) :]))
+                tailed.append((unit, core))
             else:
                 odd.append(unit)
-        new = self._letters(list({c for _, c, _ in plan if c not in self.words}))
         kept, room = self.words, len(self.words) < self.limit
-        out = {u: (new[c] if c in new else kept[c]) + self._mark(t) for u, c, t in plan}
+        new = self._letters(list({*plain, *(c for _, c in tailed if c not in kept)}))
+        out = {u: new[u] for u in plain}
+        for unit, core in tailed:
+            out[unit] = (new[core] if core in new else kept[core]) + self._mark(unit[len(core) :])
         if room:
             kept.update(new)
             # Words with a mark behind them are quick to put together: part of the room is theirs.
@@ -162,26 +168,30 @@ class UnitEncoder:
                 lines.append(len(own))
         else:
             pieces = texts
-        get = self.words.get
         parts = [None if i in whole else self._cut(p) for i, p in enumerate(pieces)] if whole else list(map(self._cut, pieces))
-        found: list[list[bytes | None] | None] = []
-        new: set[str] = set()
+        seen: set[str] = set()
+        first: set[str] = set()
         for part in parts:
-            got = None if part is None else list(map(get, part[1:] if self.keeps_space else part))
-            if got and not all(got):
-                new.update([w for w, v in zip(part[1:] if self.keeps_space else part, got) if v is None])
-            found.append(got)
-        more = self._units(new) if new else {}
-        heads = self._heads({p[0] for p in parts if p}) if self.keeps_space else {}
+            if part is not None:
+                rest = iter(part)
+                if self.keeps_space:
+                    first.add(next(rest))
+                seen.update(rest)
+        # The units of these texts in a table of their own, small beside what is kept.
+        new = seen.difference(self.words)
+        known = seen.difference(new)
+        units = dict(zip(known, map(self.words.__getitem__, known)))
+        units.update(self._units(new) if new else {})
+        get, heads = units.__getitem__, self._heads(first) if first else {}
         out = []
-        for piece, part, got in zip(pieces, parts, found):
-            if got is None:
+        for piece, part in zip(pieces, parts):
+            if part is None:
                 out.append(self._alone(piece))
-                continue
-            if not all(got):
-                rest = part[1:] if self.keeps_space else part
-                got = [more[w] if v is None else v for w, v in zip(rest, got)]
-            out.append((heads[part[0]] if self.keeps_space else b"") + b"".join(got))
+            elif self.keeps_space:
+                rest = iter(part)
+                out.append(heads[next(rest)] + b"".join(map(get, rest)))
+            else:
+                out.append(b"".join(map(get, part)))
         if not self.keeps_space:
             return out
         joined, at = [], 0
