@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketloom.llm import exact_dedup, jpeg, language_id, line_dedup, near_dedup, packing, piece_sampling, quality, suffix_dedup, token_files
+from marketloom.llm import exact_dedup, jpeg, language_id, line_dedup, near_dedup, packing, piece_sampling, quality, spelling, suffix_dedup, token_files
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_piece_sampling": piece_sampling.op8_piece_sampling,
         "op9_language_id": language_id.op9_language_id,
         "op10_packing": packing.op10_packing,
+        "op11_spelling_variants": spelling.op11_spelling_variants,
     }
 
 
