@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from marketloom.llm import exact_dedup, jpeg, language_id, line_dedup, near_dedup, packing, piece_sampling, quality, spelling, suffix_dedup, token_files
+from marketloom.llm import (
+    exact_dedup, hard_negatives, jpeg, language_id, line_dedup, near_dedup, packing, phrase_dedup, piece_sampling, quality, spelling, suffix_dedup,
+    token_files,
+)
 
 
 def queries() -> dict:
@@ -18,8 +21,15 @@ def queries() -> dict:
         "op9_language_id": language_id.op9_language_id,
         "op10_packing": packing.op10_packing,
         "op11_spelling_variants": spelling.op11_spelling_variants,
+        "op12_phrase_dedup": phrase_dedup.op12_phrase_dedup,
+        "op13_hard_negatives": hard_negatives.op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.OP3_SQL, "op5_line_dedup": line_dedup.OP5_SQL}
+    return {
+        "op3_exact_dedup": exact_dedup.OP3_SQL,
+        "op5_line_dedup": line_dedup.OP5_SQL,
+        "op12_phrase_dedup": phrase_dedup.OP12_SQL,
+        "op13_hard_negatives": hard_negatives.OP13_SQL,
+    }
