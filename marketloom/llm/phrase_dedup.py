@@ -13,20 +13,21 @@ How it works.
 2. Segments: the words of all windows of one anchor. Segments of one anchor that are alike
    are one kind, with the smallest and largest document id of all its places, so a passage that a
    third of all documents share is streamed once.
-3. Recurring passages are confirmed: the windows of all kinds are grouped by a 128-bit digest; those
+3. Recurring passages are confirmed: the windows of all kinds are grouped by a 96-bit digest; those
    with several document ids are patterns, each with the smallest of them.
-4. Automata. Patterns are dealt to shards by their anchor, so all windows of a segment are
+4. Automata. Kinds and patterns are dealt to shards by their anchor, so all windows of a segment are
    in the shard of its anchor. A task compiles a shard's patterns, as sequences of word
    numbers, into one automaton and streams all segments of the shard through it, which
-   locates every occurrence. The number of shards follows the number of patterns; an anchor
-   with more patterns than a shard may hold is dealt to several by the patterns' digests.
-   Segments are told from patterns by the sort order inside a partition, so
-   a task holds the automaton and one batch of segments.
+   locates every occurrence. The number of shards follows the number of kinds; an anchor
+   with more kinds than a shard may hold is dealt to several by the digests of the
+   windows, and a segment goes to those that its windows are in. So a task holds the words, and the automaton, of one
+   shard of bounded size.
 5. Occurrences in documents behind the first become runs of words, and a join with the
    documents cuts them.
 
 The automaton compares words themselves; digests only choose what is compiled. Documents
-without a shared anchor need no streaming, as no pattern can be in them.
+without a shared anchor need no streaming, as no pattern can be in them. Tables between the steps are in the
+shared folder; as each cuts the lineage, the shuffle files behind it go once it is written.
 
 Defined results: null and empty texts have no words and give zeros and the digest of the empty string;
 documents with fewer words than a window stay whole; words are compared byte by byte, with no
@@ -52,9 +53,11 @@ from pyspark.sql import functions as F
 from marketloom.llm import common
 
 #: Words of a window and of an anchor.
-WINDOW, GRAM = 13, 4
-#: Patterns that an automaton should hold.
-SHARD = 30_000
+WINDOW, GRAM = 13, 6
+#: Segments that a shard should hold.
+SHARD = 1_000
+#: Bits of an anchor's key and of a segment's hash that are kept: short numbers make short rows, and both together name a kind.
+_SHORT = np.uint64((1 << 48) - 1)
 #: Stands for a null id: behind all others.
 _NO_ID = (1 << 63) - 1
 _BLANK = np.zeros(256, bool)
@@ -117,11 +120,25 @@ def anchors(hashes: np.ndarray, ends: np.ndarray, window: int, gram: int) -> tup
     return chosen[first], first, last, key[chosen[first]]
 
 
+def _stored(frame: DataFrame, label: str) -> DataFrame:
+    """``common.materialise``, and the shuffle files that only led to the table go when it is written."""
+    conf, key = frame.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return common.materialise(frame, label)
+    finally:
+        conf.set(key, before)
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents as (doc_id, row, data); ``row`` tells rows with equal ids apart."""
+    """Documents as (given, doc_id, row, data); ``row`` tells rows with equal ids apart, and is 0 where no id comes twice."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id")
+    twice = docs.select(key).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     data = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"), data)
-    return rows.select("doc_id", F.xxhash64("data", F.octet_length("data")).alias("row"), "data")
+    rows = docs.select(F.col(id_col).cast("long").alias("given"), key, data)
+    row = F.lit(0).cast("long") if twice.isEmpty() else F.xxhash64("data", F.octet_length("data"))
+    return rows.select("given", "doc_id", row.alias("row"), "data")
 
 
 def segments(rows: DataFrame, window: int, gram: int, held: int = 200_000) -> DataFrame:
@@ -130,6 +147,8 @@ def segments(rows: DataFrame, window: int, gram: int, held: int = 200_000) -> Da
     ``extent`` is a hash of the segment's words; ``place`` packs the place of the anchor with
     its first and last offset in the windows.
     """
+    if not 0 < window - gram < 16:
+        raise ValueError("a window may be up to 15 words longer than an anchor")
     schema = pa.schema([(c, pa.int64()) for c in ("anchor", "extent", "doc_id", "row", "place")])
 
     def emit(texts: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
@@ -140,7 +159,8 @@ def segments(rows: DataFrame, window: int, gram: int, held: int = 200_000) -> Da
         doc = np.searchsorted(ends, at, side="right")
         view, digest = memoryview(hashes.tobytes()), xxhash.xxh3_64_intdigest
         extent = np.fromiter((digest(view[8 * a : 8 * b]) for a, b in zip(first.tolist(), (last + window).tolist())), np.uint64, len(at))
-        place = (at - (ends - sizes)[doc]) << 16 | (at - first) << 8 | (at - last)
+        place = (at - (ends - sizes)[doc]) << 8 | (at - first) << 4 | (at - last)
+        key, extent = key & _SHORT, extent & _SHORT
         ids, numbers = (np.array([t[k] for t in texts], np.int64)[doc] for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (key.view(np.int64), extent.view(np.int64), ids, numbers, place)], schema=schema)
 
@@ -159,191 +179,223 @@ def segments(rows: DataFrame, window: int, gram: int, held: int = 200_000) -> Da
         if texts:
             yield emit(texts)
 
-    return rows.mapInArrow(sample, "anchor long, extent long, doc_id long, row long, place long")
+    return rows.select("doc_id", "row", "data").mapInArrow(sample, "anchor long, extent long, doc_id long, row long, place long")
 
 
 def shared_segments(found: DataFrame) -> DataFrame:
     """Segments whose anchor several document ids have, stored."""
     recurring = found.groupBy("anchor").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("anchor")
     # Stored, so that the join has a shuffle of its own, which can be split where an anchor is common.
-    recurring = common.materialise(recurring, "phrase-anchors")
-    out = common.materialise(found.join(recurring, "anchor"), "phrase-shared")
+    recurring = _stored(recurring, "phrase-anchors")
+    out = _stored(found.join(recurring, "anchor"), "phrase-shared")
     common.discard(recurring)
     return out
 
 
 def segment_kinds(shared: DataFrame) -> DataFrame:
-    """Segments with equal words, as one: anchor, extent, first and last document id, and one place (doc_id, row, place)."""
+    """Segments with equal words, as one: kind (a number), anchor, extent, first and last document id, and one place (doc_id, row, place). Stored."""
     least = F.min(F.struct("doc_id", "row", "place")).alias("_r")
-    return shared.groupBy("anchor", "extent").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), least).select("anchor", "extent", "first", "last", "_r.*")
+    kinds = shared.groupBy("anchor", "extent").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), least)
+    # Stored at once, so that the numbers stay as they are.
+    return _stored(kinds.select(F.monotonically_increasing_id().alias("kind"), "anchor", "extent", "first", "last", "_r.*"), "phrase-kinds")
 
 
-def segment_words(rows: DataFrame, kinds: DataFrame, window: int) -> DataFrame:
-    """The words of the kinds, and the digests of their windows: anchor, extent, first, last, high, words, digests.
-
-    Digests are in the order of the windows' beginnings; ``high`` is the anchor's offset in the first window.
-    """
-    wanted = kinds.groupBy("doc_id", "row").agg(F.collect_list(F.struct("anchor", "extent", "first", "last", "place")).alias("found"))
-    schema = "anchor long, extent long, first long, last long, high int, words binary, digests array<binary>"
-    arrow = pa.schema([(c, pa.int64()) for c in ("anchor", "extent", "first", "last")] + [("high", pa.int32()), ("words", pa.binary()), ("digests", pa.list_(pa.binary()))])
+def segment_words(rows: DataFrame, kinds: DataFrame, window: int, held: int = 4000) -> DataFrame:
+    """The words of the kinds, and digests of their windows in order: kind, anchor, extent, first, last, words, digests."""
+    wanted = kinds.groupBy("doc_id", "row").agg(F.collect_list(F.struct("kind", "anchor", "extent", "first", "last", "place")).alias("found"))
+    schema = "kind long, anchor long, extent long, first long, last long, words binary, digests array<binary>"
+    arrow = pa.schema([(c, pa.int64()) for c in ("kind", "anchor", "extent", "first", "last")] + [("words", pa.binary()), ("digests", pa.list_(pa.binary()))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers: list[np.ndarray] = []
+        texts: list[bytes] = []
+        digests: list[list[bytes]] = []
+
+        def emit() -> pa.RecordBatch:
+            columns = [pa.array(c) for c in np.concatenate(numbers, axis=1)]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary()), pa.array(digests, arrow.field("digests").type)], schema=arrow)
+            numbers.clear(), texts.clear(), digests.clear()
+            return out
+
         for batch in batches:
-            for data, found in zip(batch.column("data"), batch.column("found")):
-                data, found = data.as_py(), found.as_py()
-                begins, ends = (x.tolist() for x in word_bounds(data))
-                out = []
-                for s in found:
-                    at, high, low = s["place"] >> 16, s["place"] >> 8 & 255, s["place"] & 255
-                    words = data[begins[at - high] : ends[at - low + window - 1]].split()
-                    digests = [xxhash.xxh3_128_digest(b" ".join(words[i : i + window])) for i in range(len(words) - window + 1)]
-                    out.append((s["anchor"], s["extent"], s["first"], s["last"], high, b" ".join(words), digests))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+            lists = batch.column("found")
+            offsets, flat = lists.offsets.to_pylist(), lists.values
+            fields = np.stack([flat.field(k).to_numpy(zero_copy_only=False) for k in range(6)])
+            for i, data in enumerate(batch.column("data")):
+                data, some = data.as_py(), fields[:, offsets[i] : offsets[i + 1]]
+                begins, ends = word_bounds(data)
+                place = some[5]
+                at, high, low = place >> 8, place >> 4 & 15, place & 15
+                for a, b in zip(begins[at - high].tolist(), ends[at - low + window - 1].tolist()):
+                    words = data[a:b].split()
+                    texts.append(b" ".join(words))
+                    digests.append([xxhash.xxh3_128_digest(b" ".join(words[k : k + window]))[:12] for k in range(len(words) - window + 1)])
+                numbers.append(some[:5])
+                if len(texts) >= held:
+                    yield emit()
+        if texts:
+            yield emit()
 
-    return rows.join(wanted, ["doc_id", "row"]).select("data", "found").mapInArrow(cut, schema)
+    return rows.drop("given").join(wanted, ["doc_id", "row"]).select("data", "found").mapInArrow(cut, schema)
 
 
 def patterns(kinds: DataFrame) -> DataFrame:
-    """Windows that start in several document ids: anchor, digest, start (the smallest id), extent and place of one segment with it."""
-    windows = kinds.select("anchor", "extent", "first", "last", F.posexplode("digests").alias("_p", "digest"), "high")
-    found = windows.groupBy("anchor", "digest").agg(
-        F.min("first").alias("start"), F.max("last").alias("_last"), F.min("extent").alias("extent"), F.min(F.col("high") - F.col("_p")).alias("offset")
-    )  # all windows with one digest have their anchor at one offset
-    return found.where("start < _last").drop("_last")
+    """Windows that start in several document ids: anchor, digest, start (the smallest id), and one segment with it (kind, number of the window)."""
+    windows = kinds.select("anchor", "kind", "first", "last", F.posexplode("digests").alias("_p", "digest"))
+    # Equal windows have one anchor. Kind and number in one, so that they stay together.
+    one = F.shiftleft("kind", 4).bitwiseOR(F.col("_p").cast("long"))
+    found = windows.groupBy("digest").agg(F.min("anchor").alias("anchor"), F.min("first").alias("start"), F.max("last").alias("_last"), F.min(one).alias("_one"))
+    return found.where("start < _last").select("anchor", "digest", "start", F.shiftright("_one", 4).alias("kind"), F.col("_one").bitwiseAND(15).cast("int").alias("number"))
 
 
 def dealt(kinds: DataFrame, found: DataFrame, shard: int) -> DataFrame:
-    """Patterns and segments by shard: shard, kind (0: pattern), anchor, extent, start, last, high, words.
+    """Segments and patterns by shard: shard, kind, anchor, extent, last, words (null: a pattern), number, start.
 
-    The words of a pattern are those of its segment, and ``high`` is the number of its window there.
+    The words of a pattern are those of its segment, which is in the same shard.
     """
-    # An anchor with more patterns than a shard may hold has several parts.
-    many = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > shard)
-    many = common.materialise(many.select("anchor", F.ceil(F.col("_n") / shard).cast("long").alias("parts")), "phrase-many")
-    number = max(1, -(-found.count() // shard))
-    part = F.pmod(F.xxhash64("digest"), F.coalesce("parts", F.lit(1)))
+    # An anchor with more kinds than a shard may hold has several parts.
+    sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > shard)
+    many = _stored(sizes.select("anchor", F.ceil(F.col("_n") / shard).cast("long").alias("parts")), "phrase-many")
+    number = max(1, -(-kinds.count() // shard))
+    part = lambda d: F.pmod(F.xxhash64(d), F.col("parts"))
     place = F.pmod(F.xxhash64("anchor", "part"), F.lit(number)).alias("shard")
-    words = kinds.select("anchor", "extent", "high", "words")
-    compiled = found.join(many, "anchor", "left").withColumn("part", part).drop("parts").join(words, ["anchor", "extent"])
-    compiled = compiled.select(place, F.lit(0).alias("kind"), "anchor", "extent", "start", F.lit(0).cast("long").alias("last"), (F.col("high") - F.col("offset")).cast("int").alias("high"), "words")
-    single = kinds.join(many, "anchor", "left_anti").withColumn("part", F.lit(0).cast("long")).drop("digests")
-    spread = kinds.join(many, "anchor").withColumn("part", F.explode(F.array_distinct(F.transform("digests", lambda d: F.pmod(F.xxhash64(d), F.col("parts")))))).drop("digests", "parts")
-    streamed = single.unionByName(spread).select(place, F.lit(1).alias("kind"), "anchor", "extent", F.col("first").alias("start"), "last", "high", "words")
-    return compiled.unionByName(streamed)
+    if many.isEmpty():
+        rows, marked = kinds.withColumn("part", F.lit(0).cast("long")), found.withColumn("part", F.lit(0).cast("long"))
+    else:
+        alone = kinds.join(many, "anchor", "left_anti").withColumn("part", F.lit(0).cast("long"))
+        spread = kinds.join(many, "anchor").withColumn("part", F.explode(F.array_distinct(F.transform("digests", part)))).drop("parts")
+        rows = alone.unionByName(spread)
+        marked = found.join(many, "anchor", "left").withColumn("part", F.coalesce(part(F.col("digest")), F.lit(0).cast("long")))
+    segments_ = rows.select(place, "kind", "anchor", "extent", "last", "words", F.lit(0).alias("number"), F.lit(0).cast("long").alias("start"))
+    none = F.lit(0).cast("long")
+    wanted = marked.select(place, "kind", none.alias("anchor"), none.alias("extent"), none.alias("last"), F.lit(None).cast("binary").alias("words"), "number", "start")
+    return segments_.unionByName(wanted)
+
+
+def occurrences(segments_: list[tuple], wanted: list[tuple], window: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """All places of the patterns of a shard in its segments, see ``located``.
+
+    ``segments_`` has (kind, anchor, extent, last, words), ``wanted`` has (kind, number, start).
+    """
+    split = [s[4].split(b" ") for s in segments_]
+    # Words become numbers of this shard, so the automaton compares words and no hashes of them. A number is two letters of
+    # two alphabets, as the automaton looks a letter up among the children of a node one by one.
+    words = dict.fromkeys(w for text in split for w in text)
+    base = int(len(words) ** 0.5) + 1
+    high, low = [chr(0x10000 + k) for k in range(base)], [chr(0x20000 + k) for k in range(base)]
+    codes = {w: high[k // base] + low[k % base] for k, w in enumerate(words)}
+    texts = {s[0]: "".join([codes[w] for w in text]) for s, text in zip(segments_, split)}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    starts = [start for _, _, start in wanted]
+    for k, (kind, number, _) in enumerate(wanted):
+        automaton.add_word(texts[kind][2 * number : 2 * (number + window)], k)
+    automaton.make_automaton()
+    for kind, anchor, extent, last, _ in segments_:
+        begin = end = first = None
+        for at, k in automaton.iter(texts[kind]):
+            if starts[k] >= last:
+                continue  # no place of this segment is behind
+            number = (at + 1) // 2 - window
+            if end == number - 1 and first == starts[k]:
+                end = number
+                continue
+            if begin is not None:
+                yield anchor, extent, begin, end, first
+            begin = end = number
+            first = starts[k]
+        if begin is not None:
+            yield anchor, extent, begin, end, first
 
 
 def located(parts: DataFrame, window: int) -> DataFrame:
-    """All occurrences of patterns in the segments of their shard: anchor, extent, high, low, start.
+    """All occurrences of patterns in the segments of their shard: anchor, extent, begin, end, start.
 
-    A row stands for windows that follow each other, in which the anchor is at the offsets ``high`` down to
-    ``low``, and that start in document ``start`` first.
+    A row stands for the windows ``begin`` to ``end`` of a segment, which start in document ``start`` first.
     """
-    schema = pa.schema([("anchor", pa.int64()), ("extent", pa.int64()), ("high", pa.int32()), ("low", pa.int32()), ("start", pa.int64())])
-
-    class Shard:
-        def __init__(self, number: int) -> None:
-            self.number, self.ready = number, False
-            self.codes: dict[bytes, int] = {}
-            self.starts: list[int] = []
-            self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-
-        def add(self, words: list[bytes], start: int) -> None:
-            key = tuple(self.codes.setdefault(w, len(self.codes) + 1) for w in words)
-            if self.automaton.add_word(key, len(self.starts)):
-                self.starts.append(start)
-
-        def find(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
-            """The number of each window that is a pattern, and where it starts first."""
-            if not self.ready:
-                self.automaton.make_automaton()
-                self.ready = True
-            if not self.starts:
-                return
-            for end, k in self.automaton.iter(tuple(self.codes.get(w, 0) for w in words)):
-                yield end - window + 1, self.starts[k]
+    schema = pa.schema([("anchor", pa.int64()), ("extent", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("start", pa.int64())])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by shard, patterns first."""
-        now: Shard | None = None
+        """Rows come sorted by shard; one shard is held at a time."""
+        now, segments_, wanted = None, [], []
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            rows = list(occurrences(segments_, wanted, window)) if wanted else []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
         for batch in batches:
-            out: list[tuple[int, int, int, int, int]] = []
-            for shard, kind, anchor, extent, start, last, high, words in zip(*(c.to_pylist() for c in batch.columns)):
-                if now is None or now.number != shard:
-                    now = Shard(shard)
-                words = words.split(b" ")
-                if kind == 0:
-                    now.add(words[high : high + window], start)
-                    continue
-                run: list[int] | None = None
-                for number, first in now.find(words):
-                    if first >= last:
-                        continue  # no place of this segment is behind
-                    if run is not None and run[3] == high - number + 1 and run[4] == first:
-                        run[3] -= 1
-                        continue
-                    if run is not None:
-                        out.append(tuple(run))
-                    run = [anchor, extent, high - number, high - number, first]
-                if run is not None:
-                    out.append(tuple(run))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            for shard, kind, anchor, extent, last, words, number, start in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != now:
+                    yield from settle()
+                    now, segments_, wanted = shard, [], []
+                if words is None:
+                    wanted.append((kind, number, start))
+                else:
+                    segments_.append((kind, anchor, extent, last, words))
+        yield from settle()
 
-    rows = parts.repartition("shard").sortWithinPartitions("shard", "kind")
-    return rows.mapInArrow(stream, "anchor long, extent long, high int, low int, start long")
+    rows = parts.repartition("shard").sortWithinPartitions("shard")
+    return rows.mapInArrow(stream, "anchor long, extent long, begin int, end int, start long")
 
 
 def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Runs of words to remove: doc_id, row, begin, end; they may touch and overlap."""
-    rows = _rows(docs, id_col, text_col)
-    sampled = common.materialise(segments(rows, window, gram), "phrase-segments")
+    return _runs(_rows(docs, id_col, text_col), window, gram, shard)
+
+
+def _runs(rows: DataFrame, window: int, gram: int, shard: int) -> DataFrame:
+    sampled = _stored(segments(rows, window, gram), "phrase-segments")
     shared = shared_segments(sampled)
     common.discard(sampled)
-    kinds = common.materialise(segment_words(rows, segment_kinds(shared), window), "phrase-kinds")
-    found = common.materialise(patterns(kinds), "phrase-patterns")
-    hits = common.materialise(located(dealt(kinds, found, shard), window), "phrase-hits")
+    numbered = segment_kinds(shared)
+    kinds = _stored(segment_words(rows, numbered, window), "phrase-words")
+    common.discard(numbered)
+    found = _stored(patterns(kinds), "phrase-patterns")
+    hits = _stored(located(dealt(kinds, found, shard), window), "phrase-hits")
     common.discard(kinds, found)
     both = shared.join(hits, ["anchor", "extent"]).where("doc_id > start")
-    at = F.shiftright("place", 16)
-    return both.select("doc_id", "row", (at - F.col("high")).alias("begin"), (at - F.col("low") + window).alias("end"))
+    # The first word of the segment.
+    first = F.shiftright("place", 8) - F.shiftright("place", 4).bitwiseAND(15)
+    return both.select("doc_id", "row", (first + F.col("begin")).alias("begin"), (first + F.col("end") + window).alias("end"))
 
 
-def kept_parts(count: int, runs: list[dict] | None) -> tuple[list[tuple[int, int]], int]:
-    """The runs of words that stay, and how many words go."""
-    kept, at, gone = [], 0, 0
-    for begin, end in sorted((r["begin"], r["end"]) for r in runs or []):
-        if begin > at:
-            kept.append((at, begin))
-        if end > at:
-            gone += end - max(at, begin)
-            at = end
-    if at < count:
-        kept.append((at, count))
-    return kept, gone
+def kept_parts(count: int, begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """The runs of words that stay of a document of so many words."""
+    if not len(begins):
+        return [(0, count)] if count else []
+    order = np.argsort(begins, kind="stable")
+    begins, reach = begins[order], np.maximum.accumulate(ends[order])
+    fresh = np.flatnonzero(begins[1:] > reach[:-1])
+    cut = zip([0, *reach[fresh].tolist(), int(reach[-1])], [int(begins[0]), *begins[fresh + 1].tolist(), count])
+    return [(a, b) for a, b in cut if a < b]
 
 
 def remove_phrases(
     docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = True
 ) -> DataFrame:
     """One row per row of docs: doc_id, kept (words joined by a space, null unless asked for), n_words, n_removed, kept_sha256."""
-    runs = repeated_words(docs, window, gram, shard, id_col, text_col)
+    rows = _rows(docs, id_col, text_col)
+    runs = _runs(rows, window, gram, shard)
     by_doc = runs.groupBy("doc_id", "row").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
     schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, data, found in zip(batch.column("doc_id").to_pylist(), batch.column("data"), batch.column("runs")):
-                data, found = data.as_py(), found.as_py()
+            lists = batch.column("runs")
+            offsets, flat = lists.offsets.to_pylist(), lists.values
+            runs_begin, runs_end = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            for i, (doc_id, data) in enumerate(zip(batch.column("given").to_pylist(), batch.column("data"))):
+                data, own = data.as_py(), slice(offsets[i], offsets[i + 1])
                 begins, ends = word_bounds(data)
-                parts, gone = kept_parts(len(begins), found)
-                kept = b" ".join(b" ".join(data[begins[a] : ends[b - 1]].split()) for a, b in parts)
+                parts = kept_parts(len(begins), runs_begin[own], runs_end[own])
+                kept = b" ".join([b" ".join(data[begins[a] : ends[b - 1]].split()) for a, b in parts])
                 text = kept.decode("utf-8", "replace") if with_kept else None
-                out.append((None if doc_id == _NO_ID else doc_id, text, len(begins), gone, hashlib.sha256(kept).hexdigest()))
+                out.append((doc_id, text, len(begins), len(begins) - sum(b - a for a, b in parts), hashlib.sha256(kept).hexdigest()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    joined = _rows(docs, id_col, text_col).join(by_doc, ["doc_id", "row"], "left").select("doc_id", "data", "runs")
+    joined = rows.join(by_doc, ["doc_id", "row"], "left").select("given", "data", "runs")
     return joined.mapInArrow(apply, "doc_id long, kept string, n_words long, n_removed long, kept_sha256 string")
 
 
