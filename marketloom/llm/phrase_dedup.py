@@ -14,7 +14,8 @@ How it works.
    are one kind, with the smallest and largest document id of all its places, so a passage that a
    third of all documents share is streamed once.
 3. Recurring passages are confirmed: the windows of all kinds are grouped by a 96-bit digest; those
-   with several document ids are patterns, each with the smallest of them.
+   with several document ids recur, each with the smallest of them. Windows that follow each other in the only kind that
+   has them, with one smallest id, are one passage, and so one pattern; the others are patterns of their own.
 4. Automata. Kinds and patterns are dealt to shards by their anchor, so all windows of a segment are
    in the shard of its anchor. A task compiles a shard's patterns, as sequences of word
    numbers, into one automaton and streams all segments of the shard through it, which
@@ -46,6 +47,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,18 +242,22 @@ def segment_words(rows: DataFrame, kinds: DataFrame, window: int, held: int = 40
 
 
 def patterns(kinds: DataFrame) -> DataFrame:
-    """Windows that start in several document ids: anchor, digest, start (the smallest id), and one segment with it (kind, number of the window)."""
+    """Windows that start in several document ids: anchor, digest, start (the smallest id), and one segment with it (kind, number of the window).
+
+    ``alone`` is 1 where no other kind has the window.
+    """
     windows = kinds.select("anchor", "kind", "first", "last", F.posexplode("digests").alias("_p", "digest"))
     # Equal windows have one anchor. Kind and number in one, so that they stay together.
     one = F.shiftleft("kind", 4).bitwiseOR(F.col("_p").cast("long"))
-    found = windows.groupBy("digest").agg(F.min("anchor").alias("anchor"), F.min("first").alias("start"), F.max("last").alias("_last"), F.min(one).alias("_one"))
-    return found.where("start < _last").select("anchor", "digest", "start", F.shiftright("_one", 4).alias("kind"), F.col("_one").bitwiseAND(15).cast("int").alias("number"))
+    found = windows.groupBy("digest").agg(F.min("anchor").alias("anchor"), F.min("first").alias("start"), F.max("last").alias("_last"), F.min(one).alias("_one"), F.count(F.lit(1)).alias("_n"))
+    number, alone = F.col("_one").bitwiseAND(15).cast("int").alias("number"), (F.col("_n") == 1).cast("int").alias("alone")
+    return found.where("start < _last").select("anchor", "digest", "start", F.shiftright("_one", 4).alias("kind"), number, alone)
 
 
 def dealt(kinds: DataFrame, found: DataFrame, shard: int) -> DataFrame:
-    """Segments and patterns by shard: shard, kind, anchor, extent, last, words (null: a pattern), number, start.
+    """Segments and recurring windows by shard: shard, kind, anchor, extent, last, words (null: a window), number, start, alone.
 
-    The words of a pattern are those of its segment, which is in the same shard.
+    The words of a window are those of its segment, which is in the same shard.
     """
     # An anchor with more kinds than a shard may hold has several parts.
     sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > shard)
@@ -266,16 +272,30 @@ def dealt(kinds: DataFrame, found: DataFrame, shard: int) -> DataFrame:
         spread = kinds.join(many, "anchor").withColumn("part", F.explode(F.array_distinct(F.transform("digests", part)))).drop("parts")
         rows = alone.unionByName(spread)
         marked = found.join(many, "anchor", "left").withColumn("part", F.coalesce(part(F.col("digest")), F.lit(0).cast("long")))
-    segments_ = rows.select(place, "kind", "anchor", "extent", "last", "words", F.lit(0).alias("number"), F.lit(0).cast("long").alias("start"))
+    segments_ = rows.select(place, "kind", "anchor", "extent", "last", "words", F.lit(0).alias("number"), F.lit(0).cast("long").alias("start"), F.lit(0).alias("alone"))
     none = F.lit(0).cast("long")
-    wanted = marked.select(place, "kind", none.alias("anchor"), none.alias("extent"), none.alias("last"), F.lit(None).cast("binary").alias("words"), "number", "start")
+    wanted = marked.select(place, "kind", none.alias("anchor"), none.alias("extent"), none.alias("last"), F.lit(None).cast("binary").alias("words"), "number", "start", "alone")
     return segments_.unionByName(wanted)
 
 
+def passages(wanted: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Patterns from recurring windows (kind, number, start, alone): kind, first and last window, start.
+
+    Windows that no other kind has go together where they follow each other and start in one document first.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    for kind, number, start, alone in sorted(wanted):
+        if alone and out and out[-1][0] == kind and out[-1][2] == number - 1 and out[-1][3] == start and out[-1][4]:
+            out[-1] = (kind, out[-1][1], number, start, 1)
+        else:
+            out.append((kind, number, number, start, alone))
+    return [x[:4] for x in out]
+
+
 def occurrences(segments_: list[tuple], wanted: list[tuple], window: int) -> Iterator[tuple[int, int, int, int, int]]:
     """All places of the patterns of a shard in its segments, see ``located``.
 
-    ``segments_`` has (kind, anchor, extent, last, words), ``wanted`` has (kind, number, start).
+    ``segments_`` has (kind, anchor, extent, last, words), ``wanted`` has (kind, number, start, alone).
     """
     split = [s[4].split(b" ") for s in segments_]
     # Words become numbers of this shard, so the automaton compares words and no hashes of them. A number is two letters of
@@ -286,23 +306,23 @@ def occurrences(segments_: list[tuple], wanted: list[tuple], window: int) -> Ite
     codes = {w: high[k // base] + low[k % base] for k, w in enumerate(words)}
     texts = {s[0]: "".join([codes[w] for w in text]) for s, text in zip(segments_, split)}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    starts = [start for _, _, start in wanted]
-    for k, (kind, number, _) in enumerate(wanted):
-        automaton.add_word(texts[kind][2 * number : 2 * (number + window)], k)
+    compiled = passages(wanted)
+    for k, (kind, a, b, _) in enumerate(compiled):
+        automaton.add_word(texts[kind][2 * a : 2 * (b + window)], k)
     automaton.make_automaton()
     for kind, anchor, extent, last, _ in segments_:
         begin = end = first = None
         for at, k in automaton.iter(texts[kind]):
-            if starts[k] >= last:
+            _, a, b, start = compiled[k]
+            if start >= last:
                 continue  # no place of this segment is behind
             number = (at + 1) // 2 - window
-            if end == number - 1 and first == starts[k]:
-                end = number
+            if first == start and number - (b - a) <= end + 1:
+                begin, end = min(begin, number - (b - a)), number
                 continue
             if begin is not None:
                 yield anchor, extent, begin, end, first
-            begin = end = number
-            first = starts[k]
+            begin, end, first = number - (b - a), number, start
         if begin is not None:
             yield anchor, extent, begin, end, first
 
@@ -324,14 +344,20 @@ def located(parts: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            for shard, kind, anchor, extent, last, words, number, start in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != now:
+            shards = batch.column("shard").to_numpy()
+            ends = [*(np.flatnonzero(np.diff(shards)) + 1).tolist(), batch.num_rows]
+            for at, end in zip([0, *ends], ends):
+                if end == at:
+                    continue
+                if shards[at] != now:
                     yield from settle()
-                    now, segments_, wanted = shard, [], []
-                if words is None:
-                    wanted.append((kind, number, start))
-                else:
-                    segments_.append((kind, anchor, extent, last, words))
+                    now, segments_, wanted = shards[at], [], []
+                part = batch.slice(at, end - at)
+                window_rows = pc.is_null(part.column("words"))
+                some = part.filter(pc.invert(window_rows))
+                segments_ += zip(*(some.column(c).to_pylist() for c in ("kind", "anchor", "extent", "last", "words")))
+                some = part.filter(window_rows)
+                wanted += zip(*(some.column(c).to_pylist() for c in ("kind", "number", "start", "alone")))
         yield from settle()
 
     rows = parts.repartition("shard").sortWithinPartitions("shard")
