@@ -180,7 +180,8 @@ class Slice:
 
 
 def padded_words(column: pa.Array, words: int) -> np.ndarray:
-    return column.values.to_numpy(zero_copy_only=False)[: len(column) * words].reshape(len(column), words).view(np.uint64)
+    """Lists of ``words`` numbers as a table; ``flatten`` leaves out what lies around a slice."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), words).view(np.uint64)
 
 
 def _sliced(codes: DataFrame, anchors: DataFrame, slices: int) -> DataFrame:
