@@ -207,9 +207,8 @@ def reduced_pairs(codes: DataFrame, held: int = 50_000) -> DataFrame:
     return rows.mapInArrow(join, "a long, b long").distinct()
 
 
-def near_words(vocabulary: DataFrame) -> DataFrame:
-    """Near words of each word of the vocabulary (word, n): word, n, near, near_n."""
-    codes = common.materialise(reduced(vocabulary), "spelling-codes")
+def near_words(codes: DataFrame) -> DataFrame:
+    """Near words of each word of a stored vocabulary with reduced words: word, n, near, near_n."""
     pairs = reduced_pairs(codes)
     own = codes.groupBy("reduced").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("reduced").alias("a"), F.col("reduced").alias("b"))
     left = codes.select(F.col("reduced").alias("a"), "word", "n")
@@ -218,14 +217,14 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     return both.where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
 
 
-def forms(vocabulary: DataFrame, times: int = TIMES) -> DataFrame:
-    """The words with their form and what is near: word, n, n_near, form, form_n."""
+def forms(codes: DataFrame, times: int = TIMES) -> DataFrame:
+    """The words of a stored vocabulary with reduced words, with their form and what is near: word, n, n_near, form, form_n."""
     # The largest count first, then the smallest word.
-    best = near_words(vocabulary).groupBy("word", "n").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("_n"), F.col("near"))).alias("_f"))
+    best = near_words(codes).groupBy("word", "n").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("_n"), F.col("near"))).alias("_f"))
     near_n = -F.col("_f._n")
     best = best.withColumn("_fits", near_n >= times * F.col("n"))
     chosen = best.select("word", "n_near", F.when(F.col("_fits"), F.col("_f.near")).alias("form"), F.when(F.col("_fits"), near_n).alias("form_n"))
-    return vocabulary.join(chosen, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "form", "form_n")
+    return codes.join(chosen, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "form", "form_n")
 
 
 def roots(links: DataFrame) -> DataFrame:
@@ -243,9 +242,9 @@ def roots(links: DataFrame) -> DataFrame:
 
 def spelling_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, times: int = TIMES) -> DataFrame:
     """One row per word of at least ``least`` occurrences: word, form, root, n, n_near, form_n."""
-    vocabulary = common.materialise(words(docs, id_col, text_col).where(F.col("n") >= least), "spelling-words")
-    found = common.materialise(forms(vocabulary, times), "spelling-forms")
-    common.discard(vocabulary)
+    codes = common.materialise(reduced(words(docs, id_col, text_col).where(F.col("n") >= least)), "spelling-codes")
+    found = common.materialise(forms(codes, times), "spelling-forms")
+    common.discard(codes)
     ends = roots(found.where("form IS NOT NULL"))
     return found.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
