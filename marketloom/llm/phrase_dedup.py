@@ -254,8 +254,8 @@ def patterns(kinds: DataFrame) -> DataFrame:
     return found.where("start < _last").select("anchor", "digest", "start", F.shiftright("_one", 4).alias("kind"), number, alone)
 
 
-def dealt(kinds: DataFrame, found: DataFrame, shard: int) -> DataFrame:
-    """Segments and recurring windows by shard: shard, kind, anchor, extent, last, words (null: a window), number, start, alone.
+def dealt(kinds: DataFrame, found: DataFrame, shard: int) -> tuple[DataFrame, DataFrame]:
+    """Segments and recurring windows by shard, and a stored table that they are read with: shard, kind, anchor, extent, last, words (null: a window), number, start, alone.
 
     The words of a window are those of its segment, which is in the same shard.
     """
@@ -275,7 +275,7 @@ def dealt(kinds: DataFrame, found: DataFrame, shard: int) -> DataFrame:
     segments_ = rows.select(place, "kind", "anchor", "extent", "last", "words", F.lit(0).alias("number"), F.lit(0).cast("long").alias("start"), F.lit(0).alias("alone"))
     none = F.lit(0).cast("long")
     wanted = marked.select(place, "kind", none.alias("anchor"), none.alias("extent"), none.alias("last"), F.lit(None).cast("binary").alias("words"), "number", "start", "alone")
-    return segments_.unionByName(wanted)
+    return segments_.unionByName(wanted), many
 
 
 def passages(wanted: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -377,8 +377,9 @@ def _runs(rows: DataFrame, window: int, gram: int, shard: int) -> DataFrame:
     kinds = _stored(segment_words(rows, numbered, window), "phrase-words")
     common.discard(numbered)
     found = _stored(patterns(kinds), "phrase-patterns")
-    hits = _stored(located(dealt(kinds, found, shard), window), "phrase-hits")
-    common.discard(kinds, found)
+    parts, many = dealt(kinds, found, shard)
+    hits = _stored(located(parts, window), "phrase-hits")
+    common.discard(kinds, found, many)
     both = shared.join(hits, ["anchor", "extent"]).where("doc_id > start")
     # The first word of the segment.
     first = F.shiftright("place", 8) - F.shiftright("place", 4).bitwiseAND(15)
