@@ -37,8 +37,8 @@ shared folder.
 
 Defined results: null text counts as empty; texts under ``span`` bytes are never
 touched; exact copies of at least ``span`` bytes vanish whole, each of them; rows
-with equal ids count as one document each and are told apart by a checksum of
-their text, so equal rows are copies of each other; very long texts are read in parts that
+with equal ids count as one document each and are told apart by a 64-bit hash of their text and
+its length, rows without an id by 128 bits of their text, so equal rows are copies of each other; very long texts are read in parts that
 overlap, so each window is in one; an empty table gives no rows; other columns are not
 read, whatever their names.
 """
@@ -59,8 +59,6 @@ from marketloom.llm import common
 
 #: Widths of the ranges of window offsets at the levels of refinement; each is a multiple of the next.
 LEVELS = (28, 7, 1)
-#: Stands for a null id inside the joins.
-_NO_ID = -(1 << 63)
 #: Low bits of a packed hash that hold the place in a chunk.
 _PLACE = (1 << 24) - 1
 
@@ -117,12 +115,17 @@ def anchors(data: np.ndarray, ends: np.ndarray, span: int, q: int) -> tuple[np.n
     return pos, first, last, h[pos].view(np.int64)
 
 
+def row_key(given: Column, data: Column) -> tuple[Column, Column]:
+    """The two numbers that name a row: its id, or half a digest of its text, and a hash of the text and its length."""
+    digest = F.conv(F.substring(F.md5(data), 1, 16), 16, -10).cast("long")
+    return F.coalesce(given.cast("long"), digest).alias("doc_id"), F.xxhash64(data, F.octet_length(data)).alias("row")
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents as (doc_id, row, data): ``row`` tells rows with equal ids apart."""
-    data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id"), data.alias("data")).select(
-        "doc_id", F.crc32("data").cast("long").alias("row"), "data"
-    )
+    """Documents as (given, doc_id, row, data): the id as it is, and the key that tells rows apart."""
+    data = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data")
+    rows = docs.select(F.col(id_col).cast("long").alias("given"), data)
+    return rows.select("given", *row_key(F.col("given"), F.col("data")), "data")
 
 
 def sampled_suffixes(texts: DataFrame, span: int, q: int, chunk: int = 128 << 10) -> DataFrame:
@@ -163,7 +166,7 @@ def sampled_suffixes(texts: DataFrame, span: int, q: int, chunk: int = 128 << 10
         if held:
             yield emit(held)
 
-    return texts.mapInArrow(sample, "doc_id long, row long, place long, bucket long, extent long")
+    return texts.select("doc_id", "row", "data").mapInArrow(sample, "doc_id long, row long, place long, bucket long, extent long")
 
 
 def unpacked(place: int) -> tuple[int, int, int]:
@@ -203,7 +206,7 @@ def contexts(texts: DataFrame, mixed: DataFrame, span: int) -> DataFrame:
                     out.append((doc_id, row, a["place"], a["bucket"], a["weight"], bytes(data[pos - high : pos - low + span])))
             yield pd.DataFrame(out, columns=["doc_id", "row", "place", "bucket", "weight", "data"])
 
-    joined = texts.join(wanted, ["doc_id", "row"])
+    joined = texts.drop("given").join(wanted, ["doc_id", "row"])
     return joined.mapInPandas(cut, "doc_id long, row long, place long, bucket long, weight int, data binary")
 
 
@@ -329,7 +332,7 @@ def remove_repeats(
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("data").to_pylist()
+            ids, texts = batch.column("given").to_pylist(), batch.column("data").to_pylist()
             lists = batch.column("runs")
             offsets, flat = lists.offsets.to_numpy(), lists.values
             begins, ends = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -341,10 +344,10 @@ def remove_repeats(
                     n_spans = len(a)
                     stops = [*a.tolist(), len(data)]
                     kept = b"".join(data[x:y] for x, y in zip([0, *b.tolist()], stops))
-                out.append((None if doc_id == _NO_ID else doc_id, kept if with_kept else None, len(data), len(data) - len(kept), n_spans, hashlib.sha256(kept).hexdigest()))
+                out.append((doc_id, kept if with_kept else None, len(data), len(data) - len(kept), n_spans, hashlib.sha256(kept).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    joined = _texts(docs, id_col, text_col).join(by_doc, ["doc_id", "row"], "left").select("doc_id", "data", "runs")
+    joined = _texts(docs, id_col, text_col).join(by_doc, ["doc_id", "row"], "left").select("given", "data", "runs")
     return joined.mapInArrow(apply, REMOVED)
 
 
@@ -356,9 +359,8 @@ def without_repeats(docs: DataFrame, span: int = 200, q: int = 32, id_col: str =
     runs = repeated_runs(docs, span, q, id_col, text_col)
     by_doc = runs.groupBy("doc_id", "row").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
     # All columns travel in one, so none can clash with those of the join.
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc_id")
-    row = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).cast("long").alias("row")
-    whole = docs.select(key, row, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+    key = row_key(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    whole = docs.select(*key, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
     joined = whole.join(by_doc, ["doc_id", "row"], "left").select("whole", "runs")
 
     docs_columns = docs.columns
