@@ -4,8 +4,9 @@ Each document is tokenised and gets an end id. Whole windows of ``top`` ids beco
 sequences at once, where the text was tokenised; only what is left, under one
 window for any document, is shuffled, so a very long document cannot fill a task.
 
-What is left goes to packing groups by a hash. Their number follows the bytes of
-the table, so a group stays within a fixed size. In a group, parts of at least half
+What is left goes to packing groups by a hash. Their number follows the bytes and the
+rows of the table, and rows that are alike are numbered inside a task and dealt by these numbers too, so a
+group stays within a fixed size. In a group, parts of at least half
 a window open a long window, and its gap is filled from the shorter tiers, the
 shortest first. The rest of each tier is cut into full sequences of the tier's
 length. The tails of the tiers are joined, cut into windows, and what is under a
@@ -14,13 +15,14 @@ a group are then dealt, longest first and back and forth, to step groups of abou
 equal numbers of ids.
 
 Defined results: null text counts as empty and gives just the end id; repeated
-rows are packed each; ties are ordered by id, start and checksum; an empty table
-gives no pieces; other columns are not read.
+rows are packed each; ties are ordered by id, start and checksum; very long texts are cut into
+windows where they were tokenised; an empty table gives no pieces; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +38,7 @@ PIECES = (
     "sequence_id long, offset long, seq_tokens long, step_group long"
 )
 _PART = pa.schema(
-    [(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")]
+    [(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "twin")]
     + [("ids", pa.binary())]
 )
 
@@ -140,11 +142,16 @@ def deal(sizes: np.ndarray, per_step: int) -> np.ndarray:
 
 
 def tokenised_parts(docs: DataFrame, tokenizer: str, end_id: int, top: int, id_col: str, text_col: str) -> DataFrame:
-    """Whole windows (without ids) and what is left of each document (with ids)."""
+    """Whole windows (without ids) and what is left of each document (with ids).
+
+    ``twin`` numbers rows of a task that are alike. It does not depend on the order of the rows, so
+    a task that runs again gives the same rows.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer, False)
         end = np.array([end_id], encoder.dtype).tobytes()
+        seen: Counter[tuple] = Counter()
         for batch in batches:
             for part in tokens.slices(batch, "text"):
                 ids, texts = (c.to_pylist() for c in part.columns)
@@ -154,14 +161,16 @@ def tokenised_parts(docs: DataFrame, tokenizer: str, end_id: int, top: int, id_c
                     for at in range(0, len(wide), top):
                         piece = wide[at : at + top].tobytes()
                         left = None if len(piece) == 4 * top else (raw + end)[at * encoder.dtype.itemsize :]
-                        rows.append((doc_id, at, len(piece) // 4, zlib.crc32(piece), len(wide), left))
+                        key = (doc_id, at, zlib.crc32(piece))
+                        rows.append((doc_id, at, len(piece) // 4, key[2], len(wide), seen[key], left))
+                        seen[key] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PART)], schema=_PART)
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     return rows.mapInArrow(
-        encode, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+        encode, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, twin long, ids binary"
     )
 
 
@@ -172,13 +181,14 @@ def pack(
     top: int = 4096,
     least: int = 256,
     group_bytes: int = 4 << 20,
+    group_rows: int = 10_000,
     step_tokens: int = 32 * 4096,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """One row per piece, see ``PIECES``."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    groups = max(1, size // group_bytes)
+    size, count = docs.agg(F.sum(F.octet_length(F.col(text_col))), F.count(F.lit(1))).first()
+    groups = max(1, (size or 0) // group_bytes, -(-count // group_rows))
     dtype = tokens.id_type(tokenizer)
 
     def lay_out(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -213,7 +223,7 @@ def pack(
         return out
 
     parts = tokenised_parts(docs, tokenizer, end_id, top, id_col, text_col)
-    spread = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
+    spread = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "twin"), F.lit(groups))
     return parts.withColumn("_group", spread).groupBy("_group").applyInPandas(lay_out, PIECES)
 
 
