@@ -7,16 +7,17 @@ for b > 127 and b - 255 otherwise, which is lossless. Blocks are 64 coefficients
 in zigzag order; a restart interval of one block keeps the DC predictor at zero and
 lets blocks be decoded side by side. A comment segment states the payload's length.
 
-Reading: a general decoder for baseline files (any Huffman tables, sampling
-factors, restart intervals, runs, end of block, byte stuffing). It parses the
+Reading: a decoder for baseline files of one scan (any Huffman tables, sampling
+factors, restart intervals, runs, end of block, byte stuffing); of a file with a scan for each component
+it reads the first one only. It parses the
 markers, splits scans at restart markers and decodes the Huffman codes of all
 intervals of a batch of files in lock step with numpy. DC coefficients of the first
 component, times their quantiser, give the luminance thumbnail, one sample per
 block, from which an 8x8 average hash and a checksum are made.
 
 Defined results: null text counts as empty and is stored as 192 bytes 32; equal
-texts give equal values; repeated rows give repeated rows; texts too long for three
-columns of blocks get more columns; an empty table gives no rows.
+texts give equal values, so there are no ties to decide; repeated rows give repeated rows; very long texts are stored whole, and those too long for three
+columns of blocks get more columns; an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ outside the vocabulary are their bytes. A segmentation's probability is its prod
 weights over the sum for all segmentations of the text.
 
 The ``k`` segmentations with the largest Gumbel-perturbed log probabilities are
-found by a best-first search with exact bounds: backward sums over the lattice give the
+found from the best one on. A perturbed A-star search keeps a queue of subtrees, each with its own perturbed maximum as bound; here
+the whole frontier has one maximum instead, and the subtree that holds it is drawn given that, which has the same law and needs no queue: backward sums over the lattice give the
 mass of every subtree, so the largest perturbed value in a set of subtrees can be drawn
 at once, truncated at the last value found, and the subtree that holds it is drawn by
 mass. The first path is drawn from the root. Beside each of its words stand the

@@ -14,9 +14,11 @@ Learning uses a bounded sample, ``sample`` labelled documents, the first by a ha
 of the id; only their hashed inputs reach the driver. Scoring covers all texts.
 Labels, language, source and id are no inputs.
 
-Defined results: null text counts as empty and gets the score of its statistics;
-without labels every score is 0.5; with several labels of one id the smallest counts;
-equal texts get equal scores; an empty table gives no rows.
+Defined results: null text counts as empty and gets the score of its statistics; very long texts are
+read whole; without labels every score is 0.5; with several labels of one id the smallest counts;
+equal texts get equal scores, so rows that repeat and ties do too; an empty table gives no rows; other columns are
+not read, whatever their names. The bound on the sample counts ids: where rows share an id, all of them
+are in the sample with it.
 """
 
 from __future__ import annotations

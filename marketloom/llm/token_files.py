@@ -13,9 +13,9 @@ complete, so a lost executor leaves at most an unused part file. The list of
 files, one entry per partition, is the only thing the driver sees; it adds up the
 ids before each file.
 
-Defined results: null text counts as empty and gives just the end id; rows with
-equal ids are ordered by text; an empty table gives no rows; other columns are not
-read.
+Defined results: null text counts as empty and gives just the end id; very long texts are
+encoded whole; rows with equal ids are ordered by text and are in one file, as are those without an id; an
+empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
