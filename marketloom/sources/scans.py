@@ -133,35 +133,19 @@ def incremental_batch(events: DataFrame, after: tuple[datetime, int] | None, siz
 
 
 def merge_events(existing: DataFrame, incoming: DataFrame, id_col: str = "event_id", mark_col: str = "event_fingerprint") -> DataFrame:
-    """One row per event of both; equal rows collapse, the later arrival's row stays.
+    """One row per event of both; equal rows collapse, the later arrival's row stays, on a tie the incoming one.
 
     ``conflicts`` tells events with several fingerprints; the caller must refuse them.
     """
-    both = existing.unionByName(incoming)
-    others = [c for c in both.columns if c != id_col]
+    others = [c for c in incoming.columns if c != id_col]
+    both = existing.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
     return (
         both.groupBy(id_col)
-        .agg(F.max_by(F.struct(*others), F.struct("received_at", mark_col)).alias("_r"), (F.countDistinct(mark_col) > 1).alias("conflicts"))
+        .agg(F.max_by(F.struct(*others), F.struct("received_at", "_new", mark_col)).alias("_r"), (F.countDistinct(mark_col) > 1).alias("conflicts"))
         .select(id_col, "_r.*", "conflicts")
     )
 
 
-def merge_partitions(existing: DataFrame, incoming: DataFrame, path: str, id_col: str = "event_id") -> None:
-    """Merge a batch into date partitions; only the dates it touches are rewritten."""
-    dates = incoming.select("event_date").distinct()
-    touched = existing.join(dates, "event_date", "left_semi")
-    merged = merge_events(touched.select(*incoming.columns), incoming, id_col)
-    if not merged.where("conflicts").isEmpty():
-        raise ValueError("one event id has several fingerprints")
-    (
-        merged.drop("conflicts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
-
-
 def latest_version(frame: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in order)))

@@ -24,4 +24,18 @@ def materialise(frame: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back, so its lineage ends there."""
     path = f"{shared_dir(frame.sparkSession)}/step-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder in any store that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote, once nothing reads them any more."""
+    for frame in stored:
+        delete(frame.sparkSession, frame.stored_at)
