@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from marketloom.sources.scans import merge_partitions
+from marketloom.sources import events as store
 
 SHOWN = T.ArrayType(T.StructType([T.StructField("product_id", T.LongType()), T.StructField("discount", T.DoubleType())]))
 
@@ -32,24 +37,108 @@ def stream_dedup(events: DataFrame, delay: str = "2 hours") -> DataFrame:
     return _timed(events, "received_at", delay).dropDuplicatesWithinWatermark(["event_id", "event_fingerprint"])
 
 
-def stream_conflicts(events: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Fingerprints per event id within its arrival window."""
-    marked = _timed(events, "received_at", delay)
-    return marked.groupBy(F.window("received_at", "1 day"), "event_id").agg(
-        F.approx_count_distinct("event_fingerprint").alias("n_versions"), F.count(F.lit(1)).alias("n_rows")
+VERSIONS = "event_id long, event_fingerprint string, received_at timestamp, status string, n_seen long"
+_STORE, _ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, which keyed state with timers needs.
+
+    A stream takes the setting when it starts, and from its checkpoint when it starts again.
+    """
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before)
+
+
+class Versions(StatefulProcessor):
+    """Per event id the first fingerprint, how many rows came, and when the last one arrived.
+
+    A timer drops the state once the watermark is ``keep`` behind the last arrival, so it holds only ids that
+    came within that time, wherever days and batches begin.
+    """
+
+    def __init__(self, keep: timedelta) -> None:
+        self.keep = int(keep.total_seconds() * 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.first = handle.getValueState("first", "fingerprint string, n_seen long, expires long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        # Within a batch, in the order of arrival; ties in that of the fingerprint.
+        came = pd.concat(list(rows)).sort_values(["received_at", "event_fingerprint"], kind="stable", na_position="last")
+        marks = [None if pd.isna(m) else m for m in came["event_fingerprint"]]
+        known = self.first.get() if self.first.exists() else None
+        first, seen, expires = known if known else (marks[0], 0, 0)
+        status = [("duplicate" if m == first else "conflict") if known or k else "new" for k, m in enumerate(marks)]
+        if expires:
+            self.handle.deleteTimer(expires)
+        expires = max(expires, int(came["received_at"].max().timestamp() * 1000) + self.keep)
+        self.handle.registerTimer(expires)
+        self.first.update((first, seen + len(marks), expires))
+        yield pd.DataFrame(
+            {"event_id": int(key[0]), "event_fingerprint": marks, "received_at": came["received_at"].to_numpy(), "status": status, "n_seen": [seen + k + 1 for k in range(len(marks))]}
+        )
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.first.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_versions(events: DataFrame, delay: str = "2 hours", keep: timedelta = timedelta(days=30)) -> DataFrame:
+    """Every row with what it is: new, a duplicate of the first row of its id, or in conflict with it.
+
+    Appended as rows come; see ``VERSIONS``. Rows whose arrival is behind the watermark (``delay``) are late and left
+    out; an id that did not come for ``keep`` is new when it comes again. Start it inside ``keyed_state``.
+    """
+    rows = _timed(events, "received_at", delay).select(F.col("event_id").cast("long").alias("event_id"), "event_fingerprint", "received_at")
+    return rows.groupBy("event_id").transformWithStateInPandas(Versions(keep), VERSIONS, "Append", "EventTime")
+
+
+def stream_conflicts(events: DataFrame, delay: str = "2 hours", keep: timedelta = timedelta(days=30)) -> DataFrame:
+    """The rows whose fingerprint differs from the first one of their event id."""
+    return stream_versions(events, delay, keep).where("status = 'conflict'")
+
+
+def _status(found: Column, shown: Column) -> Column:
+    """What a match of an event with a list is: ``found`` is the list's client, ``shown`` its entries."""
+    fits = F.exists(shown, lambda x: (x["product_id"] == F.col("product_id")) & (x["discount"] == F.col("shown_discount")))
+    return (
+        F.when(found.isNull(), "UNVERIFIED_MISSING_REQUEST")
+        .when((found == F.col("client_id")) & F.coalesce(fits, F.lit(False)), "VERIFIED")
+        .otherwise("REJECTED_MISMATCH")
     )
 
 
 def verify(events: DataFrame, predictions: DataFrame) -> DataFrame:
     """Match events to the lists that were shown, by request, client, product and exact discount."""
     shown = predictions.select("request_id", F.col("client_id").alias("_client"), F.from_json("payload", SHOWN).alias("_shown"))
-    fits = F.exists("_shown", lambda x: (x["product_id"] == F.col("product_id")) & (x["discount"] == F.col("shown_discount")))
-    status = (
-        F.when(F.col("_client").isNull(), "UNVERIFIED_MISSING_REQUEST")
-        .when((F.col("_client") == F.col("client_id")) & fits, "VERIFIED")
-        .otherwise("REJECTED_MISMATCH")
+    joined = events.join(shown, "request_id", "left")
+    return joined.withColumn("status", _status(F.col("_client"), F.col("_shown"))).drop("_client", "_shown")
+
+
+def stream_verify(events: DataFrame, predictions: DataFrame, within: str = "1 day", delay: str = "2 hours", shown_col: str = "shown_at") -> DataFrame:
+    """The same where the lists are a stream too (request_id, client_id, payload, and when each was shown).
+
+    An event matches a list that was shown at most ``within`` before it was created. Both streams have a watermark, so the
+    state holds what came within these times: an event that comes before its list waits for it, and one whose list never comes
+    is given out as missing once the watermarks have passed. Rows that are late by more than ``delay`` are left out. Each request has one list.
+    """
+    left = _timed(events, "created_at", delay).alias("e")
+    right = _timed(predictions, shown_col, delay).select(
+        F.col("request_id").alias("_request"), F.col("client_id").alias("_client"), F.from_json("payload", SHOWN).alias("_shown"), F.col(shown_col).alias("_at")
     )
-    return events.join(shown, "request_id", "left").withColumn("status", status).drop("_client", "_shown")
+    near = (F.col("_at") <= F.col("created_at")) & (F.col("_at") >= F.col("created_at") - F.expr(f"INTERVAL {within}"))
+    joined = left.join(right, (F.col("request_id") == F.col("_request")) & near, "left_outer")
+    return joined.withColumn("status", _status(F.col("_client"), F.col("_shown"))).drop("_request", "_client", "_shown", "_at")
 
 
 def stream_late_audit(events: DataFrame, cutoff: datetime, days: int, delay: str = "12 hours") -> DataFrame:
@@ -60,30 +149,21 @@ def stream_late_audit(events: DataFrame, cutoff: datetime, days: int, delay: str
 
 
 def stream_partition_merge(events: DataFrame, path: str, checkpoint: str, rejects: str | None = None) -> StreamingQuery:
-    """Merge every batch into date partitions; a batch that runs again changes nothing.
+    """Merge every batch into date partitions, once.
 
-    Where one event id has several fingerprints, in a batch or against what is stored, nothing of
-    the batch is published and an error is raised. With a ``rejects`` path, the batch's rows
-    of such ids go there instead, under the number of the batch, and the others are merged.
+    Each batch is recorded in the ledger under its first and last arrival, after its events are stored: one
+    that runs again is recognised, and one that was cut off before that is merged again, which changes
+    nothing. Where one event id has several fingerprints, in a batch or against what is stored on any date, nothing
+    of the batch is published and an error is raised. With a ``rejects`` path, the batch's rows of
+    such ids go there instead, under the number of the batch, and the others are merged.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         held = batch.drop("event_date").withColumn("event_date", F.to_date("created_at"))
-        try:
-            existing = spark.read.schema(held.schema).parquet(path)
-        except Exception as error:  # the first batch has no table yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            existing = held.limit(0)
-        existing = existing.select(*held.columns)
-        if rejects is not None:
-            ids = held.select("event_id").distinct()
-            known = existing.join(ids, "event_id", "left_semi").select("event_id", "event_fingerprint").union(held.select("event_id", "event_fingerprint"))
-            bad = known.groupBy("event_id").agg(F.min("event_fingerprint").alias("_a"), F.max("event_fingerprint").alias("_b")).where("_a <> _b").select("event_id")
-            held.join(bad, "event_id", "left_semi").write.mode("overwrite").parquet(f"{rejects}/batch={number}")
-            held = held.join(bad, "event_id", "left_anti")
-        merge_partitions(existing, held, path)
+        mark = F.struct(F.col("received_at").cast("timestamp").alias("at"), F.col("event_id").cast("long").alias("id"))
+        first, last = held.agg(F.min(mark), F.max(mark)).first()
+        if first is not None:
+            store.publish_once(held, path, tuple(first), tuple(last), f"{rejects}/batch={number}" if rejects else None)
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -92,7 +172,8 @@ def run_to_table(frame: DataFrame, path: str, checkpoint: str, mode: str = "appe
     """Run a stream over all that is there and write Parquet, or the last state of an aggregate."""
     writer = frame.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
-        query = writer.format("parquet").option("path", path).outputMode("append").start()
+        with keyed_state(frame.sparkSession):
+            query = writer.format("parquet").option("path", path).outputMode("append").start()
     else:
         query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).outputMode(mode).start()
     query.awaitTermination()
