@@ -13,12 +13,15 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from decimal import ROUND_FLOOR, Decimal
+from functools import reduce
 from math import inf, nextafter
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.sources.shared import materialise
+from marketloom.sources.shared import discard, materialise
 
 #: Rows that a bucket should hold, and the bounds of the number of buckets.
 BUCKET_ROWS, LEAST, MOST = 500_000, 8, 4096
@@ -130,10 +133,47 @@ def first_n_by_hash(frame: DataFrame, mark: Column, quotas: DataFrame, strata: l
     return ranked.where(F.col("sample_rank") <= F.col(quota)).drop("_h", "_p", "_r", "_o", quota)
 
 
-ORDER = ("roi", "incremental_profit", "cost", "client_id", "product_id")
+def running_by_rank(frame: DataFrame, rank: str, sums: dict[str, Column], width: int = BUCKET_ROWS) -> DataFrame:
+    """Running sums along a rank that counts rows from 1; buckets are stretches of ranks, so no bounds are looked for.
+
+    ``frame`` is read twice.
+    """
+    dealt = frame.withColumn("_bucket", F.floor((F.col(rank) - 1) / width).cast("long"))
+    totals = dealt.groupBy("_bucket").agg(*(F.sum(c).alias(f"_t_{n}") for n, c in sums.items()))
+    # One row for each stretch of ranks.
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.coalesce(1).select("_bucket", *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums))
+    inside = Window.partitionBy("_bucket").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
+    local = dealt.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()})
+    out = local.join(offsets, "_bucket").withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in sums})
+    return out.drop("_bucket", *(f"_o_{n}" for n in sums))
+
+
+#: A unit of cost, and the rows that one task may settle alone.
+UNIT, TAIL = Decimal("0.000001"), 20_000
+_ACCEPTED = "allocation_rank long, client_id {}, cost decimal(20,6)"
+
+
+def settled(frame: pd.DataFrame, spare: Decimal, cap: int) -> pd.DataFrame:
+    """The rows of a frame (allocation_rank, client_id, cost, held) that are accepted one by one."""
+    frame, counts, kept = frame.sort_values("allocation_rank"), {}, []
+    for k, r in enumerate(frame.itertuples(index=False)):
+        count = counts.get(r.client_id, r.held)
+        if count < cap and r.cost <= spare:
+            spare -= r.cost
+            counts[r.client_id] = count + 1
+            kept.append(k)
+    return frame.iloc[kept][["allocation_rank", "client_id", "cost"]]
 
 
-def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int = 60, lead: str = "roi") -> DataFrame:
+def _tail(left: DataFrame, held: DataFrame, spare: Decimal, cap: int) -> DataFrame:
+    """The accepted rows among the few that are left, settled in one group of at most ``TAIL`` rows."""
+    kind = left.schema["client_id"].dataType.simpleString()
+    rows = left.join(held, "client_id", "left").select("allocation_rank", "client_id", "cost", F.coalesce("_held", F.lit(0)).alias("held"), F.lit(0).alias("_one"))
+    return rows.groupBy("_one").applyInPandas(lambda frame: settled(frame, spare, cap), _ACCEPTED.format(kind))
+
+
+def budget_allocation(rows: DataFrame, budget: float, cap: int, lead: str = "roi", tail: int = TAIL) -> DataFrame:
     """Greedy acceptance in the order ROI down, profit down, cost up, ids.
 
     Another numeric column as ``lead`` goes before that order, descending.
@@ -142,55 +182,74 @@ def budget_allocation(rows: DataFrame, budget: float, cap: int, max_rounds: int
     accepted rows before it is refused for that; a row that does not fit what is left
     of the budget is skipped, and a cheaper later row may still be accepted.
 
-    Each round accepts all rows up to the first that overflows, with the cap applied by
-    a row number within the client; then only rows behind it that can still fit are
-    kept. What is left of the budget only shrinks, so no dropped row could have been
-    accepted. Decisions are labelled at the end. Every round accepts a row at least;
-    if ``max_rounds`` do not settle all rows, an error says so and nothing is returned.
+    Rows are settled in phases. With R left of the budget and a bound b of at least R / 2, rows of at
+    most b fit as long as more than b would be left, and are refused for their client's count alone. The
+    phase ends at the first row after which no more than b is left: a small one, or a larger one that
+    still fits, after which less than R - b is left. Each phase is one running sum and the search for that row, and
+    decides all rows up to it. Where all costs are below R / 2, b is the largest cost instead, as
+    rows fit until less than that is left. So what is left halves, or falls below the largest cost, in each phase,
+    and log2(budget / 0.000001) + 2 phases settle everything, whatever the rows. Only rows behind that
+    can still fit go on; once they are at most ``tail`` rows, one task settles them.
     """
     if budget <= 0 or cap <= 0:
         raise ValueError("budget and cap must be positive")
     order = [F.desc("roi"), F.desc("incremental_profit"), F.asc("cost"), F.asc("client_id"), F.asc("product_id")]
-    rows = rows.withColumn("cost", F.col("cost").cast("decimal(20,6)"))
+    rows = materialise(rows.withColumn("cost", F.col("cost").cast("decimal(20,6)")))
     if rows.where("cost < 0 OR cost IS NULL").limit(1).count():
         raise ValueError("cost must be finite and not negative")
     if lead == "roi":
-        placed = global_row_number(rows, "roi", order, "allocation_rank", descending=True, second=-F.col("incremental_profit"))
+        placed = running(rows, "roi", order, {"allocation_rank": F.lit(1)}, descending=True, second=-F.col("incremental_profit"), stored=True)
     else:
-        placed = global_row_number(rows, lead, [F.desc(lead), *order], "allocation_rank", descending=True, second=-F.col("roi"))
+        placed = running(rows, lead, [F.desc(lead), *order], {"allocation_rank": F.lit(1)}, descending=True, second=-F.col("roi"), stored=True)
     ranked = materialise(placed)
-    left = ranked.select("allocation_rank", "client_id", "cost")
-    spark, spent = rows.sparkSession, 0
-    accepted = spark.createDataFrame([], "allocation_rank long, client_id long, cost decimal(20,6)").select(
-        "allocation_rank", F.col("client_id").cast(ranked.schema["client_id"].dataType).alias("client_id"), "cost"
-    )
-    limit = F.lit(budget).cast("decimal(20,6)")
-    for _ in range(max_rounds):
-        held = accepted.groupBy("client_id").agg(F.count(F.lit(1)).alias("_held"))
+    discard(rows)
+    spark, kind = rows.sparkSession, ranked.schema["client_id"].dataType.simpleString()
+    accepted = [spark.createDataFrame([], _ACCEPTED.format(kind))]
+    left, stored = ranked.select("allocation_rank", "client_id", "cost"), []
+    spare = Decimal(str(budget)).quantize(UNIT, ROUND_FLOOR)
+    money = lambda x: F.lit(str(x)).cast("decimal(20,6)")
+    while True:
+        left = left.where(F.col("cost") <= money(spare))
+        count, most = left.agg(F.count(F.lit(1)), F.max("cost")).first()
+        if not count:
+            break
+        held = reduce(DataFrame.unionByName, accepted).groupBy("client_id").agg(F.count(F.lit(1)).alias("_held"))
+        if count <= tail:
+            accepted.append(materialise(_tail(left, held, spare, cap)))
+            break
+        half = (spare / 2).quantize(UNIT, ROUND_FLOOR)
+        bound = min(half, most)
         turn = F.row_number().over(Window.partitionBy("client_id").orderBy("allocation_rank"))
-        tentative = (
-            left.withColumn("_turn", turn).join(held, "client_id", "left")
-            .where(F.coalesce("_held", F.lit(0)) + F.col("_turn") <= cap)
-            .select("allocation_rank", "client_id", "cost")
-        )
-        placed = materialise(running(tentative, "allocation_rank", [F.col("allocation_rank")], {"_sum": F.col("cost")}))
-        over = placed.where(F.col("_sum") + F.lit(spent) > limit).agg(F.min("allocation_rank")).first()[0]
-        fresh = placed if over is None else placed.where(F.col("allocation_rank") < over)
-        accepted = materialise(accepted.unionByName(fresh.select("allocation_rank", "client_id", "cost")))
-        if over is None:
+        first = left.where(F.col("cost") <= money(bound)).withColumn("_turn", turn).where(F.col("_turn") <= cap)
+        first = first.join(held, "client_id", "left").withColumn("_turn", F.col("_turn") + F.coalesce("_held", F.lit(0))).where(F.col("_turn") <= cap)
+        first = materialise(first.select("allocation_rank", "client_id", "cost", "_turn"))
+        # Larger rows come before the row with which their client is full.
+        full = first.where(F.col("_turn") == cap).select("client_id", F.col("allocation_rank").alias("_full"))
+        large = left.where(F.col("cost") > money(bound)).join(full, "client_id", "left").where("_full IS NULL OR allocation_rank < _full")
+        small = first.select("allocation_rank", "client_id", "cost", F.lit(True).alias("small"))
+        both = small.unionByName(large.select("allocation_rank", "client_id", "cost", F.lit(False).alias("small")))
+        walk = materialise(running_by_rank(both, "allocation_rank", {"_sum": F.when(F.col("small"), F.col("cost")).otherwise(money(0))}))
+        # Rows that cost nothing end no phase.
+        small_ends = F.col("small") & (F.col("_sum") > 0) & (money(spare) - F.col("_sum") <= money(bound))
+        large_ends = ~F.col("small") & (F.col("cost") <= money(spare) - F.col("_sum"))
+        end = walk.where(small_ends | large_ends).agg(F.min("allocation_rank")).first()[0]
+        taken = walk.where("small") if end is None else walk.where((F.col("allocation_rank") < end) & F.col("small") | (F.col("allocation_rank") == end))
+        fresh = materialise(taken.select("allocation_rank", "client_id", "cost"))
+        accepted.append(fresh)
+        if end is None:
+            discard(first, walk, *stored)
             break
-        spent = accepted.agg(F.sum("cost")).first()[0] or 0
-        full = accepted.groupBy("client_id").agg(F.count(F.lit(1)).alias("_held")).where(F.col("_held") >= cap).select("client_id")
-        left = left.where((F.col("allocation_rank") > over) & (F.col("cost") + F.lit(spent) <= limit)).join(full, "client_id", "left_anti")
+        spare -= fresh.agg(F.sum("cost")).first()[0] or 0
+        done = reduce(DataFrame.unionByName, accepted).groupBy("client_id").agg(F.count(F.lit(1)).alias("_held")).where(F.col("_held") >= cap)
+        left = left.where((F.col("allocation_rank") > end) & (F.col("cost") <= money(spare))).join(done.select("client_id"), "client_id", "left_anti")
         left = materialise(left)
-        if left.isEmpty():
-            break
-    else:
-        raise ValueError(f"not settled after {max_rounds} rounds; raise max_rounds")
-    mark = accepted.select("allocation_rank", F.lit(1).alias("_ok"))
-    out = ranked.join(mark, "allocation_rank", "left").withColumn("_ok", F.coalesce("_ok", F.lit(0)))
-    before = F.sum("_ok").over(Window.partitionBy("client_id").orderBy("allocation_rank").rowsBetween(Window.unboundedPreceding, -1))
-    out = out.withColumn("_before", F.coalesce(before, F.lit(0)))
-    out = running(out, "allocation_rank", [F.col("allocation_rank")], {"budget_spent_after": F.when(F.col("_ok") == 1, F.col("cost")).otherwise(F.lit(0).cast("decimal(20,6)"))})
-    decision = F.when(F.col("_ok") == 1, "DISCOUNT_ACCEPTED").when(F.col("_before") >= cap, "USER_CAP_REJECTED").otherwise("BUDGET_REJECTED")
+        discard(first, walk, *stored)
+        stored = [left]
+    taken = materialise(reduce(DataFrame.unionByName, accepted))
+    discard(*accepted[1:])
+    # A client is full from its last accepted row on, if it has ``cap`` of them.
+    full = taken.groupBy("client_id").agg(F.max("allocation_rank").alias("_full"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= cap).select("client_id", "_full")
+    out = ranked.join(taken.select("allocation_rank", F.lit(1).alias("_ok")), "allocation_rank", "left").join(full, "client_id", "left")
+    out = running_by_rank(out, "allocation_rank", {"budget_spent_after": F.when(F.col("_ok") == 1, F.col("cost")).otherwise(money(0))})
+    decision = F.when(F.col("_ok") == 1, "DISCOUNT_ACCEPTED").when(F.col("allocation_rank") > F.col("_full"), "USER_CAP_REJECTED").otherwise("BUDGET_REJECTED")
     return out.select("client_id", "product_id", "cost", "roi", "incremental_profit", decision.alias("optimizer_decision"), "allocation_rank", "budget_spent_after")
