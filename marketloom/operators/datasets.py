@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from datetime import datetime
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marketloom.functions.expressions import ordered_hash
 from marketloom.operators.distributed import first_n_by_hash
 from marketloom.sources.scans import label_scan
+from marketloom.sources.shared import materialise
 
 
 def column_subset(frame: DataFrame, excluded: Iterable[str]) -> DataFrame:
@@ -131,13 +136,71 @@ def smd_report(frame: DataFrame, columns: list[str], threshold: float = 0.1) ->
     return r.select("feature", "smd", warning.alias("warning"), F.round("x0", 9).alias("missing_control"), F.round("x1", 9).alias("missing_treatment"))
 
 
-def categorical_top_values(frame: DataFrame, columns: list[str], n: int = 20) -> DataFrame:
+def _summaries(long: DataFrame, keys: list[str], counters: int) -> DataFrame:
+    """Frequent values of each task: keys, value, low (a count that is not too high), slack (how much too low any count may be).
+
+    A task holds at most ``counters`` values of a key between batches. What would be one too many takes as much from all
+    counts as the largest count that goes (a mergeable counter summary). A row with ``slack`` only tells what was taken.
+    """
+    schema = long.select(*keys, "value", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("slack")).schema
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, Counter] = {}
+        slack: Counter[tuple] = Counter()
+        for batch in batches:
+            counts = pa.Table.from_batches([batch]).group_by([*keys, "value"]).aggregate([([], "count_all")])
+            for *key, value, n in zip(*(counts.column(c).to_pylist() for c in (*keys, "value", "count_all"))):
+                held.setdefault(tuple(key), Counter())[value] += n
+            for key, mine in held.items():
+                if len(mine) > counters:
+                    less = sorted(mine.values(), reverse=True)[counters]
+                    slack[key] += less
+                    held[key] = Counter({v: n - less for v, n in mine.items() if n > less})
+        rows = [(*key, v, n, 0) for key, mine in held.items() for v, n in mine.items()] + [(*key, None, 0, n) for key, n in slack.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], [*keys, "value", "low", "slack"]).cast(to_arrow_schema(schema))
+
+    return long.select(*keys, "value").mapInArrow(summarise, schema)
+
+
+def frequent_values(long: DataFrame, keys: list[str], n: int, counters: int = 1000) -> DataFrame:
+    """The n most frequent values of each key (few) with exact counts: keys, value, n; ties go to the smaller value, nulls last.
+
+    Summaries of bounded size per task give each value a count that is at most ``slack`` too low. Values that can be among the first n are counted
+    exactly; so a column with a million values moves those of the summaries only. Where values are so even that the summaries can't tell, all values of
+    that key are counted.
+    """
+    found = _summaries(long, keys, counters).groupBy(*keys, "value").agg(F.sum("low").alias("low"), F.sum("slack").alias("slack"))
+    found = materialise(found)
+    taken = found.groupBy(*keys).agg(F.sum("slack").alias("_d"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("low")))
+    least = found.where("low > 0").withColumn("_r", rank).where(F.col("_r") <= n).groupBy(*keys).agg(F.min("low").alias("_l"), F.count(F.lit(1)).alias("_k"))
+    # A value that no summary holds came at most ``_d`` times.
+    limits = taken.join(least, keys).withColumn("_sure", (F.col("_d") == 0) | (F.col("_k") == n) & (F.col("_d") < F.col("_l")))
+    limits = materialise(limits)
+    some = found.where("low > 0").join(limits.where("_sure"), keys).where(F.col("low") + F.col("_d") >= F.col("_l")).select(*keys, "value")
+    counted = [_counts(long, keys, some)]
+    if not limits.where("NOT _sure").isEmpty():
+        counted.append(_counts(long.join(limits.where("NOT _sure").select(*keys), keys, "left_semi"), keys, None))
+    order = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc_nulls_last("value"))
+    return reduce(DataFrame.unionByName, counted).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
+def _counts(long: DataFrame, keys: list[str], some: DataFrame | None) -> DataFrame:
+    """Exact counts, of some values or of all."""
+    if some is not None:
+        wanted = some.select(*(F.col(c).alias(f"_{c}") for c in (*keys, "value")))
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "value")))
+        long = long.join(wanted, same, "left_semi")
+    return long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def categorical_top_values(frame: DataFrame, columns: list[str], n: int = 20, counters: int = 1000) -> DataFrame:
     """The n most frequent values per arm and column, with their share."""
     long = frame.select("treatment", *(F.col(c).cast("string").alias(c) for c in columns)).unpivot(["treatment"], columns, "feature", "value")
-    counts = long.groupBy("treatment", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    mine = Window.partitionBy("treatment", "feature")
-    ranked = counts.withColumns({"share": F.round(F.col("n") / F.sum("n").over(mine), 9), "rank": F.row_number().over(mine.orderBy(F.desc("n"), F.asc_nulls_last("value")))})
-    return ranked.where(F.col("rank") <= n)
+    totals = long.groupBy("treatment", "feature").agg(F.count(F.lit(1)).alias("_all"))
+    ranked = frequent_values(long, ["treatment", "feature"], n, counters).join(totals, ["treatment", "feature"])
+    return ranked.select("treatment", "feature", "value", "n", F.round(F.col("n") / F.col("_all"), 9).alias("share"), "rank")
 
 
 def treatment_balance(frame: DataFrame, age: str, gender: str, value: str) -> DataFrame:
@@ -150,6 +213,30 @@ def treatment_balance(frame: DataFrame, age: str, gender: str, value: str) -> Da
     )
 
 
+def treatment_differences(frame: DataFrame, age: str, gender: str) -> DataFrame:
+    """How the arms differ: measure, value, control, treatment, difference.
+
+    Measures are the label rate, the age (the difference is standardised, null where it does not vary), and the share of each gender.
+    """
+    arm = lambda k, x: F.when(F.col("treatment") == k, x)
+    exact = F.col(age).cast("decimal(18,4)").cast("double")
+    wide = frame.agg(
+        *(F.avg(arm(k, F.col("target"))).alias(f"t{k}") for k in (0, 1)), *(F.avg(arm(k, exact)).alias(f"m{k}") for k in (0, 1)),
+        *(F.coalesce(F.var_samp(arm(k, exact)), F.lit(0.0)).alias(f"v{k}") for k in (0, 1)), *(F.count(arm(k, F.lit(1))).alias(f"n{k}") for k in (0, 1)),
+    )
+    pooled = F.sqrt((F.col("v0") + F.col("v1")) / 2)
+    smd = F.when(pooled > 0, (F.col("m1") - F.col("m0")) / pooled)
+    none = F.lit(None).cast("string")
+    row = lambda name, a, b, d: F.struct(F.lit(name).alias("measure"), none.alias("value"), a.alias("control"), b.alias("treatment"), d.alias("difference"))
+    both = F.array(row("target_rate", F.col("t0"), F.col("t1"), F.col("t1") - F.col("t0")), row("age_smd", F.col("m0"), F.col("m1"), smd))
+    first = wide.select(F.explode(both).alias("r")).select("r.*")
+    shares = frame.groupBy(F.col(gender).alias("value")).agg(*(F.count(arm(k, F.lit(1))).alias(f"g{k}") for k in (0, 1)))
+    shares = shares.join(F.broadcast(wide.select("n0", "n1")), how="cross")  # one row
+    rate = lambda k: F.coalesce(F.try_divide(f"g{k}", f"n{k}"), F.lit(0.0))
+    second = shares.select(F.lit("gender_share").alias("measure"), F.col("value").cast("string").alias("value"), rate(0).alias("control"), rate(1).alias("treatment"), (rate(1) - rate(0)).alias("difference"))
+    return first.unionByName(second)
+
+
 def uplift_group_rates(frame: DataFrame) -> DataFrame:
     """Rows and label rate per split and arm, and the uplift of the split."""
     rates = frame.groupBy("split").agg(

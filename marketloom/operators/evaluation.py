@@ -77,9 +77,9 @@ def uplift_at_k(rows: DataFrame, fractions: tuple[float, ...] = (0.1, 0.2, 0.3))
 
 def overlap_diagnostics(scored: DataFrame) -> DataFrame:
     """Quantiles of the treatment propensity and the share outside 0.1 to 0.9."""
-    q = F.percentile_approx("score", [0.01, 0.5, 0.99], 10_000)
+    q = F.percentile_approx("score", [0.01, 0.05, 0.5, 0.95, 0.99], 10_000)
     return scored.agg(q.alias("_q"), F.round(F.avg(((F.col("score") < 0.1) | (F.col("score") > 0.9)).cast("int")), 9).alias("outside_share")).select(
-        *(F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(("p01", "p50", "p99"))), "outside_share"
+        *(F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(("p01", "p05", "p50", "p95", "p99"))), "outside_share"
     )
 
 

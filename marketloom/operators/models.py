@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
+from typing import Any, NamedTuple
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,6 +13,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.operators.datasets import stratified_cap
+from marketloom.operators.evaluation import calibration_bins, classification_metrics, overlap_diagnostics
+from marketloom.sources.shared import discard, materialise
+
 
 def feature_manifest(frame: DataFrame, excluded: set[str]) -> list[dict[str, Any]]:
     """Ordered features with their types and whether they are categories."""
@@ -50,6 +54,91 @@ def train_propensity(frame: DataFrame, manifest: list[dict[str, Any]], label: st
     return Pipeline(stages=[*stages, trainer]).fit(rows)
 
 
+class Boosted(NamedTuple):
+    """Boosted trees cut to the best number of trees, and the validation loss of every number from 1 on."""
+
+    model: PipelineModel
+    best_iteration: int
+    losses: list[float]
+
+
+def boost(frame: DataFrame, manifest: list[dict[str, Any]], label: str, split: str = "split", trees: int = 20, depth: int = 4, weight: str | None = None) -> Boosted:
+    """Boosted trees on the train rows, with as many trees as are best on the validation rows.
+
+    All trees are grown, and every prefix of them is judged on the validation rows. If a shorter one is best, as many trees are grown
+    again: with the same seed and rows they are the same trees, and the model holds no others.
+    """
+    stages, features = _stages(manifest)
+    rows = _as_double(frame, manifest)
+    prepare = Pipeline(stages=stages).fit(rows.where(F.col(split) == "train"))
+    ready = materialise(prepare.transform(rows).select(features, F.col(label).cast("double").alias(label), split, *([weight] if weight else [])))
+    train, held = ready.where(F.col(split) == "train"), ready.where(F.col(split) == "validation")
+    trainer = GBTClassifier(featuresCol=features, labelCol=label, maxIter=trees, maxDepth=depth, maxBins=64, seed=7, **({"weightCol": weight} if weight else {}))
+    fitted = trainer.fit(train)
+    losses = fitted.evaluateEachIteration(held)
+    best = min(range(len(losses)), key=losses.__getitem__) + 1
+    if best < len(losses):
+        fitted = trainer.copy({trainer.maxIter: best}).fit(train)
+    discard(ready)
+    return Boosted(PipelineModel([*prepare.stages, fitted]), best, losses)
+
+
+def capped(frame: DataFrame, keys: list[str], most: int, seed: int, split: str = "split") -> DataFrame:
+    """All validation rows, and train rows with labels in proportion, at most ``most`` in all."""
+    held = frame.where(F.col(split) == "validation")
+    room = most - held.count()
+    if room < 2:
+        raise ValueError("the validation rows leave no room for train rows")
+    return stratified_cap(frame.where(F.col(split) == "train"), keys, room, seed).unionByName(held)
+
+
+def fit_propensity(
+    frame: DataFrame, manifest: list[dict[str, Any]], keys: list[str], most: int = 2_000_000, seed: int = 11, trees: int = 20, depth: int = 4, bins: int = 10
+) -> tuple[Boosted, DataFrame]:
+    """A propensity model and its report on the validation rows, one row.
+
+    The report has the rows used, the best number of trees, AUC, average precision, log loss, Brier score, and the calibration bins. At
+    most ``most`` rows are used; all validation rows are among them.
+    """
+    rows = materialise(capped(frame, keys, most, seed))
+    counts = {r["split"]: (r["n"], r["labels"]) for r in rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels")).collect()}  # two rows
+    if any(counts.get(x, (0, 0))[1] != 2 for x in ("train", "validation")):
+        raise ValueError("both splits need rows of both labels")
+    fitted = boost(rows, manifest, "label", trees=trees, depth=depth)
+    held = score_propensity(rows.where("split = 'validation'"), fitted.model, manifest)
+    scored = materialise(held.select("label", F.round("p_base_purchase", 6).alias("score")))
+    table = calibration_bins(scored, bins).agg(F.sort_array(F.collect_list(F.struct("bin", "n", "mean_score", "positive_rate"))).alias("calibration_bins"))
+    sizes = [F.lit(counts[x][0]).alias(f"n_{x}") for x in ("train", "validation")]
+    report = classification_metrics(scored).select(*sizes, F.lit(fitted.best_iteration).alias("best_iteration"), F.lit(len(fitted.losses)).alias("iterations"), "*")
+    return fitted, report.join(F.broadcast(table), how="cross")  # one row on both sides
+
+
+def treatment_overlap(frame: DataFrame, manifest: list[dict[str, Any]], trees: int = 20, depth: int = 4) -> DataFrame:
+    """How well the features tell who was treated: AUC, best number of trees, quantiles of the fitted probability and the share outside 0.1 to 0.9.
+
+    A classifier of the arm is fitted on the train rows; figures are of the validation rows. Alike arms have an AUC near a half.
+    """
+    fitted = boost(frame, manifest, "treatment", trees=trees, depth=depth)
+    held = _probability(frame.where("split = 'validation'"), fitted.model, manifest, "score").select(F.col("treatment").alias("label"), F.round("score", 6).alias("score"))
+    scored = materialise(held)
+    out = overlap_diagnostics(scored).join(F.broadcast(classification_metrics(scored).select("roc_auc")), how="cross")
+    return out.withColumn("best_iteration", F.lit(fitted.best_iteration))
+
+
+def arm_report(frame: DataFrame, models: tuple[PipelineModel, PipelineModel], manifest: list[dict[str, Any]], label: str = "target") -> DataFrame:
+    """Per arm: its rows, the trees of its model, the weights of its labels in training, and metrics on its own validation rows."""
+    weights = {(r["treatment"], r[label]): r["w"] for r in class_weights(frame.where("split = 'train'"), label).groupBy("treatment", label).agg(F.first("_w").alias("w")).collect()}  # four rows
+    out = None
+    for arm, model in enumerate(models):
+        mine = frame.where(F.col("treatment") == arm)
+        scored = _probability(mine.where("split = 'validation'"), model, manifest, "score").select(F.col(label).alias("label"), F.round("score", 6).alias("score"))
+        sizes = mine.agg(*(F.count_if(F.col("split") == x).alias(f"n_{x}") for x in ("train", "validation")))
+        facts = [F.lit(arm).alias("treatment"), F.lit(model.stages[-1].getNumTrees).alias("best_iteration"), *(F.lit(weights.get((arm, y))).cast("double").alias(f"weight_{y}") for y in (0, 1))]
+        row = sizes.join(F.broadcast(classification_metrics(scored)), how="cross").select(*facts, "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def class_weights(frame: DataFrame, label: str, threshold: float = 0.1) -> DataFrame:
     """Add ``_w``: balanced within each arm if label 1 is rarer than the threshold in either arm, else 1.
 
