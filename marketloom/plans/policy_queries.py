@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -207,7 +207,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY final_sc
 
 
 @query(f"WITH {RANKED_OFFERS_SQL} SELECT client_id, product_id, final_score, reason_code, final_rank FROM ranked")
-def rank_offers(s: S, d: str) -> D:
+def rank_offers_unbudgeted(s: S, d: str) -> D:
     return K.rank_offers(_plain_offers(s, d), users(s, d), RANK).select("client_id", "product_id", "final_score", "reason_code", "final_rank")
 
 
@@ -233,7 +233,7 @@ SELECT (SELECT count(*) FROM clients) AS users, count(*) AS recommended_users, r
   round(any_value(ep), 4) AS expected_profit_total, round(any_value(ip), 4) AS incremental_profit_total, round(any_value(sp), 4) AS discount_spend,
   round(any_value(ip) / any_value(sp), 6) AS promo_roi, round(any_value(ds), 9) AS selected_discount_share FROM lists, tot"""
 )
-def offline_kpis(s: S, d: str) -> D:
+def offline_kpis_unbudgeted(s: S, d: str) -> D:
     offers = _plain_offers(s, d)
     return E.offline_kpis(K.rank_offers(offers, users(s, d), RANK), offers, t.clients(s, d))
 
@@ -242,14 +242,14 @@ def offline_kpis(s: S, d: str) -> D:
 b AS (SELECT 'flat_10', count(*), round(CAST(sum(CAST(incremental_profit AS DECIMAL(28,9))) AS DOUBLE), 4) FROM scenarios WHERE discount = 0.1::DOUBLE),
 c AS (SELECT 'no_discount', count(*), round(CAST(sum(CAST(incremental_profit AS DECIMAL(28,9))) AS DOUBLE), 4) FROM scenarios WHERE discount = 0)
 SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""")
-def policy_comparison(s: S, d: str) -> D:
+def policies_unbudgeted(s: S, d: str) -> D:
     scenarios = P.discount_scenarios(pairs(s, d), SIM)
     total = F.round(F.sum(F.col("incremental_profit").cast("decimal(28,9)")).cast("double"), 4).alias("profit")
     one = lambda name, rows: rows.agg(F.count(F.lit(1)).alias("n"), total).select(F.lit(name).alias("policy"), "n", "profit")
     return one("profit_aware", P.eligible_discounts(scenarios, OPT)).union(one("flat_10", scenarios.where("discount = 0.1"))).union(one("no_discount", scenarios.where("discount = 0")))
 
 
-# The same on the offers that the budget leaves. The three queries above keep their rows, which their SQL fixes.
+# The same on the offers that the budget leaves.
 
 
 def _final_sql(name: str) -> str:
@@ -257,13 +257,13 @@ def _final_sql(name: str) -> str:
     return SQL[name].replace(f"WITH {PLAIN_SQL}", f"WITH RECURSIVE {OFFERS_SQL}").replace("FROM plain", "FROM offers")
 
 
-@query(_final_sql("rank_offers"))
-def rank_final_offers(s: S, d: str) -> D:
+@query(_final_sql("rank_offers_unbudgeted"))
+def rank_offers(s: S, d: str) -> D:
     return K.rank_offers(_offers(s, d), users(s, d), RANK).select("client_id", "product_id", "final_score", "reason_code", "final_rank")
 
 
-@query(_final_sql("offline_kpis"))
-def final_kpis(s: S, d: str) -> D:
+@query(_final_sql("offline_kpis_unbudgeted"))
+def offline_kpis(s: S, d: str) -> D:
     offers = _offers(s, d)
     return E.offline_kpis(K.rank_offers(offers, users(s, d), RANK), offers, t.clients(s, d))
 
@@ -294,7 +294,7 @@ def _policy_sql(name: str, rows: str) -> str:
 {" UNION ALL ".join(_policy_sql(n, f"(SELECT profit AS incremental_profit FROM walk_{n} WHERE ok) x") for n in POLICIES)}
 UNION ALL {_policy_sql("no_discount", "scenarios WHERE discount = 0")}"""
 )
-def budgeted_policies(s: S, d: str) -> D:
+def policy_comparison(s: S, d: str) -> D:
     """Offers that each policy makes within the budget and the client cap, and their profit."""
     scenarios = materialise(P.discount_scenarios(pairs(s, d), SIM))
     offers = {"chosen": materialise(P.eligible_discounts(scenarios, OPT)), "flat": scenarios.where(P.is_eligible(OPT) & (F.col("discount") == 0.1))}
@@ -355,6 +355,18 @@ def treatment_balance(s: S, d: str) -> D:
     return G.treatment_balance(labels(s, d).join(t.clients(s, d), "client_id"), "age", "gender", "HOUSEHOLD")
 
 
+@query(f"""WITH {LABELS_SQL}, arms AS (SELECT treatment, target, CAST(CAST(u.age AS DECIMAL(18,4)) AS DOUBLE) AS age, gender FROM labels JOIN clients u USING (client_id)),
+w AS (SELECT avg(target) FILTER (treatment = 0) AS t0, avg(target) FILTER (treatment = 1) AS t1, avg(age) FILTER (treatment = 0) AS m0, avg(age) FILTER (treatment = 1) AS m1,
+  sqrt((var_samp(age) FILTER (treatment = 0) + var_samp(age) FILTER (treatment = 1)) / 2) AS pooled, count(*) FILTER (treatment = 0) AS n0, count(*) FILTER (treatment = 1) AS n1 FROM arms),
+g AS (SELECT gender, count(*) FILTER (treatment = 0) AS g0, count(*) FILTER (treatment = 1) AS g1 FROM arms GROUP BY 1),
+rows AS (SELECT 'target_rate' AS measure, NULL AS value, t0 AS control, t1 AS treatment, t1 - t0 AS difference FROM w
+  UNION ALL SELECT 'age_smd', NULL, m0, m1, (m1 - m0) / pooled FROM w UNION ALL SELECT 'gender_share', gender, g0 / n0, g1 / n1, g1 / n1 - g0 / n0 FROM g, w)
+SELECT measure, value, round(control, 6) AS control, round(treatment, 6) AS treatment, round(difference, 6) AS difference FROM rows""")
+def treatment_differences(s: S, d: str) -> D:
+    out = G.treatment_differences(labels(s, d).join(t.clients(s, d), "client_id"), "age", "gender")
+    return out.select("measure", "value", *(F.round(c, 6).alias(c) for c in ("control", "treatment", "difference")))
+
+
 NUMERIC = ["total_transactions", "purchases_90d", "avg_check", "days_since_last_purchase"]
 
 
@@ -409,6 +421,18 @@ def temporal_observations(s: S, d: str) -> D:
     return observations(s, d)
 
 
+@query(f"""WITH {OBS_SQL}, c AS (SELECT cutoff, count(*) AS n_candidates, count(*) FILTER (label = 1) AS n_inside FROM observations GROUP BY 1)
+SELECT cutoff, n_candidates, n_inside, (SELECT count(*) FROM l1) - n_inside AS n_outside FROM c WHERE cutoff = TIMESTAMP '2001-01-01'
+UNION ALL SELECT cutoff, n_candidates, n_inside, (SELECT count(*) FROM l0) - n_inside FROM c WHERE cutoff = TIMESTAMP '2000-10-01'""")
+def positives_outside(s: S, d: str) -> D:
+    """Per cutoff: candidates, those that were bought in the label window, and purchases of that window that are no candidates."""
+    p = t.purchases(s, d)
+    by = {c: scans.interval_scan(p, "transaction_datetime", c, 180).select("client_id", "product_id").distinct() for c in CUTOFFS}
+    outside = [G.positives_outside(by[c], p, c, 90).agg(F.count(F.lit(1)).alias("n_outside")).withColumn("cutoff", F.lit(c).cast("timestamp_ntz")) for c in CUTOFFS]
+    inside = observations(s, d).groupBy(F.col("cutoff").cast("timestamp_ntz").alias("cutoff")).agg(F.count(F.lit(1)).alias("n_candidates"), F.count_if(F.col("label") == 1).alias("n_inside"))
+    return inside.join(outside[0].union(outside[1]), "cutoff")
+
+
 @query(f"WITH {OBS_SQL}, q AS (SELECT split, ceil(count(*) FILTER (label = 1) * 20.0) AS quota FROM observations GROUP BY 1) SELECT client_id, product_id, label, cutoff, split FROM observations WHERE label = 1 UNION ALL SELECT client_id, product_id, label, cutoff, split FROM (SELECT o.*, row_number() OVER (PARTITION BY split ORDER BY {_seeded(3, 'client_id', 'product_id')}) AS r FROM observations o WHERE label = 0) x JOIN q USING (split) WHERE r <= quota")
 def negative_sampling(s: S, d: str) -> D:
     return G.negative_sampling(observations(s, d), ["client_id", "product_id"], 20.0, 3)
@@ -500,7 +524,7 @@ def uplift_at_k(s: S, d: str) -> D:
     return E.uplift_at_k(scored(s, d))
 
 
-@query(f"WITH {SCORED_SQL} SELECT quantile_disc(score, 0.01) AS p01, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.99) AS p99, round(avg(CASE WHEN score < 0.1 OR score > 0.9 THEN 1 ELSE 0 END), 9) AS outside_share FROM scored")
+@query(f"WITH {SCORED_SQL} SELECT quantile_disc(score, 0.01) AS p01, quantile_disc(score, 0.05) AS p05, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.95) AS p95, quantile_disc(score, 0.99) AS p99, round(avg(CASE WHEN score < 0.1 OR score > 0.9 THEN 1 ELSE 0 END), 9) AS outside_share FROM scored")
 def overlap_diagnostics(s: S, d: str) -> D:
     return E.overlap_diagnostics(scored(s, d))
 
@@ -535,14 +559,14 @@ def _training(s: S, d: str) -> D:
     return materialise(G.temporal_observations({c: pair_rows(s, d, c) for c in CUTOFFS}, t.purchases(s, d), 90))
 
 
+PAIR_KEYS = ["client_id", "product_id", "cutoff"]
+
+
 @query()
 def train_propensity(s: S, d: str) -> D:
-    """Validation metrics of the fitted model."""
+    """The report of the fitted model: rows, best number of trees, validation metrics and calibration bins."""
     rows = _training(s, d)
-    manifest = M.feature_manifest(rows, KEYS)
-    model = M.train_propensity(rows, manifest)
-    held = M.score_propensity(rows.where("split = 'validation'"), model, manifest)
-    return E.classification_metrics(held.select("label", F.round("p_base_purchase", 6).alias("score")))
+    return M.fit_propensity(rows, M.feature_manifest(rows, KEYS), PAIR_KEYS)[1]
 
 
 @query()
@@ -571,6 +595,25 @@ def score_with_pandas_model(s: S, d: str) -> D:
     return M.score_with_pandas_model(users(s, d), lambda x: (x["purchases_90d"] / 10.0).clip(upper=1.0), ["client_id"], ["purchases_90d"]).withColumn("score", F.round("score", 9))
 
 
+def _arms(s: S, d: str) -> D:
+    return materialise(G.uplift_dataset(labels(s, d), users(s, d).select("client_id", "gender", "age", "total_transactions", "avg_check"), 0.2, 5))
+
+
+@query()
+def t_learner_report(s: S, d: str) -> D:
+    """Per arm: rows, trees, label weights and validation metrics."""
+    rows = _arms(s, d)
+    manifest = M.feature_manifest(rows, KEYS)
+    return M.arm_report(rows, M.train_t_learner(rows, manifest), manifest)
+
+
+@query()
+def treatment_overlap(s: S, d: str) -> D:
+    """Whether a fitted classifier can tell the arms apart."""
+    rows = _arms(s, d)
+    return M.treatment_overlap(rows, M.feature_manifest(rows, KEYS))
+
+
 MANIFEST = (
     ("gender", "string"), ("age", "double"), ("total_transactions", "bigint"), ("total_spent", "double"), ("purchases_7d", "bigint"),
     ("purchases_30d", "bigint"), ("purchases_90d", "bigint"), ("promo_sensitivity_proxy", "double"), ("avg_check", "double"),
@@ -643,6 +686,32 @@ def stream_verify(s: S, d: str) -> D:
     return s.read.parquet(f"{base}/out")
 
 
+@query(f"WITH {PREDICTIONS_SQL} SELECT event_id, CASE WHEN request_id IS NULL OR event_id % 11 = 0 THEN 'UNVERIFIED_MISSING_REQUEST' WHEN product_id % 7 = 0 THEN 'REJECTED_MISMATCH' ELSE 'VERIFIED' END AS status FROM shown")
+def stream_verify_lists(s: S, d: str) -> D:
+    """The same with lists that come as a stream, an hour before their event; of each eleventh event the list never comes."""
+    base, source = _staged(s, d)
+    k = F.col("k")
+    events = s.read.parquet(source).withColumns({"product_id": k.cast("long"), "request_id": F.when(k % 10 != 0, F.col("event_id")), "shown_discount": F.col("shown_discount").cast("double")})
+    payload = F.to_json(F.array(F.struct("product_id", F.when(F.col("product_id") % 7 == 0, 0.5).otherwise(F.col("shown_discount")).alias("discount"))))
+    lists = events.select(F.col("event_id").alias("request_id"), "client_id", payload.alias("payload"), (F.col("created_at") - F.make_dt_interval(hours=F.lit(1))).alias("shown_at"))
+    events.drop("event_date").write.parquet(f"{base}/events")
+    lists.where("request_id % 11 <> 0").write.parquet(f"{base}/lists")
+    schemas = {n: s.read.parquet(f"{base}/{n}").schema for n in ("events", "lists")}
+
+    def run() -> None:
+        read = {n: st.stream_feedback_ingest(s, f"{base}/{n}", x, 1000) for n, x in schemas.items()}
+        st.run_to_table(st.stream_verify(read["events"], read["lists"], "1 day", "60 days").select("event_id", "status"), f"{base}/out", f"{base}/ck")
+
+    run()
+    # Later rows move both watermarks past all that waits; they belong to no event of the tables.
+    for years in (1, 2):
+        later = F.make_interval(years=F.lit(years))
+        events.drop("event_date").limit(1).withColumns({"event_id": F.lit(-years).cast("long"), "created_at": F.col("created_at") + later}).write.mode("append").parquet(f"{base}/events")
+        lists.limit(1).withColumns({"request_id": F.lit(-years).cast("long"), "shown_at": F.col("shown_at") + later}).write.mode("append").parquet(f"{base}/lists")
+        run()
+    return s.read.parquet(f"{base}/out").where("event_id > 0")
+
+
 @query(f"WITH {t.FEEDBACK_SQL} SELECT received_at >= TIMESTAMP '2024-01-25' AS is_late, count(*) AS n_events FROM feedback WHERE created_at >= TIMESTAMP '2024-01-05' AND created_at < TIMESTAMP '2024-01-25' GROUP BY 1")
 def stream_late_audit(s: S, d: str) -> D:
     base, source = _staged(s, d)
@@ -651,15 +720,39 @@ def stream_late_audit(s: S, d: str) -> D:
     return s.read.parquet(f"{base}/out")
 
 
-@query(f"WITH {t.FEEDBACK_SQL}, twice AS (SELECT event_id, event_fingerprint, received_at FROM feedback UNION ALL SELECT event_id, event_fingerprint || 'x', received_at FROM feedback WHERE event_id % 50 = 0) SELECT event_id, count(DISTINCT event_fingerprint) AS n_versions, count(*) AS n_rows FROM twice GROUP BY 1 HAVING count(DISTINCT event_fingerprint) > 1")
-def stream_conflicts(s: S, d: str) -> D:
-    """Events of which every fiftieth comes again with another fingerprint."""
+_TWICE_SQL = f"""{t.FEEDBACK_SQL}, twice AS (
+  SELECT event_id, event_fingerprint, received_at FROM feedback
+  UNION ALL SELECT event_id, event_fingerprint || 'x', received_at + INTERVAL 1 DAY FROM feedback WHERE event_id % 50 = 0
+  UNION ALL SELECT event_id, event_fingerprint, received_at + INTERVAL 2 DAY FROM feedback WHERE event_id % 75 = 0)"""
+
+
+def _versions(s: S, d: str) -> D:
+    """Events of which every fiftieth comes again with another fingerprint a day later, and every 75th as it was two days later."""
     base, source = _staged(s, d)
-    again = s.read.parquet(source).where("event_id % 50 = 0").withColumn("event_fingerprint", F.concat("event_fingerprint", F.lit("x")))
-    again.write.mode("append").parquet(source)
-    stream = st.stream_feedback_ingest(s, source, s.read.parquet(source).schema, 1000)
-    st.run_to_table(st.stream_conflicts(stream, "60 days"), f"{base}/out", f"{base}/ck", "complete")
-    return s.read.parquet(f"{base}/out").where("n_versions > 1").select("event_id", "n_versions", "n_rows")
+    schema = s.read.parquet(source).schema
+    for every, mark, days in ((50, "x", 1), (75, "", 2)):
+        again = t.feedback(s, d).where(F.col("event_id") % every == 0)
+        again.withColumns({"event_fingerprint": F.concat("event_fingerprint", F.lit(mark)), "received_at": F.col("received_at") + F.make_dt_interval(days=F.lit(days))}).write.mode("append").parquet(source)
+    stream = st.stream_feedback_ingest(s, source, schema, 3)
+    st.run_to_table(st.stream_versions(stream, "60 days", timedelta(days=90)), f"{base}/out", f"{base}/ck")
+    return s.read.parquet(f"{base}/out")
+
+
+@query(f"WITH {_TWICE_SQL} SELECT event_id, count(DISTINCT event_fingerprint) AS n_versions, count(*) AS n_rows FROM twice GROUP BY 1 HAVING count(DISTINCT event_fingerprint) > 1")
+def stream_conflicts(s: S, d: str) -> D:
+    """The events that came with several fingerprints, from what the stream says of each row."""
+    rows = _versions(s, d)
+    several = rows.groupBy("event_id").agg(F.countDistinct("event_fingerprint").alias("n_versions"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("status") == "conflict").alias("n"))
+    return several.where("n > 0").drop("n")
+
+
+@query(f"""WITH {_TWICE_SQL}, c AS (SELECT event_id, count(DISTINCT event_fingerprint) AS v, count(*) AS n FROM twice GROUP BY 1)
+SELECT event_id, n AS n_rows, v > 1 AS in_conflict FROM c""")
+def stream_versions(s: S, d: str) -> D:
+    """Per event how many rows came, and whether one of them was in conflict with the first."""
+    rows = _versions(s, d)
+    whole = rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("n_seen").alias("seen"), F.count_if(F.col("status") == "new").alias("n_new"), (F.count_if(F.col("status") == "conflict") > 0).alias("in_conflict"))
+    return whole.where("n_rows = seen AND n_new = 1").select("event_id", "n_rows", "in_conflict")
 
 
 @query(f"WITH {t.FEEDBACK_SQL} SELECT event_date, count(*) AS n FROM feedback GROUP BY 1")

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import expressions as X
 from marketloom.operators import quality as Q
+from marketloom.operators import raw_files as raw
 from marketloom.operators.features import category_affinity
 from marketloom.plans.base import CATEGORY_SQL, ITEMS_SQL, LINES_SQL, eligible, items, lines, query
+from marketloom.sources import events as store
 from marketloom.sources import scans, sinks
 from marketloom.sources import tables as t
 from marketloom.sources.contracts import REGISTRY, Contract, Field
@@ -137,18 +139,30 @@ def incremental_batch(s: S, d: str) -> D:
 
 @query(f"WITH {t.FEEDBACK_SQL} SELECT event_date, count(*) AS n, sum(purchase_value) AS total FROM feedback GROUP BY 1")
 def merge_partitions(s: S, d: str) -> D:
-    """A first load of earlier events, then two merges of all later ones, the second a repeat."""
+    """A first load of earlier events, each of them a day off, then two merges of all as they are, the second a repeat."""
     path = _path(s, "events")
     events = t.feedback(s, d)
-    events.where("event_date < DATE '2024-01-20'").write.partitionBy("event_date").parquet(path)
-    incoming = events.where("event_date >= DATE '2024-01-18'")
+    store.merge_partitions(events.where("event_date < DATE '2024-01-20'").withColumn("event_date", F.date_add("event_date", 1)), path)
     for _ in range(2):
-        existing = s.read.schema(events.schema).parquet(path)
-        scans.merge_partitions(existing.select(*incoming.columns), incoming, path)
+        store.merge_partitions(events, path)
     merged = s.read.schema(events.schema).parquet(path)
     return merged.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"), F.sum("purchase_value").cast("decimal(38,2)").alias("total"))
 
 
+LEDGER_SIZE = 4000
+
+
+@query(f"""WITH {t.FEEDBACK_SQL}, n AS (SELECT event_id, received_at, (row_number() OVER (ORDER BY received_at, event_id) - 1) // {LEDGER_SIZE} AS b FROM feedback),
+m AS (SELECT b, count(*) AS n_rows, max(received_at) AS upper_at, arg_max(event_id, (received_at, event_id)) AS upper_id FROM n GROUP BY b)
+SELECT lag(upper_at) OVER (ORDER BY b) AS lower_at, lag(upper_id) OVER (ORDER BY b) AS lower_id, upper_at, upper_id, n_rows FROM m""")
+def export_ledger(s: S, d: str) -> D:
+    """Events published in bounded batches, by what the ledger says of each batch."""
+    path = _path(s, "export")
+    store.export_batches(t.feedback(s, d), path, LEDGER_SIZE)
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return store.ledger(s, path).select(ntz("lower_at"), "lower_id", ntz("upper_at"), "upper_id", "n_rows")
+
+
 @query("SELECT p_type AS level_2, count(*) AS n FROM part GROUP BY 1")
 def parquet_sink(s: S, d: str) -> D:
     path = _path(s, "sink")
@@ -334,3 +348,74 @@ UNION ALL SELECT 'since', count(*), count(*) FILTER (since IS NULL), count(*) FI
 )
 def validation_profile(s: S, d: str) -> D:
     return Q.validation_profile(scans.typed_columns(raw_customers(s, d), CUSTOMERS), "since", t.CUTOFF)
+
+
+# Raw files with planted errors, written from the customers and orders.
+
+
+def _raw_files(s: S, d: str) -> dict[str, str]:
+    """Paths of the files: clients and purchases with errors, no products, labels without a column, and an empty file."""
+    base = _path(s, "raw")
+
+    def put(name: str, columns: list[str], lines: D) -> None:
+        # One string column whose name is the header; nothing is quoted.
+        lines.select(F.col("line").alias(",".join(columns))).write.options(header=True, sep="\u0001", quote="\u0000", emptyValue="").csv(f"{base}/{name}")
+
+    k = F.col("c_custkey")
+    c = t.read(s, d, "customer").where(k % 10 != 0)
+    issued = F.when(k % 41 == 0, "").otherwise("2018-01-01 10:00:00")
+    age = F.when(k % 37 == 0, "old").otherwise((k % 90).cast("string"))
+    line = F.concat(F.concat_ws(",", k.cast("string"), issued, F.lit(""), age, F.lit("F")), F.when(k % 50 == 7, ",x").otherwise(""))
+    lines = c.select(line.alias("line"), k)
+    put("clients", REGISTRY["clients"].columns, lines.union(lines.where(k % 29 == 0)))
+    o = t.read(s, d, "orders")
+    at = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    rest = [F.lit(x) for x in ("1.0", "0.0", "0.0", "0.0", "100.0", "store-1", "product-1", "1.0", "", "")]
+    put("purchases", REGISTRY["purchases"].columns, o.select(F.concat_ws(",", F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string"), at, *rest).alias("line")))
+    put("uplift_train", ["client_id", "treatment_flg"], o.select(F.concat_ws(",", F.col("o_custkey").cast("string"), F.lit("1")).alias("line")))
+    put("uplift_test", ["client_id"], o.select(F.lit("").alias("line")).limit(0))
+    return {n: f"{base}/{n}" for n in ("clients", "products", "purchases", "uplift_train", "uplift_test")}
+
+
+RAW_SQL = """raw_clients AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 41 = 0 THEN '' ELSE '2018-01-01 10:00:00' END AS issued,
+    CASE WHEN c_custkey % 37 = 0 THEN 'old' ELSE CAST(c_custkey % 90 AS VARCHAR) END AS age FROM customer, (SELECT unnest([1, 2]) AS copy)
+  WHERE c_custkey % 10 <> 0 AND (copy = 1 OR c_custkey % 29 = 0))"""
+
+
+@query(
+    f"""WITH {RAW_SQL},
+issues AS (
+  SELECT 'clients' AS file, 'malformed_row' AS code, '' AS field, k || ',' || issued || ',,' || age || ',F,x' AS example FROM raw_clients WHERE k % 50 = 7
+  UNION ALL SELECT 'clients', 'null_required_value', 'first_issue_date', CAST(k AS VARCHAR) FROM raw_clients WHERE k % 41 = 0
+  UNION ALL SELECT 'clients', 'invalid_value', 'age', age FROM raw_clients WHERE k % 37 = 0
+  UNION ALL SELECT 'clients', 'duplicate_primary_key', 'client_id', CAST(k AS VARCHAR) FROM raw_clients GROUP BY k HAVING count(*) > 1
+  UNION ALL SELECT 'purchases', 'purchase_client_not_found', 'client_id', CAST(o_custkey AS VARCHAR) FROM orders WHERE o_custkey NOT IN (SELECT k FROM raw_clients)
+  UNION ALL SELECT 'purchases', 'feature_leakage', 'transaction_datetime', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'
+  UNION ALL SELECT 'products', 'missing_file', '', NULL
+  UNION ALL SELECT 'uplift_train', 'missing_column', 'target', NULL
+  UNION ALL SELECT 'uplift_test', 'empty_file', '', NULL),
+counts AS (SELECT file, code, field, count(*) AS n_issues FROM issues GROUP BY ALL),
+shown AS (SELECT DISTINCT file, code, field, example FROM issues WHERE example IS NOT NULL QUALIFY dense_rank() OVER (PARTITION BY file, code, field ORDER BY example) <= 5)
+SELECT file, code, field, any_value(n_issues) AS n_issues, coalesce(string_agg(example, ';' ORDER BY example), '') AS examples
+FROM counts LEFT JOIN shown USING (file, code, field) GROUP BY ALL"""
+)
+def raw_file_report(s: S, d: str) -> D:
+    issues, _ = raw.raw_file_report(s, _raw_files(s, d), REGISTRY, t.CUTOFF, ("purchases", "transaction_datetime"))
+    return issues.withColumn("examples", F.concat_ws(";", "examples"))
+
+
+@query(
+    f"""WITH {RAW_SQL}, p AS (SELECT count(*) AS n, min(o_orderdate) AS lo, max(o_orderdate) AS hi, count(*) FILTER (o_orderdate < TIMESTAMP '2001-01-01') AS b, count(*) FILTER (o_orderdate >= TIMESTAMP '2001-01-01') AS a FROM orders)
+SELECT 'clients' AS file, 'first_issue_date' AS field, count(*) AS n_rows, count(*) FILTER (issued = '') AS n_null, TIMESTAMP '2018-01-01 10:00:00' AS low, TIMESTAMP '2018-01-01 10:00:00' AS high, 0 AS rows_before, count(*) FILTER (issued <> '') AS rows_after FROM raw_clients
+UNION ALL SELECT 'clients', 'first_redeem_date', count(*), count(*), NULL, NULL, 0, 0 FROM raw_clients
+UNION ALL SELECT 'clients', 'age', count(*), 0, NULL, NULL, NULL, NULL FROM raw_clients
+UNION ALL SELECT 'purchases', 'transaction_datetime', n, 0, lo, hi, b, a FROM p
+UNION ALL SELECT 'purchases', 'trn_sum_from_iss', n, n, NULL, NULL, NULL, NULL FROM p
+UNION ALL SELECT 'uplift_test', 'client_id', 0, 0, NULL, NULL, NULL, NULL"""
+)
+def raw_file_profile(s: S, d: str) -> D:
+    _, profile = raw.raw_file_report(s, _raw_files(s, d), REGISTRY, t.CUTOFF)
+    wanted = F.col("field").isin("first_issue_date", "first_redeem_date", "age", "transaction_datetime", "trn_sum_from_iss") | (F.col("file") == "uplift_test")
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return profile.where(wanted).select("file", "field", "n_rows", "n_null", ntz("low"), ntz("high"), "rows_before", "rows_after")

@@ -25,7 +25,7 @@ def test_budget_with_another_lead(spark):
 
 
 def test_final_lists_hold_only_accepted_discounts(spark):
-    assert Q.final_kpis(spark, SF).first().discount_spend <= Q.OPT.global_budget
-    got = {r.policy: r.n for r in Q.budgeted_policies(spark, SF).collect()}
+    assert Q.offline_kpis(spark, SF).first().discount_spend <= Q.OPT.global_budget
+    got = {r.policy: r.n for r in Q.policy_comparison(spark, SF).collect()}
     accepted = Q._offers(spark, SF).where(F.col("discount") > 0).count()
     assert set(got) == {*Q.POLICIES, "no_discount"} and got["profit_aware"] == accepted
