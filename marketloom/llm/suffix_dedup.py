@@ -19,14 +19,17 @@ begin ``low`` to ``high`` bytes before it.
 2. Refinement by bucket identifiers of later offsets: the windows of such an anchor are
    divided into ranges of nearby offsets. The new bucket of a range is named by its old
    bucket and the identifiers of the q-gram buckets at the later and earlier offsets that
-   all its windows share. Identifiers are doubled: that of the bucket of 2 q bytes comes from
-   those of q bytes at an offset and q bytes later, that of 4 q bytes from these, so each
-   pass reuses the names of the pass before, and so do the ranges of the next level. A
+   all its windows share. Identifiers are doubled inside a context: that of the bucket of 2 q bytes comes from
+   those of q bytes at an offset and q bytes later, that of 4 q bytes from these. A
    range's extent is what any of its windows covers. The same three cases decide. What
    is still mixed is divided again, down to single windows, where bucket and extent are one.
-   Names are 64-bit hashes of the names they come from and not ranks in a sorted table, so
-   a name can be made wherever the bytes are and no table of pointers is looked up; sorting
-   on them is left to the shuffle of the grouping.
+
+Departure from the method as it is named: what is looked up at later offsets are the buckets of all suffixes by their first q, 2 q, 4 q ...
+bytes, named by 64-bit hashes, and each level makes these names anew from the bytes of the context. Buckets are not sorted on
+identifiers, and a bucket that refinement has split is looked up by no other range; only a range's own bucket goes on from level
+to level. Names of sorted ranks would need all suffixes of the corpus in one table, sorted globally and looked up by
+position in each pass: a row of three numbers for each byte, some 24 bytes a byte before any pass, where the whole operator
+now writes about twice its input.
 
 Each level is a grouping by short hashes with a map-side combine, so a passage that
 a third of all documents share costs one row per task and level; rows then meet the few

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,6 +13,7 @@ import pytest
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from conftest import SF  # noqa: E402
+from tokenizers import Tokenizer  # noqa: E402
 
 from marketloom.llm import common, exact_dedup, jpeg, language_id, line_dedup, near_dedup, piece_sampling, quality, suffix_dedup  # noqa: E402
 
@@ -286,11 +288,34 @@ def test_pipeline_against_brute_force(spark):
     model = language_id.train(docs)
     rejected = language_id.Scorer(model).predict([r.text for r in every])[3]
     assert kept == {r.doc_id for r, x in zip(every, rejected) if not x}
-    assert stages["packing"](spark, cut, "").agg({"length": "sum"}).first()[0] > 0
+    packed_as_the_library_encodes(cut.collect(), stages["packing"](spark, cut, "").collect())
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), "").count() == 0, name
 
 
+def packed_as_the_library_encodes(docs, pieces):
+    """Each document's ids are in its pieces once and in order, and sequences have no gaps and a power of two of ids."""
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    by_doc, by_sequence = {}, {}
+    for p in pieces:
+        by_doc.setdefault(p.doc_id, []).append(p)
+        by_sequence.setdefault(p.sequence_id, []).append(p)
+    assert sorted(by_doc) == sorted(r.doc_id for r in docs)
+    for r in docs:
+        ids, at = plain.encode(r.text or "", add_special_tokens=False).ids + [2], 0
+        for p in sorted(by_doc[r.doc_id], key=lambda p: p.start):
+            assert p.start == at and p.doc_tokens == len(ids) and p.length > 0
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[at : at + p.length], "<u4").tobytes())
+            at += p.length
+        assert at == len(ids)
+    for held in by_sequence.values():
+        at = 0
+        for p in sorted(held, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at == held[0].seq_tokens <= 4096 and at & (at - 1) == 0
+
+
 def parts(cover):
     """The ranges that are not covered."""
     at, out = 0, []
