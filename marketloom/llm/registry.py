@@ -30,6 +30,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": exact_dedup.OP3_SQL,
         "op5_line_dedup": line_dedup.OP5_SQL,
+        "op11_spelling_variants": spelling.OP11_SQL,
         "op12_phrase_dedup": phrase_dedup.OP12_SQL,
         "op13_hard_negatives": hard_negatives.OP13_SQL,
     }

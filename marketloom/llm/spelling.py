@@ -251,3 +251,34 @@ def spelling_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(common.table(spark, sf_dir, "documents"))
+
+
+#: The checksum from a table made by its rule; near words by words with one letter left out or masked.
+OP11_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(text, '{common.UPPER}', '{common.LOWER}') AS text FROM documents),
+runs AS (SELECT id, unnest(regexp_extract_all(text, '[a-zÀ-ÿ]+')) AS run FROM docs),
+each AS (SELECT id || ':' || run AS name, run, count(*) AS n FROM runs WHERE len(run) >= {LETTERS} GROUP BY ALL),
+steps AS (SELECT list_transform(range(256), lambda k: list_reduce(list_prepend(k, range(8)), lambda c, s: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+coded AS (SELECT run, n, hex(name) AS h, strlen(name) AS size FROM each),
+bytes AS (
+  SELECT run, n, list_transform(range(1, size + 1), lambda i: instr('123456789ABCDEF', substr(h, 2 * i - 1, 1)) * 16 + instr('123456789ABCDEF', substr(h, 2 * i, 1))) AS b FROM coded),
+marked AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) AS h FROM bytes, steps),
+slipped AS (SELECT CASE WHEN h % {SLIPS} = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, n FROM marked),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE len(word) >= {LETTERS} GROUP BY word HAVING sum(n) >= {LEAST}),
+places AS (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM words),
+cuts AS (SELECT word, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM places),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b USING (i, head, tail) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word FROM cuts a JOIN words b ON a.head || a.tail = b.word
+  UNION SELECT b.word, a.word FROM cuts a JOIN words b ON a.head || a.tail = b.word),
+ranked AS (
+  SELECT x.word, x.other, o.n AS other_n, count(*) OVER (PARTITION BY x.word) AS n_near, row_number() OVER (PARTITION BY x.word ORDER BY o.n DESC, x.other) AS r
+  FROM near x JOIN words o ON o.word = x.other),
+formed AS (
+  SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= {TIMES} * w.n THEN other END AS form, CASE WHEN other_n >= {TIMES} * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE r = 1) f USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS depth FROM formed
+  UNION ALL SELECT c.word, f.form, depth + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, arg_max(root, depth) AS root FROM chain GROUP BY word) e USING (word)"""
