@@ -12,7 +12,7 @@ bounds, the totals and the windows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import ROUND_FLOOR, Decimal
 from functools import reduce
 from math import inf, nextafter
@@ -115,6 +115,23 @@ def global_percent_rank(frame: DataFrame, value: str, name: str, buckets: int |
     return frame.join(ranked, frame[value].eqNullSafe(ranked["_v"]), "left").drop("_v")
 
 
+def quantiles(frame: DataFrame, value: str, fractions: Mapping[str, str], within: Sequence[str] = ()) -> DataFrame:
+    """Exact discrete quantiles of each group, one column a fraction (decimal text): the least value up to which that share of the rows comes.
+
+    Equal values first collapse to one row with a count, which are summed up along range buckets of the value, so a
+    group with most rows fills no task. Null values do not count; without groups there is one row, with nulls if no value is there.
+    """
+    counts = materialise(frame.where(F.col(value).isNotNull()).groupBy(*within, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    placed = running(counts, "_v", [F.col("_v")], {"_upto": F.col("_n")}, stored=True, within=within)
+    sizes = counts.groupBy(*(F.col(g).alias(f"_g_{g}") for g in within)).agg(F.sum("_n").alias("_all"))
+    if within:
+        out = placed.join(sizes, reduce(Column.__and__, (F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in within)))
+    else:
+        out = placed.join(F.broadcast(sizes), how="cross")
+    reached = lambda q: F.col("_upto") >= F.greatest(F.lit(1), F.ceil(F.col("_all") * F.lit(Decimal(q))).cast("long"))
+    return out.groupBy(*within).agg(*(F.min(F.when(reached(q), F.col("_v"))).alias(n) for n, q in fractions.items()))
+
+
 def first_n_by_hash(frame: DataFrame, mark: Column, quotas: DataFrame, strata: list[str], quota: str = "quota") -> DataFrame:
     """The first ``quota`` rows of each stratum in the order of a hash column.
 

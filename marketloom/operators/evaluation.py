@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.operators.distributed import global_row_number, running
+from marketloom.operators.distributed import global_row_number, quantiles, running
 
 
 def calibration_bins(scored: DataFrame, bins: int) -> DataFrame:
@@ -77,10 +77,9 @@ def uplift_at_k(rows: DataFrame, fractions: tuple[float, ...] = (0.1, 0.2, 0.3))
 
 def overlap_diagnostics(scored: DataFrame) -> DataFrame:
     """Quantiles of the treatment propensity and the share outside 0.1 to 0.9."""
-    q = F.percentile_approx("score", [0.01, 0.05, 0.5, 0.95, 0.99], 10_000)
-    return scored.agg(q.alias("_q"), F.round(F.avg(((F.col("score") < 0.1) | (F.col("score") > 0.9)).cast("int")), 9).alias("outside_share")).select(
-        *(F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(("p01", "p05", "p50", "p95", "p99"))), "outside_share"
-    )
+    found = quantiles(scored, "score", {"p01": "0.01", "p05": "0.05", "p50": "0.5", "p95": "0.95", "p99": "0.99"})
+    outside = scored.agg(F.round(F.avg(((F.col("score") < 0.1) | (F.col("score") > 0.9)).cast("int")), 9).alias("outside_share"))
+    return found.join(F.broadcast(outside), how="cross")  # one row on both sides
 
 
 def score_summary(pairs: DataFrame, clients: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from marketloom.plans.base import (
     AGE_SQL, CATEGORY_SQL, ITEMS_SQL, LINE_FEATURES_SQL, LINES_SQL, PRICES_SQL, RECEIPT_FEATURES_SQL, RECEIPTS_SQL, USERS_SQL, eligible, items, lines, query, stored, users,
 )
 from marketloom.sources import tables as t
+from marketloom.sources.shared import materialise
 
 S, D = SparkSession, DataFrame
 
@@ -37,14 +38,18 @@ def repeat_rate(s: S, d: str) -> D:
     return f.repeat_rate(eligible(s, d))
 
 
+def _prices(s: S, d: str) -> D:
+    return materialise(f.price_observations(lines(s, d).drop("level_2"), t.products(s, d)))
+
+
 @query(f"WITH {LINES_SQL}, {PRICES_SQL} SELECT product_id, unit_price, level_2, level_3 FROM filtered")
 def price_outlier_filter(s: S, d: str) -> D:
-    return f.price_outlier_filter(f.price_observations(lines(s, d).drop("level_2"), t.products(s, d))).select("product_id", "unit_price", "level_2", "level_3")
+    return f.price_outlier_filter(_prices(s, d)).select("product_id", "unit_price", "level_2", "level_3")
 
 
 @query(f"WITH {LINES_SQL}, {PRICES_SQL} SELECT product_id, level_2, level_3, quantile_disc(unit_price, 0.5) AS median_price FROM filtered GROUP BY GROUPING SETS ((product_id), (level_2, level_3), (level_2))")
 def hierarchical_median_price(s: S, d: str) -> D:
-    prices = f.price_outlier_filter(f.price_observations(lines(s, d).drop("level_2"), t.products(s, d)))
+    prices = f.price_outlier_filter(_prices(s, d))
     return f.hierarchical_median_price(prices).select("product_id", "level_2", "level_3", "median_price")
 
 
@@ -339,8 +344,7 @@ def join_semi(s: S, d: str) -> D:
 
 @query(f"WITH {LINES_SQL}, {PRICES_SQL} SELECT level_2, count(*) AS n FROM filtered GROUP BY level_2")
 def join_theta_filter(s: S, d: str) -> D:
-    prices = f.price_observations(lines(s, d).drop("level_2"), t.products(s, d))
-    return f.price_outlier_filter(prices).groupBy("level_2").agg(F.count(F.lit(1)).alias("n"))
+    return f.price_outlier_filter(_prices(s, d)).groupBy("level_2").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT c_custkey AS client_id, lower(trim(c_name)) AS name, sha256(concat_ws('|', CAST(c_custkey AS VARCHAR), c_mktsegment)) AS digest, strftime(DATE '2001-01-01' + CAST(c_custkey % 400 AS INTEGER), '%Y-%m') AS month, date_diff('day', DATE '2001-01-01', DATE '2001-01-01' + CAST(c_custkey % 400 AS INTEGER)) AS days, round(ln(1 + abs(c_acctbal)), 6) AS log_balance FROM customer")
