@@ -704,12 +704,13 @@ def stream_verify_lists(s: S, d: str) -> D:
 
     run()
     # Later rows move both watermarks past all that waits; they belong to no event of the tables.
+    ends, least = events.agg(F.max("created_at"), F.min("event_id")).first()
     for years in (1, 2):
-        later = F.make_interval(years=F.lit(years))
-        events.drop("event_date").limit(1).withColumns({"event_id": F.lit(-years).cast("long"), "created_at": F.col("created_at") + later}).write.mode("append").parquet(f"{base}/events")
-        lists.limit(1).withColumns({"request_id": F.lit(-years).cast("long"), "shown_at": F.col("shown_at") + later}).write.mode("append").parquet(f"{base}/lists")
+        at = F.lit(ends).cast(events.schema["created_at"].dataType) + F.make_interval(years=F.lit(years))
+        events.drop("event_date").limit(1).withColumns({"event_id": F.lit(least - years).cast("long"), "created_at": at}).write.mode("append").parquet(f"{base}/events")
+        lists.limit(1).withColumns({"request_id": F.lit(least - years).cast("long"), "shown_at": at}).write.mode("append").parquet(f"{base}/lists")
         run()
-    return s.read.parquet(f"{base}/out").where("event_id > 0")
+    return s.read.parquet(f"{base}/out").where(F.col("event_id") >= least)
 
 
 @query(f"WITH {t.FEEDBACK_SQL} SELECT received_at >= TIMESTAMP '2024-01-25' AS is_late, count(*) AS n_events FROM feedback WHERE created_at >= TIMESTAMP '2024-01-05' AND created_at < TIMESTAMP '2024-01-25' GROUP BY 1")
