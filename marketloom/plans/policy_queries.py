@@ -576,18 +576,27 @@ def score_propensity(s: S, d: str) -> D:
     return M.score_propensity(rows, M.train_propensity(rows, manifest), manifest).select("client_id", "product_id", "split", "p_base_purchase")
 
 
+def _arms(s: S, d: str) -> D:
+    """Labelled clients with their features, written once, as the fits read them many times."""
+    return materialise(G.uplift_dataset(labels(s, d), users(s, d).select("client_id", "gender", "age", "total_transactions", "avg_check"), 0.2, 5))
+
+
+def _uplift(s: S, d: str) -> D:
+    rows = _arms(s, d)
+    manifest = M.feature_manifest(rows, KEYS)
+    return M.score_uplift(rows, M.train_t_learner(rows, manifest), manifest)
+
+
 @query()
 def score_uplift(s: S, d: str) -> D:
-    rows = G.uplift_dataset(labels(s, d), users(s, d).select("client_id", "gender", "age", "total_transactions", "avg_check"), 0.2, 5)
-    manifest = M.feature_manifest(rows, KEYS)
-    return M.score_uplift(rows, M.train_t_learner(rows, manifest), manifest).select("client_id", "split", "p_control", "p_treatment", "uplift_score")
+    return _uplift(s, d).select("client_id", "split", "p_control", "p_treatment", "uplift_score")
 
 
 @query()
 def train_t_learner(s: S, d: str) -> D:
     """Uplift at fractions on the validation rows."""
-    rows = score_uplift(s, d).where("split = 'validation'").join(labels(s, d), "client_id")
-    return E.uplift_at_k(rows.select(F.col("client_id").alias("id"), F.col("target").alias("label"), "treatment", F.col("uplift_score").alias("score")), (0.1, 0.2, 0.3))
+    rows = materialise(_uplift(s, d).where("split = 'validation'").select(F.col("client_id").alias("id"), F.col("target").alias("label"), "treatment", F.col("uplift_score").alias("score")))
+    return E.uplift_at_k(rows, (0.1, 0.2, 0.3))
 
 
 @query(f"WITH {USERS_SQL} SELECT client_id, round(least(1.0, purchases_90d / 10.0::DOUBLE), 9) AS score FROM users")
@@ -595,10 +604,6 @@ def score_with_pandas_model(s: S, d: str) -> D:
     return M.score_with_pandas_model(users(s, d), lambda x: (x["purchases_90d"] / 10.0).clip(upper=1.0), ["client_id"], ["purchases_90d"]).withColumn("score", F.round("score", 9))
 
 
-def _arms(s: S, d: str) -> D:
-    return materialise(G.uplift_dataset(labels(s, d), users(s, d).select("client_id", "gender", "age", "total_transactions", "avg_check"), 0.2, 5))
-
-
 @query()
 def t_learner_report(s: S, d: str) -> D:
     """Per arm: rows, trees, label weights and validation metrics."""
