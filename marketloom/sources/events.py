@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.sources.scans import incremental_batch, merge_events
+from marketloom.operators.distributed import running
+from marketloom.sources.scans import behind, merge_events
 from marketloom.sources.shared import delete, discard, materialise
 
 #: Buckets of the table of ids. It is part of the stored layout: another number needs a new table.
@@ -108,8 +109,8 @@ def batch_id(lower: tuple[datetime, int] | None, upper: tuple[datetime, int]) ->
     return hashlib.sha256("|".join(x.isoformat() if isinstance(x, datetime) else str(x) for x in marks).encode()).hexdigest()[:32]
 
 
-def _record(spark: SparkSession, path: str, row: tuple) -> None:
-    spark.createDataFrame([row], LEDGER).coalesce(1).write.mode("append").parquet(f"{path}-ledger")
+def _record(spark: SparkSession, path: str, *rows: tuple) -> None:
+    spark.createDataFrame(list(rows), LEDGER).coalesce(1).write.mode("append").parquet(f"{path}-ledger")
 
 
 def publish_once(batch: DataFrame, path: str, lower: tuple[datetime, int] | None, upper: tuple[datetime, int], rejects: str | None = None) -> bool:
@@ -128,21 +129,51 @@ def last_watermark(spark: SparkSession, path: str) -> tuple[datetime, int] | Non
     return None if top is None else (top["upper_at"], top["upper_id"])
 
 
-def export_batches(events: DataFrame, path: str, size: int, rejects: Callable[[str], str] | None = None, most: int | None = None) -> int:
+def _publish(rows: DataFrame, path: str, lower: tuple[datetime, int] | None, bounds: list[tuple], rejects: Callable[[str], str] | None) -> None:
+    """Publish batches that follow each other (number, upper watermark, rows) in one merge.
+
+    Where events are in conflict the batches are halved, down to the one that has the conflict, so the others are published as one by one.
+    """
+    mine = rows.where(F.col("_batch").between(bounds[0][0], bounds[-1][0])).drop("_batch")
+    if len(bounds) == 1:
+        upper = bounds[0][1]
+        publish_once(mine, path, lower, upper, rejects(batch_id(lower, upper)) if rejects else None)
+        return
+    try:
+        merge_partitions(mine, path)
+    except ConflictingEvents:
+        half = len(bounds) // 2
+        _publish(rows, path, lower, bounds[:half], rejects)
+        _publish(rows, path, bounds[half - 1][1], bounds[half:], rejects)
+        return
+    lowers = [lower, *(upper for _, upper, _ in bounds[:-1])]
+    _record(rows.sparkSession, path, *((batch_id(a, b), *(a or (None, None)), *b, n) for a, (_, b, n) in zip(lowers, bounds)))
+
+
+def export_batches(events: DataFrame, path: str, size: int, rejects: Callable[[str], str] | None = None, most: int | None = None, together: int = 1_000_000) -> int:
     """Publish what is behind the last watermark in batches of ``size`` rows, in the order of arrival and id; returns their number.
 
-    ``rejects`` gives the path for the conflicts of a batch by its name. At most ``most`` batches are made.
+    ``rejects`` gives the path for the conflicts of a batch by its name. At most ``most`` batches are made. All rows are numbered at once, and
+    batches of about ``together`` rows in all are merged at once; each has its own row in the ledger. Those that are
+    cut off before their rows are written run again.
     """
-    spark, done = events.sparkSession, 0
-    while most is None or done < most:
-        lower = last_watermark(spark, path)
-        batch = materialise(incremental_batch(events, lower, size))
-        top = batch.agg(F.max(F.struct(F.col("received_at").cast("timestamp").alias("received_at"), "event_id")).alias("m")).first()["m"]
-        if top is None:
-            discard(batch)
-            break
-        upper = (top["received_at"], top["event_id"])
-        publish_once(batch, path, lower, upper, rejects(batch_id(lower, upper)) if rejects else None)
-        discard(batch)
-        done += 1
-    return done
+    spark, lower = events.sparkSession, last_watermark(events.sparkSession, path)
+    fresh = materialise(behind(events, lower).withColumn("_at", F.unix_micros(F.col("received_at").cast("timestamp"))))
+    if fresh.isEmpty():
+        discard(fresh)
+        return 0
+    placed = running(fresh, "_at", [F.asc("_at"), F.asc("event_id")], {"_batch": F.lit(1)}, second=F.col("event_id"), stored=True)
+    rows = materialise(placed.withColumn("_batch", F.floor((F.col("_batch") - 1) / size).cast("long")).drop("_at"))
+    discard(fresh)
+    last = rows.agg(F.max("_batch")).first()[0] + 1
+    count, step = last if most is None else min(most, last), max(1, together // size)
+    for first in range(0, count, step):
+        part = rows.where(F.col("_batch").between(first, min(first + step, count) - 1))
+        top = F.max(F.struct(F.col("received_at").cast("timestamp").alias("at"), "event_id"))
+        # At most one row for each ``size`` of ``together`` rows.
+        found = part.groupBy("_batch").agg(top.alias("top"), F.countDistinct("event_id").alias("n")).orderBy("_batch").collect()
+        bounds = [(r["_batch"], tuple(r["top"]), r["n"]) for r in found]
+        _publish(rows, path, lower, bounds, rejects)
+        lower = bounds[-1][1]
+    discard(rows)
+    return count

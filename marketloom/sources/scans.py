@@ -124,12 +124,17 @@ def event_date_scan(events: DataFrame | None, cutoff: datetime, days: int, requi
     return events.where((F.col("event_date") >= F.lit(first)) & (F.col("event_date") <= F.lit(cutoff.date())))
 
 
+def behind(events: DataFrame, after: tuple[datetime, int] | None, time_col: str = "received_at", id_col: str = "event_id") -> DataFrame:
+    """The rows behind a watermark of time and id."""
+    if after is None:
+        return events
+    at, last = after
+    return events.where((F.col(time_col) > F.lit(at)) | ((F.col(time_col) == F.lit(at)) & (F.col(id_col) > F.lit(last))))
+
+
 def incremental_batch(events: DataFrame, after: tuple[datetime, int] | None, size: int, time_col: str = "received_at", id_col: str = "event_id") -> DataFrame:
     """The next rows behind a watermark of time and id, in order, at most ``size``."""
-    if after is not None:
-        at, last = after
-        events = events.where((F.col(time_col) > F.lit(at)) | ((F.col(time_col) == F.lit(at)) & (F.col(id_col) > F.lit(last))))
-    return events.orderBy(time_col, id_col).limit(size)
+    return behind(events, after, time_col, id_col).orderBy(time_col, id_col).limit(size)
 
 
 def merge_events(existing: DataFrame, incoming: DataFrame, id_col: str = "event_id", mark_col: str = "event_fingerprint") -> DataFrame:

@@ -102,3 +102,23 @@ def test_a_batch_that_is_cut_off_is_published_once(spark, tmp_path, monkeypatch)
     lower, upper = (found[0].upper_at, 4), (found[1].upper_at, 9)
     assert found[1].batch_id == store.batch_id(lower, upper)
     assert not store.publish_once(source, path, lower, upper)  # recognised
+
+
+def test_batches_are_merged_together_and_conflicts_fall_out(spark, tmp_path, monkeypatch):
+    """Batches share merges; a conflict is set aside for its own batch, and without a place for it stops there."""
+    source = batch(spark, *((k, "a", k // 4) for k in range(40)), (3, "other", 6, 6))
+    merges, merge = [], store.merge_partitions
+    monkeypatch.setattr(store, "merge_partitions", lambda *a, **k: merges.append(1) or merge(*a, **k))
+    assert store.export_batches(source.where("event_fingerprint = 'a'"), f"{tmp_path}/plain", 5) == 8
+    assert len(merges) == 1
+    found = store.ledger(spark, f"{tmp_path}/plain").orderBy("upper_at", "upper_id").collect()
+    assert [(r.lower_id, r.upper_id, r.n_rows) for r in found] == [(k - 1 if k else None, k + 4, 5) for k in range(0, 40, 5)]
+    # Row (3, other) is the first of day 6, so it is in the fifth batch.
+    assert store.export_batches(source, f"{tmp_path}/e", 5, rejects=lambda name: f"{tmp_path}/bad-{name}") == 9
+    assert [r[:2] for r in rows(spark, f"{tmp_path}/e")] == [(k, "a") for k in range(40)]
+    bad = [x for x in os.listdir(tmp_path) if x.startswith("bad-")]
+    assert len(bad) == 1 and [r.event_fingerprint for r in spark.read.parquet(f"{tmp_path}/{bad[0]}").collect()] == ["other"]
+    assert store.ledger(spark, f"{tmp_path}/e").orderBy("upper_at", "upper_id").collect()[4].n_rows == 4
+    with pytest.raises(store.ConflictingEvents):
+        store.export_batches(source, f"{tmp_path}/s", 5)
+    assert store.ledger(spark, f"{tmp_path}/s").count() == 4
