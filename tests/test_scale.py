@@ -57,3 +57,12 @@ def test_one_window_ranks_sources_as_single_ones_do(spark):
     raw = spark.createDataFrame(rows, "client_id long, product_id long, raw_score double, candidate_source string")
     want = [tuple(r) for n in "ab" for r in candidates.normalise_source(raw.where(F.col("candidate_source") == n).drop("candidate_source"), n).collect()]
     assert sorted(want) == sorted(tuple(r) for r in candidates.normalise_source(raw).collect())
+
+
+def test_partitions_of_candidates_follow_the_clients(spark, monkeypatch):
+    monkeypatch.setattr(candidates, "BUCKET_ROWS", 900)
+    for n in ("cand_repeat", "cand_category", "cand_item_to_item", "cand_global"):
+        monkeypatch.setattr(candidates, n, lambda *a: spark.range(300).select(F.col("id").alias("client_id"), F.lit(1).alias("product_id"), F.lit(0.5).alias("raw_score")))
+    found = candidates.normalised_sources(spark.range(300).withColumnRenamed("id", "client_id"), None, None, None)
+    assert found.rdd.getNumPartitions() == 30
+    assert found.count() == 1200
