@@ -190,24 +190,8 @@ def _tail(left: DataFrame, held: DataFrame, spare: Decimal, cap: int) -> DataFra
     return rows.groupBy("_one").applyInPandas(lambda frame: settled(frame, spare, cap), _ACCEPTED.format(kind))
 
 
-def budget_allocation(rows: DataFrame, budget: float, cap: int, lead: str = "roi", tail: int = TAIL) -> DataFrame:
-    """Greedy acceptance in the order ROI down, profit down, cost up, ids.
-
-    Another numeric column as ``lead`` goes before that order, descending.
-    ``rows`` has client_id, product_id, roi, incremental_profit, cost. Cost is taken as a
-    decimal of six places, so running sums are exact. A row whose client has ``cap``
-    accepted rows before it is refused for that; a row that does not fit what is left
-    of the budget is skipped, and a cheaper later row may still be accepted.
-
-    Rows are settled in phases. With R left of the budget and a bound b of at least R / 2, rows of at
-    most b fit as long as more than b would be left, and are refused for their client's count alone. The
-    phase ends at the first row after which no more than b is left: a small one, or a larger one that
-    still fits, after which less than R - b is left. Each phase is one running sum and the search for that row, and
-    decides all rows up to it. Where all costs are below R / 2, b is the largest cost instead, as
-    rows fit until less than that is left. So what is left halves, or falls below the largest cost, in each phase,
-    and log2(budget / 0.000001) + 2 phases settle everything, whatever the rows. Only rows behind that
-    can still fit go on; once they are at most ``tail`` rows, one task settles them.
-    """
+def _settle(rows: DataFrame, budget: float, cap: int, lead: str, tail: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their ``allocation_rank``, and the accepted ones (allocation_rank, client_id, cost), see ``budget_allocation``; both stored."""
     if budget <= 0 or cap <= 0:
         raise ValueError("budget and cap must be positive")
     order = [F.desc("roi"), F.desc("incremental_profit"), F.asc("cost"), F.asc("client_id"), F.asc("product_id")]
@@ -264,6 +248,35 @@ def budget_allocation(rows: DataFrame, budget: float, cap: int, lead: str = "roi
         stored = [left]
     taken = materialise(reduce(DataFrame.unionByName, accepted))
     discard(*accepted[1:])
+    return ranked, taken
+
+
+def accepted_rows(rows: DataFrame, budget: float, cap: int, lead: str = "roi", tail: int = TAIL) -> DataFrame:
+    """The rows that ``budget_allocation`` accepts, with their ``allocation_rank``; refused rows are not told apart."""
+    ranked, taken = _settle(rows, budget, cap, lead, tail)
+    return ranked.join(taken.select("allocation_rank"), "allocation_rank", "left_semi")
+
+
+def budget_allocation(rows: DataFrame, budget: float, cap: int, lead: str = "roi", tail: int = TAIL) -> DataFrame:
+    """Greedy acceptance in the order ROI down, profit down, cost up, ids.
+
+    Another numeric column as ``lead`` goes before that order, descending.
+    ``rows`` has client_id, product_id, roi, incremental_profit, cost. Cost is taken as a
+    decimal of six places, so running sums are exact. A row whose client has ``cap``
+    accepted rows before it is refused for that; a row that does not fit what is left
+    of the budget is skipped, and a cheaper later row may still be accepted.
+
+    Rows are settled in phases. With R left of the budget and a bound b of at least R / 2, rows of at
+    most b fit as long as more than b would be left, and are refused for their client's count alone. The
+    phase ends at the first row after which no more than b is left: a small one, or a larger one that
+    still fits, after which less than R - b is left. Each phase is one running sum and the search for that row, and
+    decides all rows up to it. Where all costs are below R / 2, b is the largest cost instead, as
+    rows fit until less than that is left. So what is left halves, or falls below the largest cost, in each phase,
+    and log2(budget / 0.000001) + 2 phases settle everything, whatever the rows. Only rows behind that
+    can still fit go on; once they are at most ``tail`` rows, one task settles them.
+    """
+    ranked, taken = _settle(rows, budget, cap, lead, tail)
+    money = lambda x: F.lit(str(x)).cast("decimal(20,6)")
     # A client is full from its last accepted row on, if it has ``cap`` of them.
     full = taken.groupBy("client_id").agg(F.max("allocation_rank").alias("_full"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= cap).select("client_id", "_full")
     out = ranked.join(taken.select("allocation_rank", F.lit(1).alias("_ok")), "allocation_rank", "left").join(full, "client_id", "left")

@@ -303,8 +303,7 @@ def policy_comparison(s: S, d: str) -> D:
     out = one("no_discount", scenarios.where("discount = 0"))
     for name, (lead, rows) in POLICIES.items():
         priced = _rows(offers[rows], *([] if lead == "roi" else [lead]))
-        decided = R.budget_allocation(priced, OPT.global_budget, OPT.user_cap, lead=lead)
-        out = out.union(one(name, decided.where("optimizer_decision = 'DISCOUNT_ACCEPTED'")))
+        out = out.union(one(name, R.accepted_rows(priced, OPT.global_budget, OPT.user_cap, lead=lead)))
     return out
 
 

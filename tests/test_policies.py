@@ -29,3 +29,9 @@ def test_final_lists_hold_only_accepted_discounts(spark):
     got = {r.policy: r.n for r in Q.policy_comparison(spark, SF).collect()}
     accepted = Q._offers(spark, SF).where(F.col("discount") > 0).count()
     assert set(got) == {*Q.POLICIES, "no_discount"} and got["profit_aware"] == accepted
+
+
+def test_accepted_rows_are_those_of_the_whole_allocation(spark):
+    rows = spark.createDataFrame([(i % 5, i, i % 3 / 2, i % 7 / 2, 1.0 + i % 6) for i in range(60)], "client_id long, product_id long, roi double, incremental_profit double, cost double")
+    want = distributed.budget_allocation(rows, 12.0, 2).where("optimizer_decision = 'DISCOUNT_ACCEPTED'").select("allocation_rank", "product_id").collect()
+    assert sorted(distributed.accepted_rows(rows, 12.0, 2).select("allocation_rank", "product_id").collect()) == sorted(want) != []
