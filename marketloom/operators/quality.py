@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.expressions import payload_digest
+from marketloom.operators.distributed import BUCKET_ROWS, LEAST
 from marketloom.sources.scans import BAD
 
 
@@ -122,7 +123,9 @@ def quality_by_month(annotated: DataFrame, codes: Iterable[str]) -> DataFrame:
     month = F.date_format("transaction_datetime", "yyyy-MM").alias("month")
     base = [c for c in annotated.columns if c not in ("reason_codes", "is_valid_for_price")]
     # Equal rows first collapse to one with a count, so repeats need no second pass.
-    rows = annotated.groupBy(*base, "reason_codes", "is_valid_for_price").agg(F.count(F.lit(1)).alias("_n"))
+    # They are dealt first, in partitions that follow the rows, so neither a file's rows nor a partition's gather in one task.
+    dealt = annotated.repartition(max(LEAST, -(-annotated.count() // BUCKET_ROWS)), *base)
+    rows = dealt.groupBy(*base, "reason_codes", "is_valid_for_price").agg(F.count(F.lit(1)).alias("_n"))
     rejected = F.size("reason_codes") > 0
     total = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0))
     return rows.groupBy(month).agg(

@@ -8,7 +8,7 @@ from math import ceil
 
 from pyspark.sql import functions as F
 
-from marketloom.operators import evaluation, features
+from marketloom.operators import evaluation, features, quality
 from marketloom.operators.distributed import quantiles
 
 
@@ -39,3 +39,11 @@ def test_bounds_of_many_values_are_exact(spark):
     assert medians == {(5, None): disc(values, "0.5"), (4, "0"): disc(values[::2], "0.5"), (4, "1"): disc(values[1::2], "0.5")}
     found = evaluation.overlap_diagnostics(df.select((F.col("v") / 300_007).alias("score"))).first()
     assert found.p05 == disc(values, "0.05") / 300_007
+
+
+def test_quality_deals_rows_to_partitions_that_follow_them(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BUCKET_ROWS", 100)
+    rows = spark.range(2000).selectExpr("id", "timestamp'2000-01-01' AS transaction_datetime", "array() AS reason_codes", "true AS is_valid_for_price").union(spark.range(1).selectExpr("id", "timestamp'2000-01-01'", "array()", "true"))
+    out = quality.quality_by_month(rows.withColumn("reason_codes", F.col("reason_codes").cast("array<string>")), ["A"])
+    assert "hashpartitioning(id" in (plan := out._jdf.queryExecution().executedPlan().toString()) and ", 21), REPARTITION_BY_NUM" in plan
+    assert (r := out.first()).rows_in == 2001 and r.duplicate_rows == 1
