@@ -26,12 +26,15 @@ How it works.
    2 (100 + p) |d(A) and d(B)| >= g(A) + g(B). Where g(A) + g(B) <= 0 both are linked
    with H. Else they share elements of their differences, at least
    (g(A) + g(B)) / (2 (100 + p)) of them, and so one among the rarest elements of each
-   (prefix filter); members meet in keys of (hub, such an element, the classes of g of
-   both). What a group has in common is in no key, and differences that only one
-   member has are in none either.
+   (prefix filter); members meet in keys of (hub, such an element). A member has one row
+   for each of its rarest elements, as many as the least g of other members asks for, so
+   rows are bounded by its differences, whatever the size of its group. Each row says how
+   large the g of a partner may be that is met first there. What a group has in common is
+   in no key, and differences that only one component has are in none either.
 6. Keys are treated as buckets were: every member is tested with the hub of its key,
    components are joined, and where a key still holds several, the members outside its
-   largest component are tested with those of other components.
+   largest component are tested with those of other components. Members whose g is beyond
+   each other's bound at a key are not tested there.
 
 So each pair of a bucket is in one component, provably below the threshold, or tested,
 and groups whose members are alike never emit their pairs. A pair at the threshold
@@ -308,22 +311,6 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     )
 
 
-#: Width of the classes of g / (2 (100 + p)): 1 up to this value, beyond it growing by a tenth.
-_EVEN, _GROWTH = 64, 1.1
-
-
-def gain_class(gain: Column) -> Column:
-    """The class of a value of g / (2 (100 + p)); classes are numbered in order."""
-    step = F.floor(F.log(F.abs(gain) / _EVEN) / F.log(F.lit(_GROWTH))).cast("int")
-    return F.when(F.abs(gain) < _EVEN, F.floor(gain).cast("int")).when(gain > 0, _EVEN + step).otherwise(-_EVEN - 1 - step)
-
-
-def least_gain(number: Column) -> Column:
-    """A value that no member of a class is below."""
-    wide = lambda k: _EVEN * F.pow(F.lit(_GROWTH), k)
-    return F.when(number >= _EVEN, wide(number - _EVEN)).when(number < -_EVEN, -wide(-number - _EVEN)).otherwise(number.cast("double"))
-
-
 def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Per hub and member, what tells the member from the hub: hub, node, component, g, base (g of the hub), d."""
     hubs = sets.select(F.col("node").alias("hub"), F.col("hashes").alias("_hub"))
@@ -334,27 +321,33 @@ def differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_differences(found: DataFrame) -> DataFrame:
-    """Differences that several members of a family have, the rarest first: hub, node, component, g, d."""
-    each = found.select("hub", "node", F.explode("d").alias("e"))
-    counts = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    """Differences that members of several components of a family have, the rarest first: hub, node, component, g, d."""
+    each = found.select("hub", "node", "component", F.explode("d").alias("e"))
+    counts = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("_a"), F.max("component").alias("_b"))
+    counts = counts.where("_a <> _b").select("hub", "e", "c")
     kept = each.join(counts, ["hub", "e"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("_d"))
     return found.drop("d", "base").join(kept, ["hub", "node"]).withColumn("d", F.col("_d.e")).drop("_d")
 
 
 def difference_keys(shared: DataFrame, percent: int) -> DataFrame:
-    """Keys in which members meet that can be linked: hub, key, node, component, g.
+    """Keys in which members meet that can be linked: hub, key, node, component, g, reach.
 
-    Members of the hub's component (``_home``) look for members of others only.
+    A key is a difference; where two members first meet, the g of each is at most the ``reach`` of the other. Members of
+    the hub's component (``_home``) look for members of others only.
     """
-    gain = F.col("g") / (2.0 * (100 + percent))
-    rows = shared.withColumn("class", gain_class(gain))
-    kinds = rows.groupBy("hub").agg(F.collect_set("class").alias("_all"), F.collect_set(F.when(~F.col("_home"), F.col("class"))).alias("_far"))
-    rows = rows.join(kinds, "hub").withColumn("_other", F.explode(F.when(F.col("_home"), F.col("_far")).otherwise(F.col("_all"))))
-    need = F.greatest(F.ceil(gain + least_gain(F.col("_other")) - 1e-6), F.lit(1)).cast("int")
-    rows = rows.withColumn("_most", F.size("d") - need + 1).where("_most > 0")
-    rows = rows.withColumn("_e", F.explode(F.slice("d", F.lit(1), F.col("_most"))))
-    key = F.xxhash64("_e", F.least("class", "_other"), F.greatest("class", "_other"))
-    return rows.select("hub", key.alias("key"), "node", "component", "g").distinct()
+    least = shared.groupBy("hub").agg(F.min("g").alias("_all"), F.min(F.when(~F.col("_home"), F.col("g"))).alias("_far")).where("_far IS NOT NULL")
+    lowest = F.when(F.col("_home"), F.col("_far")).otherwise(F.col("_all"))
+    need = F.greatest(F.ceil((F.col("g") + lowest) / (2.0 * (100 + percent))), F.lit(1)).cast("int")
+    rows = shared.join(least, "hub").withColumn("_n", F.size("d")).withColumn("_most", F.col("_n") - need + 1).where("_most > 0")
+    rows = rows.select("hub", "node", "component", "g", "_n", F.posexplode(F.slice("d", F.lit(1), F.col("_most"))).alias("_at", "key"))
+    reach = 2 * (100 + percent) * (F.col("_n") - F.col("_at")).cast("long") - F.col("g")
+    return rows.select("hub", "key", "node", "component", "g", reach.alias("reach"))
+
+
+def within_reach(keys: DataFrame) -> DataFrame:
+    """Rows of keys that hold several components, without those that reach no member of their key."""
+    least = keys.groupBy("hub", "key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"), F.min("g").alias("_least")).where("_a <> _b")
+    return keys.join(least.select("hub", "key", "_least"), ["hub", "key"]).where("reach >= _least").drop("_least")
 
 
 def overlapping(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -367,9 +360,10 @@ def overlapping(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
 
 def key_stars(keys: DataFrame) -> DataFrame:
     """Each member of a key with the member that is nearest to the hub of the family: hub, a, b."""
-    middle = keys.groupBy("hub", "key").agg(F.min(F.struct("g", "node")).alias("_m")).select("hub", "key", F.col("_m.node").alias("a"))
-    pairs = keys.join(middle, ["hub", "key"]).where("a <> node")
-    return pairs.select("hub", F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    middle = keys.groupBy("hub", "key").agg(F.min(F.struct("g", "node", "component", "reach")).alias("_m"))
+    pairs = keys.join(middle, ["hub", "key"]).where("component <> _m.component AND g <= _m.reach AND _m.g <= reach")
+    pairs = pairs.select("hub", F.col("_m.node").alias("a"), F.col("node").alias("b"))
+    return pairs.select("hub", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def key_pairs(keys: DataFrame) -> DataFrame:
@@ -377,8 +371,9 @@ def key_pairs(keys: DataFrame) -> DataFrame:
     sizes = keys.groupBy("hub", "key", "component").agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.groupBy("hub", "key").agg(F.max(F.struct("_n", "component")).alias("_l")).select("hub", "key", F.col("_l.component").alias("_largest"))
     few = keys.join(largest, ["hub", "key"]).where(F.col("component") != F.col("_largest"))
-    few = few.select("hub", "key", "_largest", F.col("node").alias("a"), F.col("component").alias("_own"))
+    few = few.select("hub", "key", "_largest", F.col("node").alias("a"), F.col("component").alias("_own"), F.col("g").alias("_g"), F.col("reach").alias("_reach"))
     pairs = few.join(keys, ["hub", "key"]).where((F.col("component") != F.col("_own")) & ((F.col("component") == F.col("_largest")) | (F.col("a") < F.col("node"))))
+    pairs = pairs.where("g <= _reach AND _g <= reach")
     return pairs.select("hub", F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
@@ -404,7 +399,7 @@ def leftover_components(buckets: DataFrame, labels: DataFrame, nodes: DataFrame,
     found = _with_component(found.drop("component"), labels).join(home, "hub", "left")
     found = found.withColumn("_home", F.col("component") == F.coalesce("_hub", "hub")).drop("_hub")
     shared = common.materialise(shared_differences(_mixed(found, "hub")), "near-differences")
-    keys = common.materialise(_mixed(difference_keys(shared, percent), "hub", "key"), "near-keys")
+    keys = common.materialise(_mixed(within_reach(difference_keys(shared, percent)), "hub", "key"), "near-keys")
     if keys.isEmpty():
         return labels
     labels = joined(labels, overlapping(key_stars(keys), shared, percent))

@@ -86,6 +86,19 @@ def test_pair_tests_stay_few(spark, monkeypatch):
     assert seen[200] <= 3 * 200 and seen[400] <= 3 * 400
 
 
+def test_keys_are_bounded_by_differences(spark):
+    """A member has a row per difference at most, however many values g has in its family, and linked members meet."""
+    rnd = random.Random(11)
+    rows = [(0, i, i, 360 * (i % 40) - 3600 + rnd.randrange(360), i < 5, sorted(rnd.sample(range(120), 60))) for i in range(150)]
+    rows = [(*r[:3], -7000 if r[4] else r[3], *r[4:]) for r in rows]
+    shared = spark.createDataFrame(rows, "hub long, node long, component long, g long, _home boolean, d array<long>").cache()
+    keys = near_dedup.difference_keys(shared, 80)
+    assert keys.count() <= sum(len(r[5]) for r in rows)
+    got = {(r.a, r.b) for r in near_dedup.overlapping(near_dedup.key_pairs(near_dedup.within_reach(keys)), shared, 80).collect()}
+    want = {(x[1], y[1]) for x in rows for y in rows if x[1] < y[1] and 0 < x[3] + y[3] <= 360 * len({*x[5]} & {*y[5]})}
+    assert want <= got and len(want) > 1000
+
+
 def test_rows_with_equal_ids(spark):
     frame = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "b"), (None, "c"), (None, "c")], "doc_id long, text string")
     kept = sorted((r.doc_id or 0, r.text) for r in exact_dedup.drop_exact_copies(frame).collect())
