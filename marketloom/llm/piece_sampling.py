@@ -19,7 +19,8 @@ cost k paths, and none is drawn twice.
 
 All draws are hashes of (seed, row key, sample, place), so a row's samples depend on
 nothing but the row, whatever task or batch it is in. Words of all texts of a batch
-are drawn in lock step with numpy; ids and decoded bytes are built for a whole batch,
+are drawn in lock step with numpy; a draw that leads to a word's likeliest path takes
+that path's stored sums, which are those that the steps would give; ids and decoded bytes are built for a whole batch,
 and the decoded bytes are compared with the text. For a sample of log probability p and the
 (k+1)-th largest value t, its inclusion score is log(1 - exp(-exp(p - t))), the log
 of the probability to be included given the threshold.
@@ -36,10 +37,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,8 @@ from marketloom.llm import common, tokens
 
 _WORD = re.compile("▁*[^▁]+|▁+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Spreads hashes of short strings over the upper bits.
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -98,18 +102,32 @@ class Vocabulary:
         self.size = np.array([len(x) for x in self.raw], np.int64)
         self.place = np.cumsum(self.size) - self.size
         self.longest = max(map(len, known))
-        found = {}
+        found: dict[int, int] = {}
         for piece, i in known.items():
             h = 0
             for c in piece:
                 h = (h * int(_BASE) + ord(c) + 1) % (1 << 64)
-            found[h] = i
-        #: Hashes of pieces, sorted, with their ids.
-        self.keys = np.array(sorted(found), np.uint64)
-        self.ids = np.array([found[k] for k in sorted(found)], np.int64)
-        #: Whether any key has these upper 20 bits.
-        self.likely = np.zeros(1 << 20, bool)
-        self.likely[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+                found.setdefault(h * int(_SPREAD) % (1 << 64), -1)
+            found[h * int(_SPREAD) % (1 << 64)] = i
+        ordered = sorted(found)
+        #: Hashes of pieces and of their beginnings, sorted, with the ids of pieces, else -1; the last is beyond all.
+        self.keys = np.array([*ordered, (1 << 64) - 1], np.uint64)
+        self.ids = np.array([*(found[k] for k in ordered), -1], np.int64)
+        #: The first key with these upper 20 bits or higher ones.
+        self.slots = np.searchsorted(self.keys[:-1] >> np.uint64(44), np.arange(1 << 20, dtype=np.uint64)).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are among the keys, and the ids of those."""
+        h = h * _SPREAD
+        place = self.slots[(h >> np.uint64(44)).view(np.int64)]
+        key = self.keys[place]
+        late = np.flatnonzero(key < h)
+        while len(late):
+            place[late] += 1
+            key[late] = self.keys[place[late]]
+            late = late[key[late] < h[late]]
+        hit = np.flatnonzero(key == h)
+        return hit, self.ids[place[hit]]
 
     def normalise(self, text: str | None) -> str:
         return self.model.Normalize(text) if text else ""
@@ -128,102 +146,134 @@ class Lattices:
     """Lattices of words, flat: nodes have ranges of edges, edges lead to nodes.
 
     The edges of a node stand with the likeliest first. ``run`` is the probability of
-    those before an edge, ``others`` that of all others of its node.
+    those before an edge, ``others`` that of all others of its node. A word's ``best``
+    path takes the first edge of each of its nodes; draws below ``best_below`` lead to it.
     """
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 300_000) -> None:
         self.vocabulary, self.limit = vocabulary, limit
+        self.room: dict[str, np.ndarray] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.first: dict[str, int] = {}
-        self.room: dict[str, np.ndarray] = {}
+        #: Numbers of words.
+        self.number: dict[str, int] = {}
         self.n_nodes = 0
+        self.start, self.best_at, self.best_size = (np.zeros(0, np.int64) for _ in range(3))
+        self.best_log_p, self.best_rest, self.best_below = (np.zeros(0) for _ in range(3))
+        self.best_edges = np.zeros(0, np.int64)
         self.run, self.p, self.log_p, self.others = (np.zeros(0) for _ in range(4))
         self.target, self.tokens = np.zeros(0, np.int32), np.zeros(0, np.int32)
-        #: Ids of characters outside the vocabulary, end to end; token -1 - i stands for range i.
+        #: Ids of characters outside the vocabulary, end to end; token -1 - i stands for range i. ``odd``: tokens of such characters.
+        self.odd: dict[int, int] = {}
         self.raw, self.raw_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.first_edge = np.zeros(1, np.int64)
 
     def add(self, words: list[str]) -> None:
         """Build the lattices of new words side by side.
 
-        Pieces are found by hashes of all substrings, one length at a time; masses of
-        suffixes are summed from the words' ends on, all words in lock step, in logs.
+        Pieces are found by hashes of substrings that begin a piece, one length at a time;
+        masses of suffixes are summed from the words' ends on, all words in lock step, in logs.
+        Nodes are numbered by their distance to the word's end. The sums of a node hold
+        nothing of other nodes, so they do not depend on the words beside.
         """
+        v = self.vocabulary
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
-        self.first.update(zip(words, (self.n_nodes + ends - sizes).tolist()))
         text = "".join(words)
-        codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64) + np.uint64(1)
         n = len(codes)
         room = np.repeat(ends, sizes) - np.arange(n)
-        v = self.vocabulary
-        node, width, token = [], [], []
-        h = np.zeros(n, np.uint64)
+        by_distance = np.argsort(room.astype(np.uint16) if sizes.max() < 1 << 16 else room, kind="stable")
+        node = np.empty(n, np.int64)
+        node[by_distance] = np.arange(n)
+        #: Places in the text, ids and logs of the pieces of each length.
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        at, h = np.arange(n), np.zeros(n, np.uint64)
+        for length in range(1, v.longest + 1):
+            h = h * _BASE + codes[at + (length - 1)]
+            hit, ids = v.find(h)
+            at, h = at[hit], h[hit]
+            piece = np.flatnonzero(ids >= 0)
+            ids = ids[piece]
+            found.append((at[piece], ids, v.log_weight[ids]))
+            on = np.flatnonzero(room[at] > length)
+            at, h = at[on], h[on]
         alone = np.zeros(n, bool)
-        for length in range(1, min(v.longest, int(sizes.max())) + 1):
-            h = h[: n - length + 1] * _BASE + codes[length - 1 :] + np.uint64(1)
-            at = np.flatnonzero((room[: len(h)] >= length) & v.likely[(h >> np.uint64(44)).view(np.int64)])
-            place = np.minimum(np.searchsorted(v.keys, h[at]), len(v.keys) - 1)
-            hit = v.keys[place] == h[at]
-            if length == 1:
-                alone[at[hit]] = True
-            node.append(at[hit])
-            token.append(v.ids[place[hit]])
-            width.append(np.full(int(hit.sum()), length))
+        alone[found[0][0]] = True
         lost = np.flatnonzero(~alone)
-        logs = [v.log_weight[t] for t in token]
         if len(lost):
-            raw = [v.bytes[list(text[i].encode("utf-8", "replace"))].tolist() for i in lost.tolist()]
-            # One byte is a piece like any other; several stand in a range of their own.
-            several = [r for r in raw if len(r) > 1]
-            numbers = iter(range(-1 - len(self.raw_size), -1 - len(self.raw_size) - len(several), -1))
-            token.append(np.array([r[0] if len(r) == 1 else next(numbers) for r in raw], np.int64))
-            self.raw = np.concatenate([self.raw, np.array([i for r in several for i in r], np.int64)])
-            self.raw_size = np.concatenate([self.raw_size, np.array([len(r) for r in several], np.int64)])
-            node.append(lost)
-            width.append(np.ones(len(lost), np.int64))
-            logs.append(np.array([v.log_weight[r].sum() for r in raw]))
-        node, width, token, logs = (np.concatenate(x) for x in (node, width, token, logs))
-        # By distance to the word's end, then by node. The width makes keys distinct, so any sort gives one order.
-        order = np.argsort((room[node] * n + node) * (v.longest + 1) + width)
-        node, width, token, logs = (x[order] for x in (node, width, token, logs))
-        mass = np.zeros(n + 1)
-        distance = room[node]
-        cuts = np.flatnonzero(np.concatenate([[True], distance[1:] != distance[:-1], [True]]))
-        total = np.empty(len(node))
-        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            own = node[x:y]
-            behind = np.where(width[x:y] == distance[x], 0.0, mass[np.minimum(own + width[x:y], n - 1)])
-            value = logs[x:y] + behind
-            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            most = np.maximum.reduceat(value, heads)
-            each = np.diff(np.append(heads, y - x))
-            mass[own[heads]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, each)), heads))
+            own, back = np.unique(codes[lost], return_inverse=True)
+            raw = [v.bytes[list(chr(c - 1).encode("utf-8", "replace"))] for c in own.tolist()]
+            for c, r in zip(own.tolist(), raw):
+                # One byte is a piece like any other; several stand in a range of their own.
+                if c not in self.odd and len(r) > 1:
+                    self.odd[c] = -1 - len(self.raw_size)
+                    self.raw, self.raw_size = np.append(self.raw, r), np.append(self.raw_size, len(r))
+            ids = np.array([self.odd[c] if len(r) > 1 else r[0] for c, r in zip(own.tolist(), raw)], np.int64)
+            log = np.array([v.log_weight[r].sum() for r in raw])
+            found[0] = tuple(map(np.concatenate, zip(found[0], (lost, ids[back], log[back]))))
+        counts = np.bincount(node[np.concatenate([x for x, _, _ in found])], minlength=n)
+        end = np.cumsum(counts)
+        begin, size = end - counts, int(end[-1])
+        # The longest piece of a node first: most nodes then have the likeliest first.
+        width, token, target, logs = np.empty(size, np.int64), np.empty(size, np.int32), np.empty(size, np.int64), np.empty(size)
+        free = end.copy()
+        for length, (at, ids, log) in enumerate(found, 1):
+            own = node[at]
+            slot = free[own] - 1
+            free[own] = slot
+            width[slot], token[slot], logs[slot] = length, ids, log
+            target[slot] = np.where(room[at] == length, -1, node[np.minimum(at + length, n - 1)])
+        mass = np.zeros(n + 1)  # the last stands for the end of a word
+        total = np.empty(size)
+        stops = np.cumsum(np.bincount(room))
+        for a, b in zip(stops[:-1].tolist(), stops[1:].tolist()):
+            x, y = begin[a], end[b - 1]
+            value = logs[x:y] + mass[target[x:y]]
+            most = np.maximum.reduceat(value, begin[a:b] - x)
+            mass[a:b] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, counts[a:b])), begin[a:b] - x))
             total[x:y] = value
-        log_p = total - mass[node]
-        if n < 1 << 20 and v.longest < 32:
-            # The upper bits of a float that is not negative sort as the float does.
-            order = np.argsort(node << 43 | (np.maximum(-log_p, 0.0).view(np.int64) >> 25 << 5) | width)
-        else:
-            order = np.lexsort((width, np.maximum(-log_p, 0.0).view(np.int64) >> 25, node))
-        node, width, token, log_p = (x[order] for x in (node, width, token, log_p))
+        own = np.repeat(np.arange(n), counts)
+        log_p = total - mass[own]
+        # Without the lower bits, which rounding moves; then shorter ones first.
+        rank = np.maximum(-log_p, 0.0).view(np.int64) >> 25
+        wrong = (own[1:] == own[:-1]) & ((rank[1:] < rank[:-1]) | (rank[1:] == rank[:-1]) & (width[1:] < width[:-1]))
+        nodes = own[1:][wrong]
+        if len(nodes):
+            nodes = nodes[np.concatenate([[True], nodes[1:] != nodes[:-1]])]
+            old = ragged(begin[nodes], counts[nodes])
+            if len(nodes) < 1 << 20 and v.longest < 32:
+                # The upper bits of a float that is not negative sort as the float does, and take 38 bits here.
+                order = old[np.argsort(np.repeat(np.arange(len(nodes)), counts[nodes]) << 43 | rank[old] << 5 | width[old])]
+            else:
+                order = old[np.lexsort((width[old], rank[old], own[old]))]
+            token[old], target[old], log_p[old] = token[order], target[order], log_p[order]
         p = np.exp(log_p)
-        counts = np.bincount(node, minlength=n)
-        begin = np.cumsum(counts) - counts
-        run = np.cumsum(p) - p
-        run = np.maximum(run - run[begin[node]], 0)
+        run = np.zeros(size)
+        at = begin[counts > 1] + 1
+        while len(at):
+            run[at] = run[at - 1] + p[at - 1]
+            at = at[at + 1 < end[own[at]]] + 1
         # All but the likeliest edge have at most a half, so nothing is lost in 1 - p.
         rest = p.copy()
         rest[begin] = 0
         others = 1 - p
         others[begin] = np.add.reduceat(rest, begin)
-        target = np.where(width == room[node], -1, self.n_nodes + node + width)
+        target[target >= 0] += self.n_nodes
+        first = self.n_nodes + node[ends - sizes]
         for name, new in (("run", run), ("p", p), ("log_p", log_p), ("others", others), ("target", target), ("tokens", token)):
             self._append(name, new)
-        self._append("first_edge", self.first_edge[-1] + np.cumsum(counts))
+        self._append("first_edge", self.first_edge[-1] + end)
         self.n_nodes += n
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        at, size, log_p, rest, edges = self.walk(first, np.zeros(len(words)), None)
+        # Four edges use one draw. Where rounding could matter, the walk decides.
+        below = np.where(size <= 4, np.exp(log_p) * (1 - 1e-9), 0.0)
+        at += len(self.best_edges)
+        for name, new in (("at", at), ("size", size), ("log_p", log_p), ("rest", rest), ("below", below), ("edges", edges)):
+            self._append(f"best_{name}", new)
+        self._append("start", first)
 
     def _append(self, name: str, new: np.ndarray) -> None:
         """Put entries behind an array, whose room grows by doubling."""
@@ -235,15 +285,18 @@ class Lattices:
         room[len(old) : size] = new
         setattr(self, name, room[:size])
 
-    def starts(self, words: list[str]) -> np.ndarray:
-        """The first node of each word; new words are added."""
-        new = {w for w in words if w not in self.first}
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct words; new words are added."""
+        got = list(map(self.number.get, words))
+        new = [w for w, i in zip(words, got) if i is None]
         if new:
-            if len(self.first) + len(new) > self.limit and self.first:
+            if len(self.number) + len(new) > self.limit and self.number:
                 self.clear()
-                new = set(words)
-            self.add(sorted(new))
-        return np.fromiter(map(self.first.__getitem__, words), np.int64, len(words))
+                got, new = [None] * len(words), words
+            numbers = iter(range(len(self.number), len(self.number) + len(new)))
+            self.add(new)
+            got = [next(numbers) if i is None else i for i in got]
+        return np.array(got, np.int64)
 
     def draw(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node that u draws: from its first edge on while the next begins at most at u."""
@@ -259,6 +312,33 @@ class Lattices:
                 live, level, at, last = live[on], level[on], at[on], last[on]
         return edge
 
+    def walk(self, nodes: np.ndarray, u: np.ndarray, again: Callable[[np.ndarray, int], np.ndarray] | None) -> tuple[np.ndarray, ...]:
+        """Draw from each node to the end of its word: where its edges are, how many, log probability, mass beside them, all edges.
+
+        After each four edges, what is left of u has few bits; ``again`` draws it anew.
+        """
+        n = len(nodes)
+        size, log_p, rest = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        live, before, steps = np.arange(n), np.ones(n), []
+        while len(live):
+            if again and steps and len(steps) % 4 == 0:
+                u = again(live, len(steps))
+            edge = self.draw(nodes, u)
+            p = self.p[edge]
+            steps.append((live, edge))
+            size[live] += 1
+            log_p[live] += self.log_p[edge]
+            rest[live] += before * self.others[edge]
+            then = self.target[edge]
+            on = np.flatnonzero(then >= 0)
+            u = np.clip((u[on] - self.run[edge[on]]) / p[on], 0.0, 1 - 1e-16)
+            live, nodes, before = live[on], then[on].astype(np.int64), before[on] * p[on]
+        begin = np.cumsum(size) - size
+        edges = np.empty(int(size.sum()), np.int64)
+        for depth, (who, edge) in enumerate(steps):
+            edges[begin[who] + depth] = edge
+        return begin, size, log_p, rest, edges
+
     def beside(self, start: int, known: list[tuple[int, ...]]) -> tuple[list[tuple[int, ...]], np.ndarray]:
         """The subtrees of a word that no known path enters, as the edges down to them, and their masses."""
         heads: list[tuple[int, ...]] = []
@@ -268,8 +348,9 @@ class Lattices:
             head, before, node, paths = groups.pop()
             depth = len(head)
             taken = {path[depth] for path in paths}
-            for edge in range(int(self.first_edge[node]), int(self.first_edge[node + 1])):
-                mass = before * float(self.p[edge])
+            first, end = self.first_edge[node : node + 2].tolist()
+            for edge, p in enumerate(self.p[first:end].tolist(), first):
+                mass = before * p
                 if edge not in taken:
                     if mass > 1e-300:
                         heads.append((*head, edge))
@@ -299,22 +380,39 @@ def lattices_of(model: str, alpha: float) -> Lattices:
     return common.worker_store(("lattices", model, alpha), lambda: Lattices(Vocabulary(model, alpha)))
 
 
+def words_of(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of texts, the place there of each word of the texts, end to end, and the texts' sizes in words."""
+    if all(t[0] == "▁" != t[-1] and "▁▁" not in t for t in texts):
+        lists = pc.split_pattern(pa.array([t[1:] for t in texts], pa.large_string()), "▁")
+        sizes, flat, lead = pc.list_value_length(lists).to_numpy(), lists.flatten(), "▁"
+    else:
+        found = [_WORD.findall(t) for t in texts]
+        sizes, flat, lead = np.fromiter(map(len, found), np.int64, len(found)), pa.array([w for x in found for w in x], pa.large_string()), ""
+    coded = flat.dictionary_encode()
+    return [lead + w for w in coded.dictionary.to_numpy(zero_copy_only=False)], coded.indices.to_numpy(), sizes.astype(np.int64)
+
+
 class Batch:
     """Texts of one batch, none of them empty: their words' start nodes, laid end to end, and the edges drawn."""
 
     def __init__(self, lattices: Lattices, texts: list[str], keys: list[int]) -> None:
         self.lattices, self.n = lattices, len(texts)
-        lists = [_WORD.findall(t) for t in texts]
-        self.start = lattices.starts([w for x in lists for w in x])
-        sizes = np.array([len(x) for x in lists], np.int64)
+        words, self.code, sizes = words_of(texts)
+        number = lattices.numbers(words)
+        #: Of each distinct word.
+        self.best_size, self.best_log_p = lattices.best_size[number], lattices.best_log_p[number]
+        self.best_rest, self.best_below = lattices.best_rest[number], lattices.best_below[number]
+        self.best_at = np.cumsum(self.best_size) - self.best_size
+        #: Edges of all words of all paths; those of the best paths first.
+        best = lattices.best_edges[ragged(lattices.best_at[number], self.best_size)]
+        self.edges, self.n_edges = [best], len(best)
+        self.start = lattices.start[number][self.code]
         self.end = np.cumsum(sizes)
         self.begin = self.end - sizes
         self.doc = np.repeat(np.arange(len(texts)), sizes)
         self.key = _mix(np.array(keys, np.int64).view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
         place = (np.arange(len(self.start)) - self.begin[self.doc]).astype(np.uint64)
         self.word_key = _mix(self.key[self.doc] * np.uint64(0x9E3779B97F4A7C15) + place)
-        #: Edges of all words of all paths.
-        self.edges, self.n_edges = [], 0
 
     def keep(self, edges: np.ndarray) -> int:
         """Store edges; returns the place of the first."""
@@ -322,30 +420,21 @@ class Batch:
         self.n_edges += len(edges)
         return self.n_edges - len(edges)
 
-    def walk(self, words: np.ndarray, nodes: np.ndarray, sample: int) -> tuple[np.ndarray, ...]:
+    def walk(self, words: np.ndarray, nodes: np.ndarray, sample: int, u: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
         """Draw from each node to the end of its word: where the edges are, how many, log probability, mass beside them."""
-        lat, n = self.lattices, len(words)
-        size, log_p, rest = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-        key, live, before, steps = self.word_key[words], np.arange(n), np.ones(n), []
-        u = uniforms(key, sample)
-        while len(live):
-            if steps and len(steps) % 4 == 0:  # what is left of u has few bits
-                u = uniforms(key[live], sample, len(steps))
-            edge = lat.draw(nodes, u)
-            p = lat.p[edge]
-            steps.append((live, edge))
-            size[live] += 1
-            log_p[live] += lat.log_p[edge]
-            rest[live] += before * lat.others[edge]
-            then = lat.target[edge]
-            on = np.flatnonzero(then >= 0)
-            u = np.clip((u[on] - lat.run[edge[on]]) / p[on], 0.0, 1 - 1e-16)
-            live, nodes, before = live[on], then[on].astype(np.int64), before[on] * p[on]
-        begin = np.cumsum(size) - size
-        edges = np.empty(int(size.sum()), np.int64)
-        for depth, (who, edge) in enumerate(steps):
-            edges[begin[who] + depth] = edge
-        return begin + self.keep(edges), size, log_p, rest
+        key = self.word_key[words]
+        u = uniforms(key, sample) if u is None else u
+        at, size, log_p, rest, edges = self.lattices.walk(nodes, u, lambda live, depth: uniforms(key[live], sample, depth))
+        return at + self.keep(edges), size, log_p, rest
+
+    def walk_whole(self, words: np.ndarray, sample: int) -> tuple[np.ndarray, ...]:
+        """``walk`` from the beginnings of words, without steps where the draw leads to the best path."""
+        u, code = uniforms(self.word_key[words], sample), self.code[words]
+        out = self.best_at[code], self.best_size[code], self.best_log_p[code], self.best_rest[code]
+        other = np.flatnonzero(u >= self.best_below[code])
+        for x, new in zip(out, self.walk(words[other], self.start[words[other]], sample, u[other])):
+            x[other] = new
+        return out
 
 
 class Path:
@@ -368,7 +457,7 @@ def top_k(batch: Batch, k: int) -> tuple[list[Path], np.ndarray]:
     lat, n = batch.lattices, batch.n
     value = -np.log(-np.log(uniforms(batch.key, 3)))
     every = np.arange(len(batch.start))
-    paths = [Path(batch, *batch.walk(every, batch.start, 1), value)]
+    paths = [Path(batch, *batch.walk_whole(every, 1), value)]
     #: Cuts of a word that are known, by path and word.
     known: dict[tuple[int, int], list[tuple[int, ...]]] = {}
     for sample in range(2, k + 2):
@@ -383,50 +472,60 @@ def top_k(batch: Batch, k: int) -> tuple[list[Path], np.ndarray]:
         pool = np.concatenate(batch.edges)
         draws, inside = uniforms(batch.key, 4, sample) * total, uniforms(batch.key, 6, sample)
         parent, leave = np.zeros(n, np.int64), batch.end.copy()
-        chosen: list[tuple[int, int, tuple[int, ...]]] = []
-        for d in docs.tolist():
-            q, left = 0, draws[d]
-            while q + 1 < len(paths) and (left >= by_path[q, d] or by_path[q, d] == 0) and by_path[q + 1 :, d].any():
-                left -= by_path[q, d]
-                q += 1
-            mass = paths[q].mass[batch.begin[d] : batch.end[d]]
-            run = np.cumsum(mass)
-            # Never a word without mass, whatever the rounding.
-            place = min(int(np.searchsorted(run, min(max(left, 0.0), run[-1]), side="right")), int(np.flatnonzero(mass)[-1]))
-            w = int(batch.begin[d]) + place
+        for q in range(len(paths) - 1):
+            go = np.flatnonzero((parent == q) & ((draws >= by_path[q]) | (by_path[q] == 0)) & by_path[q + 1 :].any(axis=0))
+            draws[go] -= by_path[q, go]
+            parent[go] = q + 1
+        #: Per text the word, the subtree, the mass of the subtrees beside it, and its own.
+        chosen: list[tuple[int, int, tuple[int, ...], float, float]] = []
+        for d, q, left, begin, end in zip(*(x[docs].tolist() for x in (np.arange(n), parent, draws, batch.begin, batch.end))):
+            mass = paths[q].mass[begin:end]
+            run = mass.cumsum()
+            place = int(run.searchsorted(min(max(left, 0.0), float(run[-1])), side="right"))
+            if place == len(run):  # never a word without mass, whatever the rounding
+                place = int(np.flatnonzero(mass)[-1])
+            w = begin + place
             path = paths[q]
             cuts = known.setdefault((q, w), [tuple(pool[path.at[w] : path.at[w] + path.size[w]].tolist())])
             heads, masses = lat.beside(int(batch.start[w]), cuts)
-            run = np.cumsum(masses)
-            head = heads[min(int(np.searchsorted(run, inside[d] * run[-1], side="right")), len(heads) - 1)]
-            chosen.append((d, w, head))
-            parent[d], leave[d] = q, w
+            run = masses.cumsum()
+            which = min(int(run.searchsorted(inside[d] * run[-1], side="right")), len(heads) - 1)
+            mass = float(masses[which])
+            masses[which] = 0.0
+            chosen.append((d, w, heads[which], float(masses.sum()), mass))
+            leave[d] = w
         # The rest of the word, and all words behind it, are drawn anew.
-        words = np.array([w for _, w, _ in chosen], np.int64)
-        then = lat.target[[head[-1] for _, _, head in chosen]].astype(np.int64)
+        words = np.array([w for _, w, *_ in chosen], np.int64)
+        then = lat.target[[head[-1] for _, _, head, *_ in chosen]].astype(np.int64)
         on = np.flatnonzero(then >= 0)
-        at, size, log_p, _ = batch.walk(words[on], then[on], sample)
-        tails = dict(zip(on.tolist(), zip(at.tolist(), size.tolist())))
+        at, size, _, rest = batch.walk(words[on], then[on], sample)
+        tails = dict(zip(on.tolist(), zip(at.tolist(), size.tolist(), rest.tolist())))
         pool = np.concatenate(batch.edges)
         own = np.empty(len(words)), np.empty(len(words), np.int64), np.empty(len(words), np.int64)
         cut_edges: list[int] = []
-        for i, (d, w, head) in enumerate(chosen):
-            a, m = tails.get(i, (0, 0))
+        for i, (d, w, head, left, mass) in enumerate(chosen):
+            a, m, beside = tails.get(i, (0, 0, 0.0))
             cut = (*head, *pool[a : a + m].tolist())
             cuts = known[parent[d], w]
             cuts.append(cut)
-            left = lat.beside(int(batch.start[w]), cuts)[1].sum()
+            left += mass * beside
+            if left < 1e-290:  # then those that count as impossible matter
+                left = lat.beside(int(batch.start[w]), cuts)[1].sum()
             path = paths[parent[d]]
             path.mass[w] = np.exp(path.before[w]) * left
             own[0][i], own[1][i], own[2][i] = lat.log_p[list(cut)].sum(), len(cut_edges), len(cut)
             cut_edges += cut
         base = batch.keep(np.array(cut_edges, np.int64))
         source = parent[batch.doc]
-        new = [np.choose(source, [getattr(path, name) for path in paths]) for name in ("at", "size", "word_log_p")]
+        new = [getattr(paths[0], name).copy() for name in ("at", "size", "word_log_p")]
+        for q, path in enumerate(paths[1:], 1):
+            other = np.flatnonzero(source == q)
+            for x, name in zip(new, ("at", "size", "word_log_p")):
+                x[other] = getattr(path, name)[other]
         new[0][words], new[1][words], new[2][words] = own[1] + base, own[2], own[0]
         later = np.flatnonzero(every > leave[batch.doc])
         rest = np.zeros(len(every))
-        new[0][later], new[1][later], new[2][later], rest[later] = batch.walk(later, batch.start[later], sample)
+        new[0][later], new[1][later], new[2][later], rest[later] = batch.walk_whole(later, sample)
         paths.append(Path(batch, *new, rest, value))
     return paths, value
 

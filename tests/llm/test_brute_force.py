@@ -186,6 +186,44 @@ def test_few_segmentations_and_batches(spark):
     assert all(r[5] == 0 for r in whole if counts[r[0]] < 3)
 
 
+def test_best_paths_need_no_walk(monkeypatch):
+    """Draws that lead to a word's best path take no steps, and give what the steps give."""
+    v = piece_sampling.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [v.normalise("the thing in a place and the time of that, thouorin.\nIs 555-3192 🙂 asjaez$$$ unbelievably " * 20)] * 30
+    walked = [0]
+    plain = piece_sampling.Lattices.walk
+
+    def counted(self, nodes, *rest):
+        walked[0] += len(nodes)
+        return plain(self, nodes, *rest)
+
+    monkeypatch.setattr(piece_sampling.Lattices, "walk", counted)
+    lattices = piece_sampling.Lattices(v)
+    key = lambda r: (*r[:8], tuple(r[8]))
+    quick = list(map(key, piece_sampling.sampled(lattices, texts, list(range(30)), 3, True)))
+    quick_steps, walked[0] = walked[0], 0
+    lattices.best_below[:] = 0
+    assert quick == list(map(key, piece_sampling.sampled(lattices, texts, list(range(30)), 3, True)))
+    assert quick_steps < walked[0] / 2
+
+
+def test_lattices_hold_nothing_of_other_words():
+    """The sums of a word are the same to the last bit, alone and beside others."""
+    v = piece_sampling.Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    words = ["▁thing", "▁thouorin.\nIs", "▁½🙂x", "▁a", "▁" + "q" * 50, "▁unbelievably"]
+    together, first = piece_sampling.Lattices(v), piece_sampling.Lattices(v)
+    together.add(words)
+
+    def edges(lattices, node):
+        a, b = lattices.first_edge[node : node + 2].tolist()
+        return [(x.p[i], x.run[i], x.log_p[i], x.others[i], x.tokens[i] >= 0, edges(x, t) if t >= 0 else ()) for x, i, t in zip([lattices] * (b - a), range(a, b), lattices.target[a:b].tolist())]
+
+    for word in words[:4] + words[5:]:
+        first.clear()
+        first.add([word])
+        assert edges(together, int(together.start[words.index(word)])) == edges(first, int(first.start[0]))
+
+
 def test_kneser_ney_formula():
     """Probabilities of order 3 by the recursive formula, and their sum over all letters and unseen ones."""
     words = Counter({"abab": 3, "abba": 1, "baa": 2, "cab": 1})
