@@ -55,6 +55,23 @@ def test_report_under_a_cap(planted):
         models.fit_propensity(planted.where("label = 0 OR split = 'train'"), manifest, KEYS, 800)
 
 
+def test_features_are_those_of_the_fitted_stages(spark):
+    """One expression gives what the stages give, unknown and missing values too, and the trees know which features are categories."""
+    rows = [(i, ["a", "b", None][i % 3], None if i % 5 == 0 else float("nan") if i % 7 == 0 else float(i), i % 4, i % 2 == 0) for i in range(60)]
+    shape = "client_id long, kind string, x double, n int, flag boolean"
+    frame = spark.createDataFrame(rows, shape)
+    manifest = models.feature_manifest(frame, {"client_id"})
+    stages, name = models._stages(manifest)
+    prepare = models.Pipeline(stages=stages).fit(models._as_double(frame, manifest))
+    seen = models._as_double(frame.unionByName(spark.createDataFrame([(60, "c", 3.5, None, None), (61, "", None, 2, True)], shape)), manifest)
+    want, got = prepare.transform(seen), models._with_features(seen, prepare)
+    vectors = lambda df: {r.client_id: list(r[name]) for r in df.collect()}
+    assert vectors(got) == vectors(want) and len(vectors(got)) == 62
+    assert got.schema[name].metadata == want.schema[name].metadata and "nominal" in str(got.schema[name].metadata)
+    # Neither columns of the stages nor text are left to carry along.
+    assert got.columns == [*seen.columns, name]
+
+
 def arms(spark, biased):
     rnd = random.Random(9)
     rows = []
