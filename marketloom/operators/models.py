@@ -123,14 +123,14 @@ def capped(frame: DataFrame, keys: list[str], most: int, seed: int, split: str =
 
 
 def fit_propensity(
-    frame: DataFrame, manifest: list[dict[str, Any]], keys: list[str], most: int = 2_000_000, seed: int = 11, trees: int = 20, depth: int = 4, bins: int = 10
+    frame: DataFrame, manifest: list[dict[str, Any]], keys: list[str], most: int | None = None, seed: int = 11, trees: int = 20, depth: int = 4, bins: int = 10
 ) -> tuple[Boosted, DataFrame]:
     """A propensity model and its report on the validation rows, one row.
 
-    The report has the rows used, the best number of trees, AUC, average precision, log loss, Brier score, and the calibration bins. At
-    most ``most`` rows are used; all validation rows are among them.
+    The report has the rows used, the best number of trees, AUC, average precision, log loss, Brier score, and the calibration bins. All
+    rows are used, and read several times; with ``most`` at most so many, all validation rows among them.
     """
-    rows = materialise(capped(frame, keys, most, seed))
+    rows = frame if most is None else materialise(capped(frame, keys, most, seed))
     counts = {r["split"]: (r["n"], r["labels"]) for r in rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("labels")).collect()}  # two rows
     if any(counts.get(x, (0, 0))[1] != 2 for x in ("train", "validation")):
         raise ValueError("both splits need rows of both labels")

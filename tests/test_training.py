@@ -55,6 +55,14 @@ def test_report_under_a_cap(planted):
         models.fit_propensity(planted.where("label = 0 OR split = 'train'"), manifest, KEYS, 800)
 
 
+def test_no_number_of_validation_rows_is_too_many(planted):
+    """Two million rows were the most, so the query ended in an error where the validation rows alone are more."""
+    many = planted.where("split = 'train'").limit(40).unionByName(planted.where("split = 'validation'").crossJoin(planted.sparkSession.range(4100).select()))
+    manifest = models.feature_manifest(planted, {"client_id", "label", "split"})
+    row = models.fit_propensity(many, manifest, KEYS, trees=1, depth=1, bins=2)[1].first()
+    assert (row.n_train, row.n_validation) == (40, 2_050_000) and sum(b.n for b in row.calibration_bins) == 2_050_000
+
+
 def test_features_are_those_of_the_fitted_stages(spark):
     """One expression gives what the stages give, unknown and missing values too, and the trees know which features are categories."""
     rows = [(i, ["a", "b", None][i % 3], None if i % 5 == 0 else float("nan") if i % 7 == 0 else float(i), i % 4, i % 2 == 0) for i in range(60)]
