@@ -59,6 +59,28 @@ def test_one_window_ranks_sources_as_single_ones_do(spark):
     assert sorted(want) == sorted(tuple(r) for r in candidates.normalise_source(raw).collect())
 
 
+def test_no_single_task_multiplies_all_clients(spark, monkeypatch):
+    """The clients of one file were crossed with the popular items in one task."""
+    seen = []
+    monkeypatch.setattr(candidates, "BUCKET_ROWS", 900)
+    for n in ("cand_repeat", "cand_category", "cand_item_to_item"):
+        monkeypatch.setattr(candidates, n, lambda *a: spark.createDataFrame([], "client_id long, product_id long, raw_score double"))
+    crossed = candidates.cand_global
+    monkeypatch.setattr(candidates, "cand_global", lambda clients, items: seen.append(clients) or crossed(clients, items))
+    items = spark.range(3).selectExpr("id AS product_id", "0 AS is_alcohol", "id AS unique_buyers", "id AS total_sales_qty")
+    assert candidates.normalised_sources(spark.range(0, 300, 1, 1).withColumnRenamed("id", "client_id"), items, None, None).count() == 900
+    assert seen[0].rdd.getNumPartitions() == 30 and max(seen[0].rdd.glom().map(len).collect()) < 60
+
+
+def test_categories_of_clients_stay_dealt(spark):
+    """All categories of clients are a few kilobytes, so one task made 25 rows of each."""
+    lines = spark.range(300).selectExpr("id AS client_id", "id % 4 AS product_id", "cast(id % 2 AS string) AS level_2", "1 AS product_quantity")
+    items = spark.range(4).selectExpr("id AS product_id", "cast(id % 2 AS string) AS level_2", "id AS unique_buyers")
+    found = candidates.cand_category(lines, items, 25, 2, 9)
+    assert found.rdd.getNumPartitions() == 9 and max(found.rdd.glom().map(len).collect()) < 150
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, candidates.cand_category(lines, items).collect())) and found.count() == 600
+
+
 def test_partitions_of_candidates_follow_the_clients(spark, monkeypatch):
     monkeypatch.setattr(candidates, "BUCKET_ROWS", 900)
     for n in ("cand_repeat", "cand_category", "cand_item_to_item", "cand_global"):
